@@ -8,6 +8,7 @@ from lakejobs.registry import REGISTRY, Query
 
 MODULES = (
     "cost_reports",
+    "history_reports",
 )
 
 

@@ -37,7 +37,7 @@ class View:
 VIEWS: dict[str, View] = {
     "usage": View(
         """
-SELECT CAST(l.l_shipdate AS DATE) AS usage_date, p.p_brand AS sku_name, p.p_type AS usage_unit,
+SELECT l.l_shipdate AS usage_start_time, CAST(l.l_shipdate AS DATE) AS usage_date, p.p_brand AS sku_name, p.p_type AS usage_unit,
        CASE l.l_linenumber WHEN 1 THEN 'JOBS' WHEN 2 THEN 'ALL_PURPOSE' WHEN 3 THEN 'SQL'
             WHEN 4 THEN 'DLT' WHEN 5 THEN 'DEFAULT_STORAGE' WHEN 6 THEN 'MODEL_SERVING'
             ELSE 'NETWORK' END AS billing_origin_product,
