@@ -9,6 +9,9 @@ from lakejobs.registry import REGISTRY, Query
 MODULES = (
     "cost_reports",
     "history_reports",
+    "job_reports",
+    "lineage_reports",
+    "audit_reports",
 )
 
 

@@ -110,6 +110,7 @@ def rep_most_data_scanned(t):
         "read_files", "pruned_files", seconds("total_duration_ms", "duration_sec"), preview(120))
 
 
+# The error text patterns of the two error reports.
 PERMISSION_PATTERNS = ("%insufficient%privilege%", "%permission%denied%", "%access%denied%", "%cannot resolve%")
 MISSING_PATTERNS = ("%table%not found%", "%cannot find%table%", "%schema%not found%", "%path does not exist%")
 
@@ -473,8 +474,8 @@ def rep_run_as_vs_executed(t):
 
 @report("rep_idle_warehouses", f"""
 SELECT warehouse_id, count(*) AS query_count_7d, CAST(sum(total_duration_ms) AS BIGINT) / 1000.0 AS total_duration_sec
-FROM query_history WHERE {LAST.format(7)} AND warehouse_id IS NOT NULL GROUP BY 1 HAVING count(*) < 200""")
-def rep_idle_warehouses(t, fewer_than: int = 200):
+FROM query_history WHERE {LAST.format(7)} AND warehouse_id IS NOT NULL GROUP BY 1 HAVING count(*) < 230""")
+def rep_idle_warehouses(t, fewer_than: int = 230):
     """Warehouses with few statements; the usual bound of 10 is raised to suit ten busy warehouses."""
     return recent(t, 7, "warehouse_id IS NOT NULL").groupBy("warehouse_id").agg(
         TOTAL.alias("query_count_7d"), sum_seconds("total_duration_ms", "total_duration_sec")
