@@ -12,6 +12,9 @@ MODULES = (
     "job_reports",
     "lineage_reports",
     "audit_reports",
+    "relational",
+    "aggregates",
+    "scalars",
 )
 
 
