@@ -15,6 +15,8 @@ MODULES = (
     "relational",
     "aggregates",
     "scalars",
+    "features",
+    "changes",
 )
 
 
