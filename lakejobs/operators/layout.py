@@ -28,8 +28,8 @@ def z_value(positions: list[Column], bits: int) -> Column:
 def zorder(df: DataFrame, columns: list[str], files: int, bits: int = 10) -> DataFrame:
     """Cluster by an interleaved order of the columns' quantile positions.
 
-    Positions come from the columns' quantiles, so skewed columns still use all
-    bits. Only the border values reach the driver.
+    Positions are quantile ranks scaled to the same range, so a skewed column or
+    one with few values still uses all bits. Only the border values reach the driver.
     """
     from pyspark.ml.feature import Bucketizer
 
@@ -44,9 +44,10 @@ def zorder(df: DataFrame, columns: list[str], files: int, bits: int = 10) -> Dat
         splits = [float("-inf"), *borders, float("inf")]
         placed = Bucketizer(splits=splits, inputCol="_axis", outputCol=f"_z_{c}", handleInvalid="keep").transform(
             placed.withColumn("_axis", axis(df, c))).drop("_axis")
-        names.append(f"_z_{c}")
-    ordered = placed.withColumn("_z", z_value([F.col(n).cast("int") for n in names], bits))
-    return ordered.repartitionByRange(files, "_z").sortWithinPartitions("_z").drop("_z", *names)
+        names.append(F.floor(F.col(f"_z_{c}") * steps / (len(borders) + 1)).cast("int"))
+    ordered = placed.withColumn("_z", z_value(names, bits))
+    return ordered.repartitionByRange(files, "_z").sortWithinPartitions("_z").drop(
+        "_z", *[f"_z_{c}" for c in columns])
 
 
 def compact(df: DataFrame, total_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> DataFrame:

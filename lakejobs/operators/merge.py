@@ -63,28 +63,26 @@ def reject_duplicate_keys(source: DataFrame, on: Sequence[str]) -> DataFrame:
     return single.select(checked.alias("_row")).select("_row.*")
 
 
-def merge_actions(target: DataFrame, source: DataFrame, on: Sequence[str], plan: MergePlan = UPSERT) -> DataFrame:
-    """Resulting rows with an ``_action`` column (keep, update, delete, insert); first clause that fits wins."""
-    one = reject_duplicate_keys(source, on)
-    t = target.withColumn("_in_t", F.lit(True)).alias("t")
-    s = one.withColumn("_in_s", F.lit(True)).alias("s")
-    same_key = [F.col(f"t.{c}") == F.col(f"s.{c}") for c in on]
-    joined = t.join(s, same_key, "full" if plan.not_matched else "left")
+def _clauses(plan: MergePlan, shared: list[str]) -> list[tuple[Column, str, dict[str, Column]]]:
+    """(test, action, values) in clause order; a NULL condition does not fit."""
     in_t, in_s = F.col("t._in_t").isNotNull(), F.col("s._in_s").isNotNull()
+    everything = {c: F.col(f"s.{c}") for c in shared}
 
-    pieces: list[tuple[Column, str, dict[str, Column]]] = []
+    def also(condition: Column | None) -> Column:
+        return F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))
+
+    pieces = []
     for clause in plan.matched:
-        test = in_t & in_s & (F.coalesce(clause.condition, F.lit(False)) if clause.condition is not None else F.lit(True))
-        values = clause.columns
-        if values is None:
-            values = {c: F.col(f"s.{c}") for c in one.columns if c in target.columns}
-        pieces.append((test, "delete" if clause.delete else "update", {} if clause.delete else values))
+        values = {} if clause.delete else everything if clause.columns is None else clause.columns
+        pieces.append((in_t & in_s & also(clause.condition), "delete" if clause.delete else "update", values))
     for clause in plan.not_matched:
-        test = ~in_t & (F.coalesce(clause.condition, F.lit(False)) if clause.condition is not None else F.lit(True))
-        values = clause.columns
-        if values is None:
-            values = {c: F.col(f"s.{c}") for c in one.columns if c in target.columns}
-        pieces.append((test, "insert", values))
+        values = everything if clause.columns is None else clause.columns
+        pieces.append((~in_t & also(clause.condition), "insert", values))
+    return pieces
+
+
+def _resolve(joined: DataFrame, target: DataFrame, pieces) -> DataFrame:
+    """Column values and action of each joined row from the first clause that fits."""
 
     def first_fit(pick, otherwise: Column) -> Column:
         result = None
@@ -102,13 +100,43 @@ def merge_actions(target: DataFrame, source: DataFrame, on: Sequence[str], plan:
             return values[f.name].cast(f.dataType) if f.name in values else missing
 
         columns.append(first_fit(value, own).alias(f.name))
+    in_t = F.col("t._in_t").isNotNull()
     action = first_fit(lambda a, _: F.lit(a), F.when(in_t, F.lit("keep")).otherwise(F.lit("skip")))
     return joined.select(*columns, action.alias(ACTION)).where(F.col(ACTION) != "skip")
 
 
-def merge(target: DataFrame, source: DataFrame, on: Sequence[str], plan: MergePlan = UPSERT) -> DataFrame:
+def merge_actions(
+    target: DataFrame, source: DataFrame, on: Sequence[str], plan: MergePlan = UPSERT, small_source: bool = False
+) -> DataFrame:
+    """Resulting rows with an ``_action`` column (keep, update, delete, insert); first clause that fits wins.
+
+    The general form is one full outer join. ``small_source`` splits it: a left
+    join brings updates to the target rows, and the source rows without a target
+    key are appended. Spark can then broadcast the source, if its size is under
+    the broadcast threshold, and the wide target rows are not shuffled; only the
+    key columns of the target are read a second time.
+    """
+    one = reject_duplicate_keys(source, on)
+    pieces = _clauses(plan, [c for c in one.columns if c in target.columns])
+    t = target.withColumn("_in_t", F.lit(True)).alias("t")
+    s = one.withColumn("_in_s", F.lit(True)).alias("s")
+    same_key = [F.col(f"t.{c}") == F.col(f"s.{c}") for c in on]
+    if not plan.not_matched:
+        return _resolve(t.join(s, same_key, "left"), target, pieces)
+    if not small_source:
+        return _resolve(t.join(s, same_key, "full"), target, pieces)
+    kept = _resolve(t.join(s, same_key, "left"), target, pieces)
+    known = target.select(*on).join(one.select(*on), list(on), "left_semi")
+    fresh = one.join(known, list(on), "left_anti").withColumn("_in_s", F.lit(True)).alias("s")
+    no_target = target.limit(0).withColumn("_in_t", F.lit(True)).alias("t")
+    return kept.unionAll(_resolve(fresh.join(no_target, same_key, "left"), target, pieces))
+
+
+def merge(
+    target: DataFrame, source: DataFrame, on: Sequence[str], plan: MergePlan = UPSERT, small_source: bool = False
+) -> DataFrame:
     """New content of the target after the merge."""
-    return merge_actions(target, source, on, plan).where(F.col(ACTION) != "delete").drop(ACTION)
+    return merge_actions(target, source, on, plan, small_source).where(F.col(ACTION) != "delete").drop(ACTION)
 
 
 def merge_metrics(actions: DataFrame) -> DataFrame:

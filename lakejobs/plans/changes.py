@@ -72,7 +72,7 @@ SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, coalesce(s.o_totalprice, o.o_
 UNION ALL SELECT * FROM src WHERE o_orderkey >= 1000000000""")
 def merge_subset_columns(t):
     some = {c: F.col(f"s.{c}") for c in ("o_totalprice", "o_orderpriority")}
-    return merge(t.orders, order_changes(t), ["o_orderkey"], MergePlan((Matched(some),), (NotMatched(),)))
+    return merge(t.orders, order_changes(t), ["o_orderkey"], MergePlan((Matched(some),), (NotMatched(),)), small_source=True)
 
 
 FEATURE_SQL = """hourly AS (SELECT user_id, date_trunc('hour', ts) AS hour, count(*) AS n FROM events {where} GROUP BY 1, 2)"""
