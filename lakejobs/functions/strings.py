@@ -48,7 +48,7 @@ def lookup(text: Column | str, names: dict[str, str]) -> Column:
 def token_uuid(text: Column | str) -> Column:
     """UUID text from the url-safe base64 ``r=`` token of a log field; NULL when there is none."""
     token = F.regexp_extract(text, r"r=([^,]+)", 1)
-    padded = F.rpad(F.translate(token, "-_", "+/"), 24, "=")
+    padded = F.rpad(F.translate(token, "@-_", "+//"), 24, "=")
     digits = F.lower(F.hex(F.try_to_binary(padded, F.lit("base64"))))
     pieces = [F.substring(digits, at, size) for at, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.when((token != "") & (F.length(digits) == 32), F.concat_ws("-", *pieces))

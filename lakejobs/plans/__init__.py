@@ -17,6 +17,7 @@ MODULES = (
     "scalars",
     "features",
     "changes",
+    "jobs",
 )
 
 
