@@ -18,6 +18,8 @@ MODULES = (
     "features",
     "changes",
     "jobs",
+    "texts",
+    "models",
 )
 
 
