@@ -24,7 +24,13 @@ def expected_goals(p_home: Column, p_draw: Column, p_away: Column, total: float
     """Expected goals of both sides: the goal total split by win share plus half the draw share."""
     home, away = p_home + 0.5 * p_draw, p_away + 0.5 * p_draw
     return F.struct(
-        F.round(total * home / (home + away), 2).alias("xg_home"), F.round(total * away / (home + away), 2).alias("xg_away"))
+        round_half_up(total * home / (home + away), 2).alias("xg_home"),
+        round_half_up(total * away / (home + away), 2).alias("xg_away"))
+
+
+def round_half_up(value: Column, digits: int) -> Column:
+    """Round by the decimal value, so 1.7249999999999999 counts as 1.725."""
+    return F.round(value.cast("decimal(20,10)"), digits).cast("double")
 
 
 def recency_weight(age_days: Column, rate: float = 0.1, floor_years: float = 0.01) -> Column:

@@ -74,18 +74,19 @@ def form_columns(past: Column, origin: Column, decay: float = FORM_DECAY) -> lis
     return columns
 
 
-PAST = F.struct("match_date", "gf", "ga", "res")
+def past_match() -> Column:
+    return F.struct("match_date", "gf", "ga", "res")
 
 
 def recent_form(matches: DataFrame, n: int = 10, slices: Slices | None = None) -> DataFrame:
     """Form of both sides before each match, from the last ``n`` matches of the team."""
-    listed = trailing_list(long_form(matches), ["team"], ORDER, PAST, n, "past", slices)
+    listed = trailing_list(long_form(matches), ["team"], ORDER, past_match(), n, "past", slices)
     return listed.select("match_id", "team", "side", *form_columns(F.col("past"), F.col("match_date")))
 
 
 def team_profile(matches: DataFrame, origin: str, n: int = 10) -> DataFrame:
     """Form per team from its newest ``n`` matches, decayed from the day ``origin``."""
-    newest = newest_list(long_form(matches), ["team"], ORDER, PAST, n, "past")
+    newest = newest_list(long_form(matches), ["team"], ORDER, past_match(), n, "past")
     return newest.select("team", *form_columns(F.col("past"), F.to_date(F.lit(origin))))
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from lakejobs.registry import query
 
 AUDIT = ("audit",)
-TOTAL = F.count("*")
 MONTH_SQL = 'CAST(month(event_date) AS INTEGER) AS "month", CAST(year(event_date) AS INTEGER) AS "year"'
 
 
@@ -20,7 +19,7 @@ def action_counts(audit, action: str, name: str, *more: str, service: str | None
     rows = audit.where(F.col("action_name") == action)
     if service:
         rows = rows.where(F.col("service_name") == service)
-    return rows.groupBy("email", *more, *month_year()).agg(TOTAL.alias(name))
+    return rows.groupBy("email", *more, *month_year()).agg(F.count("*").alias(name))
 
 
 def action_counts_sql(action: str, name: str, *more: str, service: str | None = None) -> str:
@@ -132,7 +131,7 @@ def rep_account_user_adds(t):
 @query("rep_account_logins", views=AUDIT, sql=f"""
 SELECT email, count(*) AS logs FROM audit WHERE {ACCOUNT.format('login')} GROUP BY 1 ORDER BY logs DESC, email LIMIT 15""")
 def rep_account_logins(t):
-    return t.audit.where(ACCOUNT.format("login")).groupBy("email").agg(TOTAL.alias("logs")).orderBy(
+    return t.audit.where(ACCOUNT.format("login")).groupBy("email").agg(F.count("*").alias("logs")).orderBy(
         F.desc("logs"), "email").limit(15)
 
 
@@ -146,4 +145,4 @@ SELECT email, count(*) AS nbr FROM audit WHERE service_name = 'notebook' AND act
 GROUP BY 1 ORDER BY nbr DESC, email LIMIT 10""")
 def rep_notebook_creators(t):
     return t.audit.where("service_name = 'notebook' AND action_name = 'createNotebook'").groupBy("email").agg(
-        TOTAL.alias("nbr")).orderBy(F.desc("nbr"), "email").limit(10)
+        F.count("*").alias("nbr")).orderBy(F.desc("nbr"), "email").limit(10)

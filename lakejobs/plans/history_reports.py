@@ -32,9 +32,12 @@ def preview(size: int):
     return F.left("statement_text", F.lit(size)).alias("statement_preview")
 
 
-FAILED = F.col("execution_status") == "FAILED"
-FINISHED = F.col("execution_status") == "FINISHED"
-TOTAL = F.count("*")
+def is_failed():
+    return F.col("execution_status") == "FAILED"
+
+
+def is_finished():
+    return F.col("execution_status") == "FINISHED"
 
 
 def report(key: str, sql: str):
@@ -276,7 +279,7 @@ FROM query_history WHERE execution_status = 'FAILED' AND {LAST.format(14)} GROUP
 def rep_failures_user(t):
     failed = recent(t, 14, "execution_status = 'FAILED'").withColumn("brief", F.left("error_message", F.lit(80)))
     return failed.groupBy("executed_by").agg(
-        TOTAL.alias("failure_count"), sorted_set("brief").alias("sample_errors")).orderBy(F.desc("failure_count"))
+        F.count("*").alias("failure_count"), sorted_set("brief").alias("sample_errors")).orderBy(F.desc("failure_count"))
 
 
 @report("rep_common_error_messages", f"""
@@ -287,14 +290,14 @@ GROUP BY 1 ORDER BY occurrence_count DESC, error_preview LIMIT 50""")
 def rep_common_error_messages(t):
     return recent(t, 14, "execution_status = 'FAILED' AND error_message IS NOT NULL").groupBy(
         F.left("error_message", F.lit(120)).alias("error_preview")
-    ).agg(TOTAL.alias("occurrence_count"), F.countDistinct("executed_by").alias("distinct_users")).orderBy(
+    ).agg(F.count("*").alias("occurrence_count"), F.countDistinct("executed_by").alias("distinct_users")).orderBy(
         F.desc("occurrence_count"), "error_preview").limit(50)
 
 
 def _cache_hits(t, total: str, rate: str):
     hits = count_where(F.col("from_result_cache"))
     return recent(t, 7, "execution_status = 'FINISHED'").groupBy(F.to_date("start_time").alias("query_date")).agg(
-        TOTAL.alias(total), hits.alias("cache_hits"), rate_pct(hits, TOTAL).alias(rate)).orderBy(F.desc("query_date"))
+        F.count("*").alias(total), hits.alias("cache_hits"), rate_pct(hits, F.count("*")).alias(rate)).orderBy(F.desc("query_date"))
 
 
 def _cache_hits_sql(total: str, rate: str) -> str:
@@ -321,13 +324,13 @@ SELECT alert_id, count(*) AS runs, count(*) FILTER (execution_status = 'FAILED')
 FROM query_history WHERE {LAST.format(7)} AND alert_id IS NOT NULL GROUP BY alert_id""")
 def rep_alert_triggered_queries(t):
     return recent(t, 7, "alert_id IS NOT NULL").groupBy("alert_id").agg(
-        TOTAL.alias("runs"), count_where(FAILED).alias("failures"), F.min("start_time").alias("first_run"),
+        F.count("*").alias("runs"), count_where(is_failed()).alias("failures"), F.min("start_time").alias("first_run"),
         F.max("start_time").alias("last_run")).orderBy(F.desc("runs"))
 
 
 def _count_and_time(t, key: str):
     return recent(t, 7, f"{key} IS NOT NULL").groupBy(key).agg(
-        TOTAL.alias("query_count"), sum_seconds("total_duration_ms", "total_duration_sec")
+        F.count("*").alias("query_count"), sum_seconds("total_duration_ms", "total_duration_sec")
     ).orderBy(F.desc("query_count"), key).limit(50)
 
 
@@ -354,9 +357,9 @@ FAILURE_COLUMNS_SQL = """count(*) FILTER (execution_status = 'FAILED') AS failur
 
 def failures_by(rows, key, total: str = "total_queries", at_least: int = 0):
     """Statements, failures and failure rate per key, for keys with enough statements."""
-    failures = count_where(FAILED)
+    failures = count_where(is_failed())
     return rows.groupBy(key).agg(
-        TOTAL.alias(total), failures.alias("failures"), rate_pct(failures, TOTAL).alias("failure_rate_pct")
+        F.count("*").alias(total), failures.alias("failures"), rate_pct(failures, F.count("*")).alias("failure_rate_pct")
     ).where(F.col(total) >= at_least)
 
 
@@ -399,7 +402,7 @@ FROM query_history WHERE execution_status = 'FINISHED' AND {LAST.format(7)} AND
 def rep_io_cache_effect(t):
     return recent(t, 7, "execution_status = 'FINISHED' AND read_bytes > 0").groupBy(
         F.to_date("start_time").alias("query_date")
-    ).agg(TOTAL.alias("queries_with_reads"), F.avg("read_io_cache_percent").alias("avg_cache_pct"),
+    ).agg(F.count("*").alias("queries_with_reads"), F.avg("read_io_cache_percent").alias("avg_cache_pct"),
           (F.sum("read_bytes") / GB).alias("total_read_gb")).orderBy(F.desc("query_date"))
 
 
@@ -409,7 +412,7 @@ FROM query_history WHERE {LAST.format(7)} AND end_time IS NOT NULL GROUP BY 1
 ORDER BY queries_started_in_hour DESC, hour_utc LIMIT 50""")
 def rep_peak_concurrency(t):
     return recent(t, 7, "end_time IS NOT NULL").groupBy(hour_utc()).agg(
-        TOTAL.alias("queries_started_in_hour")).orderBy(F.desc("queries_started_in_hour"), "hour_utc").limit(50)
+        F.count("*").alias("queries_started_in_hour")).orderBy(F.desc("queries_started_in_hour"), "hour_utc").limit(50)
 
 
 def hour_utc():
@@ -422,7 +425,7 @@ SELECT warehouse_id, date_trunc('hour', start_time) AS hour_utc, count(*) AS que
 FROM query_history WHERE {LAST.format(7)} AND warehouse_id IS NOT NULL GROUP BY ALL""")
 def rep_warehouse_utilization(t):
     return recent(t, 7, "warehouse_id IS NOT NULL").groupBy("warehouse_id", hour_utc()).agg(
-        TOTAL.alias("query_count"), sum_seconds("total_duration_ms", "total_duration_sec")
+        F.count("*").alias("query_count"), sum_seconds("total_duration_ms", "total_duration_sec")
     ).orderBy(F.desc("hour_utc"), F.desc("query_count"))
 
 
@@ -432,7 +435,7 @@ FROM query_history WHERE {LAST.format(7)} AND warehouse_id IS NOT NULL GROUP BY
 ORDER BY queries_in_hour DESC, warehouse_id, hour_utc LIMIT 100""")
 def rep_concurrency_by_warehouse(t):
     return recent(t, 7, "warehouse_id IS NOT NULL").groupBy("warehouse_id", hour_utc()).agg(
-        TOTAL.alias("queries_in_hour")).orderBy(F.desc("queries_in_hour"), "warehouse_id", "hour_utc").limit(100)
+        F.count("*").alias("queries_in_hour")).orderBy(F.desc("queries_in_hour"), "warehouse_id", "hour_utc").limit(100)
 
 
 @report("rep_queries_hour", f"""
@@ -441,7 +444,7 @@ SELECT CAST(hour(start_time) AS INTEGER) AS hour_utc, count(*) AS query_count,
 FROM query_history WHERE {LAST.format(14)} GROUP BY 1""")
 def rep_queries_hour(t):
     return recent(t, 14).groupBy(F.hour("start_time").alias("hour_utc")).agg(
-        TOTAL.alias("query_count"), count_where(FINISHED).alias("finished")).orderBy("hour_utc")
+        F.count("*").alias("query_count"), count_where(is_finished()).alias("finished")).orderBy("hour_utc")
 
 
 @report("rep_dashboard_load_by_hour", f"""
@@ -449,7 +452,7 @@ SELECT CAST(hour(start_time) AS INTEGER) AS hour_utc, count(*) AS dashboard_quer
 FROM query_history WHERE {LAST.format(7)} AND dashboard_id IS NOT NULL GROUP BY 1""")
 def rep_dashboard_load_by_hour(t):
     return recent(t, 7, "dashboard_id IS NOT NULL").groupBy(F.hour("start_time").alias("hour_utc")).agg(
-        TOTAL.alias("dashboard_query_count")).orderBy("hour_utc")
+        F.count("*").alias("dashboard_query_count")).orderBy("hour_utc")
 
 
 @report("rep_queries_per_user", f"""
@@ -458,8 +461,8 @@ SELECT executed_by, count(*) AS query_count, count(DISTINCT CAST(start_time AS D
 FROM query_history WHERE {LAST.format(7)} GROUP BY executed_by ORDER BY query_count DESC, executed_by LIMIT 50""")
 def rep_queries_per_user(t):
     return recent(t, 7).groupBy("executed_by").agg(
-        TOTAL.alias("query_count"), F.countDistinct(F.to_date("start_time")).alias("active_days"),
-        count_where(FINISHED).alias("finished"), count_where(FAILED).alias("failed"),
+        F.count("*").alias("query_count"), F.countDistinct(F.to_date("start_time")).alias("active_days"),
+        count_where(is_finished()).alias("finished"), count_where(is_failed()).alias("failed"),
     ).orderBy(F.desc("query_count"), "executed_by").limit(50)
 
 
@@ -469,7 +472,7 @@ FROM query_history WHERE {LAST.format(14)} AND executed_by <> executed_as GROUP
 def rep_run_as_vs_executed(t):
     return recent(t, 14, "executed_by <> executed_as").groupBy(
         F.col("executed_by").alias("user_who_triggered"), F.col("executed_as").alias("identity_used_for_privileges")
-    ).agg(TOTAL.alias("query_count")).orderBy(F.desc("query_count"))
+    ).agg(F.count("*").alias("query_count")).orderBy(F.desc("query_count"))
 
 
 @report("rep_idle_warehouses", f"""
@@ -478,7 +481,7 @@ FROM query_history WHERE {LAST.format(7)} AND warehouse_id IS NOT NULL GROUP BY
 def rep_idle_warehouses(t, fewer_than: int = 230):
     """Warehouses with few statements; the usual bound of 10 is raised to suit ten busy warehouses."""
     return recent(t, 7, "warehouse_id IS NOT NULL").groupBy("warehouse_id").agg(
-        TOTAL.alias("query_count_7d"), sum_seconds("total_duration_ms", "total_duration_sec")
+        F.count("*").alias("query_count_7d"), sum_seconds("total_duration_ms", "total_duration_sec")
     ).where(F.col("query_count_7d") < fewer_than).orderBy("query_count_7d")
 
 
@@ -489,7 +492,7 @@ FROM query_history WHERE execution_status = 'FINISHED' AND {LAST.format(7)} GROU
 ORDER BY total_hours DESC, executed_by LIMIT 50""")
 def rep_top_users_compute(t):
     return recent(t, 7, "execution_status = 'FINISHED'").groupBy("executed_by").agg(
-        TOTAL.alias("query_count"), (F.sum("total_duration_ms") / 3600000.0).alias("total_hours"),
+        F.count("*").alias("query_count"), (F.sum("total_duration_ms") / 3600000.0).alias("total_hours"),
         (F.sum("execution_duration_ms") / 3600000.0).alias("execution_hours"),
     ).orderBy(F.desc("total_hours"), "executed_by").limit(50)
 
@@ -504,7 +507,7 @@ FROM query_history WHERE execution_status = 'FINISHED' AND {LAST.format(7)}""")
 def rep_duration_percentiles(t):
     p = F.percentile_approx("total_duration_ms", [0.5, 0.9, 0.99], 1_000_000)
     return recent(t, 7, "execution_status = 'FINISHED'").agg(
-        p.alias("p"), F.avg("total_duration_ms").alias("mean"), TOTAL.alias("query_count")
+        p.alias("p"), F.avg("total_duration_ms").alias("mean"), F.count("*").alias("query_count")
     ).select(
         (F.col("p")[0] / 1000.0).alias("p50_duration_sec"), (F.col("p")[1] / 1000.0).alias("p90_duration_sec"),
         (F.col("p")[2] / 1000.0).alias("p99_duration_sec"), (F.col("mean") / 1000.0).alias("avg_duration_sec"),
@@ -518,7 +521,7 @@ GROUP BY 1 HAVING count(*) >= 5 ORDER BY run_count DESC, query_fingerprint LIMIT
 def rep_repeated_queries(t):
     return recent(t, 7, "execution_status = 'FINISHED' AND length(statement_text) > 10").groupBy(
         F.left("statement_text", F.lit(80)).alias("query_fingerprint")
-    ).agg(TOTAL.alias("run_count"), F.countDistinct("executed_by").alias("distinct_users")).where(
+    ).agg(F.count("*").alias("run_count"), F.countDistinct("executed_by").alias("distinct_users")).where(
         "run_count >= 5").orderBy(F.desc("run_count"), "query_fingerprint").limit(50)
 
 
@@ -529,7 +532,7 @@ GROUP BY 1 ORDER BY tagged_query_count DESC, executed_by LIMIT 30""")
 def rep_tagged_queries_by_user(t):
     tags = tag_map(team="tag_team", project="tag_project")
     return recent(t, 7).where(F.size(tags) > 0).groupBy("executed_by").agg(
-        TOTAL.alias("tagged_query_count")).orderBy(F.desc("tagged_query_count"), "executed_by").limit(30)
+        F.count("*").alias("tagged_query_count")).orderBy(F.desc("tagged_query_count"), "executed_by").limit(30)
 
 
 @report("rep_client_apps", f"""
@@ -538,7 +541,7 @@ FROM query_history WHERE {LAST.format(7)} GROUP BY 1 ORDER BY query_count DESC,
 def rep_client_apps(t):
     return recent(t, 7).groupBy(
         F.coalesce("client_application", F.lit("unknown")).alias("client_application")
-    ).agg(TOTAL.alias("query_count")).orderBy(F.desc("query_count"), "client_application").limit(30)
+    ).agg(F.count("*").alias("query_count")).orderBy(F.desc("query_count"), "client_application").limit(30)
 
 
 @report("rep_notebook_share", f"""
@@ -546,7 +549,7 @@ SELECT CASE WHEN notebook_id IS NULL THEN 'other' ELSE 'notebook' END AS source_
 FROM query_history WHERE {LAST.format(7)} GROUP BY 1""")
 def rep_notebook_share(t):
     source = F.when(F.col("notebook_id").isNotNull(), "notebook").otherwise("other").alias("source_type")
-    return recent(t, 7).groupBy(source).agg(TOTAL.alias("query_count"))
+    return recent(t, 7).groupBy(source).agg(F.count("*").alias("query_count"))
 
 
 @report("rep_rows_read_written", f"""
@@ -565,7 +568,7 @@ FROM query_history WHERE {LAST.format(7)} AND execution_status = 'FINISHED' AND
 GROUP BY 1 ORDER BY total_spill_gb DESC, executed_by LIMIT 30""")
 def rep_spill_by_user(t):
     return recent(t, 7, "execution_status = 'FINISHED' AND spilled_local_bytes > 0").groupBy("executed_by").agg(
-        TOTAL.alias("queries_with_spill"), (F.sum("spilled_local_bytes") / GB).alias("total_spill_gb")
+        F.count("*").alias("queries_with_spill"), (F.sum("spilled_local_bytes") / GB).alias("total_spill_gb")
     ).orderBy(F.desc("total_spill_gb"), "executed_by").limit(30)
 
 
@@ -577,7 +580,7 @@ FROM query_history WHERE {LAST.format(7)} AND warehouse_id IS NOT NULL AND waiti
 GROUP BY 1 HAVING count(*) >= 5 ORDER BY avg_queue_sec DESC, warehouse_id LIMIT 20""")
 def rep_queue_underprovisioned(t):
     return recent(t, 7, "warehouse_id IS NOT NULL AND waiting_at_capacity_ms > 0").groupBy("warehouse_id").agg(
-        TOTAL.alias("queries_with_queue"),
+        F.count("*").alias("queries_with_queue"),
         F.round(F.avg("waiting_at_capacity_ms") / 1000.0, 1).alias("avg_queue_sec"),
         F.round(F.max("waiting_at_capacity_ms") / 1000.0, 1).alias("max_queue_sec"),
     ).where("queries_with_queue >= 5").orderBy(F.desc("avg_queue_sec"), "warehouse_id").limit(20)

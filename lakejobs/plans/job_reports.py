@@ -11,7 +11,6 @@ from lakejobs.tables import EVENTS_AS_OF
 
 TIMELINE = ("run_timeline",)
 LAST = "period_start_time >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL {} DAY"
-TOTAL = F.count("*")
 
 RUNS_SQL = """runs AS (
   SELECT job_id, run_id, min(period_start_time) AS run_start,
@@ -43,8 +42,12 @@ def runs(slices: DataFrame, state: str = "last") -> DataFrame:
     )
 
 
-FAILED = F.col("result_state") == "FAILED"
-SUCCESS = F.col("result_state") == "SUCCESS"
+def is_failed():
+    return F.col("result_state") == "FAILED"
+
+
+def is_success():
+    return F.col("result_state") == "SUCCESS"
 
 
 @query("rep_job_run_failures", views=TIMELINE, sql=f"""
@@ -53,7 +56,7 @@ SELECT job_id, run_id AS job_run_id, run_start AS start_time, make_timestamp(run
        duration_sec, result_state
 FROM runs WHERE result_state = 'FAILED' ORDER BY start_time DESC, job_id, job_run_id LIMIT 100""")
 def rep_job_run_failures(t):
-    return runs(recent(t, 14)).where(FAILED).select(
+    return runs(recent(t, 14)).where(is_failed()).select(
         "job_id", F.col("run_id").alias("job_run_id"), F.col("run_start").alias("start_time"),
         F.timestamp_seconds("run_end_sec").cast("timestamp_ntz").alias("end_time"), "duration_sec", "result_state",
     ).orderBy(F.desc("start_time"), "job_id", "job_run_id").limit(100)
@@ -69,9 +72,9 @@ FROM runs GROUP BY job_id ORDER BY run_count DESC, job_id LIMIT 50""")
 def rep_job_frequency(t):
     """``runs`` is already one row per run, so a plain count replaces the distinct count."""
     return runs(recent(t, 14)).groupBy("job_id").agg(
-        TOTAL.alias("run_count"), (TOTAL / 14.0).alias("runs_per_day"), F.min("run_start").alias("first_run"),
-        F.max("run_start").alias("last_run"), count_where(SUCCESS).alias("success_count"),
-        count_where(FAILED).alias("fail_count"),
+        F.count("*").alias("run_count"), (F.count("*") / 14.0).alias("runs_per_day"), F.min("run_start").alias("first_run"),
+        F.max("run_start").alias("last_run"), count_where(is_success()).alias("success_count"),
+        count_where(is_failed()).alias("fail_count"),
     ).orderBy(F.desc("run_count"), "job_id").limit(50)
 
 
@@ -82,8 +85,8 @@ SELECT job_id, CAST(run_start AS DATE) AS run_date, count(*) AS run_count,
        max(duration_sec) AS max_duration_sec
 FROM runs WHERE result_state = 'SUCCESS' GROUP BY ALL""")
 def rep_job_run_duration_trend(t):
-    return runs(recent(t, 30)).where(SUCCESS).groupBy("job_id", F.to_date("run_start").alias("run_date")).agg(
-        TOTAL.alias("run_count"), F.avg("duration_sec").alias("avg_duration_sec"),
+    return runs(recent(t, 30)).where(is_success()).groupBy("job_id", F.to_date("run_start").alias("run_date")).agg(
+        F.count("*").alias("run_count"), F.avg("duration_sec").alias("avg_duration_sec"),
         F.max("duration_sec").alias("max_duration_sec"),
     ).orderBy(F.desc("run_date"), F.desc("avg_duration_sec"))
 
@@ -96,8 +99,8 @@ FROM runs GROUP BY job_id HAVING count(*) FILTER (result_state = 'SUCCESS') = 0"
 def rep_jobs_always_fail(t, days: int = 2):
     """Jobs without a successful run; two days, since in two weeks each job of this data succeeds once."""
     return runs(recent(t, days)).groupBy("job_id").agg(
-        TOTAL.alias("total_runs"), count_where(FAILED).alias("failed_runs"), F.min("run_start").alias("first_failure"),
-        F.max("run_start").alias("last_failure"), count_where(SUCCESS).alias("_ok"),
+        F.count("*").alias("total_runs"), count_where(is_failed()).alias("failed_runs"), F.min("run_start").alias("first_failure"),
+        F.max("run_start").alias("last_failure"), count_where(is_success()).alias("_ok"),
     ).where("_ok = 0").drop("_ok").orderBy(F.desc("total_runs"))
 
 
@@ -123,10 +126,10 @@ SELECT group_id AS pipeline_id, count(DISTINCT run_id) AS update_count,
 FROM run_timeline WHERE {LAST.format(14)} AND result_state IS NOT NULL
 GROUP BY 1 ORDER BY failed_count DESC, update_count DESC, 1 LIMIT 50""")
 def rep_pipeline_health(t):
-    failed = count_where(FAILED)
+    failed = count_where(is_failed())
     return recent(t, 14).where("result_state IS NOT NULL").groupBy(F.col("group_id").alias("pipeline_id")).agg(
-        F.countDistinct("run_id").alias("update_count"), count_where(SUCCESS).alias("success_count"),
-        failed.alias("failed_count"), rate_pct(failed, TOTAL).alias("failure_rate_pct"),
+        F.countDistinct("run_id").alias("update_count"), count_where(is_success()).alias("success_count"),
+        failed.alias("failed_count"), rate_pct(failed, F.count("*")).alias("failure_rate_pct"),
     ).orderBy(F.desc("failed_count"), F.desc("update_count"), "pipeline_id").limit(50)
 
 
@@ -139,8 +142,8 @@ SELECT job_id, count(*) AS run_count,
 FROM runs WHERE result_state = 'SUCCESS' GROUP BY job_id HAVING count(*) >= 5
 ORDER BY p90_sec DESC, job_id LIMIT 50""")
 def rep_job_duration_percentiles(t):
-    return runs(recent(t, 30)).where(SUCCESS).groupBy("job_id").agg(
-        TOTAL.alias("run_count"), F.percentile_approx("duration_sec", [0.5, 0.9], 100_000).alias("p"),
+    return runs(recent(t, 30)).where(is_success()).groupBy("job_id").agg(
+        F.count("*").alias("run_count"), F.percentile_approx("duration_sec", [0.5, 0.9], 100_000).alias("p"),
         F.round(F.avg("duration_sec"), 1).alias("avg_sec"),
     ).where("run_count >= 5").select(
         "job_id", "run_count", F.col("p")[0].cast("double").alias("p50_sec"),
@@ -165,8 +168,8 @@ FROM run_timeline WHERE {LAST.format(14)} AND result_state = 'FAILED' GROUP BY A
 ORDER BY retry_or_failure_count DESC, job_id, run_id LIMIT 50""")
 def rep_retried_runs(t):
     """Failed slices per run (each failed slice counts)."""
-    return recent(t, 14).where(FAILED).groupBy("job_id", "run_id").agg(
-        TOTAL.alias("retry_or_failure_count")
+    return recent(t, 14).where(is_failed()).groupBy("job_id", "run_id").agg(
+        F.count("*").alias("retry_or_failure_count")
     ).orderBy(F.desc("retry_or_failure_count"), "job_id", "run_id").limit(50)
 
 
@@ -196,10 +199,10 @@ def rep_failing_jobs_unused_output(t, written_days: int = 365, read_days: int =
     from lakejobs.plans.lineage_reports import recent_edges, written_unread
 
     outcome = runs(recent(t, 14)).groupBy("job_id").agg(
-        TOTAL.alias("total_runs"), count_where(FAILED).alias("failed_runs")).where("failed_runs >= 1")
+        F.count("*").alias("total_runs"), count_where(is_failed()).alias("failed_runs")).where("failed_runs >= 1")
     by_jobs = recent_edges(t, written_days).where("entity_type = 'JOB'")
     unused = written_unread(by_jobs, recent_edges(t, read_days), ["entity_id"]).groupBy("entity_id").agg(
-        TOTAL.alias("unused_count"))
+        F.count("*").alias("unused_count"))
     same = F.col("job_id").cast("string") == F.col("entity_id").cast("string")
     return outcome.join(unused, same, "left").select(
         "job_id", "total_runs", "failed_runs", rate_pct(F.col("failed_runs"), F.col("total_runs"), 1).alias("failure_rate_pct"),

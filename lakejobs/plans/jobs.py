@@ -14,7 +14,11 @@ from lakejobs.streaming.rules import expect_warn, rule_report
 
 # --- rules and logs -------------------------------------------------------------
 
-RULES = {"has_value": F.col("value") > 1, "known_type": F.col("event_type") != "error", "early": F.hour("ts") < 20}
+
+def event_rules():
+    return {"has_value": F.col("value") > 1, "known_type": F.col("event_type") != "error", "early": F.hour("ts") < 20}
+
+
 RULES_SQL = """
 SELECT 'events' AS dataset, 'has_value' AS rule, count(*) FILTER (value > 1) AS passed, count(*) FILTER (NOT value > 1) AS failed FROM events UNION ALL
 SELECT 'events', 'known_type', count(*) FILTER (event_type <> 'error'), count(*) FILTER (event_type = 'error') FROM events UNION ALL
@@ -24,12 +28,12 @@ SELECT 'events', 'early', count(*) FILTER (hour(ts) < 20), count(*) FILTER (hour
 @query("expect_warn", "SELECT * FROM events")
 def warn(t):
     """All rows are kept; the counts travel as observed metrics."""
-    return expect_warn(t.events, "events_rules", RULES)
+    return expect_warn(t.events, "events_rules", event_rules())
 
 
 @query("expect_report", RULES_SQL)
 def expect_report(t):
-    return rule_report(t.events, "events", RULES)
+    return rule_report(t.events, "events", event_rules())
 
 
 def event_log(t):

@@ -13,7 +13,6 @@ LINEAGE = ("table_lineage",)
 DAY0 = f"{LINEAGE_AS_OF} 00:00:00"
 LAST = "event_date >= DATE '2001-08-01' - INTERVAL {} DAY"
 SOURCE, TARGET = "source_table_full_name", "target_table_full_name"
-TOTAL = F.count("*")
 
 
 def recent_edges(t, days: int) -> DataFrame:
@@ -156,12 +155,12 @@ def rep_orphan_writes(t):
 @query("rep_lineage_by_entity_type", views=LINEAGE, sql=f"""
 SELECT entity_type, count(*) AS lineage_event_count FROM table_lineage WHERE {LAST.format(30)} GROUP BY 1""")
 def rep_lineage_by_entity_type(t):
-    return recent_edges(t, 30).groupBy("entity_type").agg(TOTAL.alias("lineage_event_count")).orderBy(
+    return recent_edges(t, 30).groupBy("entity_type").agg(F.count("*").alias("lineage_event_count")).orderBy(
         F.desc("lineage_event_count"))
 
 
 def _most_events(t, side: str, name: str) -> DataFrame:
-    return recent_edges(t, 30).where(F.col(side).isNotNull()).groupBy(side).agg(TOTAL.alias(name)).orderBy(
+    return recent_edges(t, 30).where(F.col(side).isNotNull()).groupBy(side).agg(F.count("*").alias(name)).orderBy(
         F.desc(name), side).limit(50)
 
 
@@ -192,7 +191,7 @@ def rep_jobs_unused_tables(t):
     recent = recent_edges(t, 90)
     unused = written_unread(recent.where("entity_type = 'JOB'"), recent, ["entity_id"])
     return unused.groupBy(F.col("entity_id").alias("job_id")).agg(
-        TOTAL.alias("unused_table_count"), F.array_sort(F.collect_list("table_full_name")).alias("unused_tables")
+        F.count("*").alias("unused_table_count"), F.array_sort(F.collect_list("table_full_name")).alias("unused_tables")
     ).orderBy(F.desc("unused_table_count"), "job_id").limit(50)
 
 
@@ -216,7 +215,7 @@ def rep_unused_tables_last_write(t):
 
 def _access(t, side: str, prefix: str) -> DataFrame:
     return recent_edges(t, 30).where(F.col(side).isNotNull()).groupBy(F.col(side).alias("table_full_name")).agg(
-        TOTAL.alias(f"{prefix}_events"), F.countDistinct("entity_id").alias(f"{prefix}_entities"),
+        F.count("*").alias(f"{prefix}_events"), F.countDistinct("entity_id").alias(f"{prefix}_entities"),
         F.countDistinct("created_by").alias(f"{prefix}_users"))
 
 
@@ -270,7 +269,7 @@ def rep_job_table_churn(t):
     pairs = recent_edges(t, 30).where("entity_type = 'JOB'").where(F.col(TARGET).isNotNull()).select(
         F.col("entity_id").alias("job_entity_id"), TARGET).distinct()
     return pairs.groupBy("job_entity_id").agg(
-        TOTAL.alias("tables_written"), F.array_sort(F.collect_list(TARGET)).alias("table_list")
+        F.count("*").alias("tables_written"), F.array_sort(F.collect_list(TARGET)).alias("table_list")
     ).orderBy(F.desc("tables_written"), "job_entity_id").limit(50)
 
 
@@ -300,5 +299,5 @@ SELECT split_part(source_table_full_name, '.', 2) AS catalog_name, count(*) AS i
 WHERE source_table_full_name IS NOT NULL GROUP BY 1 ORDER BY iteration DESC, 1 LIMIT 10""")
 def rep_top_shared_catalogs(t):
     part = F.split_part(F.col(SOURCE), F.lit("."), F.lit(2)).alias("catalog_name")
-    return t.table_lineage.where(F.col(SOURCE).isNotNull()).groupBy(part).agg(TOTAL.alias("iteration")).orderBy(
+    return t.table_lineage.where(F.col(SOURCE).isNotNull()).groupBy(part).agg(F.count("*").alias("iteration")).orderBy(
         F.desc("iteration"), "catalog_name").limit(10)

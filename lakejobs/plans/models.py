@@ -172,8 +172,8 @@ def backtest_report(t):
 
 @query("expected_goals", views=MATCHES, sql=f"""
 WITH {PROBS_SQL}
-SELECT match_id, round(2.5 * (p2 + 0.5 * p1) / ((p2 + 0.5 * p1) + (p0 + 0.5 * p1)), 2) AS xg_home,
-       round(2.5 * (p0 + 0.5 * p1) / ((p2 + 0.5 * p1) + (p0 + 0.5 * p1)), 2) AS xg_away FROM v""")
+SELECT match_id, CAST(round(CAST(2.5::DOUBLE * (p2 + 0.5 * p1) / ((p2 + 0.5 * p1) + (p0 + 0.5 * p1)) AS DECIMAL(20,10)), 2) AS DOUBLE) AS xg_home,
+       CAST(round(CAST(2.5::DOUBLE * (p0 + 0.5 * p1) / ((p2 + 0.5 * p1) + (p0 + 0.5 * p1)) AS DECIMAL(20,10)), 2) AS DOUBLE) AS xg_away FROM v""")
 def expected(t):
     p = [F.get("p", F.lit(c)) for c in range(3)]
     return ensemble(t).select("match_id", expected_goals(p[2], p[1], p[0]).alias("x")).select("match_id", "x.*")
