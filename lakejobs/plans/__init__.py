@@ -20,6 +20,7 @@ MODULES = (
     "jobs",
     "texts",
     "models",
+    "stored",
 )
 
 

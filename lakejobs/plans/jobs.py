@@ -293,3 +293,87 @@ def tag_cost(t):
     return tagged.where(F.map_contains_key("tags", "team")).groupBy(
         F.col("tags")["team"].alias("team"), F.col("tags")["project"].alias("project")
     ).agg(F.count("*").alias("queries"), (F.sum("total_duration_ms") / 1000.0).alias("seconds"))
+
+
+# --- more rules, functions, scripts and policies ------------------------------------------
+
+
+@query("expect_fail", "SELECT event_id, value FROM events")
+def fail(t):
+    """All rows pass; a broken rule would stop the job (tested)."""
+    from lakejobs.streaming.rules import expect_fail
+
+    return expect_fail(t.events.select("event_id", "value"), {"positive": F.col("value") > 0, "has_id": F.col("event_id") >= 0})
+
+
+@query("udf_struct", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 = 0 AS even FROM events""")
+def udf_struct(t):
+    """A function that returns a struct, run on Arrow batches."""
+    import pandas as pd
+
+    @F.pandas_udf("k long, even boolean")
+    def facts(props):
+        k = props.str.extract(r"(\d+)")[0].astype("int64")
+        return pd.DataFrame({"k": k, "even": k % 2 == 0})
+
+    return t.events.select("event_id", facts("props").alias("f")).select("event_id", "f.*")
+
+
+@query("script_handler", "SELECT count(*) AS done, 'stopped' AS state FROM orders WHERE o_orderkey < 3")
+def script_handler(t):
+    """The third step divides by zero; the EXIT handler reports the steps that were done."""
+    t.orders.createOrReplaceTempView("lakejobs_orders")
+    return t.spark.sql("""
+        BEGIN
+          DECLARE done BIGINT DEFAULT 0;
+          DECLARE ratio DOUBLE DEFAULT 0;
+          DECLARE EXIT HANDLER FOR DIVIDE_BY_ZERO BEGIN SELECT done, 'stopped' AS state; END;
+          FOR o AS SELECT o_orderkey FROM lakejobs_orders WHERE o_orderkey < 5 ORDER BY o_orderkey DO
+            IF o.o_orderkey = 3 THEN SET ratio = 1 / 0; END IF;
+            SET done = done + 1;
+          END FOR;
+          SELECT done, 'complete' AS state;
+        END""")
+
+
+@query("rls_to_view", """
+SELECT 'customer' AS view_name, count(*) AS n FROM customer WHERE c_nationkey < 5 UNION ALL SELECT 'supplier', count(*) FROM supplier WHERE s_nationkey < 5""")
+def rls_to_view(t):
+    """Row filters of a list of tables turned into views by a loop over the list."""
+    from lakejobs.operators.access import filter_views
+
+    names = filter_views(
+        t.spark, {"customer": (t.customer, F.col("c_nationkey") < 5), "supplier": (t.supplier, F.col("s_nationkey") < 5)})
+    counts = [t.spark.table(n).agg(F.count("*").alias("n")).select(F.lit(n.removesuffix("_filtered")).alias("view_name"), "n") for n in names]
+    return counts[0].unionAll(counts[1])
+
+
+@query("tag_policy", """
+SELECT c_custkey, 'Cus***' AS c_name, CAST(NULL AS DOUBLE) AS c_acctbal, c_mktsegment FROM customer""")
+def tag_policy(t):
+    """Columns tagged personal are cut, columns tagged financial are hidden from this caller."""
+    from lakejobs.operators.access import apply_tag_policy
+
+    tags = {"c_name": {"personal"}, "c_acctbal": {"financial"}, "c_mktsegment": {"public"}}
+    rules = {
+        "personal": ("pii_readers", lambda c: F.concat(F.left(c, F.lit(3)), F.lit("***"))),
+        "financial": ("finance", lambda c: F.lit(None).cast("double")), "public": ("staff", lambda c: F.lit("x"))}
+    return apply_tag_policy(
+        t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"), tags, rules, {"staff"})
+
+
+@query("sort_collated", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END AS shown FROM customer")
+def sort_collated(t):
+    """Order under a case- and accent-insensitive collation (a range shuffle by the collated value)."""
+    shown = F.when(F.col("c_custkey") % 2 == 0, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment"))
+    return t.customer.select("c_custkey", shown.alias("shown")).orderBy(F.collate("shown", "UNICODE_CI_AI"), "c_custkey")
+
+
+@query("str_collate_compare", "SELECT c_custkey FROM customer WHERE lower(c_mktsegment) = 'building'")
+def str_collate_compare(t):
+    """Equality that ignores case, accents and trailing blanks, by collation."""
+    shown = F.when(F.col("c_custkey") % 2 == 0, F.lower("c_mktsegment")).otherwise(F.concat("c_mktsegment", F.lit("  ")))
+    return t.customer.where(
+        (F.collate(F.rtrim(shown), "UTF8_LCASE") == "Building") & (F.collate(shown, "UNICODE_CI_AI_RTRIM") == "buílding")
+    ).select("c_custkey")
