@@ -166,15 +166,18 @@ def sections(pages: DataFrame, key: str) -> DataFrame:
 
 def schedules(pages: DataFrame, key: str) -> DataFrame:
     """Match rows of every schedule table: a table whose header names week, date, home and score."""
-    cells = _per_page(pages, key, "tab int, line int, col int, text string", lambda _, html: table_cells(html))
     names = {"wk": "wk", "day": "day", "date": "date", "time": "time", "home": "home", "score": "score", "away": "away",
              "attendance": "attendance", "att": "attendance", "venue": "venue", "referee": "referee"}
-    heads = cells.where("line = 0").select(key, "tab", "col", F.lower("text").alias("head"))
-    body = cells.where("line > 0").join(heads, [key, "tab", "col"])
-    field = F.create_map(*[F.lit(x) for item in names.items() for x in item])[F.col("head")]
-    wide = body.withColumn("field", field).where("field IS NOT NULL").groupBy(key, "tab", "line").pivot(
-        "field", sorted(set(names.values()))).agg(F.first("text"))
-    return schedule_fields(wide.where("home IS NOT NULL AND home <> ''"))
+
+    def named_cells(_: str, html: str) -> list[tuple[int, int, str, str]]:
+        cells = table_cells(html)
+        heads = {(t, c): names.get(text) for t, r, c, text in cells if r == 0}
+        return [(t, r, heads[t, c], text) for t, r, c, text in cells if r > 0 and heads.get((t, c))]
+
+    body = _per_page(pages, key, "tab int, line int, field string, text string", named_cells)
+    wide = body.groupBy(key, "tab", "line").pivot("field", sorted(set(names.values()))).agg(F.max("text"))
+    needed = F.col("wk").isNotNull() & F.col("date").isNotNull() & F.col("score").isNotNull() & (F.col("home") != "")
+    return schedule_fields(wide.where(needed))
 
 
 def score_part(score: Column | str, index: int) -> Column:

@@ -14,7 +14,11 @@ from lakejobs.operators.versions import VersionedTable
 
 
 def append_files(df: DataFrame, target: str, checkpoint: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> StreamingQuery:
-    """Append sink with exactly-once files; reads what is there and stops."""
+    """Append sink with exactly-once files; reads what is there and stops.
+
+    Readers of the folder follow the sink's own file list, so batch jobs must not
+    append to it.
+    """
     writer = df.writeStream.format(fmt).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     return (writer.partitionBy(*partition_by) if partition_by else writer).start(target)
 
