@@ -19,9 +19,16 @@ LINE_PATTERN = " ".join(
 
 
 def parse_log(lines: DataFrame, value: str = "value") -> DataFrame:
-    """One column per field; a line that does not match has NULLs. Works on batch and stream."""
-    groups = [F.nullif(F.regexp_extract(F.col(value), LINE_PATTERN, i + 1), F.lit("")).alias(f) for i, f in enumerate(FIELDS)]
-    fields = lines.select(*groups)
+    """One column per field; a line that does not match has NULLs. Works on batch and stream.
+
+    The long pattern runs once per line: its groups are joined by a control
+    character and split. The explode of the one-element array keeps later filters
+    above the match, so a filter does not run it again.
+    """
+    joined = F.regexp_replace(F.col(value), f"^{LINE_PATTERN}$", "\u0001".join(f"${i + 1}" for i in range(len(FIELDS))))
+    split = lines.select(F.explode(F.array(F.split(joined, "\u0001"))).alias("f"))
+    matched = F.size("f") == len(FIELDS)
+    fields = split.select(*[F.when(matched, F.get("f", F.lit(i))).alias(name) for i, name in enumerate(FIELDS)])
     return fields.withColumns({
         "bytes_sent": F.col("bytes_sent").try_cast("long"), "request_uri": part("request_uri", " ", 1),
         "request_date": F.to_date(F.try_to_timestamp("request_datetime", F.lit("dd/MMM/yyyy:HH:mm:ss Z"))),

@@ -10,8 +10,8 @@ def minmax_scores(df: DataFrame, columns: dict[str, bool]) -> DataFrame:
     """Add ``<column>_score`` on a 0-100 scale; False turns the scale round; a constant column scores 50."""
     bounds = df.agg(F.struct(*[
         F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c) for c in columns
-    ]).alias("_bounds"))
-    joined = df.crossJoin(F.broadcast(bounds))  # one row
+    ]).alias("_bounds")).scalar()
+    joined = df.withColumn("_bounds", bounds)
     for c, upward in columns.items():
         lo, hi = F.col(f"_bounds.{c}.lo"), F.col(f"_bounds.{c}.hi")
         share = F.lit(100.0) * (F.col(c).cast("double") - lo) / (hi - lo)

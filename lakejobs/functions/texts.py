@@ -67,16 +67,17 @@ def mask_entities(text: Column | str, kinds: Sequence[str]) -> Column:
 def summarize(df: DataFrame, key: str, text: str, max_words: int) -> DataFrame:
     """Best sentences of each text, in text order, up to ``max_words`` words.
 
-    A sentence scores the mean in-text frequency of its words. Word counts are
-    keyed by (document, word), so a word that every document has is no hot key.
+    A sentence scores the mean in-text frequency of its words. Words are spread by
+    (document, word), so a word that every document has is no hot key; one shuffle
+    serves the counts per sentence and the counts per document.
     """
     pieces = F.split(F.col(text), r"(?<=[.!?])\s+|\n+")
     sentences = df.select(key, F.posexplode(pieces).alias("position", "sentence")).withColumn(
         "tokens", words("sentence")).withColumn("n_words", F.size("tokens")).where("n_words > 0")
-    tokens = sentences.select(key, "position", "n_words", F.explode("tokens").alias("word")).groupBy(
-        key, "position", "n_words", "word").agg(F.count("*").alias("times"))
-    frequency = tokens.groupBy(key, "word").agg(F.sum("times").alias("in_text"))
-    scored = tokens.join(frequency, [key, "word"]).groupBy(key, "position", "n_words").agg(
+    times = sentences.select(key, "position", "n_words", F.explode("tokens").alias("word")).repartition(key, "word").groupBy(
+        key, "word", "position", "n_words").agg(F.count("*").alias("times"))
+    in_text = F.sum("times").over(Window.partitionBy(key, "word"))
+    scored = times.withColumn("in_text", in_text).groupBy(key, "position", "n_words").agg(
         (F.sum(F.col("times") * F.col("in_text")) / F.col("n_words")).alias("score"))
     best = Window.partitionBy(key).orderBy(F.desc("score"), "position")
     used = F.sum("n_words").over(best.rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -45,33 +45,41 @@ def _mean_points(items: Column) -> Column:
     return total / F.greatest(F.size(items), F.lit(1))
 
 
-def form_columns(past: Column, origin: Column, decay: float = FORM_DECAY) -> list[Column]:
-    """Decay-weighted shares and means over a list of past matches, seen from the day ``origin``."""
-
-    def weight(m):
-        return F.exp(-decay * F.greatest(F.datediff(origin, m["match_date"]), F.lit(1)) / 365.0)
-
-    def weighted(value):
-        return F.aggregate(past, F.lit(0.0), lambda a, m: a + weight(m) * value(m))
-
-    total = weighted(lambda m: F.lit(1.0))
-    parts = {
-        "form_w_wins": lambda m: (m["res"] == 2).cast("double"),
-        "form_w_draws": lambda m: (m["res"] == 1).cast("double"),
-        "form_w_losses": lambda m: (m["res"] == 0).cast("double"),
-        "form_w_gf": lambda m: m["gf"].cast("double"),
-        "form_w_ga": lambda m: m["ga"].cast("double"),
-        "form_w_pts": lambda m: _points(m["res"]).cast("double"),
-    }
-    columns = [
-        F.when(F.size(past) == 0, 0.0).otherwise(F.round(F.try_divide(weighted(value), total), 4)).alias(name)
-        for name, value in parts.items()
-    ]
+FORM_FIELDS = ("wins", "draws", "losses", "gf", "ga", "pts")
+
+
+def with_form(df: DataFrame, keep: list[str], past: str, origin: Column, decay: float = FORM_DECAY) -> DataFrame:
+    """Decay-weighted shares and means over a list of past matches, seen from the day ``origin``.
+
+    The weights are computed once per list and all sums in one fold.
+    """
+
+    def weigh(m):
+        age = F.greatest(F.datediff(origin, m["match_date"]), F.lit(1))
+        return F.struct(
+            F.exp(F.lit(-decay) * age / 365.0).alias("w"), m["res"].alias("res"), m["gf"].alias("gf"), m["ga"].alias("ga"))
+
+    def add(total, m):
+        values = {
+            "wins": (m["res"] == 2).cast("double"), "draws": (m["res"] == 1).cast("double"),
+            "losses": (m["res"] == 0).cast("double"), "gf": m["gf"].cast("double"), "ga": m["ga"].cast("double"),
+            "pts": _points(m["res"]).cast("double"),
+        }
+        return F.struct(
+            (total["w"] + m["w"]).alias("w"), *[(total[k] + m["w"] * v).alias(k) for k, v in values.items()])
+
+    zero = F.struct(F.lit(0.0).alias("w"), *[F.lit(0.0).alias(k) for k in FORM_FIELDS])
+    weighed = df.withColumn("_weighed", F.transform(past, weigh))
+    summed = weighed.withColumn("_sum", F.aggregate("_weighed", zero, add))
     n = F.size(past)
-    momentum = _mean_points(F.slice(past, -5, 5)) - _mean_points(F.slice(past, 1, F.greatest(n - 5, F.lit(0))))
-    columns.append(F.when(n >= 6, F.round(momentum, 4)).otherwise(0.0).alias("form_momentum"))
-    columns.append(n.alias("form_matches"))
-    return columns
+    means = [
+        F.coalesce(F.round(F.try_divide(F.col(f"_sum.{k}"), F.col("_sum.w")), 4), F.lit(0.0)).alias(f"form_w_{k}")
+        for k in FORM_FIELDS
+    ]
+    recent = F.slice(past, F.greatest(n - 4, F.lit(1)), F.lit(5))
+    momentum = _mean_points(recent) - _mean_points(F.slice(past, F.lit(1), F.greatest(n - 5, F.lit(0))))
+    return summed.select(
+        *keep, *means, F.when(n >= 6, F.round(momentum, 4)).otherwise(0.0).alias("form_momentum"), n.alias("form_matches"))
 
 
 def past_match() -> Column:
@@ -81,13 +89,13 @@ def past_match() -> Column:
 def recent_form(matches: DataFrame, n: int = 10, slices: Slices | None = None) -> DataFrame:
     """Form of both sides before each match, from the last ``n`` matches of the team."""
     listed = trailing_list(long_form(matches), ["team"], ORDER, past_match(), n, "past", slices)
-    return listed.select("match_id", "team", "side", *form_columns(F.col("past"), F.col("match_date")))
+    return with_form(listed, ["match_id", "team", "side"], "past", F.col("match_date"))
 
 
 def team_profile(matches: DataFrame, origin: str, n: int = 10) -> DataFrame:
     """Form per team from its newest ``n`` matches, decayed from the day ``origin``."""
     newest = newest_list(long_form(matches), ["team"], ORDER, past_match(), n, "past")
-    return newest.select("team", *form_columns(F.col("past"), F.to_date(F.lit(origin))))
+    return with_form(newest, ["team"], "past", F.to_date(F.lit(origin)))
 
 
 def head_to_head(matches: DataFrame, n: int = 10, slices: Slices | None = None) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_SLICE = 5_000_000
-MAX_SLICES = 1024
+MAX_SLICES = 16_384
 SLICE = "_slice"
 
 
@@ -54,18 +54,15 @@ class Slices:
 def plan_slices(df: DataFrame, column: str, rows_per_slice: int = ROWS_PER_SLICE) -> Slices:
     """Borders so that a slice holds about ``rows_per_slice`` rows, whatever the keys are.
 
-    Reads the ordered column once; at most ``MAX_SLICES`` numbers reach the driver.
+    Counts first; only a frame that needs cutting pays for the quantile pass over
+    the ordered column. At most ``MAX_SLICES`` numbers reach the driver.
     """
-    shares = [i / MAX_SLICES for i in range(1, MAX_SLICES)]
-    position = axis(df, column)
-    found = df.agg(
-        F.count(position).alias("n"), F.percentile_approx(position, shares, 20_000).alias("at")
-    ).first()
-    wanted = min(MAX_SLICES, -(-found["n"] // rows_per_slice))
+    wanted = min(MAX_SLICES, -(-df.count() // rows_per_slice))
     if wanted <= 1:
         return Slices()
-    picks = sorted({found["at"][(i * MAX_SLICES) // wanted - 1] for i in range(1, wanted)})
-    return Slices(tuple(picks))
+    shares = [i / wanted for i in range(1, wanted)]
+    found = df.agg(F.percentile_approx(axis(df, column), shares, max(20_000, 4 * wanted)).alias("at")).first()["at"]
+    return Slices(tuple(sorted(set(found or []))))
 
 
 def _tail_safe(items: Column, n: int) -> Column:

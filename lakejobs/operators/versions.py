@@ -197,10 +197,8 @@ class VersionedTable:
         seconds = F.expr(f"INTERVAL '{int(retention_hours * 3600)}' SECOND")
         limit = F.current_timestamp() - seconds
         history = self.history()
-        newest = history.agg(F.max("version").alias("newest"))
-        live = history.join(F.broadcast(newest)).where(  # one row
-            (F.col("version") == F.col("newest")) | (F.col("written_at") >= limit)
-        ).select(F.regexp_extract("data_path", r"(v=\d+)$", 1).alias("folder"))
+        newest = self.history().agg(F.max("version")).scalar()
+        live = history.where((F.col("version") == newest) | (F.col("written_at") >= limit)).select(F.regexp_extract("data_path", r"(v=\d+)$", 1).alias("folder"))
         listed = self.files().withColumn("folder", F.regexp_extract("path", r"/(v=\d+)/[^/]+$", 1))
         return listed.where(F.col("modified") < limit).join(live, "folder", "left_anti").select("path", "bytes", "modified")
 

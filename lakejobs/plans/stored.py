@@ -294,13 +294,15 @@ SELECT recipient_id, table_name, '/' || right(table_name, 2) || '/%' AS url_patt
        CASE WHEN user_id % 7 < 5 THEN 'zone' || (user_id % 7 % 2) END AS region, CAST(sum(bytes) AS BIGINT) AS sum_bytes_sent FROM fit GROUP BY ALL""")
 def log_egress_daily(t):
     parsed = logs.egress_rows(logs.parse_log(log_lines(t)))
-    recipients = parsed.select("recipient_id").distinct()
-    patterns = F.explode(F.array(F.lit("s1"), F.lit("s2"))).alias("share")
-    tables = recipients.select("recipient_id", patterns).select(
+    digits = F.md5((F.col("user_id") % 20).cast("string"))
+    whole = F.concat_ws("-", *[F.substring(digits, at, size) for at, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    shares = F.explode(F.array(F.lit("s1"), F.lit("s2"))).alias("share")
+    tables = t.events.select(whole.alias("recipient_id")).distinct().select("recipient_id", shares).select(
         "recipient_id", F.concat(F.lit("main."), "share").alias("table_name"), F.concat(F.lit("/"), "share", F.lit("/%")).alias("url_pattern"))
-    number = F.split_part("remote_ip", F.lit("."), F.lit(4)).cast("int")
-    regions = parsed.select("remote_ip").distinct().where(number < 5).select(
-        F.col("remote_ip").alias("ip"), F.concat(F.lit("zone"), (number % 2).cast("string")).alias("region"))
+    number = F.col("user_id") % 7
+    regions = t.events.where(number < 5).select(
+        F.concat(F.lit("10.0.0."), number.cast("string")).alias("ip"), F.concat(F.lit("zone"), (number % 2).cast("string")).alias("region")
+    ).distinct()
     return logs.attribute(parsed, tables, regions)
 
 
