@@ -126,7 +126,7 @@ def merge_actions(
     if not small_source:
         return _resolve(t.join(s, same_key, "full"), target, pieces)
     kept = _resolve(t.join(s, same_key, "left"), target, pieces)
-    known = target.select(*on).join(one.select(*on), list(on), "left_semi")
+    known = target.select(*on).join(source.select(*on), list(on), "left_semi")
     fresh = one.join(known, list(on), "left_anti").withColumn("_in_s", F.lit(True)).alias("s")
     no_target = target.limit(0).withColumn("_in_t", F.lit(True)).alias("t")
     return kept.unionAll(_resolve(fresh.join(no_target, same_key, "left"), target, pieces))
