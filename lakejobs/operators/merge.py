@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 ACTION = "_action"
@@ -190,3 +190,40 @@ def apply_changes(before: DataFrame, changes: DataFrame, on: Sequence[str]) -> D
 def net_changes(changes: DataFrame, on: Sequence[str], deltas: Sequence[str]) -> DataFrame:
     """Many pending changes per key folded into one source row, so one merge lands them all."""
     return changes.groupBy(*on).agg(*[F.sum(d).alias(d) for d in deltas])
+
+
+def merge_partitions(
+    spark, path: str, source: DataFrame, on: Sequence[str], partition: str, plan: MergePlan = UPSERT, small_source: bool = True
+) -> int:
+    """Merge into a partitioned parquet folder and rewrite only the partitions that change.
+
+    The keys and the partition column of the target are read once to find the
+    partitions that hold matched keys; the partitions of the source rows are added.
+    Only those are merged and replaced (dynamic overwrite), the others are neither
+    read in full nor written. A row may move to another partition, since its old
+    one is among the rewritten; a partition left without rows is removed. Only
+    partition values and folder names reach the driver. Returns the number of
+    rewritten partitions. One writer at a time.
+    """
+    target = spark.read.parquet(path)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]+$", 1).alias("_folder")
+    held = target.select(*on, partition, folder).join(source.select(*on), list(on), "left_semi").select(partition, "_folder")
+    incoming = source.select(partition, F.lit(None).cast("string").alias("_folder"))
+    folders: dict = {}
+    for value, place in held.unionAll(incoming).distinct().collect():
+        folders[value] = place or folders.get(value)
+    if not folders:
+        return 0
+    wanted = F.col(partition).isin([v for v in folders if v is not None])
+    part = target.where(wanted | F.col(partition).isNull() if None in folders else wanted)
+    written = Observation()
+    null_part = F.max(F.col(partition).isNull())
+    merged = merge(part, source, on, plan, small_source).observe(
+        written, F.collect_set(partition).alias("values"), null_part.alias("has_null"))
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    kept = set(written.get["values"]) | ({None} if written.get["has_null"] else set())
+    for value in set(folders) - kept:
+        if folders[value]:
+            gone = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folders[value]))  # the name is URI-encoded
+            gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    return len(folders)

@@ -9,7 +9,7 @@ from lakejobs.operators import layout
 from lakejobs.operators.keys import identity_assign, with_generated
 from lakejobs.operators.merge import (
     INSERT_ONLY, UPSERT, Matched, MergePlan, NotMatched, apply_changes, changed, delete_where, insert_only, merge,
-    merge_actions, merge_metrics, table_changes, update_where,
+    merge_actions, merge_metrics, merge_partitions, table_changes, update_where,
 )
 from lakejobs.operators.ordered import plan_slices
 from lakejobs.operators.versions import ChangeRefused, VersionedTable, allowed_widening
@@ -177,3 +177,31 @@ def test_partition_pruning_and_dynamic_overwrite(spark, tables, tmp_path):
     fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("status").parquet(path)
     assert spark.read.parquet(path).where("status = 'F'").count() == 3
     assert spark.read.parquet(path).where("status = 'O'").count() == before
+
+
+def test_merge_rewrites_only_touched_partitions(spark, tables, tmp_path):
+    path = str(tmp_path / "p")
+    base = tables.orders.withColumn("year", F.year("o_orderdate"))
+    base.write.partitionBy("year").parquet(path)
+    change = base.where("year = 1996 AND o_orderkey % 3 = 0").withColumn("o_totalprice", F.lit(1.0))
+    moved = base.where("year = 1998").limit(2).withColumn("year", F.lit(2001))
+    fresh = base.where("year = 1999").limit(2).withColumns({"o_orderkey": F.col("o_orderkey") + 10_000_000, "year": F.lit(2030)})
+    root = str(tmp_path / "s")
+    change.unionByName(moved).unionByName(fresh).write.parquet(root)
+    source = spark.read.parquet(root)
+    expected = rows(merge(spark.read.parquet(path), source, ["o_orderkey"]))
+    files = {r[0] for r in spark.read.parquet(path).where("year IN (1995, 1997, 1999, 2000)").select(F.input_file_name()).distinct().collect()}
+    assert merge_partitions(spark, path, source, ["o_orderkey"], "year") == 4
+    spark.catalog.refreshByPath(path)
+    assert rows(spark.read.parquet(path)) == expected
+    kept = {r[0] for r in spark.read.parquet(path).where("year IN (1995, 1997, 1999, 2000)").select(F.input_file_name()).distinct().collect()}
+    assert kept == files
+
+
+def test_merge_partitions_removes_emptied_ones(spark, tmp_path):
+    path, root = str(tmp_path / "p"), str(tmp_path / "s")
+    spark.createDataFrame([(1, "a", "x y"), (2, "b", "z"), (3, "c", None)], "id long, v string, day string").write.partitionBy("day").parquet(path)
+    spark.createDataFrame([(1, "a2", "z"), (3, "c2", "z")], "id long, v string, day string").write.parquet(root)
+    merge_partitions(spark, path, spark.read.parquet(root), ["id"], "day")
+    spark.catalog.refreshByPath(path)
+    assert rows(spark.read.parquet(path)) == [(1, "a2", "z"), (2, "b", "z"), (3, "c2", "z")]
