@@ -7,12 +7,14 @@ large share of all matches does not end in one task.
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakejobs.functions.strings import keyword_class
-from lakejobs.operators.ordered import Slices, newest_list, plan_slices, running_totals, trailing_list
+from lakejobs.operators.ordered import Slices, newest_list, plan_slices, running_totals, trailing_sums
 from lakejobs.session import ensure_checkpoint_dir
 
 ORDER = ["match_date", "match_id"]
@@ -86,10 +88,35 @@ def past_match() -> Column:
     return F.struct("match_date", "gf", "ga", "res")
 
 
-def recent_form(matches: DataFrame, n: int = 10, slices: Slices | None = None) -> DataFrame:
-    """Form of both sides before each match, from the last ``n`` matches of the team."""
-    listed = trailing_list(long_form(matches), ["team"], ORDER, past_match(), n, "past", slices)
-    return with_form(listed, ["match_id", "team", "side"], "past", F.col("match_date"))
+def recent_form(matches: DataFrame, n: int = 10, decay: float = FORM_DECAY, slices: Slices | None = None) -> DataFrame:
+    """Form of both sides before each match, from the last ``n`` matches of the team.
+
+    A weight exp(-decay * age) is a factor of the match's own day times one of the
+    past match's day, and the first cancels in a weighted mean. So plain window
+    sums of exp(decay * day) do. A match of the same day counts as one day old:
+    its share is taken down by the factor of one day.
+    """
+    day = F.datediff("match_date", F.lit("2000-01-01").cast("date")).cast("double")
+    sides = long_form(matches).withColumns({"_w": F.exp(decay * day / 365.0), "_pts": _points(F.col("res"))})
+    values = {
+        "w": F.lit(1.0), "wins": (F.col("res") == 2).cast("double"), "draws": (F.col("res") == 1).cast("double"),
+        "losses": (F.col("res") == 0).cast("double"), "gf": F.col("gf").cast("double"), "ga": F.col("ga").cast("double"),
+        "pts": F.col("_pts").cast("double"),
+    }
+    sums = {f"s_{k}": (F.col("_w") * v, n) for k, v in values.items()}
+    sums |= {"form_matches": (F.lit(1), n), "p_all": (F.col("_pts"), n), "p_new": (F.col("_pts"), 5)}
+    whole = trailing_sums(sides, ["team"], ORDER, sums, slices)
+    today = Window.partitionBy("team", "match_date").orderBy("match_id").rowsBetween(-n, -1)
+    excess = 1.0 - math.exp(-decay / 365.0)
+    total = {
+        k: F.col(f"s_{k}") - excess * F.coalesce(F.sum(F.col("_w") * v).over(today), F.lit(0.0)) for k, v in values.items()}
+    count = F.col("form_matches")
+    momentum = F.col("p_new") / 5.0 - (F.col("p_all") - F.col("p_new")) / F.greatest(count - 5, F.lit(1))
+    return whole.withColumns({f"t_{k}": c for k, c in total.items()}).select(
+        "match_id", "team", "side",
+        *[F.when(count == 0, 0.0).otherwise(F.round(F.try_divide(f"t_{k}", "t_w"), 4)).alias(f"form_w_{k}") for k in FORM_FIELDS],
+        F.when(count >= 6, F.round(momentum, 4)).otherwise(0.0).alias("form_momentum"),
+        count.cast("int").alias("form_matches"))
 
 
 def team_profile(matches: DataFrame, origin: str, n: int = 10) -> DataFrame:
@@ -109,15 +136,18 @@ def head_to_head(matches: DataFrame, n: int = 10, slices: Slices | None = None)
     paired = matches.select(
         "match_id", "match_date", "home_team", "away_team", F.least("home_team", "away_team").alias("low"),
         F.greatest("home_team", "away_team").alias("high"), (low_goals - high_goals).alias("low_lead"))
-    listed = trailing_list(paired, ["low", "high"], ORDER, F.col("low_lead"), n, "past", slices)
-    sign = F.when(F.col("home_team") == F.col("low"), 1).otherwise(-1)
-    leads = F.transform("past", lambda d: d * sign)
-    n_met = F.size("past")
-    wins = F.size(F.filter(leads, lambda d: d > 0))
-    total = F.aggregate(leads, F.lit(0).cast("long"), lambda a, d: a + d)
-    return listed.select(
-        "match_id", n_met.alias("h2h_matches"), F.round((wins + 1.0) / (n_met + 2.0), 4).alias("h2h_smoothed_win_rate"),
-        F.round(F.coalesce(F.try_divide(total, n_met), F.lit(0.0)), 4).alias("h2h_avg_goal_diff"))
+    lead = F.col("low_lead")
+    met = trailing_sums(paired, ["low", "high"], ORDER, {
+        "h2h_matches": (F.lit(1), n), "low_wins": (F.when(lead > 0, 1).otherwise(0), n),
+        "high_wins": (F.when(lead < 0, 1).otherwise(0), n), "total": (lead, n)}, slices)
+    own_is_low = F.col("home_team") == F.col("low")
+    count = F.col("h2h_matches")
+    wins = F.when(own_is_low, F.col("low_wins")).otherwise(F.col("high_wins"))
+    total = F.when(own_is_low, F.col("total")).otherwise(-F.col("total"))
+    return met.select(
+        "match_id", count.cast("int").alias("h2h_matches"),
+        F.round((wins + 1.0) / (count + 2.0), 4).alias("h2h_smoothed_win_rate"),
+        F.round(F.coalesce(F.try_divide(total, count), F.lit(0.0)), 4).alias("h2h_avg_goal_diff"))
 
 
 # Tournament classes and weights by keyword, first hit wins.

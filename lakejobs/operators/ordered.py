@@ -115,29 +115,39 @@ def running_totals(
         SLICE, *inputs.values(), *[f"_carry_{n}" for n in totals])
 
 
-def trailing_list(
-    df: DataFrame, keys: list[str], order: list[str], value: Column, n: int, name: str, slices: Slices | None = None
+def trailing_sums(
+    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, tuple[Column, int]], slices: Slices | None = None
 ) -> DataFrame:
-    """Array of ``value`` of up to ``n`` rows before each row of its key, oldest first."""
+    """Sums over the ``n`` rows before each row of its key: {name: (value, n)}; 0 where there is none.
+
+    Across slices the rows themselves are carried: each (key, slice) gets the last
+    rows of earlier slices as context, runs the plain window and drops them again.
+    """
     cut = slices if slices is not None else plan_slices(df, order[0])
-    placed = cut.assign(df, order[0]).withColumn("_value", value)
-    near = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(-n, -1)
-    listed = placed.withColumn(name, F.collect_list("_value").over(near))
-    if cut.single:
-        return listed.drop(SLICE, "_value")
-    newest = Window.partitionBy(*keys, SLICE).orderBy(*[F.desc(c) for c in order])
-    tails = (
-        placed.withColumn("_back", F.row_number().over(newest))
-        .where(F.col("_back") <= n)
-        .groupBy(*keys, SLICE)
-        .agg(F.array_sort(F.collect_list(F.struct((-F.col("_back")).alias("at"), "_value"))).alias("_tail"))
-        .withColumn("_tail", F.col("_tail._value"))
-    )
-    # Every earlier slice of the key holds at least one row, so n slices back are enough.
-    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(-n, -1)
-    carry = tails.select(*keys, SLICE, F.flatten(F.collect_list("_tail").over(before)).alias("_carry"))
-    joined = listed.join(carry, [*keys, SLICE])
-    return joined.withColumn(name, _tail_safe(F.concat("_carry", name), n)).drop(SLICE, "_value", "_carry")
+    deepest = max(n for _, n in sums.values())
+    inputs = {name: f"_in_{name}" for name in sums}
+    placed = cut.assign(df, order[0]).withColumns({inputs[k]: value for k, (value, _) in sums.items()})
+    rows = placed
+    if not cut.single:
+        newest = Window.partitionBy(*keys, SLICE).orderBy(*[F.desc(c) for c in order])
+        entry = F.struct((-F.col("_back")).alias("at"), F.struct(*order, *inputs.values()).alias("row"))
+        tails = (
+            placed.withColumn("_back", F.row_number().over(newest)).where(F.col("_back") <= deepest)
+            .groupBy(*keys, SLICE).agg(F.array_sort(F.collect_list(entry)).alias("_tail"))
+        )
+        # Every earlier slice of the key holds at least one row, so that many slices back are enough.
+        before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(-deepest, -1)
+        carried = _tail_safe(F.flatten(F.collect_list("_tail").over(before)), deepest)
+        context = tails.select(*keys, SLICE, carried.alias("_carry")).select(
+            *keys, SLICE, F.explode("_carry").alias("_c")
+        ).select(*keys, SLICE, "_c.row.*", F.lit(True).alias("_context"))
+        rows = placed.withColumn("_context", F.lit(False)).unionByName(context, allowMissingColumns=True)
+    ordered = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    summed = rows.withColumns({
+        name: F.coalesce(F.sum(inputs[name]).over(ordered.rowsBetween(-n, -1)), F.lit(0)) for name, (_, n) in sums.items()})
+    if not cut.single:
+        summed = summed.where(~F.col("_context")).drop("_context")
+    return summed.drop(SLICE, *inputs.values())
 
 
 def newest_list(df: DataFrame, keys: list[str], order: list[str], value: Column, n: int, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 from lakejobs.operators.ordered import (
-    asof_join, dense_number, newest_list, plan_slices, running_totals, trailing_list,
+    asof_join, dense_number, newest_list, plan_slices, running_totals, trailing_sums,
 )
 
 
@@ -37,13 +37,6 @@ def test_running_totals(tables):
     assert rows(sliced) == sorted(expected, key=repr)
 
 
-def test_trailing_list(tables):
-    events = tables.events.withColumn("user_id", F.col("user_id") % 40)
-    cut = plan_slices(events, "ts", 25)
-    args = (events, ["user_id"], ["ts", "event_id"], F.struct("event_id", "value"), 10, "past")
-    assert rows(trailing_list(*args, cut).select("event_id", "past")) == rows(trailing_list(*args).select("event_id", "past"))
-
-
 def test_newest_list(tables):
     found = newest_list(tables.events, ["event_type"], ["ts", "event_id"], F.col("event_id"), 3, "ids")
     by_type = defaultdict(list)
@@ -76,3 +69,17 @@ def test_asof_join_slices_and_tolerance(tables):
         best = max(past, key=lambda c: c[1]) if past else (None, None, None)
         expected.append((r["event_id"], r["user_id"], r["ts"], best[2], best[1]))
     assert rows(sliced) == sorted(expected, key=repr)
+
+
+def test_trailing_sums(tables):
+    events = tables.events.withColumn("user_id", F.col("user_id") % 40).withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+    cut = plan_slices(events, "ts", 25)
+    args = (events, ["user_id"], ["ts", "event_id"], {"n": (F.lit(1), 10), "cents10": (F.col("cents"), 10), "cents3": (F.col("cents"), 3)})
+    columns = ("event_id", "n", "cents10", "cents3")
+    assert rows(trailing_sums(*args, cut).select(*columns)) == rows(trailing_sums(*args).select(*columns))
+    past, expected = defaultdict(list), []
+    for r in sorted(events.collect(), key=lambda r: (r["ts"], r["event_id"])):
+        own = past[r["user_id"]]
+        expected.append((r["event_id"], len(own[-10:]), sum(own[-10:]), sum(own[-3:])))
+        own.append(r["cents"])
+    assert rows(trailing_sums(*args, cut).select(*columns)) == sorted(expected, key=repr)
