@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakejobs.functions.strings import keyword_class
+from lakejobs.functions.scoring import recency_weight
+from lakejobs.functions.tournaments import k_factor, tournament_type, tournament_weight
 from lakejobs.operators.ordered import Slices, newest_list, plan_slices, running_totals, trailing_sums
 from lakejobs.session import ensure_checkpoint_dir
 
@@ -150,17 +151,9 @@ def head_to_head(matches: DataFrame, n: int = 10, slices: Slices | None = None)
         F.round(F.coalesce(F.try_divide(total, count), F.lit(0.0)), 4).alias("h2h_avg_goal_diff"))
 
 
-# Tournament classes and weights by keyword, first hit wins.
-TYPE_RULES = [
-    (("1-urgent",), "World Cup"), (("2-high",), "WC Qualifier"), (("3-medium",), "Continental Final"),
-    (("4-not",), "Nations League"), (("5-low",), "Friendly"),
-]
-K_RULES = [(("1-urgent",), 60), (("2-high",), 40), (("3-medium",), 50), (("4-not",), 40), (("5-low",), 20)]
-
-
 def experience(matches: DataFrame, slices: Slices | None = None) -> DataFrame:
     """Earlier matches of the team in the same tournament class."""
-    sides = long_form(matches.withColumn("kind", keyword_class("tournament", TYPE_RULES, "Other")), "kind")
+    sides = long_form(matches.withColumn("kind", tournament_type("tournament")), "kind")
     return running_totals(sides, ["team", "kind"], ORDER, {"experience": F.lit(1)}, slices).select(
         "match_id", "team", "side", "kind", F.col("experience").cast("long").alias("experience"))
 
@@ -189,7 +182,7 @@ def goal_multiplier(diff: Column) -> Column:
 
 def elo_history(
     matches: DataFrame, pool: str | None = None, home_bonus: float = 50.0, start: float = 1500.0,
-    rows_per_slice: int = 1_000_000, k_rules=K_RULES,
+    rows_per_slice: int = 1_000_000,
 ) -> DataFrame:
     """Ratings before and after each match.
 
@@ -206,7 +199,7 @@ def elo_history(
     prepared = matches.select(
         (F.col(pool) if pool else F.lit("all")).cast("string").alias("pool"), "match_id", "match_date",
         F.col("home_team").cast("string").alias("home"), F.col("away_team").cast("string").alias("away"),
-        win.alias("actual"), keyword_class("tournament", k_rules, 30).cast("double").alias("k_factor"),
+        win.alias("actual"), k_factor("tournament").alias("k_factor"),
         goal_multiplier(F.col("home_score") - F.col("away_score")).alias("multiplier"),
         F.when(neutral, 0.0).otherwise(home_bonus).alias("bonus"))
     cut = plan_slices(prepared, "match_date", rows_per_slice)
@@ -247,3 +240,24 @@ def elo_history(
         F.round("home_after", 2).alias("home_elo_after"), F.round("away_after", 2).alias("away_elo_after"),
         F.round(F.col("home_before") - F.col("away_before"), 2).alias("elo_diff"),
         F.round("win_prob_home", 4).alias("elo_win_prob_home"), "k_factor")
+
+
+def match_features(matches: DataFrame, groups: DataFrame, reference_day: str) -> DataFrame:
+    """One row per match with everything known before it: ratings, form, pair history, experience, weights.
+
+    Per-side features meet on (match_id, side) and are folded to one row per match,
+    so every join key is unique and spreads evenly.
+    """
+    sides = recent_form(matches).drop("team").join(
+        experience(matches).select("match_id", "side", "experience"), ["match_id", "side"]
+    ).join(cross_group_rate(matches, groups).select("match_id", "side", "cross_win_rate"), ["match_id", "side"])
+    names = [c for c in sides.columns if c not in ("match_id", "side")]
+    wide = sides.groupBy("match_id").agg(*[
+        F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{side}_{c}") for side in ("home", "away") for c in names])
+    ratings = elo_history(matches).select(
+        "match_id", "home_elo_before", "away_elo_before", "elo_diff", "elo_win_prob_home")
+    age = F.datediff(F.to_date(F.lit(reference_day)), "match_date")
+    base = matches.select(
+        "match_id", "match_date", "tournament", outcome("home_score", "away_score").alias("target"),
+        tournament_weight("tournament").alias("tournament_weight"), F.round(recency_weight(age), 6).alias("recency_weight"))
+    return base.join(ratings, "match_id").join(wide, "match_id").join(head_to_head(matches), "match_id")

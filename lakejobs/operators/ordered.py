@@ -82,6 +82,9 @@ def dense_number(
     """
     cut = slices if slices is not None else plan_slices(df, order[0])
     placed = cut.assign(df, order[0])
+    if cut.single:
+        row = F.row_number().over(Window.partitionBy(SLICE).orderBy(*order))
+        return placed.withColumn(name, (F.lit(start) + F.lit(step) * (row - 1)).cast("long")).drop(SLICE)
     offsets = placed.groupBy(SLICE).agg(F.count("*").alias("_n")).select(
         SLICE,
         F.coalesce(

@@ -63,8 +63,8 @@ def win_h2h_smoothed(t):
 
 @query("win_running_experience", views=MATCHES, sql=f"""
 WITH {SIDES_SQL},
-k AS (SELECT *, CASE left(tournament, 1) WHEN '1' THEN 'World Cup' WHEN '2' THEN 'WC Qualifier' WHEN '3' THEN 'Continental Final'
-                WHEN '4' THEN 'Nations League' ELSE 'Friendly' END AS kind FROM long)
+k AS (SELECT *, CASE tournament WHEN 'FIFA World Cup' THEN 'World Cup' WHEN 'FIFA World Cup qualification' THEN 'WC Qualifier'
+                WHEN 'Copa América' THEN 'Continental Final' WHEN 'UEFA Nations League' THEN 'Nations League' ELSE 'Friendly' END AS kind FROM long)
 SELECT match_id, team, side, kind, count(*) OVER (PARTITION BY team, kind ORDER BY match_date, match_id
        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS experience FROM k""")
 def win_running_experience(t):

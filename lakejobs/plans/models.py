@@ -5,34 +5,59 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakejobs.functions.scoring import expected_goals, recency_weight
-from lakejobs.functions.strings import keyword_class
+from lakejobs.functions.tournaments import tournament_weight
 from lakejobs.ml import metrics as me
 from lakejobs.ml import models as mo
+from lakejobs.operators.match_features import match_features, outcome
 from lakejobs.registry import query
+from lakejobs.session import ensure_checkpoint_dir
 
 MATCHES = ("matches",)
-FEATURES = ["gap", "total", "home_team", "away_team", "month"]
+FEATURES = [
+    "elo_diff", "elo_win_prob_home", "home_form_w_pts", "away_form_w_pts", "home_form_w_gf", "away_form_w_ga", "home_form_momentum",
+    "away_form_momentum", "home_experience", "away_experience", "home_cross_win_rate", "away_cross_win_rate", "h2h_smoothed_win_rate",
+    "h2h_avg_goal_diff", "tournament_weight",
+]
 
 
 def labelled(t):
-    """Match rows with a 3-class label and a few numeric features."""
-    result = F.when(F.col("home_score") > F.col("away_score"), 2).when(F.col("home_score") == F.col("away_score"), 1).otherwise(0)
-    return t.matches.select(
-        "match_id", "match_date", F.col("home_team").cast("double").alias("home_team"), F.col("away_team").cast("double").alias("away_team"),
-        F.month("match_date").cast("double").alias("month"), result.cast("double").alias("label"),
-        (F.col("home_score") - F.col("away_score")).cast("double").alias("gap"),
-        F.when(F.col("match_id") % 11 > 0, (F.col("home_score") + F.col("away_score")).cast("double")).alias("total"))
+    """Match rows with their 3-class label."""
+    return t.matches.select("match_id", "match_date", outcome("home_score", "away_score").alias("label"))
+
+
+def featured(t):
+    """Pre-match features and label, written once: the iterative fits read it many times."""
+    groups = t.nation.select(F.col("n_nationkey").alias("team"), F.col("n_regionkey").alias("group"))
+    ensure_checkpoint_dir(t.spark)
+    table = match_features(t.matches, groups, "2001-09-01").withColumn("label", F.col("target").cast("double")).withColumn(
+        "weight", F.col("recency_weight") * F.col("tournament_weight"))
+    return table.select("match_id", "match_date", "label", "weight", *FEATURES).checkpoint()
+
+
+@query("match_features", views=MATCHES)
+def match_feature_table(t):
+    """The whole feature table; its parts have oracles of their own."""
+    groups = t.nation.select(F.col("n_nationkey").alias("team"), F.col("n_regionkey").alias("group"))
+    return match_features(t.matches, groups, "2001-09-01")
+
+
+def past(df):
+    return df.where(F.col("match_date") < F.lit("2000-01-01").cast("date"))
+
+
+def later(df):
+    return mo.fill(df.where(F.col("match_date") >= F.lit("2000-01-01").cast("date")), FEATURES)
 
 
 @query("split_temporal", views=MATCHES, sql="""
-SELECT CASE WHEN match_date < DATE '2000-01-01' THEN 'train' WHEN match_date <= DATE '2000-12-31' AND tournament = '1-URGENT' THEN 'test' END AS part, count(*) AS n
-FROM matches WHERE match_date < DATE '2000-01-01' OR (match_date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31' AND tournament = '1-URGENT') GROUP BY 1""")
+SELECT CASE WHEN match_date < DATE '2000-01-01' THEN 'train' WHEN match_date <= DATE '2000-12-31' AND tournament = 'FIFA World Cup' THEN 'test' END AS part, count(*) AS n
+FROM matches WHERE match_date < DATE '2000-01-01' OR (match_date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31' AND tournament = 'FIFA World Cup') GROUP BY 1""")
 def split_temporal(t):
     """Train before a date, test inside the event window of one tournament."""
     day = F.col("match_date")
     train = t.matches.where(day < F.lit("2000-01-01").cast("date")).withColumn("part", F.lit("train"))
     test = t.matches.where(
-        day.between(F.lit("2000-01-01").cast("date"), F.lit("2000-12-31").cast("date")) & (F.col("tournament") == "1-URGENT")
+        day.between(F.lit("2000-01-01").cast("date"), F.lit("2000-12-31").cast("date")) & (F.col("tournament") == "FIFA World Cup")
     ).withColumn("part", F.lit("test"))
     return train.unionAll(test).groupBy("part").agg(F.count("*").alias("n"))
 
@@ -54,38 +79,36 @@ def label_binary(t):
 
 @query("sample_weights", views=MATCHES, sql="""
 SELECT match_id, round(exp(-0.1 * greatest(date_diff('day', match_date, DATE '2001-09-01') / 365.0, 0.01))
-       * CASE left(tournament, 1) WHEN '1' THEN 1.0 WHEN '2' THEN 0.7 ELSE 0.4 END, 8) AS weight FROM matches""")
+       * CASE tournament WHEN 'FIFA World Cup' THEN 1.0 WHEN 'FIFA World Cup qualification' THEN 0.7 WHEN 'Copa América' THEN 0.85
+         WHEN 'UEFA Nations League' THEN 0.65 ELSE 0.4 END, 8) AS weight FROM matches""")
 def sample_weights(t):
     """Recency decay times tournament weight."""
     age = F.datediff(F.lit("2001-09-01").cast("date"), "match_date")
-    kind = keyword_class("tournament", [(("1-urgent",), 1.0), (("2-high",), 0.7)], 0.4)
-    return t.matches.select("match_id", F.round(recency_weight(age) * kind, 8).alias("weight"))
+    return t.matches.select("match_id", F.round(recency_weight(age) * tournament_weight("tournament"), 8).alias("weight"))
 
 
-@query("assemble_scale", views=MATCHES)
+@query("assemble_scale")
 def assemble_scale(t):
     from pyspark.ml import Pipeline
 
-    data = mo.fill(labelled(t), FEATURES)
+    data = mo.fill(featured(t), FEATURES)
     model = Pipeline(stages=mo.assemble(FEATURES)).fit(data)
     return model.transform(data).select("match_id", mo.probabilities(data, "features").alias("features"))
 
 
-def _fit(t, kind: str, features: list[str]):
-    train = labelled(t).where(F.col("match_date") < F.lit("2000-01-01").cast("date")).withColumn(
-        "weight", recency_weight(F.datediff(F.lit("2001-09-01").cast("date"), "match_date")))
-    return mo.train(train, features, mo.classifier(kind, 3, None if kind == "boosting" else "weight"))
+def fit(table, kind: str):
+    """Fit on the matches before 2000 with the row weights (one-vs-rest boosting takes none)."""
+    return mo.train(past(table), FEATURES, mo.classifier(kind, 3, None if kind == "boosting" else "weight"))
 
 
 @query("train_classifier")
 def train_classifier(t):
     """Weighted forest and multinomial logistic fit on the past, scored on later matches."""
-    later = mo.fill(labelled(t).where(F.col("match_date") >= F.lit("2000-01-01").cast("date")), FEATURES)
+    table = featured(t)
     frames = []
     for kind in ("forest", "logistic"):
-        scored = _fit(t, kind, FEATURES).transform(later).select("label", mo.probabilities(later).alias("p"))
-        frames.append(me.class_metrics(scored.withColumn("label", F.col("label").cast("int")), "label", "p", 3).select(
-            F.lit(kind).alias("model"), "*"))
+        scored = fit(table, kind).transform(later(table)).select(F.col("label").cast("int").alias("label"), mo.probabilities(table).alias("p"))
+        frames.append(me.class_metrics(scored, "label", "p", 3).select(F.lit(kind).alias("model"), "*"))
     return frames[0].unionAll(frames[1])
 
 
@@ -103,7 +126,7 @@ def train_regressor(t):
 @query("tune_search")
 def tune_search(t):
     """Cross-validated grid; one row per trial."""
-    data = labelled(t).select(*FEATURES, "label")
+    data = featured(t).select(*FEATURES, "label")
     _, trials = mo.search(data, FEATURES, mo.classifier("logistic", 3, maxIter=5), {"regParam": [0.01, 0.1]}, folds=2)
     return trials
 
@@ -182,8 +205,8 @@ def expected(t):
 @query("prediction_table")
 def prediction_table(t):
     """Scores of a model as a column function, rounded and ordered."""
-    rows = mo.fill(labelled(t), FEATURES)
-    scored = _fit(t, "logistic", FEATURES).transform(rows)
+    table = featured(t)
+    scored = fit(table, "logistic").transform(mo.fill(table, FEATURES))
     p = mo.probabilities(scored)
     return scored.select("match_id", *[F.round(F.get(p, F.lit(c)), 4).alias(f"p{c}") for c in range(3)], "prediction").orderBy("match_id")
 
@@ -191,8 +214,8 @@ def prediction_table(t):
 @query("udf_model_score")
 def udf_model_score(t):
     """A fitted model applied like a column function to rows it has not seen."""
-    rows = mo.fill(labelled(t).where(F.col("match_date") >= F.lit("2000-01-01").cast("date")), FEATURES)
-    return _fit(t, "forest", FEATURES).transform(rows).select("match_id", "prediction")
+    table = featured(t)
+    return fit(table, "forest").transform(later(table)).select("match_id", "prediction")
 
 
 @query("calibrate_isotonic", views=MATCHES)
@@ -204,7 +227,7 @@ def calibrate_isotonic(t):
 
 @query("feature_importance")
 def feature_importance(t):
-    return mo.importance(_fit(t, "forest", FEATURES), FEATURES)
+    return mo.importance(fit(featured(t), "forest"), FEATURES)
 
 
 @query("fixtures_matchups", """

@@ -152,7 +152,8 @@ FROM {events}
 SELECT o.o_orderkey AS match_id, CAST(o.o_orderdate AS DATE) AS match_date,
        c.c_nationkey AS home_team, CAST(o.o_orderkey % 25 AS INT) AS away_team,
        CAST(floor(o.o_totalprice) AS BIGINT) % 5 AS home_score, CAST(floor(o.o_totalprice) AS BIGINT) % 4 AS away_score,
-       o.o_orderpriority AS tournament
+       CASE o.o_orderpriority WHEN '1-URGENT' THEN 'FIFA World Cup' WHEN '2-HIGH' THEN 'FIFA World Cup qualification'
+            WHEN '3-MEDIUM' THEN 'Copa América' WHEN '4-NOT SPECIFIED' THEN 'UEFA Nations League' ELSE 'Friendly' END AS tournament
 FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey
 WHERE c.c_nationkey <> o.o_orderkey % 25
 """,

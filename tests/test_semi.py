@@ -6,7 +6,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from lakejobs.functions import html, logs, semi, strings, texts, vectors
+from lakejobs.functions import html, logs, semi, strings, texts, tournaments, vectors
 from lakejobs.operators import access
 from lakejobs.operators.families import spread_families
 from lakejobs.operators.intervals import peak_overlap, range_join
@@ -61,6 +61,19 @@ def test_strings(spark):
     assert tuple(got) == ("***-**-6789", "jan***@x.org", 2, "CA", None)
 
 
+def test_tournament_rules(spark):
+    names = ["FIFA World Cup", "FIFA World Cup qualification", "UEFA Euro qualification", "Gold Cup", "Confederations Cup",
+             "CONCACAF Nations League", "Friendly", "Olympic qualification", "King's Cup"]
+    df = spark.createDataFrame([(n,) for n in names], "n string").coalesce(1)
+    got = [tuple(r) for r in df.select(
+        tournaments.tournament_type("n"), tournaments.tournament_weight("n"), tournaments.k_factor("n")).collect()]
+    assert got == [
+        ("World Cup", 1.0, 60.0), ("WC Qualifier", 0.7, 40.0), ("Continental Qualifier", 0.6, 40.0), ("Continental Final", 0.85, 50.0),
+        ("Other", 0.85, 50.0), ("Nations League", 0.6, 40.0), ("Friendly", 0.4, 20.0), ("Other Qualifier", 0.6, 40.0), ("Other", 0.5, 30.0)]
+    team = spark.createDataFrame([("Türkiye",), ("France",)], "n string").select(strings.lookup("n", tournaments.TEAM_NAMES))
+    assert [r[0] for r in team.collect()] == ["Turkey", "France"]
+
+
 def test_shred_keeps_unknown_types(spark):
     v = spark.sql("""SELECT parse_json('{"user": {"id": 7}, "n": "x"}') AS v""")
     got = semi.shred(v, "v", {"id": ("$.user.id", "int"), "n": ("$.n", "int")}).first()
