@@ -50,3 +50,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     made = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(made)
     return made
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application.
+
+    A zip of the sources is handed to Spark, which brings it to every executor,
+    so jobs with Python functions run whatever folder the driver was started in.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    import shutil
+    import tempfile
+    from pathlib import Path
+
+    package = Path(__file__).resolve().parent
+    built = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='run-', dir='/tmp')}/{package.name}", "zip", package.parent, package.name)
+    context.addPyFile(built)
+    _SHIPPED.add(context.applicationId)
