@@ -31,24 +31,34 @@ def words(text: Column | str) -> Column:
     return F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def count_in(items: Column, lexicon: Sequence[str]) -> Column:
     return F.size(F.filter(items, lambda w: w.isin(*lexicon)))
 
 
 def sentiment(text: Column | str, positive: Sequence[str] = POSITIVE, negative: Sequence[str] = NEGATIVE) -> Column:
     """positive, negative, mixed or neutral by lexicon counts."""
-    up, down = count_in(words(text), positive), count_in(words(text), negative)
-    return (
-        F.when(up > down, "positive").when(up < down, "negative").when(up > 0, "mixed").otherwise("neutral")
-    )
+
+    def label(items: Column) -> Column:
+        up, down = count_in(items, positive), count_in(items, negative)
+        return F.when(up > down, "positive").when(up < down, "negative").when(up > 0, "mixed").otherwise("neutral")
+
+    return bind(words(text), label)
 
 
 def classify(text: Column | str, labels: dict[str, Sequence[str]]) -> Column:
     """Label with the most keyword hits; ties go to the label named first."""
-    items = words(text)
-    scores = [F.struct(count_in(items, keys).alias("hits"), F.lit(-i).alias("rank"), F.lit(name).alias("label"))
-              for i, (name, keys) in enumerate(labels.items())]
-    return F.array_max(F.array(*scores))["label"]
+
+    def best(items: Column) -> Column:
+        scores = [F.struct(count_in(items, keys).alias("hits"), F.lit(-i).alias("rank"), F.lit(name).alias("label"))
+                  for i, (name, keys) in enumerate(labels.items())]
+        return F.array_max(F.array(*scores))["label"]
+
+    return bind(words(text), best)
 
 
 def extract(text: Column | str, kinds: Sequence[str]) -> Column:
@@ -81,11 +91,11 @@ def summarize(df: DataFrame, key: str, text: str, max_words: int) -> DataFrame:
         (F.sum(F.col("times") * F.col("in_text")) / F.col("n_words")).alias("score"))
     best = Window.partitionBy(key).orderBy(F.desc("score"), "position")
     used = F.sum("n_words").over(best.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    kept = scored.withColumn("used", used).where(F.col("used") <= max_words).select(key, "position")
-    ordered = F.array_sort(F.collect_list(F.struct("position", "sentence")))
-    short = kept.join(sentences.select(key, "position", "sentence"), [key, "position"]).groupBy(key).agg(
-        F.concat_ws(" ", F.transform(ordered, lambda s: s["sentence"])).alias("summary"))
-    return df.select(key).join(short, key, "left").select(key, F.coalesce("summary", F.lit("")).alias("summary"))
+    kept = scored.withColumn("used", used).where(F.col("used") <= max_words).groupBy(key).agg(
+        F.array_sort(F.collect_list("position")).alias("kept"))
+    chosen = F.transform("kept", lambda at: F.get(F.col("_pieces"), at))
+    return df.select(key, pieces.alias("_pieces")).join(kept, key, "left").select(
+        key, F.coalesce(F.concat_ws(" ", chosen), F.lit("")).alias("summary"))
 
 
 def infer(

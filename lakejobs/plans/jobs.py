@@ -303,7 +303,7 @@ def fail(t):
     """All rows pass; a broken rule would stop the job (tested)."""
     from lakejobs.streaming.rules import expect_fail
 
-    return expect_fail(t.events.select("event_id", "value"), {"positive": F.col("value") > 0, "has_id": F.col("event_id") >= 0})
+    return expect_fail(t.events.select("event_id", "value"), {"not_negative": F.col("value") >= 0, "has_id": F.col("event_id") >= 0})
 
 
 @query("udf_struct", """
