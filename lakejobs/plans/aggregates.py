@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakejobs.operators.intervals import epoch_to_ntz
 from lakejobs.operators.profile import null_report
 from lakejobs.operators.relational import rate_pct, sorted_set, tag_map
 from lakejobs.registry import query

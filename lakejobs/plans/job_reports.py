@@ -96,8 +96,13 @@ WITH {RUNS_SQL.format(last=LAST.format(2))}
 SELECT job_id, count(*) AS total_runs, count(*) FILTER (result_state = 'FAILED') AS failed_runs,
        min(run_start) AS first_failure, max(run_start) AS last_failure
 FROM runs GROUP BY job_id HAVING count(*) FILTER (result_state = 'SUCCESS') = 0""")
-def rep_jobs_always_fail(t, days: int = 2):
-    """Jobs without a successful run; two days, since in two weeks each job of this data succeeds once."""
+def rep_jobs_always_fail(t):
+    """Two days instead of the usual 14, in which each job of this data succeeds once."""
+    return jobs_always_fail(t, 2)
+
+
+def jobs_always_fail(t, days: int = 14):
+    """Jobs without a successful run."""
     return runs(recent(t, days)).groupBy("job_id").agg(
         F.count("*").alias("total_runs"), count_where(is_failed()).alias("failed_runs"), F.min("run_start").alias("first_failure"),
         F.max("run_start").alias("last_failure"), count_where(is_success()).alias("_ok"),
@@ -109,8 +114,13 @@ WITH newest AS (SELECT job_id, max(period_start_time) AS last_run_time FROM run_
                 WHERE period_start_time >= TIMESTAMP '2024-03-01' - INTERVAL 365 DAY GROUP BY 1)
 SELECT job_id, last_run_time, date_diff('day', CAST(last_run_time AS DATE), DATE '2024-03-01') AS days_since_run
 FROM newest WHERE last_run_time < TIMESTAMP '2024-03-01' - INTERVAL 30 DAY""")
-def rep_jobs_not_run_30d(t, as_of: str = "2024-03-01"):
-    """Jobs whose newest slice is over 30 days old; the day is a month past the data so some qualify."""
+def rep_jobs_not_run_30d(t):
+    """Seen from a month past the data, so that some jobs qualify."""
+    return jobs_not_run(t, "2024-03-01")
+
+
+def jobs_not_run(t, as_of: str):
+    """Jobs whose newest slice is over 30 days old."""
     newest = t.run_timeline.where(since("period_start_time", f"{as_of} 00:00:00", 365)).groupBy("job_id").agg(
         F.max("period_start_time").alias("last_run_time"))
     return newest.where(~since("last_run_time", f"{as_of} 00:00:00", 30)).withColumn(
@@ -194,7 +204,12 @@ SELECT job_id, total_runs, failed_runs, round(100.0 * failed_runs / CAST(total_r
        coalesce(unused_count, 0) AS unused_tables_created
 FROM outcome LEFT JOIN unused ON CAST(job_id AS VARCHAR) = CAST(entity_id AS VARCHAR)
 ORDER BY failure_rate_pct DESC, unused_tables_created DESC, job_id LIMIT 30""")
-def rep_failing_jobs_unused_output(t, written_days: int = 365, read_days: int = 7):
+def rep_failing_jobs_unused_output(t):
+    """Written in a year and not read for a week, instead of the usual 90 days for both, in which all is read."""
+    return failing_jobs_unused_output(t, 365, 7)
+
+
+def failing_jobs_unused_output(t, written_days: int = 90, read_days: int = 90):
     """Failing jobs with the number of tables they wrote that nobody read."""
     from lakejobs.plans.lineage_reports import recent_edges, written_unread
 

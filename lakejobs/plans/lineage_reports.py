@@ -52,8 +52,13 @@ WITH {ALL_NAMES_SQL}
 SELECT n AS table_full_name, 'no_activity_2d' AS reason FROM known
 WHERE NOT EXISTS (SELECT 1 FROM table_lineage WHERE {LAST.format(2)}
                   AND (source_table_full_name = n OR target_table_full_name = n))""")
-def rep_cold_tables(t, days: int = 2):
-    """Tables neither read nor written lately; the usual 90 days find none in this data, so 2 are used."""
+def rep_cold_tables(t):
+    """Two days instead of the usual 90, in which every table of this data is active."""
+    return cold_tables(t, 2)
+
+
+def cold_tables(t, days: int = 90):
+    """Tables neither read nor written in the last ``days`` days."""
     known = names_of(t.table_lineage, SOURCE, TARGET)
     active = names_of(recent_edges(t, days), SOURCE, TARGET)
     return _with_reason(anti(known, active, ["table_full_name"]), f"no_activity_{days}d")
@@ -120,7 +125,12 @@ WITH w AS (SELECT target_table_full_name, max(event_time) AS last_write_time FRO
 SELECT target_table_full_name, last_write_time,
        date_diff('day', CAST(last_write_time AS DATE), DATE '2001-08-01') AS days_since_write
 FROM w WHERE last_write_time < TIMESTAMP '2001-08-01' - INTERVAL 30 DAY""")
-def rep_stale_tables(t, stale_days: int = 30):
+def rep_stale_tables(t):
+    """30 days instead of the usual 90, after which no table of this data is stale."""
+    return stale_tables(t, 30)
+
+
+def stale_tables(t, stale_days: int = 90):
     written = recent_edges(t, 365).where(F.col(TARGET).isNotNull()).groupBy(TARGET).agg(
         F.max("event_time").alias("last_write_time"))
     return written.where(~since("last_write_time", DAY0, stale_days)).withColumn(
