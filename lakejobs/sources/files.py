@@ -49,25 +49,47 @@ def save_schema(spark: SparkSession, location: str, schema: T.StructType) -> Non
     row.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").json(location)
 
 
+# Numeric types from narrow to wide.
+NUMERIC = ("int", "bigint", "double")
+
+
+def common_type(old: T.DataType, new: T.DataType) -> T.DataType:
+    """The wider of two numeric types; otherwise different types become string."""
+    names = old.simpleString(), new.simpleString()
+    if names[0] == names[1]:
+        return old
+    if all(n in NUMERIC for n in names):
+        return max((old, new), key=lambda t: NUMERIC.index(t.simpleString()))
+    return T.StringType()
+
+
 def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
-    """Old columns in their order, then the new ones; a changed type becomes string."""
+    """Old columns in their order, then the new ones; a changed type becomes the common one."""
     fields = {f.name: f for f in old.fields}
     for f in new.fields:
-        if f.name not in fields:
-            fields[f.name] = f
-        elif fields[f.name].dataType != f.dataType:
-            fields[f.name] = T.StructField(f.name, T.StringType())
+        known = fields.get(f.name)
+        fields[f.name] = T.StructField(f.name, common_type(known.dataType, f.dataType)) if known else f
     return T.StructType(list(fields.values()))
 
 
-def stream_csv_inferred(spark: SparkSession, path: str, schema_location: str, **options: str) -> DataFrame:
+def newest_files(spark: SparkSession, path: str, limit: int) -> list[str]:
+    """Paths of the newest files, from the listing alone (a bounded list)."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    rows = listing.where("length > 0").orderBy(F.desc("modificationTime"), "path").select("path").limit(limit).collect()
+    return [r["path"] for r in rows]
+
+
+def stream_csv_inferred(
+    spark: SparkSession, path: str, schema_location: str, infer_files: int = 1000, **options: str
+) -> DataFrame:
     """Incremental CSV scan with inferred types and a remembered schema.
 
-    Types are inferred once per start from the files present and merged into the
-    remembered schema; new columns are picked up at the next start.
+    Types are inferred once per start, from the newest ``infer_files`` files only,
+    and merged into the remembered schema; new columns are picked up at the next
+    start. A value that does not fit its type is read as NULL.
     """
     options = {"header": "true", **options}
-    found = spark.read.options(inferSchema="true", **options).csv(path).schema
+    found = spark.read.options(inferSchema="true", **options).csv(newest_files(spark, path, infer_files)).schema
     known = load_schema(spark, schema_location)
     merged = found if known is None else merge_schemas(known, found)
     if merged != known:

@@ -60,6 +60,14 @@ def test_inferred_schema_is_remembered_and_merged(spark, sales, tmp_path):
     new = spark.createDataFrame([], "id string, extra double").schema
     assert files.merge_schemas(old, new).simpleString() == "struct<id:string,name:string,extra:double>"
     assert files.load_schema(spark, f"{root}/none") is None
+    wider = spark.createDataFrame([], "id double, name string").schema
+    assert files.merge_schemas(old, wider).simpleString() == "struct<id:double,name:string>"
+    assert len(files.newest_files(spark, f"{root}/in", 2)) == 2
+    # A file with one column more is seen at the next start, and kept rows are not read again.
+    run(spark, first, root)
+    sales.select("id", "name", "sales").limit(1).write.mode("append").option("header", True).csv(f"{root}/in")
+    again = files.stream_csv_inferred(spark, f"{root}/in", f"{root}/schema", infer_files=1)
+    assert again.columns == ["id", "name", "sales"]
 
 
 def test_rescued_data(spark, tmp_path):
