@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakejobs.functions.scoring import recency_weight
@@ -106,11 +106,10 @@ def recent_form(matches: DataFrame, n: int = 10, decay: float = FORM_DECAY, slic
     }
     sums = {f"s_{k}": (F.col("_w") * v, n) for k, v in values.items()}
     sums |= {"form_matches": (F.lit(1), n), "p_all": (F.col("_pts"), n), "p_new": (F.col("_pts"), 5)}
+    sums |= {f"d_{k}": (F.col("_w") * v, n, ["match_date"]) for k, v in values.items()}
     whole = trailing_sums(sides, ["team"], ORDER, sums, slices)
-    today = Window.partitionBy("team", "match_date").orderBy("match_id").rowsBetween(-n, -1)
     excess = 1.0 - math.exp(-decay / 365.0)
-    total = {
-        k: F.col(f"s_{k}") - excess * F.coalesce(F.sum(F.col("_w") * v).over(today), F.lit(0.0)) for k, v in values.items()}
+    total = {k: F.col(f"s_{k}") - excess * F.col(f"d_{k}") for k in values}
     count = F.col("form_matches")
     momentum = F.col("p_new") / 5.0 - (F.col("p_all") - F.col("p_new")) / F.greatest(count - 5, F.lit(1))
     return whole.withColumns({f"t_{k}": c for k, c in total.items()}).select(
@@ -203,7 +202,7 @@ def elo_history(
         goal_multiplier(F.col("home_score") - F.col("away_score")).alias("multiplier"),
         F.when(neutral, 0.0).otherwise(home_bonus).alias("bonus"))
     cut = plan_slices(prepared, "match_date", rows_per_slice)
-    placed = cut.assign(prepared, "match_date")
+    placed = cut.assign(prepared, ["match_date"])
     schema = (
         "pool string, kind string, match_id long, home string, away string, home_before double, away_before double, "
         "home_after double, away_after double, win_prob_home double, k_factor double"

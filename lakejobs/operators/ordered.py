@@ -12,6 +12,7 @@ plain window plan.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -34,35 +35,67 @@ def axis(df: DataFrame, column: str) -> Column:
 
 @dataclass(frozen=True)
 class Slices:
-    """Ascending borders on the ordered axis; no border means one slice."""
+    """Ascending borders on the ordered axis; no border means one slice.
+
+    ``hot`` names values that fill more than a slice by themselves. Their rows are
+    cut once more, at ``inner`` borders of the second ordered column.
+    """
 
     borders: tuple[float, ...] = ()
+    hot: tuple[float, ...] = ()
+    inner: tuple[float, ...] = ()
 
     @property
     def single(self) -> bool:
         return not self.borders
 
-    def assign(self, df: DataFrame, column: str, name: str = SLICE) -> DataFrame:
+    def assign(self, df: DataFrame, order: list[str], name: str = SLICE) -> DataFrame:
+        """Add the slice number, which grows with the order."""
         if self.single:
             return df.withColumn(name, F.lit(0))
-        splits = [float("-inf"), *self.borders, float("inf")]
-        cut = Bucketizer(splits=splits, inputCol="_axis", outputCol="_cut", handleInvalid="keep")
-        placed = cut.transform(df.withColumn("_axis", axis(df, column)))
-        return placed.withColumn(name, F.col("_cut").cast("int")).drop("_axis", "_cut")
+        placed = _bucket(df.withColumn("_axis", axis(df, order[0])), "_axis", self.borders, "_cut")
+        if not self.inner:
+            return placed.withColumn(name, F.col("_cut").cast("int")).drop("_axis", "_cut")
+        placed = _bucket(placed.withColumn("_axis2", axis(df, order[1])), "_axis2", self.inner, "_cut2")
+        inside = F.when(F.col("_axis").isin(*self.hot), F.col("_cut2")).otherwise(0.0)
+        number = F.col("_cut") * (len(self.inner) + 2) + inside
+        return placed.withColumn(name, number.cast("int")).drop("_axis", "_cut", "_axis2", "_cut2")
+
+
+def _bucket(df: DataFrame, column: str, borders: tuple[float, ...], name: str) -> DataFrame:
+    """Position among the borders by binary search (runs in the JVM)."""
+    splits = [float("-inf"), *borders, float("inf")]
+    return Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
+
 
+def _quantiles(df: DataFrame, column: str, parts: int) -> list[float]:
+    shares = [i / parts for i in range(1, parts)]
+    found = df.agg(F.percentile_approx(axis(df, column), shares, max(20_000, 4 * parts)).alias("at")).first()["at"]
+    return list(found or [])
 
-def plan_slices(df: DataFrame, column: str, rows_per_slice: int = ROWS_PER_SLICE) -> Slices:
+
+def plan_slices(df: DataFrame, order: str | list[str], rows_per_slice: int = ROWS_PER_SLICE) -> Slices:
     """Borders so that a slice holds about ``rows_per_slice`` rows, whatever the keys are.
 
     Counts first; only a frame that needs cutting pays for the quantile pass over
-    the ordered column. At most ``MAX_SLICES`` numbers reach the driver.
+    the ordered column. At most ``MAX_SLICES`` numbers reach the driver. A value
+    that comes up as several quantiles is hot and, where a second ordered column
+    is given, cut by that one: borders from all hot rows together bound the rows
+    of every hot value in a sub-slice.
     """
+    columns = [order] if isinstance(order, str) else order
     wanted = min(MAX_SLICES, -(-df.count() // rows_per_slice))
     if wanted <= 1:
         return Slices()
-    shares = [i / wanted for i in range(1, wanted)]
-    found = df.agg(F.percentile_approx(axis(df, column), shares, max(20_000, 4 * wanted)).alias("at")).first()["at"]
-    return Slices(tuple(sorted(set(found or []))))
+    found = _quantiles(df, columns[0], wanted)
+    hot = tuple(sorted({a for a, b in zip(found, found[1:]) if a == b}))
+    if not hot or len(columns) < 2 or isinstance(df.schema[columns[1]].dataType, T.StringType):
+        return Slices(tuple(sorted(set(found))))
+    rows = df.where(axis(df, columns[0]).isin(*hot))
+    inner = _quantiles(rows, columns[1], min(MAX_SLICES, max(2, -(-rows.count() // rows_per_slice))))
+    # A hot value is alone between its own border and the next number.
+    borders = set(found) | {math.nextafter(v, math.inf) for v in hot}
+    return Slices(tuple(sorted(borders)), hot, tuple(sorted(set(inner))))
 
 
 def _tail_safe(items: Column, n: int) -> Column:
@@ -76,12 +109,11 @@ def dense_number(
     """``row_number`` over the whole frame without a one-task window.
 
     Rows are numbered inside each slice of the leading order column and moved by
-    the row count of earlier slices (a table of at most ``MAX_SLICES`` rows, so
-    its broadcast is bounded). The leading order column should be close to
-    unique; ``order`` together must be unique for repeatable numbers.
+    the row count of earlier slices (a table of a row per slice, so its broadcast
+    is bounded). ``order`` together must be unique for repeatable numbers.
     """
-    cut = slices if slices is not None else plan_slices(df, order[0])
-    placed = cut.assign(df, order[0])
+    cut = slices if slices is not None else plan_slices(df, order[:2])
+    placed = cut.assign(df, order)
     if cut.single:
         row = F.row_number().over(Window.partitionBy(SLICE).orderBy(*order))
         return placed.withColumn(name, (F.lit(start) + F.lit(step) * (row - 1)).cast("long")).drop(SLICE)
@@ -101,9 +133,9 @@ def running_totals(
     df: DataFrame, keys: list[str], order: list[str], totals: dict[str, Column], slices: Slices | None = None
 ) -> DataFrame:
     """Sum of the earlier rows of each key (the current row excluded), 0 for the first row."""
-    cut = slices if slices is not None else plan_slices(df, order[0])
+    cut = slices if slices is not None else plan_slices(df, order[:2])
     inputs = {name: f"_in_{name}" for name in totals}
-    placed = cut.assign(df, order[0]).withColumns({inputs[n]: c for n, c in totals.items()})
+    placed = cut.assign(df, order).withColumns({inputs[n]: c for n, c in totals.items()})
     earlier = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     counted = placed.withColumns({n: F.coalesce(F.sum(inputs[n]).over(earlier), F.lit(0)) for n in totals})
     if cut.single:
@@ -119,17 +151,20 @@ def running_totals(
 
 
 def trailing_sums(
-    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, tuple[Column, int]], slices: Slices | None = None
+    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, tuple], slices: Slices | None = None
 ) -> DataFrame:
     """Sums over the ``n`` rows before each row of its key: {name: (value, n)}; 0 where there is none.
 
+    A third entry names order columns that must also be equal: (value, n, ["day"])
+    sums only rows of the same day, within the same shuffle and sort.
+
     Across slices the rows themselves are carried: each (key, slice) gets the last
     rows of earlier slices as context, runs the plain window and drops them again.
     """
-    cut = slices if slices is not None else plan_slices(df, order[0])
-    deepest = max(n for _, n in sums.values())
+    cut = slices if slices is not None else plan_slices(df, order[:2])
+    deepest = max(spec[1] for spec in sums.values())
     inputs = {name: f"_in_{name}" for name in sums}
-    placed = cut.assign(df, order[0]).withColumns({inputs[k]: value for k, (value, _) in sums.items()})
+    placed = cut.assign(df, order).withColumns({inputs[k]: spec[0] for k, spec in sums.items()})
     rows = placed
     if not cut.single:
         newest = Window.partitionBy(*keys, SLICE).orderBy(*[F.desc(c) for c in order])
@@ -145,9 +180,12 @@ def trailing_sums(
             *keys, SLICE, F.explode("_carry").alias("_c")
         ).select(*keys, SLICE, "_c.row.*", F.lit(True).alias("_context"))
         rows = placed.withColumn("_context", F.lit(False)).unionByName(context, allowMissingColumns=True)
-    ordered = Window.partitionBy(*keys, SLICE).orderBy(*order)
+
+    def past(n: int, equal: list[str] | None = None):
+        return Window.partitionBy(*keys, SLICE, *(equal or [])).orderBy(*order).rowsBetween(-n, -1)
+
     summed = rows.withColumns({
-        name: F.coalesce(F.sum(inputs[name]).over(ordered.rowsBetween(-n, -1)), F.lit(0)) for name, (_, n) in sums.items()})
+        name: F.coalesce(F.sum(inputs[name]).over(past(*spec[1:])), F.lit(0)) for name, spec in sums.items()})
     if not cut.single:
         summed = summed.where(~F.col("_context")).drop("_context")
     return summed.drop(SLICE, *inputs.values())
@@ -191,7 +229,7 @@ def asof_join(
     stacked_right = right.select(
         *keys, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"), fields.alias("_hit"), rank.alias("_rank")
     )
-    both = cut.assign(stacked_left.unionByName(stacked_right, allowMissingColumns=True), "_ts")
+    both = cut.assign(stacked_left.unionByName(stacked_right, allowMissingColumns=True), ["_ts"])
     forward = Window.partitionBy(*keys, SLICE).orderBy("_ts", "_side", "_rank").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     filled = both.withColumn("_found", F.last("_hit", ignorenulls=True).over(forward))

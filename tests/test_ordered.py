@@ -17,7 +17,7 @@ def test_slices_split_a_hot_key(tables):
     hot = tables.events.withColumn("user_id", F.when(F.col("event_id") % 3 > 0, F.lit(7)).otherwise(F.col("user_id")))
     cut = plan_slices(hot, "ts", 100)
     assert len(cut.borders) >= 8
-    sizes = [r["count"] for r in cut.assign(hot, "ts").groupBy("user_id", "_slice").count().collect()]
+    sizes = [r["count"] for r in cut.assign(hot, ["ts"]).groupBy("user_id", "_slice").count().collect()]
     assert max(sizes) <= 150
 
 
@@ -83,3 +83,25 @@ def test_trailing_sums(tables):
         expected.append((r["event_id"], len(own[-10:]), sum(own[-10:]), sum(own[-3:])))
         own.append(r["cents"])
     assert rows(trailing_sums(*args, cut).select(*columns)) == sorted(expected, key=repr)
+
+
+def test_hot_order_value_is_cut_by_the_second_column(tables):
+    """A third of all rows share one key and one time; no (key, slice) holds them together."""
+    hot = F.col("event_id") % 3 == 0
+    events = tables.events.withColumns({
+        "user_id": F.when(hot, F.lit(7)).otherwise(F.col("user_id") % 5),
+        "ts": F.when(hot, F.expr("TIMESTAMP_NTZ '2024-01-15 00:00:00'")).otherwise(F.col("ts"))})
+    order = ["ts", "event_id"]
+    cut = plan_slices(events, order, 40)
+    assert len(cut.hot) == 1 and len(cut.inner) >= 6
+    sizes = [r["count"] for r in cut.assign(events, order).groupBy("user_id", "_slice").count().collect()]
+    assert max(sizes) <= 80
+    totals = {"n": F.lit(1), "ids": F.col("event_id")}
+    pick = ("event_id", "n", "ids")
+    assert rows(running_totals(events, ["user_id"], order, totals, cut).select(*pick)) == rows(
+        running_totals(events, ["user_id"], order, totals).select(*pick))
+    last = {"n": (F.lit(1), 7), "ids": (F.col("event_id"), 4), "same": (F.lit(1), 7, ["ts"])}
+    assert rows(trailing_sums(events, ["user_id"], order, last, cut).select(*pick, "same")) == rows(
+        trailing_sums(events, ["user_id"], order, last).select(*pick, "same"))
+    one, many = dense_number(events, order, "id"), dense_number(events, order, "id", slices=cut)
+    assert rows(one.select("event_id", "id")) == rows(many.select("event_id", "id"))
