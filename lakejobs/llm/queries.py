@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakejobs.llm import mixing, sharding, simhash
+from lakejobs.llm import mixing, pii, secrets, sharding, simhash
 from lakejobs.llm.common import table
+from lakejobs.llm.spans import labelled
 from lakejobs.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +85,26 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@register("op7_secrets")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = [(rule.kind, F.col(f"{rule.kind}_spans")) for rule in secrets.BASE_RULES]
+    every = [(rule.kind, F.col(f"{rule.kind}_spans")) for rule in secrets.RULES]
+    return found.select(
+        "doc_id", *[F.size(spans).cast("long").alias(f"n_{kind}") for kind, spans in base],
+        F.sha2(labelled(base, by_start=True), 256).alias("base_sha256"), labelled(every, by_start=True).alias("spans"))
+
+
+@register("op10_pii")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.extract(table(spark, sf_dir, "documents"))
+    base = [(kind, F.col(f"{kind}_spans")) for kind in pii.KINDS]
+    context = [(f"context_{kind}", pii.of_kind(F.col("context_spans"), kind)) for kind in pii.KINDS]
+    return found.select(
+        "doc_id", *[F.size(spans).cast("long").alias(f"n_{kind}") for kind, spans in base],
+        F.sha2(labelled(base, by_start=False), 256).alias("base_sha256"), labelled(base + context, by_start=False).alias("spans"))
+
+
 @register("op9_simhash")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
