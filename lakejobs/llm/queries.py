@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakejobs.llm import mixing, pii, secrets, sharding, simhash, token_counts, topk
+from lakejobs.llm import mixing, pii, secrets, sharding, simhash, token_counts, topk, warc
 from lakejobs.llm.common import table
 from lakejobs.llm.spans import labelled
 from lakejobs.session import ship_package
@@ -85,6 +85,26 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+#: Base32 of a SHA-1: five hexadecimal digits are four characters.
+_DIGITS = ", ".join(f"('0x' || substr(sha1(coalesce(html, '')), {1 + 5 * k}, 5))::INT AS n{k}" for k in range(8))
+_LETTERS = " || ".join(f"substr('{warc.BASE32}', 1 + ((n{k} >> {shift}) & 31), 1)" for k in range(8) for shift in (15, 10, 5, 0))
+OP4_SQL = f"""
+WITH digits AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, {_DIGITS} FROM pages),
+named AS (SELECT page_id, payload_bytes, {_LETTERS} AS payload_digest FROM digits),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS low FROM named)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = low THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> low THEN low END AS refers_to
+FROM firsts
+"""
+
+
+@register("op4_warc", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive(table(spark, sf_dir, "pages"))
+    return index.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                        F.col("refers_to").cast("long").alias("refers_to"))
+
+
 OP5_SQL = """
 WITH whole AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256::DOUBLE * x::DOUBLE)) AS v FROM embeddings
