@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakejobs.llm import mixing, pii, secrets, sharding, simhash, token_counts, topk, warc
+from lakejobs.llm import decontamination, mixing, pii, secrets, sharding, simhash, token_counts, topk, warc
 from lakejobs.llm.common import table
 from lakejobs.llm.spans import labelled
 from lakejobs.session import ship_package
@@ -85,6 +85,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@register("op3_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 #: Base32 of a SHA-1: five hexadecimal digits are four characters.
 _DIGITS = ", ".join(f"('0x' || substr(sha1(coalesce(html, '')), {1 + 5 * k}, 5))::INT AS n{k}" for k in range(8))
 _LETTERS = " || ".join(f"substr('{warc.BASE32}', 1 + ((n{k} >> {shift}) & 31), 1)" for k in range(8) for shift in (15, 10, 5, 0))
