@@ -82,13 +82,13 @@ def cutoffs(keys: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
         F.col("cut.sample_key").alias("cut_key"), F.col("cut.tie").alias("cut_tie"))
 
 
-def mix(docs: DataFrame, quality: DataFrame | None = None, key: str = "doc_id", text: str = "text", source: str = "source",
+def mix(docs: DataFrame, quality: DataFrame | None = None, weight: Column | None = None, key: str = "doc_id", text: str = "text", source: str = "source",
         weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0,
         ranges: int = RANGES) -> DataFrame:
     """Every row of ``docs`` with ``size``, ``source_size``, ``target``, ``copies`` and ``taken``.
 
-    ``quality`` (``key``, ``weight`` > 0) scales the sampling keys; rows without
-    one weigh 1. A source first takes whole epochs; the words still missing are
+    ``weight``, a positive expression over ``docs``, and ``quality`` (``key``,
+    ``weight`` > 0, 1 where a row has none) scale the sampling keys. A source first takes whole epochs; the words still missing are
     taken in the order of the keys. The row that crosses the budget is taken if
     that comes nearer to it.
 
@@ -97,15 +97,14 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, key: str = "doc_id",
     table gives no rows, and columns named like the new ones are replaced.
     """
     docs = without(docs, "size", "source_size", "target", "copies", "taken")
-    rows = docs.withColumn("size", word_count(whole_text(text)))
-    if quality is None:
-        weighed = rows.withColumn("__weight", F.lit(1.0))
-    else:
-        one = quality.groupBy(F.col(key).alias("__quality_key")).agg(F.max("weight").cast("double").alias("__weight"))
-        weighed = rows.join(one, F.col(key) == F.col("__quality_key"), "left").drop("__quality_key")
-        weighed = weighed.withColumn("__weight", F.coalesce(F.col("__weight"), F.lit(1.0)))
-    drawn = weighed.withColumn("__key", sample_key(F.col(key), F.col("__weight"), seed)).withColumn(
-        "__tie", F.xxhash64(F.col(key), F.col(text)))
+    # Everything that reads the text comes before the join, so that only what is asked for passes its shuffle.
+    rows = docs.withColumn("size", word_count(whole_text(text))).withColumn("__tie", F.xxhash64(F.col(key), F.col(text)))
+    rows = rows.withColumn("__weight", (F.lit(1.0) if weight is None else weight).cast("double"))
+    if quality is not None:
+        one = quality.groupBy(F.col(key).alias("__quality_key")).agg(F.max("weight").cast("double").alias("__quality"))
+        rows = rows.join(one, F.col(key) == F.col("__quality_key"), "left").withColumn(
+            "__weight", F.col("__weight") * F.coalesce(F.col("__quality"), F.lit(1.0))).drop("__quality_key", "__quality")
+    drawn = rows.withColumn("__key", sample_key(F.col(key), F.col("__weight"), seed))
     keys = stored(drawn.select(F.col(source).alias("source"), "size", F.col("__key").alias("sample_key"), F.col("__tie").alias("tie")), "mix-keys")
     # One row for each source, written: Spark broadcasts it only if its files are small.
     plan = stored(cutoffs(keys, weights, share, most, ranges), "mix-cutoffs")
