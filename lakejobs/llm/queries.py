@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakejobs.llm import decontamination, mixing, pii, secrets, sharding, simhash, token_counts, topk, warc
+from lakejobs.llm import decontamination, mixing, pii, secrets, sharding, simhash, token_counts, topk, toxicity, warc
 from lakejobs.llm.common import table
 from lakejobs.llm.spans import labelled
 from lakejobs.session import ship_package
@@ -152,6 +152,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(labelled(base, by_start=False), 256).alias("base_sha256"), labelled(base + context, by_start=False).alias("spans"))
 
 
+@register("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (~toxicity.learns(F.col("doc_id"))).alias("held_out"), "score", "predicted")
+
+
 @register("op9_simhash")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
