@@ -52,6 +52,18 @@ class Blocks:
 EXACT_64 = Blocks()
 
 
+def similar(similarity: float, words: int = 6) -> Blocks:
+    """Scheme for shingle sets of at least this Jaccard similarity, by ``words`` independent 64-bit SimHashes.
+
+    Sets of similarity s have cosine 2s / (1 + s) when equally large, and each bit
+    differs with probability angle / pi; the distance allowed is that share of all
+    bits. A pair is found if in one of the words two of six blocks agree: of pairs
+    at similarity 0.8 about 86 % are, at 0.85 96 %, at 0.9 over 99 %.
+    """
+    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    return Blocks(words=words, blocks=6, agree=2, max_distance=int(share * 64 * words))
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: spreads a 64-bit value over all bits."""
     x = x.copy()
@@ -258,3 +270,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     named = member.join(lowest, "component").select(F.col("fingerprint").alias("class_print"), "component_id")
     return prints.join(named, F.col("fingerprint") == F.col("class_print")).select(
         F.col("key").alias(key), F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, scheme: Blocks = EXACT_64) -> DataFrame:
+    """One row of each class of near duplicates, with all columns of ``docs``: the smallest key, then the smallest fingerprint.
+
+    Texts without a word are no copies of one another and all stay, as do rows with
+    a null key; of rows that repeat the kept key with the same fingerprint one stays.
+    """
+    columns = docs.columns
+    wordless = ~F.coalesce(F.regexp_like(F.col(text), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False)) | F.col(key).isNull()
+    kind = docs.schema[key].dataType.simpleString()
+    classes = near_duplicates(docs.where(~wordless).select(key, text), key, text, shingle, scheme)
+    best = classes.groupBy("component_id").agg(F.min(F.struct(F.col(key).alias("k"), F.col("fingerprint").alias("f"))).alias("best"))
+    kept = stored(best.select(F.col("best.k").cast(kind).alias("__kept")).distinct(), "kept")
+    ranked = docs.where(~wordless).join(kept, F.col(key) == F.col("__kept"), "left_semi")
+    return ranked.dropDuplicates([key]).unionByName(docs.where(wordless)).select(*[F.col(f"`{c}`") for c in columns])

@@ -385,3 +385,18 @@ def score(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
                 names=[*names, "score", "predicted", "toxic_spans"])
 
     return docs.mapInArrow(run, f"{columns}, score double, predicted int, toxic_spans array<struct<start:int,end:int>>")
+
+
+def accepted(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
+    """``docs`` without the rows the model rejects, with all columns as they are; texts without words stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            keep = [s < 0.5 or not words_of(t) for t, (s, _) in zip(texts, scorer(texts))]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
