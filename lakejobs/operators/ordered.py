@@ -1,49 +1,49 @@
 """Order-dependent operators that do not put a whole key into one task.
 
 A plain window over ``partitionBy(key).orderBy(ts)`` sends every row of a key to
-one task. Here the ordered axis is cut into slices with about equal numbers of
-rows, windows run inside ``(key, slice)`` and only a summary row per
-``(key, slice)`` travels across slices. Results equal the plain window's.
-
-Slice borders are literals taken from one aggregate pass, so a recomputed task
-puts a row into the same slice as before. Small inputs get one slice and the
-plain window plan.
+one task. Here the ordered rows are cut into slices of about equal size, windows
+run inside ``(key, slice)``, and what earlier slices contribute comes in as a row
+of its own at the head of the window. Results equal the plain window's, and
+every frame runs the same plan, whatever its size.
+
+Slice borders are literals, so a recomputed task puts a row into the same slice
+as before. They are rows of the order columns, compared as a whole with NULL
+first, so any orderable type works, NULLs have their place, and a value with
+many rows is cut by the next order column in proportion to its rows.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_SLICE = 5_000_000
-MAX_SLICES = 16_384
+#: Borders kept as literals; larger frames have larger slices.
+MAX_SLICES = 2048
+#: Rows looked at for each slice when borders are placed. Borders decide balance only, never results.
+SAMPLED_ROWS = 64
 SLICE = "_slice"
+FIRST = "_first"
 
 
 def axis(df: DataFrame, column: str) -> Column:
-    """Ordered column as a double: micros for dates and timestamps, the value for numbers."""
+    """Ordered column as a double: micros for dates and times, the value for numbers, the first six bytes for strings."""
     kind = df.schema[column].dataType
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.substring(F.hex(column), 1, 12), 12, "0"), 16, 10).cast("double")
     return F.col(column).cast("double")
 
 
 @dataclass(frozen=True)
 class Slices:
-    """Ascending borders on the ordered axis; no border means one slice.
-
-    ``hot`` names values that fill more than a slice by themselves. Their rows are
-    cut once more, at ``inner`` borders of the second ordered column.
-    """
+    """Ascending border rows of the order columns; a row belongs to the slice of the last border not after it."""
 
-    borders: tuple[float, ...] = ()
-    hot: tuple[float, ...] = ()
-    inner: tuple[float, ...] = ()
+    borders: tuple[tuple, ...] = ()
 
     @property
     def single(self) -> bool:
@@ -53,49 +53,44 @@ class Slices:
         """Add the slice number, which grows with the order."""
         if self.single:
             return df.withColumn(name, F.lit(0))
-        placed = _bucket(df.withColumn("_axis", axis(df, order[0])), "_axis", self.borders, "_cut")
-        if not self.inner:
-            return placed.withColumn(name, F.col("_cut").cast("int")).drop("_axis", "_cut")
-        placed = _bucket(placed.withColumn("_axis2", axis(df, order[1])), "_axis2", self.inner, "_cut2")
-        inside = F.when(F.col("_axis").isin(*self.hot), F.col("_cut2")).otherwise(0.0)
-        number = F.col("_cut") * (len(self.inner) + 2) + inside
-        return placed.withColumn(name, number.cast("int")).drop("_axis", "_cut", "_axis2", "_cut2")
+        columns = order[:len(self.borders[0])]
+        kinds = [df.schema[c].dataType for c in columns]
+        own = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)])
+        # Two short searches in place of one over all borders: the group of borders first, then inside it.
+        width = max(1, round(len(self.borders) ** 0.5))
+        groups = [self.borders[i:i + width] for i in range(0, len(self.borders), width)]
 
+        def literal(border: tuple) -> Column:
+            return F.struct(*[F.lit(v).cast(kind).alias(f"k{i}") for i, (v, kind) in enumerate(zip(border, kinds))])
 
-def _bucket(df: DataFrame, column: str, borders: tuple[float, ...], name: str) -> DataFrame:
-    """Position among the borders by binary search (runs in the JVM)."""
-    splits = [float("-inf"), *borders, float("inf")]
-    return Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
+        def passed(borders: Column) -> Column:
+            return F.size(F.filter(borders, lambda b: b <= own))
 
-
-def _quantiles(df: DataFrame, column: str, parts: int) -> list[float]:
-    shares = [i / parts for i in range(1, parts)]
-    found = df.agg(F.percentile_approx(axis(df, column), shares, max(20_000, 4 * parts)).alias("at")).first()["at"]
-    return list(found or [])
+        group = passed(F.array(*[literal(g[0]) for g in groups]))
+        inside = passed(F.get(F.array(*[F.array(*[literal(b) for b in g]) for g in groups]), group - 1))
+        return df.withColumn("_group", group).withColumn(
+            name, F.when(F.col("_group") == 0, 0).otherwise((F.col("_group") - 1) * width + inside).cast("int")).drop("_group")
 
 
 def plan_slices(df: DataFrame, order: str | list[str], rows_per_slice: int = ROWS_PER_SLICE) -> Slices:
     """Borders so that a slice holds about ``rows_per_slice`` rows, whatever the keys are.
 
-    Counts first; only a frame that needs cutting pays for the quantile pass over
-    the ordered column. At most ``MAX_SLICES`` numbers reach the driver. A value
-    that comes up as several quantiles is hot and, where a second ordered column
-    is given, cut by that one: borders from all hot rows together bound the rows
-    of every hot value in a sub-slice.
+    A count, then a sample of ``SAMPLED_ROWS`` rows for each slice, range
+    partitioned by the order columns: the first row of each range is a border. At
+    most ``MAX_SLICES`` rows reach the driver.
     """
     columns = [order] if isinstance(order, str) else order
-    wanted = min(MAX_SLICES, -(-df.count() // rows_per_slice))
+    rows = df.count()
+    wanted = min(MAX_SLICES, -(-rows // rows_per_slice))
     if wanted <= 1:
         return Slices()
-    found = _quantiles(df, columns[0], wanted)
-    hot = tuple(sorted({a for a, b in zip(found, found[1:]) if a == b}))
-    if not hot or len(columns) < 2 or isinstance(df.schema[columns[1]].dataType, T.StringType):
-        return Slices(tuple(sorted(set(found))))
-    rows = df.where(axis(df, columns[0]).isin(*hot))
-    inner = _quantiles(rows, columns[1], min(MAX_SLICES, max(2, -(-rows.count() // rows_per_slice))))
-    # A hot value is alone between its own border and the next number.
-    borders = set(found) | {math.nextafter(v, math.inf) for v in hot}
-    return Slices(tuple(sorted(borders)), hot, tuple(sorted(set(inner))))
+    share = min(1.0, wanted * SAMPLED_ROWS / rows)
+    named = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)])
+    sampled = named.sample(share, seed=7) if share < 1 else named
+    cut = sampled.repartitionByRange(wanted, *[F.col(c).asc_nulls_first() for c in named.columns])
+    first = cut.groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.struct(*named.columns)).alias("b"))
+    found = sorted(first.collect(), key=lambda r: r["part"])
+    return Slices(tuple(dict.fromkeys(tuple(r["b"]) for r in found[1:])))
 
 
 def _tail_safe(items: Column, n: int) -> Column:
@@ -108,15 +103,12 @@ def dense_number(
 ) -> DataFrame:
     """``row_number`` over the whole frame without a one-task window.
 
-    Rows are numbered inside each slice of the leading order column and moved by
-    the row count of earlier slices (a table of a row per slice, so its broadcast
-    is bounded). ``order`` together must be unique for repeatable numbers.
+    Rows are numbered inside each slice and moved by the row count of earlier
+    slices, a table of at most ``MAX_SLICES`` rows. ``order`` together must be
+    unique for repeatable numbers.
     """
     cut = slices if slices is not None else plan_slices(df, order[:2])
     placed = cut.assign(df, order)
-    if cut.single:
-        row = F.row_number().over(Window.partitionBy(SLICE).orderBy(*order))
-        return placed.withColumn(name, (F.lit(start) + F.lit(step) * (row - 1)).cast("long")).drop(SLICE)
     offsets = placed.groupBy(SLICE).agg(F.count("*").alias("_n")).select(
         SLICE,
         F.coalesce(
@@ -124,7 +116,7 @@ def dense_number(
         ).alias("_before"),
     )
     inside = F.row_number().over(Window.partitionBy(SLICE).orderBy(*order))
-    numbered = placed.withColumn("_row", inside).join(F.broadcast(offsets), SLICE)
+    numbered = placed.withColumn("_row", inside).join(offsets, SLICE)
     number = F.lit(start) + F.lit(step) * (F.col("_before") + F.col("_row") - 1)
     return numbered.withColumn(name, number.cast("long")).drop(SLICE, "_row", "_before")
 
@@ -132,22 +124,20 @@ def dense_number(
 def running_totals(
     df: DataFrame, keys: list[str], order: list[str], totals: dict[str, Column], slices: Slices | None = None
 ) -> DataFrame:
-    """Sum of the earlier rows of each key (the current row excluded), 0 for the first row."""
+    """Sum of the earlier rows of each key (the current row excluded), 0 for the first row.
+
+    NULL keys are one key and NULL order values come first, as in a plain window.
+    """
     cut = slices if slices is not None else plan_slices(df, order[:2])
     inputs = {name: f"_in_{name}" for name in totals}
     placed = cut.assign(df, order).withColumns({inputs[n]: c for n, c in totals.items()})
-    earlier = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    counted = placed.withColumns({n: F.coalesce(F.sum(inputs[n]).over(earlier), F.lit(0)) for n in totals})
-    if cut.single:
-        return counted.drop(SLICE, *inputs.values())
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    per_slice = placed.groupBy(*keys, SLICE).agg(*[F.sum(inputs[n]).alias(f"_sum_{n}") for n in totals])
-    carry = per_slice.select(
-        *keys, SLICE, *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_carry_{n}") for n in totals]
-    )
-    joined = counted.join(carry, [*keys, SLICE])
-    return joined.withColumns({n: F.col(n) + F.col(f"_carry_{n}") for n in totals}).drop(
-        SLICE, *inputs.values(), *[f"_carry_{n}" for n in totals])
+    per_slice = placed.groupBy(*keys, SLICE).agg(*[F.sum(inputs[n]).alias(inputs[n]) for n in totals])
+    carry = per_slice.select(*keys, SLICE, *[F.sum(inputs[n]).over(before).alias(inputs[n]) for n in totals])
+    rows = placed.withColumn(FIRST, F.lit(1)).unionByName(carry.withColumn(FIRST, F.lit(0)), allowMissingColumns=True)
+    earlier = Window.partitionBy(*keys, SLICE).orderBy(FIRST, *order).rowsBetween(Window.unboundedPreceding, -1)
+    counted = rows.withColumns({n: F.coalesce(F.sum(inputs[n]).over(earlier), F.lit(0)) for n in totals})
+    return counted.where(F.col(FIRST) == 1).drop(SLICE, FIRST, *inputs.values())
 
 
 def trailing_sums(
@@ -165,30 +155,26 @@ def trailing_sums(
     deepest = max(spec[1] for spec in sums.values())
     inputs = {name: f"_in_{name}" for name in sums}
     placed = cut.assign(df, order).withColumns({inputs[k]: spec[0] for k, spec in sums.items()})
-    rows = placed
-    if not cut.single:
-        newest = Window.partitionBy(*keys, SLICE).orderBy(*[F.desc(c) for c in order])
-        entry = F.struct((-F.col("_back")).alias("at"), F.struct(*order, *inputs.values()).alias("row"))
-        tails = (
-            placed.withColumn("_back", F.row_number().over(newest)).where(F.col("_back") <= deepest)
-            .groupBy(*keys, SLICE).agg(F.array_sort(F.collect_list(entry)).alias("_tail"))
-        )
-        # Every earlier slice of the key holds at least one row, so that many slices back are enough.
-        before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(-deepest, -1)
-        carried = _tail_safe(F.flatten(F.collect_list("_tail").over(before)), deepest)
-        context = tails.select(*keys, SLICE, carried.alias("_carry")).select(
-            *keys, SLICE, F.explode("_carry").alias("_c")
-        ).select(*keys, SLICE, "_c.row.*", F.lit(True).alias("_context"))
-        rows = placed.withColumn("_context", F.lit(False)).unionByName(context, allowMissingColumns=True)
+    newest = Window.partitionBy(*keys, SLICE).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    entry = F.struct((-F.col("_back")).alias("at"), F.struct(*order, *inputs.values()).alias("row"))
+    tails = (
+        placed.withColumn("_back", F.row_number().over(newest)).where(F.col("_back") <= deepest)
+        .groupBy(*keys, SLICE).agg(F.array_sort(F.collect_list(entry)).alias("_tail"))
+    )
+    # Every earlier slice of the key holds at least one row, so that many slices back are enough.
+    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(-deepest, -1)
+    carried = _tail_safe(F.flatten(F.collect_list("_tail").over(before)), deepest)
+    context = tails.select(*keys, SLICE, carried.alias("_carry")).select(
+        *keys, SLICE, F.explode("_carry").alias("_c")
+    ).select(*keys, SLICE, "_c.row.*", F.lit(0).alias(FIRST))
+    rows = placed.withColumn(FIRST, F.lit(1)).unionByName(context, allowMissingColumns=True)
 
     def past(n: int, equal: list[str] | None = None):
-        return Window.partitionBy(*keys, SLICE, *(equal or [])).orderBy(*order).rowsBetween(-n, -1)
+        return Window.partitionBy(*keys, SLICE, *(equal or [])).orderBy(FIRST, *order).rowsBetween(-n, -1)
 
     summed = rows.withColumns({
         name: F.coalesce(F.sum(inputs[name]).over(past(*spec[1:])), F.lit(0)) for name, spec in sums.items()})
-    if not cut.single:
-        summed = summed.where(~F.col("_context")).drop("_context")
-    return summed.drop(SLICE, *inputs.values())
+    return summed.where(F.col(FIRST) == 1).drop(SLICE, FIRST, *inputs.values())
 
 
 def newest_list(df: DataFrame, keys: list[str], order: list[str], value: Column, n: int, name: str) -> DataFrame:
@@ -213,9 +199,10 @@ def asof_join(
     """Every left row with the newest right row of its key at or before its time (NULLs if none).
 
     Both sides are stacked and the right values are carried forward inside
-    ``(key, slice)``; one summary row per ``(key, slice)`` brings the newest value
-    of earlier slices. No pairs are formed, so nothing fans out. ``tie_break``
-    names right columns that order right rows of equal time.
+    ``(key, slice)``; one row at the head of each ``(key, slice)`` brings the newest
+    value of earlier slices. No pairs are formed, so nothing fans out.
+    ``tie_break`` names right columns that order right rows of equal time. A NULL
+    key or time matches nothing; such left rows keep their place with NULLs.
     """
     cut = slices if slices is not None else plan_slices(
         left.select(F.col(left_ts).alias("t")).unionAll(right.select(F.col(right_ts).alias("t"))), "t")
@@ -226,19 +213,18 @@ def asof_join(
     stacked_left = left.select(
         *keys, F.col(left_ts).alias("_ts"), F.lit(1).alias("_side"), row.alias("_row")
     )
-    stacked_right = right.select(
+    stacked_right = right.dropna(subset=[*keys, right_ts]).select(
         *keys, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"), fields.alias("_hit"), rank.alias("_rank")
     )
     both = cut.assign(stacked_left.unionByName(stacked_right, allowMissingColumns=True), ["_ts"])
-    forward = Window.partitionBy(*keys, SLICE).orderBy("_ts", "_side", "_rank").rowsBetween(
+    newest = both.groupBy(*keys, SLICE).agg(F.max_by("_hit", "_rank").alias("_newest"))
+    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = newest.select(*keys, SLICE, F.last("_newest", ignorenulls=True).over(before).alias("_hit"), F.lit(0).alias(FIRST))
+    rows = both.withColumn(FIRST, F.lit(1)).unionByName(carry, allowMissingColumns=True)
+    forward = Window.partitionBy(*keys, SLICE).orderBy(FIRST, "_ts", "_side", "_rank").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    filled = both.withColumn("_found", F.last("_hit", ignorenulls=True).over(forward))
-    if not cut.single:
-        newest = both.groupBy(*keys, SLICE).agg(F.max_by("_hit", "_rank").alias("_newest"))
-        before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        carry = newest.select(*keys, SLICE, F.last("_newest", ignorenulls=True).over(before).alias("_carry"))
-        filled = filled.join(carry, [*keys, SLICE]).withColumn("_found", F.coalesce("_found", "_carry"))
-    hits = filled.where("_side = 1")
+    filled = rows.withColumn("_found", F.last("_hit", ignorenulls=True).over(forward))
+    hits = filled.where((F.col(FIRST) == 1) & (F.col("_side") == 1))
     found = F.col("_found")
     if tolerance_seconds is not None:
         age = F.unix_micros(F.col("_ts").cast("timestamp")) - F.unix_micros(F.col("_found._at").cast("timestamp"))

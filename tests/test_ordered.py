@@ -93,7 +93,7 @@ def test_hot_order_value_is_cut_by_the_second_column(tables):
         "ts": F.when(hot, F.expr("TIMESTAMP_NTZ '2024-01-15 00:00:00'")).otherwise(F.col("ts"))})
     order = ["ts", "event_id"]
     cut = plan_slices(events, order, 40)
-    assert len(cut.hot) == 1 and len(cut.inner) >= 6
+    assert len(cut.borders) >= 12
     sizes = [r["count"] for r in cut.assign(events, order).groupBy("user_id", "_slice").count().collect()]
     assert max(sizes) <= 80
     totals = {"n": F.lit(1), "ids": F.col("event_id")}
@@ -105,3 +105,32 @@ def test_hot_order_value_is_cut_by_the_second_column(tables):
         trailing_sums(events, ["user_id"], order, last).select(*pick, "same"))
     one, many = dense_number(events, order, "id"), dense_number(events, order, "id", slices=cut)
     assert rows(one.select("event_id", "id")) == rows(many.select("event_id", "id"))
+
+
+def test_nulls_and_strings_stay_in_every_slicing(tables, spark):
+    """NULL keys, NULL times and string order columns give equal rows under one, few and many slices."""
+    base = tables.events.withColumns({
+        "user_id": F.when(F.col("event_id") % 5 == 0, None).otherwise(F.col("user_id") % 3),
+        "ts": F.when(F.col("event_id") % 4 == 0, None).when(F.col("event_id") % 3 == 0, F.expr("TIMESTAMP_NTZ '2024-01-15 00:00:00'"))
+        .otherwise(F.col("ts")),
+        "name": F.when(F.col("event_id") % 7 == 0, None).otherwise(F.concat("event_type", F.lpad(F.col("event_id").cast("string"), 6, "0")))})
+    totals = {"n": F.lit(1), "ids": F.col("event_id")}
+    last = {"n": (F.lit(1), 7), "ids": (F.col("event_id"), 4)}
+    right = base.select("user_id", F.col("ts").alias("r_ts"), F.col("event_id").alias("r_id"))
+    for order in (["ts", "name", "event_id"], ["name", "event_id"]):
+        whole = running_totals(base, ["user_id"], order, totals).select("event_id", "n", "ids")
+        sums = trailing_sums(base, ["user_id"], order, last).select("event_id", "n", "ids")
+        numbers = dense_number(base, order, "id").select("event_id", "id")
+        count = base.count()
+        for size in (count // 3, count // 40):
+            cut = plan_slices(base, order, size)
+            assert len(cut.borders) >= 2
+            assert max(r["count"] for r in cut.assign(base, order).groupBy("_slice").count().collect()) <= 2 * size + 20
+            assert rows(running_totals(base, ["user_id"], order, totals, cut).select("event_id", "n", "ids")) == rows(whole)
+            assert rows(trailing_sums(base, ["user_id"], order, last, cut).select("event_id", "n", "ids")) == rows(sums)
+            assert rows(dense_number(base, order, "id", slices=cut).select("event_id", "id")) == rows(numbers)
+        assert len(rows(whole)) == len(rows(numbers)) == count
+    joined = asof_join(base, right, ["user_id"], "ts", "r_ts", ["r_id"], tie_break=["r_id"])
+    sliced = asof_join(base, right, ["user_id"], "ts", "r_ts", ["r_id"], tie_break=["r_id"], slices=plan_slices(base, "ts", 50))
+    assert rows(joined) == rows(sliced) and joined.count() == base.count()
+    assert joined.where("(user_id IS NULL OR ts IS NULL) AND r_id IS NOT NULL").count() == 0

@@ -61,17 +61,13 @@ def test_strings(spark):
     assert tuple(got) == ("***-**-6789", "jan***@x.org", 2, "CA", None)
 
 
-def test_tournament_rules(spark):
-    names = ["FIFA World Cup", "FIFA World Cup qualification", "UEFA Euro qualification", "Gold Cup", "Confederations Cup",
-             "CONCACAF Nations League", "Friendly", "Olympic qualification", "King's Cup"]
-    df = spark.createDataFrame([(n,) for n in names], "n string").coalesce(1)
-    got = [tuple(r) for r in df.select(
-        tournaments.tournament_type("n"), tournaments.tournament_weight("n"), tournaments.k_factor("n")).collect()]
-    assert got == [
-        ("World Cup", 1.0, 60.0), ("WC Qualifier", 0.7, 40.0), ("Continental Qualifier", 0.6, 40.0), ("Continental Final", 0.85, 50.0),
-        ("Other", 0.85, 50.0), ("Nations League", 0.6, 40.0), ("Friendly", 0.4, 20.0), ("Other Qualifier", 0.6, 40.0), ("Other", 0.5, 30.0)]
-    team = spark.createDataFrame([("Türkiye",), ("France",)], "n string").select(strings.lookup("n", tournaments.TEAM_NAMES))
-    assert [r[0] for r in team.collect()] == ["Turkey", "France"]
+def test_tournaments_by_name(spark):
+    df = spark.createDataFrame([("FIFA World Cup",), ("Friendly",), ("Gold Cup",), (None,)], "n string").coalesce(1)
+    picks = lambda *known: [f("n", *known) for f in (tournaments.tournament_type, tournaments.tournament_weight, tournaments.k_factor)]
+    other = ("Other", 0.5, 30.0)
+    assert [tuple(r) for r in df.select(*picks()).collect()] == [("World Cup", 1.0, 60.0), ("Friendly", 0.4, 20.0), other, other]
+    own = {"Gold Cup": tournaments.Tournament("Continental Final", 0.85, 50.0)}
+    assert [tuple(r) for r in df.select(*picks(own)).collect()] == [other, other, ("Continental Final", 0.85, 50.0), other]
 
 
 def test_shred_keeps_unknown_types(spark):
