@@ -9,6 +9,7 @@ the key, so the ranges in order are the capture history of the whole crawl.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -29,14 +30,10 @@ INDEX = ("url_key string, capture_time string, page_id string, url string, recor
          "payload_digest string, payload_bytes long, archive string, offset long, length long")
 
 
-def payload_digest(payload: Column) -> Column:
-    """Bare upper-case base32 SHA-1: five hexadecimal digits make four characters."""
-    hexes = F.sha1(payload)
-    letters = []
-    for at in range(1, 41, 5):
-        number = F.conv(F.substring(hexes, at, 5), 16, 10).cast("int")
-        letters += [F.substr(F.lit(BASE32), F.shiftright(number, shift).bitwiseAND(F.lit(31)) + 1, F.lit(1)) for shift in (15, 10, 5, 0)]
-    return F.concat(*letters)
+def base32(hexes: Column) -> Column:
+    """Upper-case base32 of 40 hexadecimal digits: ten of them at a time, written to base 32, are eight letters."""
+    parts = [F.lpad(F.conv(F.substring(hexes, at, 10), 16, 32), 8, "0") for at in (1, 11, 21, 31)]
+    return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32)
 
 
 def url_key(url: Column) -> Column:
@@ -47,23 +44,30 @@ def url_key(url: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), rest)
 
 
-def captures(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 0) -> DataFrame:
+def captures(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 0,
+             partitions: int | None = None) -> DataFrame:
     """(id, url, payload, digest, bytes, url_key, time, first): ``first`` is set on revisits.
 
     Of equal payloads of at least ``least_bytes`` bytes the smallest id is the
-    response. Only ids and digests meet to find it. Rows that repeat that id are
-    responses too; a null id is never the response unless its payload has no other.
+    response. Only ids and digests meet to find it; payloads are dealt once, by
+    id and digest, to where the answer is. Rows that repeat that id are responses
+    too; a null id is never the response unless its payload has no other.
     """
     payload = F.coalesce(F.col(html), F.lit(""))
-    rows = pages.select(
+    hashed = pages.select(
         F.col(key).alias("id"), F.regexp_replace(F.col(url), r"[\x00-\x20\x7F]", "").alias("url"), payload.alias("payload"),
-        payload_digest(payload).alias("digest"), F.octet_length(payload).cast("long").alias("bytes"))
-    first = rows.where(F.col("bytes") >= least_bytes).groupBy(F.col("digest").alias("seen")).agg(F.min("id").alias("low"))
+        F.sha1(payload).alias("hexes"), F.octet_length(payload).cast("long").alias("bytes"))
+    rows = hashed.withColumn("capture", F.xxhash64("id", "hexes"))
+    first = rows.where(F.col("bytes") >= least_bytes).groupBy(F.col("hexes").alias("seen")).agg(F.min("id").alias("low"))
+    known = rows.select("id", "hexes", "capture").distinct().join(first, F.col("hexes") == F.col("seen"), "left").select(
+        F.col("capture").alias("known"), F.col("hexes").alias("known_hexes"), F.when(~F.col("id").eqNullSafe(F.col("low")), F.col("low")).alias("first"))
+    if partitions:
+        rows, known = rows.repartition(partitions, "capture", "hexes"), known.repartition(partitions, "known", "known_hexes")
     seconds = F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.coalesce(F.col("id").cast("long"), F.lit(0)), F.lit(1_000_000_000)))
     instant = F.date_format(F.to_utc_timestamp(seconds, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    joined = rows.join(first, F.col("digest") == F.col("seen"), "left")
-    return joined.select("id", "url", "payload", "digest", "bytes", url_key(F.col("url")).alias("url_key"), instant.alias("time"),
-                         F.when(~F.col("id").eqNullSafe(F.col("low")), F.col("low")).alias("first"))
+    return rows.join(known, (F.col("capture") == F.col("known")) & (F.col("hexes") == F.col("known_hexes"))).select(
+        "id", "url", "payload", base32(F.col("hexes")).alias("digest"), "bytes", url_key(F.col("url")).alias("url_key"),
+        instant.alias("time"), "first")
 
 
 def record(row_id: Column) -> Column:
@@ -88,14 +92,16 @@ def record(row_id: Column) -> Column:
 
 
 def write_archives(pages: DataFrame, path: str | None = None, archive_bytes: int = ARCHIVE_BYTES, **columns) -> str:
-    """Write the pages as WARC files, each a run sorted by URL key, time and id; returns the folder."""
+    """Write the pages as gzip WARC files, each a run sorted by URL key, time and id; returns the folder.
+
+    A file is one gzip stream, so offsets of the index are those of the unpacked archive.
+    """
     out = path or scratch(pages.sparkSession, "warc")
     html = columns.get("html", "html")
     total = pages.agg(F.sum(F.coalesce(F.octet_length(F.col(html)), F.lit(0)) + 1000)).first()[0] or 0
-    rows = captures(pages, **columns)
-    dealt = rows.repartition(max(1, -(-total // archive_bytes)), F.xxhash64("id", "url", "digest"))
-    runs = dealt.sortWithinPartitions("url_key", "time", "id")
-    runs.select(record(F.col("id")).alias("value")).write.option("lineSep", "\r\n\r\n").text(out)
+    rows = captures(pages, partitions=max(1, -(-total // archive_bytes)), **columns)
+    runs = rows.sortWithinPartitions("url_key", "time", "id")
+    runs.select(record(F.col("id")).alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(out)
     return out
 
 
@@ -127,7 +133,7 @@ def read_archives(spark, path: str) -> DataFrame:
         for batch in batches:
             for archive, content in zip(batch.column(0), batch.column(1)):
                 rows = []
-                for offset, length, fields, block in _records(content.as_py()):
+                for offset, length, fields, block in _records(gzip.decompress(content.as_py())):
                     head, _, payload = block.partition(b"\r\n\r\n")
                     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
                     size = int(re.search(rb"Content-Length: ([0-9]+)", head)[1])
