@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakejobs.session import ensure_checkpoint_dir
+
 ACTION = "_action"
 
 
@@ -55,12 +57,18 @@ def changed(columns: Sequence[str]) -> Column:
 
 
 def reject_duplicate_keys(source: DataFrame, on: Sequence[str]) -> DataFrame:
-    """One source row per key, or a failing job: more than one match would make the result ambiguous."""
+    """One source row per key, or a failing job: more than one match would make the result ambiguous.
+
+    A key with a NULL matches nothing, so such rows are all passed on.
+    """
+    missing = F.lit(False)
+    for c in on:
+        missing = missing | F.col(c).isNull()
     twice = F.raise_error(F.concat(F.lit("duplicate merge key: "), F.to_json(F.struct(*on))))
     rows = F.struct(*[F.col(c) for c in source.columns])
-    single = source.groupBy(*on).agg(F.count("*").alias("_n"), F.any_value(rows).alias("_row"))
+    single = source.where(~missing).groupBy(*on).agg(F.count("*").alias("_n"), F.any_value(rows).alias("_row"))
     checked = F.when(F.col("_n") > 1, twice.cast(single.schema["_row"].dataType)).otherwise(F.col("_row"))
-    return single.select(checked.alias("_row")).select("_row.*")
+    return single.select(checked.alias("_row")).select("_row.*").unionAll(source.where(missing))
 
 
 def _clauses(plan: MergePlan, shared: list[str]) -> list[tuple[Column, str, dict[str, Column]]]:
@@ -200,30 +208,29 @@ def merge_partitions(
     The keys and the partition column of the target are read once to find the
     partitions that hold matched keys; the partitions of the source rows are added.
     Only those are merged and replaced (dynamic overwrite), the others are neither
-    read in full nor written. A row may move to another partition, since its old
-    one is among the rewritten; a partition left without rows is removed. Only
-    partition values and folder names reach the driver. Returns the number of
+    read in full nor written: they meet the target in a semi join, which prunes
+    partitions. A row may move to another partition, since its old one is among
+    the rewritten; a partition left without rows is removed, and only the folders
+    of such partitions come to the driver, one at a time. Returns the number of
     rewritten partitions. One writer at a time.
     """
+    ensure_checkpoint_dir(spark)
     target = spark.read.parquet(path)
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]+$", 1).alias("_folder")
-    held = target.select(*on, partition, folder).join(source.select(*on), list(on), "left_semi").select(partition, "_folder")
-    incoming = source.select(partition, F.lit(None).cast("string").alias("_folder"))
-    folders: dict = {}
-    for value, place in held.unionAll(incoming).distinct().collect():
-        folders[value] = place or folders.get(value)
-    if not folders:
+    file = F.col("_metadata.file_path").alias("_file")
+    held = target.select(*on, partition, file).join(source.select(*on), list(on), "left_semi").select(partition, "_file")
+    incoming = source.select(partition, F.lit(None).cast("string").alias("_file"))
+    found = held.unionAll(incoming).groupBy(F.col(partition).alias("_value")).agg(F.max("_file").alias("_file"))
+    touched = found.checkpoint()
+    number = touched.count()
+    if not number:
         return 0
-    wanted = F.col(partition).isin([v for v in folders if v is not None])
-    part = target.where(wanted | F.col(partition).isNull() if None in folders else wanted)
-    written = Observation()
-    null_part = F.max(F.col(partition).isNull())
-    merged = merge(part, source, on, plan, small_source).observe(
-        written, F.collect_set(partition).alias("values"), null_part.alias("has_null"))
+    part = target.join(touched.select("_value"), F.col(partition).eqNullSafe(F.col("_value")), "left_semi")
+    merged = merge(part, source, on, plan, small_source)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    kept = set(written.get["values"]) | ({None} if written.get["has_null"] else set())
-    for value in set(folders) - kept:
-        if folders[value]:
-            gone = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folders[value]))  # the name is URI-encoded
-            gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
-    return len(folders)
+    # A rewritten partition has new files only; where an old one is left, no row went to the partition.
+    spark.catalog.refreshByPath(path)
+    there = spark.read.parquet(path).select(file).distinct()
+    for row in touched.join(there, "_file", "left_semi").select("_file").toLocalIterator():
+        gone = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["_file"])).getParent()  # the name is URI-encoded
+        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    return number

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import SparkSession
 
@@ -34,8 +35,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints: the one the session names, else a new local one.
 
     A cluster names a folder that every executor reaches in
-    ``spark.checkpoint.dir``; only where nothing is set (tests) is a fresh
-    temporary folder made.
+    ``spark.checkpoint.dir``; only where nothing is set and all runs on one
+    machine (a local master, as in tests) is a fresh temporary folder made.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -45,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return named
     if current:
         return current
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("name a folder that all executors reach in spark.checkpoint.dir")
     import tempfile
 
     made = tempfile.mkdtemp(prefix="run-", dir="/tmp")

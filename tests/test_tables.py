@@ -205,3 +205,11 @@ def test_merge_partitions_removes_emptied_ones(spark, tmp_path):
     merge_partitions(spark, path, spark.read.parquet(root), ["id"], "day")
     spark.catalog.refreshByPath(path)
     assert rows(spark.read.parquet(path)) == [(1, "a2", "z"), (2, "b", "z"), (3, "c2", "z")]
+
+
+def test_null_keys_are_inserted_not_refused(spark):
+    target = spark.createDataFrame([(1, "a"), (None, "b")], "id long, v string")
+    source = spark.createDataFrame([(1, "x"), (None, "y"), (None, "y"), (2, "z")], "id long, v string")
+    for small in (False, True):
+        assert rows(merge(target, source, ["id"], small_source=small)) == sorted(
+            [(1, "x"), (None, "b"), (None, "y"), (None, "y"), (2, "z")], key=repr)
