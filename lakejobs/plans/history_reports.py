@@ -477,10 +477,9 @@ def rep_run_as_vs_executed(t):
 
 @report("rep_idle_warehouses", f"""
 SELECT warehouse_id, count(*) AS query_count_7d, CAST(sum(total_duration_ms) AS BIGINT) / 1000.0 AS total_duration_sec
-FROM query_history WHERE {LAST.format(7)} AND warehouse_id IS NOT NULL GROUP BY 1 HAVING count(*) < 230""")
+FROM query_history WHERE {LAST.format(7)} AND warehouse_id IS NOT NULL GROUP BY 1 HAVING count(*) < 10""")
 def rep_idle_warehouses(t):
-    """230 statements instead of the usual 10, to suit ten busy warehouses."""
-    return idle_warehouses(t, 230)
+    return idle_warehouses(t)
 
 
 def idle_warehouses(t, fewer_than: int = 10):

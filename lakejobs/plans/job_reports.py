@@ -92,13 +92,12 @@ def rep_job_run_duration_trend(t):
 
 
 @query("rep_jobs_always_fail", views=TIMELINE, sql=f"""
-WITH {RUNS_SQL.format(last=LAST.format(2))}
+WITH {RUNS_SQL.format(last=LAST.format(14))}
 SELECT job_id, count(*) AS total_runs, count(*) FILTER (result_state = 'FAILED') AS failed_runs,
        min(run_start) AS first_failure, max(run_start) AS last_failure
 FROM runs GROUP BY job_id HAVING count(*) FILTER (result_state = 'SUCCESS') = 0""")
 def rep_jobs_always_fail(t):
-    """Two days instead of the usual 14, in which each job of this data succeeds once."""
-    return jobs_always_fail(t, 2)
+    return jobs_always_fail(t)
 
 
 def jobs_always_fail(t, days: int = 14):
@@ -195,18 +194,17 @@ WITH {RUNS_SQL.format(last=LAST.format(14))},
 outcome AS (SELECT job_id, count(*) AS total_runs, count(*) FILTER (result_state = 'FAILED') AS failed_runs
             FROM runs GROUP BY job_id HAVING count(*) FILTER (result_state = 'FAILED') >= 1),
 written AS (SELECT DISTINCT entity_id, target_table_full_name AS name FROM table_lineage
-            WHERE entity_type = 'JOB' AND target_table_full_name IS NOT NULL AND event_date >= DATE '2001-08-01' - INTERVAL 365 DAY),
+            WHERE entity_type = 'JOB' AND target_table_full_name IS NOT NULL AND event_date >= DATE '2001-08-01' - INTERVAL 90 DAY),
 unused AS (SELECT entity_id, count(*) AS unused_count FROM written
            WHERE name NOT IN (SELECT source_table_full_name FROM table_lineage
-                              WHERE source_table_full_name IS NOT NULL AND event_date >= DATE '2001-08-01' - INTERVAL 7 DAY)
+                              WHERE source_table_full_name IS NOT NULL AND event_date >= DATE '2001-08-01' - INTERVAL 90 DAY)
            GROUP BY 1)
 SELECT job_id, total_runs, failed_runs, round(100.0 * failed_runs / CAST(total_runs AS DOUBLE), 1) AS failure_rate_pct,
        coalesce(unused_count, 0) AS unused_tables_created
 FROM outcome LEFT JOIN unused ON CAST(job_id AS VARCHAR) = CAST(entity_id AS VARCHAR)
 ORDER BY failure_rate_pct DESC, unused_tables_created DESC, job_id LIMIT 30""")
 def rep_failing_jobs_unused_output(t):
-    """Written in a year and not read for a week, instead of the usual 90 days for both, in which all is read."""
-    return failing_jobs_unused_output(t, 365, 7)
+    return failing_jobs_unused_output(t)
 
 
 def failing_jobs_unused_output(t, written_days: int = 90, read_days: int = 90):

@@ -49,12 +49,11 @@ def rep_tables_no_recent_reads(t):
 
 @query("rep_cold_tables", views=LINEAGE, sql=f"""
 WITH {ALL_NAMES_SQL}
-SELECT n AS table_full_name, 'no_activity_2d' AS reason FROM known
-WHERE NOT EXISTS (SELECT 1 FROM table_lineage WHERE {LAST.format(2)}
+SELECT n AS table_full_name, 'no_activity_90d' AS reason FROM known
+WHERE NOT EXISTS (SELECT 1 FROM table_lineage WHERE {LAST.format(90)}
                   AND (source_table_full_name = n OR target_table_full_name = n))""")
 def rep_cold_tables(t):
-    """Two days instead of the usual 90, in which every table of this data is active."""
-    return cold_tables(t, 2)
+    return cold_tables(t)
 
 
 def cold_tables(t, days: int = 90):
@@ -124,10 +123,9 @@ WITH w AS (SELECT target_table_full_name, max(event_time) AS last_write_time FRO
            WHERE target_table_full_name IS NOT NULL AND {LAST.format(365)} GROUP BY 1)
 SELECT target_table_full_name, last_write_time,
        date_diff('day', CAST(last_write_time AS DATE), DATE '2001-08-01') AS days_since_write
-FROM w WHERE last_write_time < TIMESTAMP '2001-08-01' - INTERVAL 30 DAY""")
+FROM w WHERE last_write_time < TIMESTAMP '2001-08-01' - INTERVAL 90 DAY""")
 def rep_stale_tables(t):
-    """30 days instead of the usual 90, after which no table of this data is stale."""
-    return stale_tables(t, 30)
+    return stale_tables(t)
 
 
 def stale_tables(t, stale_days: int = 90):
@@ -305,9 +303,9 @@ def rep_cluster_list(t):
 
 
 @query("rep_top_shared_catalogs", views=LINEAGE, sql="""
-SELECT split_part(source_table_full_name, '.', 2) AS catalog_name, count(*) AS iteration FROM table_lineage
+SELECT split_part(source_table_full_name, '.', 1) AS catalog_name, count(*) AS iteration FROM table_lineage
 WHERE source_table_full_name IS NOT NULL GROUP BY 1 ORDER BY iteration DESC, 1 LIMIT 10""")
 def rep_top_shared_catalogs(t):
-    part = F.split_part(F.col(SOURCE), F.lit("."), F.lit(2)).alias("catalog_name")
+    part = F.split_part(F.col(SOURCE), F.lit("."), F.lit(1)).alias("catalog_name")
     return t.table_lineage.where(F.col(SOURCE).isNotNull()).groupBy(part).agg(F.count("*").alias("iteration")).orderBy(
         F.desc("iteration"), "catalog_name").limit(10)

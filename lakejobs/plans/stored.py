@@ -52,7 +52,7 @@ def scan_csv_stream_schema(t):
     return landed(t, rows, root)
 
 
-@query("scan_csv_stream_infer", CUSTOMER_SQL)
+@query("scan_csv_stream_infer", CUSTOMER_SQL.replace(" FROM", ", CAST(NULL AS VARCHAR) AS _rescued_data FROM"))
 def scan_csv_stream_infer(t):
     root = stage(t)
     t.customer.write.option("header", True).option("sep", ";").csv(f"{root}/in")

@@ -44,8 +44,8 @@ def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
     return T.StructType.fromJson(json.loads(found)) if found else None
 
 
-def save_schema(spark: SparkSession, location: str, schema: T.StructType) -> None:
-    row = spark.createDataFrame([(json.dumps(schema.jsonValue()),)], "doc string")
+def save_schema(spark: SparkSession, location: str, schema: T.StructType, until: str | None = None) -> None:
+    row = spark.createDataFrame([(json.dumps(schema.jsonValue()), until)], "doc string, until string")
     row.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").json(location)
 
 
@@ -72,29 +72,39 @@ def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
     return T.StructType(list(fields.values()))
 
 
-def newest_files(spark: SparkSession, path: str, limit: int) -> list[str]:
-    """Paths of the newest files, from the listing alone (a bounded list)."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    rows = listing.where("length > 0").orderBy(F.desc("modificationTime"), "path").select("path").limit(limit).collect()
-    return [r["path"] for r in rows]
+def inferred_until(spark: SparkSession, location: str) -> str | None:
+    """Modification time, as text, up to which files went into the remembered schema."""
+    try:
+        return spark.read.schema("at timestamp, until string").json(location).agg(F.max("until")).first()[0]
+    except Exception as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return None
+        raise
 
 
 def stream_csv_inferred(
-    spark: SparkSession, path: str, schema_location: str, infer_files: int = 1000, **options: str
+    spark: SparkSession, path: str, schema_location: str, rescued: str = "_rescued_data", **options: str
 ) -> DataFrame:
-    """Incremental CSV scan with inferred types and a remembered schema.
+    """Incremental CSV scan with inferred types, a remembered schema and a rescued column.
 
-    Types are inferred once per start, from the newest ``infer_files`` files only,
-    and merged into the remembered schema; new columns are picked up at the next
-    start. A value that does not fit its type is read as NULL.
+    Types are inferred at each start from all files that no earlier start has
+    seen (by modification time, the newest second again), and merged into the
+    remembered schema, so neither types nor columns of older files are lost. A line
+    that does not fit the schema, as one of a file that comes later may, is kept
+    whole in ``rescued`` beside the fields that could be read.
     """
     options = {"header": "true", **options}
-    found = spark.read.options(inferSchema="true", **options).csv(newest_files(spark, path, infer_files)).schema
-    known = load_schema(spark, schema_location)
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    newest = listing.where("length > 0").agg(
+        F.date_format(F.max("modificationTime") - F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss").alias("at")).first()["at"]
+    known, since = load_schema(spark, schema_location), inferred_until(spark, schema_location)
+    unseen = {"modifiedAfter": since, "timeZone": spark.conf.get("spark.sql.session.timeZone")} if known and since else {}
+    found = spark.read.options(inferSchema="true", **options, **unseen).csv(path).schema
     merged = found if known is None else merge_schemas(known, found)
-    if merged != known:
-        save_schema(spark, schema_location, merged)
-    return spark.readStream.schema(merged).options(**options).csv(path)
+    if merged != known or newest != since:
+        save_schema(spark, schema_location, merged, newest)
+    whole = T.StructType([*merged.fields, T.StructField(rescued, T.StringType())])
+    return spark.readStream.schema(whole).options(columnNameOfCorruptRecord=rescued, **options).csv(path)
 
 
 # --- rows that do not fit ---------------------------------------------------------

@@ -70,7 +70,7 @@ SELECT event_id AS statement_id, ts AS start_time, user_id AS executed_by,
        CASE WHEN event_id % 9 = 0 THEN user_id + 1000 ELSE user_id END AS executed_as,
        CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'CANCELED' ELSE 'FINISHED' END AS execution_status,
        CASE WHEN event_id % 13 = 0 THEN NULL ELSE event_type END AS client_application,
-       CASE WHEN event_id % 17 = 0 THEN NULL ELSE user_id % 10 END AS warehouse_id,
+       CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 499 = 3 THEN 1000 + event_id % 60 ELSE user_id % 10 END AS warehouse_id,
        user_id % 3 AS workspace_id, user_id % 2 AS account_id,
        CAST(round(value * 1000) AS BIGINT) * CASE WHEN event_id % 50 = 0 THEN 20 ELSE 1 END AS total_duration_ms,
        CAST(round(value * 1000) AS BIGINT) % 7000 AS compilation_duration_ms,
@@ -113,7 +113,8 @@ SELECT CASE WHEN o_orderstatus = 'F' THEN NULL
             ELSE concat('main.s', CAST(o_orderkey % 131 % 5 AS VARCHAR(10)), '.t', CAST(o_orderkey % 131 AS VARCHAR(10))) END AS target_table_full_name,
        CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH') THEN 'JOB' ELSE o_orderpriority END AS entity_type,
        o_custkey AS entity_id, o_custkey % 50 AS created_by,
-       o_orderdate AS event_time, CAST(o_orderdate AS DATE) AS event_date
+       CASE WHEN o_orderkey % 131 >= 121 THEN o_orderdate - INTERVAL '200' DAY ELSE o_orderdate END AS event_time,
+       CAST(CASE WHEN o_orderkey % 131 >= 121 THEN o_orderdate - INTERVAL '200' DAY ELSE o_orderdate END AS DATE) AS event_date
 FROM {orders}
 """,
         ("orders",),
@@ -123,7 +124,7 @@ FROM {orders}
 SELECT event_id AS slice_id, user_id % 7 AS workspace_id, user_id AS job_id, user_id % 30 AS group_id,
        user_id * 100 + EXTRACT(DAY FROM ts) AS run_id, ts AS period_start_time,
        CAST(round(value) AS BIGINT) AS slice_sec, event_type AS trigger_type,
-       CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'purchase' THEN 'SUCCESS' END AS result_state
+       CASE WHEN event_type = 'error' OR event_type = 'purchase' AND user_id % 20 = 7 THEN 'FAILED' WHEN event_type = 'purchase' THEN 'SUCCESS' END AS result_state
 FROM {events}
 """,
         ("events",),
