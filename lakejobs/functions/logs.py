@@ -13,22 +13,25 @@ FIELDS = (
     "error_code bytes_sent object_size total_time turn_around_time referrer user_agent version_id host_id "
     "signature_version cipher_suite authentication_type host_header tls_version"
 ).split()
-_QUOTED = {"request_uri", "referrer", "user_agent"}
-LINE_PATTERN = " ".join(
-    r"\[(\S+ [+-]\d{4})\]" if f == "request_datetime" else '"(.*?)"' if f in _QUOTED else r"(\S+)" for f in FIELDS)
+# The time is two blank-separated tokens in brackets.
+_TOKENS = [t for f in FIELDS for t in (("request_day", "request_zone") if f == "request_datetime" else (f,))]
 
 
 def parse_log(lines: DataFrame, value: str = "value") -> DataFrame:
     """One column per field; a line that does not match has NULLs. Works on batch and stream.
 
-    The long pattern runs once per line: its groups are joined by a control
-    character and split. The explode of the one-element array keeps later filters
-    above the match, so a filter does not run it again.
+    A line is a CSV record with blanks as separators and quotes around the fields
+    that may hold blanks, so one pass of the JVM's CSV parser splits it. The
+    explode of the one-element array keeps later filters above the parse, so a
+    filter does not run it again.
     """
-    joined = F.regexp_replace(F.col(value), f"^{LINE_PATTERN}$", "\u0001".join(f"${i + 1}" for i in range(len(FIELDS))))
-    split = lines.select(F.explode(F.array(F.split(joined, "\u0001"))).alias("f"))
-    matched = F.size("f") == len(FIELDS)
-    fields = split.select(*[F.when(matched, F.get("f", F.lit(i))).alias(name) for i, name in enumerate(FIELDS)])
+    schema = ", ".join(f"{t} string" for t in [*_TOKENS, "_bad"])
+    parsed = F.from_csv(F.col(value), schema, {"sep": " ", "quote": '"', "escape": "\u0000", "columnNameOfCorruptRecord": "_bad"})
+    split = lines.select(F.explode(F.array(parsed)).alias("f"))
+    matched = F.col("f._bad").isNull() & F.col("f.request_day").startswith("[") & F.col("f.request_zone").endswith("]")
+    instant = F.concat_ws(" ", F.substr("f.request_day", F.lit(2)), F.rtrim(F.col("f.request_zone"), F.lit("]")))
+    fields = split.select(*[
+        F.when(matched, instant if name == "request_datetime" else F.col(f"f.{name}")).alias(name) for name in FIELDS])
     return fields.withColumns({
         "bytes_sent": F.col("bytes_sent").try_cast("long"), "request_uri": part("request_uri", " ", 1),
         "request_date": F.to_date(F.try_to_timestamp("request_datetime", F.lit("dd/MMM/yyyy:HH:mm:ss Z"))),

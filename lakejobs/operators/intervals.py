@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lakejobs.operators.ordered import running_totals
+
 
 def epoch_micros(ts: str | Column) -> Column:
     column = F.col(ts) if isinstance(ts, str) else ts
@@ -50,6 +52,22 @@ def peak_overlap(
     return running.groupBy(*keys, "bucket").agg(*[F.max(name).alias(name) for name in weights])
 
 
+def open_at(points: DataFrame, intervals: DataFrame, point: str, lo: str, hi: str, name: str) -> DataFrame:
+    """Number of ``[lo, hi]`` intervals (epoch seconds, both ends included) that hold each point.
+
+    Every interval is a +1 at its start and a -1 behind its end, whatever its
+    length; a point reads the running sum of the changes up to it. The sum runs in
+    slices of the time axis, so busy stretches spread over tasks.
+    """
+    changes = intervals.select(F.explode(F.array(
+        F.struct(F.col(lo).alias("at"), F.lit(1).alias("step")), F.struct((F.col(hi) + 1).alias("at"), F.lit(-1).alias("step")))).alias("c"))
+    summed = changes.groupBy(F.col("c.at").alias("at")).agg(F.sum("c.step").alias("step"))
+    asked = points.select(F.col(point).alias("at"), F.lit(1).alias("asks"))
+    both = summed.withColumn("asks", F.lit(0)).unionByName(asked, allowMissingColumns=True)
+    counted = running_totals(both, [], ["at", "asks"], {name: F.col("step")})
+    return counted.where("asks = 1").select(F.col("at").alias(point), name)
+
+
 def range_join(
     points: DataFrame, ranges: DataFrame, point: str, lo: str, hi: str, bucket_seconds: int = 3600,
     keys: list[str] | None = None,

@@ -115,11 +115,12 @@ def agg_rounding(t):
 @query("agg_pivot_first", """
 WITH kv AS (SELECT user_id, event_type, arg_min(value, (ts, event_id)) AS v FROM events GROUP BY 1, 2)
 SELECT user_id, max(v) FILTER (event_type = 'signup') AS signup, max(v) FILTER (event_type = 'click') AS click,
-       max(v) FILTER (event_type = 'purchase') AS purchase FROM kv GROUP BY 1""")
+       max(v) FILTER (event_type = 'purchase') AS purchase, max(v) FILTER (event_type = 'view') AS view,
+       max(v) FILTER (event_type = 'error') AS error FROM kv GROUP BY 1""")
 def agg_pivot_first(t):
     """Key/value rows to columns with the earliest value of each key; values are named, so no extra job finds them."""
     first = F.min_by("value", F.struct("ts", "event_id"))
-    return t.events.groupBy("user_id").pivot("event_type", ["signup", "click", "purchase"]).agg(first)
+    return t.events.groupBy("user_id").pivot("event_type", ["signup", "click", "purchase", "view", "error"]).agg(first)
 
 
 @query("agg_time_bucket", """

@@ -320,18 +320,21 @@ def udf_struct(t):
     return t.events.select("event_id", facts("props").alias("f")).select("event_id", "f.*")
 
 
-@query("script_handler", "SELECT count(*) AS done, 'stopped' AS state FROM orders WHERE o_orderkey < 3")
+@query("script_handler", """
+WITH step AS (SELECT o_orderpriority, count(*) AS n, row_number() OVER (ORDER BY o_orderpriority) AS no FROM orders GROUP BY 1)
+SELECT CAST(sum(n) AS BIGINT) AS done, 'stopped' AS state FROM step WHERE no < 3""")
 def script_handler(t):
-    """The third step divides by zero; the EXIT handler reports the steps that were done."""
+    """A step for each priority; the third divides by zero, and the EXIT handler reports the orders of the steps that were done."""
     t.orders.createOrReplaceTempView("lakejobs_orders")
     return t.spark.sql("""
         BEGIN
           DECLARE done BIGINT DEFAULT 0;
           DECLARE ratio DOUBLE DEFAULT 0;
           DECLARE EXIT HANDLER FOR DIVIDE_BY_ZERO BEGIN SELECT done, 'stopped' AS state; END;
-          FOR o AS SELECT o_orderkey FROM lakejobs_orders WHERE o_orderkey < 5 ORDER BY o_orderkey DO
-            IF o.o_orderkey = 3 THEN SET ratio = 1 / 0; END IF;
-            SET done = done + 1;
+          FOR o AS SELECT o_orderpriority, count(*) AS n, row_number() OVER (ORDER BY o_orderpriority) AS no
+                   FROM lakejobs_orders GROUP BY o_orderpriority ORDER BY o_orderpriority DO
+            IF o.no = 3 THEN SET ratio = 1 / 0; END IF;
+            SET done = done + o.n;
           END FOR;
           SELECT done, 'complete' AS state;
         END""")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakejobs.operators.intervals import epoch_to_ntz, range_join
+from lakejobs.operators.intervals import epoch_to_ntz, open_at
 from lakejobs.operators.ordered import dense_number
 from lakejobs.operators.relational import between_half_open, latest_by, since, union_all_by_name
 from lakejobs.operators.families import spread_families
@@ -239,19 +239,19 @@ def join_like_broadcast(t):
 
 
 @query("join_range_spine", views=("run_timeline",), sql="""
-WITH spine AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 MINUTE)) AS tick)
+WITH spine AS (SELECT unnest(generate_series(date_trunc('minute', min(period_start_time)), max(period_start_time + to_seconds(slice_sec)), INTERVAL 1 MINUTE)) AS tick FROM run_timeline)
 SELECT tick, count(*) AS open_slices FROM spine JOIN run_timeline
   ON tick >= date_trunc('second', period_start_time)
  AND tick <= date_trunc('second', period_start_time) + to_seconds(slice_sec) GROUP BY 1""")
 def join_range_spine(t):
-    """Open slices at each full minute: minute spine joined to the intervals that hold it."""
+    """Open slices at each full minute of the data's range that has any, by a sweep over both ends of the slices."""
     ends = t.run_timeline.select(
         F.unix_timestamp(F.col("period_start_time").cast("timestamp")).alias("lo"), "slice_sec"
     ).withColumn("hi", F.col("lo") + F.col("slice_sec"))
-    first, last = 1_704_067_200 // 60, 1_706_659_200 // 60
-    spine = t.spark.range(first, last + 1).select((F.col("id") * 60).alias("tick"))
-    return range_join(spine, ends, "tick", "lo", "hi", 600).groupBy("tick").agg(
-        F.count("*").alias("open_slices")).select(epoch_to_ntz(F.col("tick")).alias("tick"), "open_slices")
+    spine = ends.agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where("first IS NOT NULL").select(
+        F.explode(F.sequence((F.col("first") - F.col("first") % 60), F.col("last"), F.lit(60).cast("long"))).alias("tick"))
+    return open_at(spine, ends, "tick", "lo", "hi", "open_slices").where("open_slices > 0").select(
+        epoch_to_ntz(F.col("tick")).alias("tick"), "open_slices")
 
 
 @query("join_feature_lookup", """
@@ -270,14 +270,14 @@ SELECT group_id, CAST(substr(family, 2) AS INTEGER) AS family, child FROM pick U
 
 
 @query("join_cross_spread", """
-SELECT a.n_name AS first_child, b.n_name AS second_child FROM nation a, nation b WHERE a.n_regionkey = 0 AND b.n_regionkey = 1""")
+SELECT a.n_name AS child_0, b.n_name AS child_1, c.n_name AS child_2, d.n_name AS child_3, e.n_name AS child_4
+FROM nation a, nation b, nation c, nation d, nation e
+WHERE a.n_regionkey = 0 AND b.n_regionkey = 1 AND c.n_regionkey = 2 AND d.n_regionkey = 3 AND e.n_regionkey = 4""")
 def join_cross_spread(t):
-    """One child of each of two families: every combination, decoded from its number."""
-    two = t.nation.where("n_regionkey < 2").select("n_regionkey", "n_name")
-    picked = spread_families(two, "n_regionkey", "n_name")
-    return picked.groupBy("group_id").agg(
-        F.max(F.when(F.col("family") == 0, F.col("child"))).alias("first_child"),
-        F.max(F.when(F.col("family") == 1, F.col("child"))).alias("second_child")).drop("group_id")
+    """One child of each of the five families: every combination, decoded from its number."""
+    picked = spread_families(t.nation, "n_regionkey", "n_name")
+    return picked.groupBy("group_id").agg(*[
+        F.max(F.when(F.col("family") == i, F.col("child"))).alias(f"child_{i}") for i in range(5)]).drop("group_id")
 
 
 @query("dynamic_family_options", SPREAD_SQL)

@@ -262,9 +262,9 @@ def variant_parse(t):
 @query("variant_path", """
 SELECT event_id, user_id AS uid, value * 2 AS doubled, event_type AS kind, CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS next_k FROM events""")
 def variant_path(t):
-    doc = t.events.select("event_id", F.parse_json(F.to_json(F.struct(
+    doc = t.events.select("event_id", F.to_variant_object(F.struct(
         F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("kind")).alias("user"), "value",
-        F.from_json("props", "k long").alias("props")))).alias("v"))
+        F.from_json("props", "k long").alias("props"))).alias("v"))
     return t.spark.sql("""
         SELECT event_id, v:user.id::bigint AS uid, v:value::double * 2 AS doubled, v:user.kind::string AS kind,
                v:props:k::bigint + 1 AS next_k FROM {doc}""".replace("v:props:k", "v:props.k"), doc=doc)

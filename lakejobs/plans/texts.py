@@ -54,10 +54,10 @@ def text_summarize(t):
     return texts.summarize(t.documents, "doc_id", "text", 40)
 
 
-@query("text_batch_infer", "SELECT doc_id, CAST(length(lang || ': ' || source) AS VARCHAR) AS answer FROM documents")
+@query("text_batch_infer", "SELECT doc_id, CAST(length(lang || ': ' || text) AS VARCHAR) AS answer FROM documents")
 def text_batch_infer(t):
     """Prompts from columns, answered by a stand-in model that returns the prompt length."""
-    prompts = t.documents.select("doc_id", F.concat("lang", F.lit(": "), "source").alias("prompt"))
+    prompts = t.documents.select("doc_id", F.concat("lang", F.lit(": "), "text").alias("prompt"))
     return texts.infer(prompts, "prompt", "answer", lambda batch: [str(len(p)) for p in batch]).select("doc_id", "answer")
 
 
@@ -93,14 +93,14 @@ def rag_context(t):
 
 
 @query("eval_answers", r"""
-WITH p AS (SELECT a.conv_id, b.text AS response, a.text AS expected FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE a.turn = 0),
-w AS (SELECT conv_id, response = expected AS exact, list_distinct(list_filter(regexp_split_to_array(lower(response), '\s+'), lambda x: x <> '')) AS r,
+WITH p AS (SELECT a.conv_id, b.turn, b.text AS response, a.text AS expected FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1),
+w AS (SELECT conv_id, turn, response = expected AS exact, list_distinct(list_filter(regexp_split_to_array(lower(response), '\s+'), lambda x: x <> '')) AS r,
              list_distinct(list_filter(regexp_split_to_array(lower(expected), '\s+'), lambda x: x <> '')) AS e FROM p)
-SELECT conv_id, exact, round(len(list_intersect(r, e)) / CAST(nullif(len(e), 0) AS DOUBLE), 6) AS overlap FROM w""")
+SELECT conv_id, turn, exact, round(len(list_intersect(r, e)) / CAST(nullif(len(e), 0) AS DOUBLE), 6) AS overlap FROM w""")
 def eval_answers(t):
-    """Each second turn scored against the first turn as the expected text."""
-    first = t.conversations.where("turn = 0").select("conv_id", F.col("text").alias("expected"))
-    second = t.conversations.where("turn = 1").select("conv_id", F.col("text").alias("response"))
-    return first.join(second, "conv_id").select(
-        "conv_id", (F.col("response") == F.col("expected")).alias("exact"),
+    """Each turn scored against the turn before it as the expected text."""
+    first = t.conversations.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("expected"))
+    second = t.conversations.select("conv_id", "turn", F.col("text").alias("response"))
+    return first.join(second, ["conv_id", "turn"]).select(
+        "conv_id", "turn", (F.col("response") == F.col("expected")).alias("exact"),
         F.round(texts.overlap_share("response", "expected"), 6).alias("overlap"))
