@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Lengths of a range; ranges are summed first, so no task orders more lengths than this.
-RANGE = 1024
+RANGE = 128
 #: Vocabulary file of a public byte-level BPE; pass another path where it lies elsewhere.
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
