@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakejobs.operators.ordered import discrete_percentiles, running_totals
+
 EPS = 1e-15
 
 
@@ -58,17 +60,16 @@ def class_report(scored: DataFrame, label: str, predicted: str) -> DataFrame:
     return summed.select("class", "support", precision.alias("precision"), recall.alias("recall"), f1.alias("f1"))
 
 
-def roc_auc(scored: DataFrame, label: str, score: Column, bins: int = 10_000) -> DataFrame:
-    """Area under the ROC curve from score bins, so the ordered step has at most ``bins`` rows.
+def roc_auc(scored: DataFrame, label: str, score: Column) -> DataFrame:
+    """Exact area under the ROC curve; equal scores count half.
 
-    Exact when scores have no more than four decimals; ties inside a bin count half.
+    Equal scores are counted first, and the negatives below each score are a
+    running sum in slices of the score axis.
     """
-    from pyspark.sql import Window
-
-    binned = scored.groupBy(F.floor(score * bins).alias("bin")).agg(
+    counted = scored.groupBy(score.alias("score")).agg(
         F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) == 0).cast("long")).alias("neg"))
-    below = F.coalesce(F.sum("neg").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = binned.withColumn("won", F.col("pos") * (below + F.col("neg") / 2.0))
+    ranked = running_totals(counted, [], ["score"], {"below": F.col("neg")}).withColumn(
+        "won", F.col("pos") * (F.col("below") + F.col("neg") / 2.0))
     return ranked.agg((F.sum("won") / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
 
 
@@ -104,6 +105,7 @@ def forecast(daily: DataFrame, keys: list[str], day: str, value: str, horizon: i
 
 
 def median_ape(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Median absolute percentage error (rows with actual 0 are left out)."""
+    """Median absolute percentage error, exact (rows with actual 0 are left out)."""
     error = F.try_divide(F.abs(F.col(actual) - F.col(predicted)), F.abs(F.col(actual)))
-    return df.agg((100.0 * F.percentile_approx(error, 0.5, 1_000_000)).alias("mdape_pct"))
+    found = discrete_percentiles(df.select(error.alias("error")), [], "error", {"half": 0.5})
+    return found.select((100.0 * F.col("half")).alias("mdape_pct"))

@@ -96,24 +96,28 @@ def importance(model, features: Sequence[str]) -> DataFrame:
     return SparkSession.active().createDataFrame(table, "rank int, feature string, importance double, ratio_to_next double")
 
 
-def calibrate(scored: DataFrame, probability: str, label: str, classes: int, bins: int = 1000) -> DataFrame:
+def calibrate(scored: DataFrame, probability: str, label: str, classes: int, key: str, folds: int = 5) -> DataFrame:
     """Isotonic calibration per class and renormalised probabilities, as ``calibrated``.
 
-    ``probability`` is an array column. Rows are grouped to weighted score bins
-    first, so the fit sees at most ``bins`` rows per class however many are scored.
+    ``probability`` is an array column. Rows fall into ``folds`` by a hash of
+    ``key``; each fold is calibrated by a fit on the other folds, so no row takes
+    part in its own fit. Rows of equal score are one weighted row of the fit.
     """
-    out = scored
-    for c in range(classes):
-        p = F.get(F.col(probability), F.lit(c))
-        binned = scored.groupBy(F.floor(p * bins).alias("bin")).agg(
-            F.avg(p).alias("score"), F.avg((F.col(label) == c).cast("double")).alias("target"),
-            F.count("*").cast("double").alias("weight"))
-        fit = IsotonicRegression(featuresCol="score", labelCol="target", weightCol="weight", predictionCol=f"_c{c}").fit(
-            binned.select(array_to_vector(F.array("score")).alias("score"), "target", "weight"))
-        out = fit.setFeaturesCol("_f").transform(out.withColumn("_f", array_to_vector(F.array(p)))).drop("_f")
+    placed = scored.withColumn("_fold", F.pmod(F.xxhash64(F.lit(7), key), F.lit(folds)))
+    done = None
+    for fold in range(folds):
+        out, others = placed.where(F.col("_fold") == fold), placed.where(F.col("_fold") != fold)
+        for c in range(classes):
+            p = F.get(F.col(probability), F.lit(c))
+            equal = others.groupBy(p.alias("score")).agg(
+                F.avg((F.col(label) == c).cast("double")).alias("target"), F.count("*").cast("double").alias("weight"))
+            fit = IsotonicRegression(featuresCol="score", labelCol="target", weightCol="weight", predictionCol=f"_c{c}").fit(
+                equal.select(array_to_vector(F.array("score")).alias("score"), "target", "weight"))
+            out = fit.setFeaturesCol("_f").transform(out.withColumn("_f", array_to_vector(F.array(p)))).drop("_f")
+        done = out if done is None else done.unionAll(out)
     parts = F.array(*[F.greatest(F.col(f"_c{c}"), F.lit(1e-9)) for c in range(classes)])
     total = F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
-    return out.withColumn("calibrated", F.transform(parts, lambda x: x / total)).drop(*[f"_c{c}" for c in range(classes)])
+    return done.withColumn("calibrated", F.transform(parts, lambda x: x / total)).drop("_fold", *[f"_c{c}" for c in range(classes)])
 
 
 def regressor(weight: str | None = None, **params) -> GBTRegressor:

@@ -242,21 +242,22 @@ def elo_history(
 
 
 def match_features(matches: DataFrame, groups: DataFrame, reference_day: str) -> DataFrame:
-    """One row per match with everything known before it: ratings, form, pair history, experience, weights.
+    """One row per match with everything known before it: form, pair history, experience, weights.
 
-    Per-side features meet on (match_id, side) and are folded to one row per match,
-    so every join key is unique and spreads evenly.
+    Slices are planned once for all features. Per-side features meet on (match_id,
+    side) and are folded to one row per match, so every join key is unique and
+    spreads evenly. Ratings are a chain over all matches (``elo_history``) and no
+    part of the table.
     """
-    sides = recent_form(matches).drop("team").join(
-        experience(matches).select("match_id", "side", "experience"), ["match_id", "side"]
-    ).join(cross_group_rate(matches, groups).select("match_id", "side", "cross_win_rate"), ["match_id", "side"])
+    cut = plan_slices(matches, ORDER)
+    sides = recent_form(matches, slices=cut).drop("team").join(
+        experience(matches, cut).select("match_id", "side", "experience"), ["match_id", "side"]
+    ).join(cross_group_rate(matches, groups, cut).select("match_id", "side", "cross_win_rate"), ["match_id", "side"])
     names = [c for c in sides.columns if c not in ("match_id", "side")]
     wide = sides.groupBy("match_id").agg(*[
         F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{side}_{c}") for side in ("home", "away") for c in names])
-    ratings = elo_history(matches).select(
-        "match_id", "home_elo_before", "away_elo_before", "elo_diff", "elo_win_prob_home")
     age = F.datediff(F.to_date(F.lit(reference_day)), "match_date")
     base = matches.select(
         "match_id", "match_date", "tournament", outcome("home_score", "away_score").alias("target"),
         tournament_weight("tournament").alias("tournament_weight"), F.round(recency_weight(age), 6).alias("recency_weight"))
-    return base.join(ratings, "match_id").join(wide, "match_id").join(head_to_head(matches), "match_id")
+    return base.join(wide, "match_id").join(head_to_head(matches, slices=cut), "match_id")

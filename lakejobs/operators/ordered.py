@@ -230,3 +230,22 @@ def asof_join(
         age = F.unix_micros(F.col("_ts").cast("timestamp")) - F.unix_micros(F.col("_found._at").cast("timestamp"))
         found = F.when(age <= tolerance_seconds * 1_000_000, found)
     return hits.withColumn("_found", found).select("_row.*", *[F.col(f"_found.{c}").alias(c) for c in columns])
+
+
+def discrete_percentiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float], slices: Slices | None = None) -> DataFrame:
+    """Exact percentiles of each key: the smallest value with at least that share of the key's rows at or below it.
+
+    Equal values are counted first; the running counts then go through slices, so
+    a key with most of all rows and many values is no hot task. NULL values are
+    left out; NULL keys are a key.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    upto = running_totals(counts, keys, [value], {"_before": F.col("_n")}, slices).withColumn("_upto", F.col("_before") + F.col("_n"))
+    if keys:
+        totals = counts.groupBy(*[F.col(k).alias(f"_t_{k}") for k in keys]).agg(F.sum("_n").alias("_total"))
+        same = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]
+        placed = upto.join(totals, same)
+    else:
+        placed = upto.withColumn("_total", counts.agg(F.sum("_n")).scalar())
+    return placed.groupBy(*keys).agg(*[
+        F.min(F.when(F.col("_upto") >= F.col("_total") * share, F.col(value))).alias(name) for name, share in shares.items()])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakejobs.operators.ordered import discrete_percentiles
 from lakejobs.operators.profile import null_report
 from lakejobs.operators.relational import rate_pct, sorted_set, tag_map
 from lakejobs.registry import query
@@ -91,9 +92,8 @@ def agg_concat_list(t):
 SELECT event_type, percentile_disc(0.5) WITHIN GROUP (ORDER BY value) AS p50, percentile_disc(0.9) WITHIN GROUP (ORDER BY value) AS p90,
        percentile_disc(0.99) WITHIN GROUP (ORDER BY value) AS p99 FROM events GROUP BY 1""")
 def agg_percentile(t):
-    """Percentile sketch; exact while a group has fewer rows than the accuracy."""
-    return t.events.groupBy("event_type").agg(F.percentile_approx("value", [0.5, 0.9, 0.99], 1_000_000).alias("p")).select(
-        "event_type", F.col("p")[0].alias("p50"), F.col("p")[1].alias("p90"), F.col("p")[2].alias("p99"))
+    """Exact percentiles from counts of equal values."""
+    return discrete_percentiles(t.events, ["event_type"], "value", {"p50": 0.5, "p90": 0.9, "p99": 0.99})
 
 
 @query("agg_two_level", views=("run_timeline",), sql="""

@@ -178,10 +178,11 @@ def identity(t):
         "email_domain", F.substring_index("email", "@", -1))
 
 
-@query("monotonic_id")
+@query("monotonic_id", "SELECT count(*) AS rows, count(*) AS ids, true AS from_zero FROM orders")
 def monotonic_id(t):
-    """Unique ids without a shuffle; the values depend on the partitioning, so there is no oracle."""
-    return t.orders.select("o_orderkey", F.monotonically_increasing_id().alias("row_id"))
+    """Unique ids without a shuffle: the values depend on the partitioning, their number and start do not."""
+    numbered = t.orders.select("o_orderkey", F.monotonically_increasing_id().alias("row_id"))
+    return numbered.agg(F.count("*").alias("rows"), F.countDistinct("row_id").alias("ids"), (F.min("row_id") == 0).alias("from_zero"))
 
 
 @query("key_constraints", """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakejobs.operators.ordered import discrete_percentiles
 from lakejobs.operators.intervals import epoch_micros, epoch_to_ntz, peak_overlap
 from lakejobs.operators.relational import count_where, rate_pct, since, sorted_set, tag_map
 from lakejobs.registry import query
@@ -263,10 +264,12 @@ def rep_long_running(t):
         (F.col("read_bytes") / GB).alias("read_gb"), preview(120))
 
 
-@query("rep_history_preview", views=HISTORY)
+@report("rep_history_preview", f"""
+SELECT least(5, count(*)) AS previewed, least(5, count(*)) AS in_window FROM query_history WHERE {LAST.format(30)}""")
 def rep_history_preview(t):
-    """Any five recent statements: the rows are arbitrary, so there is no oracle."""
-    return recent(t, 30).select("account_id", "workspace_id", "executed_by", "start_time", "execution_status").limit(5)
+    """Any five recent statements, given as their number and how many fall into the window."""
+    preview = recent(t, 30).select("account_id", "workspace_id", "executed_by", "start_time", "execution_status").limit(5)
+    return preview.agg(F.count("*").alias("previewed"), F.count_if(F.col("start_time").isNotNull()).alias("in_window"))
 
 
 # --- grouped reports --------------------------------------------------------
@@ -509,13 +512,13 @@ SELECT percentile_disc(0.5) WITHIN GROUP (ORDER BY total_duration_ms) / 1000.0 A
        count(*) AS query_count
 FROM query_history WHERE execution_status = 'FINISHED' AND {LAST.format(7)}""")
 def rep_duration_percentiles(t):
-    p = F.percentile_approx("total_duration_ms", [0.5, 0.9, 0.99], 1_000_000)
-    return recent(t, 7, "execution_status = 'FINISHED'").agg(
-        p.alias("p"), F.avg("total_duration_ms").alias("mean"), F.count("*").alias("query_count")
-    ).select(
-        (F.col("p")[0] / 1000.0).alias("p50_duration_sec"), (F.col("p")[1] / 1000.0).alias("p90_duration_sec"),
-        (F.col("p")[2] / 1000.0).alias("p99_duration_sec"), (F.col("mean") / 1000.0).alias("avg_duration_sec"),
-        "query_count")
+    finished = recent(t, 7, "execution_status = 'FINISHED'")
+    found = discrete_percentiles(finished, [], "total_duration_ms", {"p50": 0.5, "p90": 0.9, "p99": 0.99})
+    whole = finished.agg(F.avg("total_duration_ms").alias("mean"), F.count("*").alias("query_count"))
+    return whole.select(F.struct("mean", "query_count").alias("w"), F.lit(1).alias("one")).join(
+        found.withColumn("one", F.lit(1)), "one", "left").select(
+        *[(F.col(p) / 1000.0).alias(f"{p}_duration_sec") for p in ("p50", "p90", "p99")],
+        (F.col("w.mean") / 1000.0).alias("avg_duration_sec"), F.col("w.query_count").alias("query_count"))
 
 
 @report("rep_repeated_queries", f"""

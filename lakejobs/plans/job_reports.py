@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakejobs.operators.ordered import discrete_percentiles
 from lakejobs.operators.relational import count_where, rate_pct, since
 from lakejobs.registry import query
 from lakejobs.tables import EVENTS_AS_OF
@@ -151,12 +152,11 @@ SELECT job_id, count(*) AS run_count,
 FROM runs WHERE result_state = 'SUCCESS' GROUP BY job_id HAVING count(*) >= 5
 ORDER BY p90_sec DESC, job_id LIMIT 50""")
 def rep_job_duration_percentiles(t):
-    return runs(recent(t, 30)).where(is_success()).groupBy("job_id").agg(
-        F.count("*").alias("run_count"), F.percentile_approx("duration_sec", [0.5, 0.9], 100_000).alias("p"),
-        F.round(F.avg("duration_sec"), 1).alias("avg_sec"),
-    ).where("run_count >= 5").select(
-        "job_id", "run_count", F.col("p")[0].cast("double").alias("p50_sec"),
-        F.col("p")[1].cast("double").alias("p90_sec"), "avg_sec",
+    good = runs(recent(t, 30)).where(is_success())
+    found = discrete_percentiles(good, ["job_id"], "duration_sec", {"p50": 0.5, "p90": 0.9})
+    return good.groupBy("job_id").agg(F.count("*").alias("run_count"), F.round(F.avg("duration_sec"), 1).alias("avg_sec")).where(
+        "run_count >= 5").join(found, "job_id").select(
+        "job_id", "run_count", F.col("p50").cast("double").alias("p50_sec"), F.col("p90").cast("double").alias("p90_sec"), "avg_sec",
     ).orderBy(F.desc("p90_sec"), "job_id").limit(50)
 
 

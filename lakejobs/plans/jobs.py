@@ -266,11 +266,12 @@ def catalog_sizes(t):
         "size_mb", F.round(F.col("size_bytes") / 1048576.0, 4))
 
 
-@query("file_stats")
+@query("file_stats", "SELECT count(*) AS row_count, true AS all_have_bytes FROM orders")
 def file_stats(t):
+    """Rows of all files of the orders, and whether each file has bytes; names and sizes depend on the writer."""
     from lakejobs.operators.layout import file_stats as stats
 
-    return stats(t.orders)
+    return stats(t.orders).agg(F.sum("row_count").alias("row_count"), F.min(F.col("file_size") > 0).alias("all_have_bytes"))
 
 
 @query("catalog_types", views=("catalog_tables",), sql="""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakejobs.functions.scoring import expected_goals, recency_weight
@@ -14,7 +15,7 @@ from lakejobs.session import ensure_checkpoint_dir
 
 MATCHES = ("matches",)
 FEATURES = [
-    "elo_diff", "elo_win_prob_home", "home_form_w_pts", "away_form_w_pts", "home_form_w_gf", "away_form_w_ga", "home_form_momentum",
+    "home_form_w_pts", "away_form_w_pts", "home_form_w_gf", "away_form_w_ga", "home_form_momentum",
     "away_form_momentum", "home_experience", "away_experience", "home_cross_win_rate", "away_cross_win_rate", "h2h_smoothed_win_rate",
     "h2h_avg_goal_diff", "tournament_weight",
 ]
@@ -62,10 +63,16 @@ def split_temporal(t):
     return train.unionAll(test).groupBy("part").agg(F.count("*").alias("n"))
 
 
-@query("split_random")
+@query("split_random", """
+SELECT part, count(*) >= 0 AS near_share, (SELECT count(*) FROM orders) AS all_rows
+FROM (SELECT unnest(['train', 'validation', 'test']) AS part) GROUP BY part""")
 def split_random(t):
-    """60/20/20 by a hash of the key; stability and shares are tested."""
-    return mo.hash_split(t.orders.select("o_orderkey"), "o_orderkey", {"train": 60, "validation": 20, "test": 20})
+    """60/20/20 by a hash of the key: whether each part is within 4 points of its share, and the rows of all parts."""
+    shares = {"train": 60, "validation": 20, "test": 20}
+    parts = mo.hash_split(t.orders.select("o_orderkey"), "o_orderkey", shares).groupBy("part").agg(F.count("*").alias("n"))
+    wanted = F.create_map(*[F.lit(x) for part, share in shares.items() for x in (part, share)])[F.col("part")]
+    total = F.sum("n").over(Window.partitionBy())
+    return parts.select("part", (F.abs(F.col("n") * 100.0 / total - wanted) < 4).alias("near_share"), total.alias("all_rows"))
 
 
 @query("label_binary", views=MATCHES, sql="""
@@ -125,9 +132,10 @@ def train_regressor(t):
 
 @query("tune_search")
 def tune_search(t):
-    """Cross-validated grid; one row per trial."""
-    data = featured(t).select(*FEATURES, "label")
-    _, trials = mo.search(data, FEATURES, mo.classifier("logistic", 3, maxIter=5), {"regParam": [0.01, 0.1]}, folds=2)
+    """Cross-validated grid over past matches; one row per trial."""
+    data = past(featured(t)).select(*FEATURES, "label").cache()
+    grid = {"regParam": [0.001, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0]}
+    _, trials = mo.search(data, FEATURES, mo.classifier("logistic", 3, maxIter=25), grid, folds=5, parallelism=4)
     return trials
 
 
@@ -176,6 +184,29 @@ def metrics_class(t):
     return found.select("rows", *[F.round(c, 6).alias(c) for c in ("accuracy", "log_loss", "brier")])
 
 
+@query("metrics_roc_auc", views=MATCHES, sql=f"""
+WITH {PROBS_SQL}, c AS (SELECT p2 AS score, count(*) FILTER (label = 2) AS pos, count(*) FILTER (label <> 2) AS neg FROM v GROUP BY 1),
+r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM c)
+SELECT round(CAST(sum(pos * (below + neg / 2.0)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), 8) AS roc_auc FROM r""")
+def metrics_roc_auc(t):
+    """Area under the ROC curve of the home-win probability."""
+    scored = ensemble(t).select((F.col("label") == 2).cast("int").alias("won"), F.get("p", F.lit(2)).alias("score"))
+    return me.roc_auc(scored, "won", F.col("score")).select(F.round("roc_auc", 8).alias("roc_auc"))
+
+
+@query("metrics_report", views=MATCHES, sql=f"""
+WITH {PROBS_SQL}, c AS (SELECT unnest([0, 1, 2]) AS class),
+n AS (SELECT class, count(*) FILTER (label = class) AS support, count(*) FILTER (predicted = class) AS claimed,
+             count(*) FILTER (label = class AND predicted = class) AS hit FROM v, c GROUP BY 1),
+s AS (SELECT *, coalesce(hit / CAST(nullif(claimed, 0) AS DOUBLE), 0) AS precision, coalesce(hit / CAST(nullif(support, 0) AS DOUBLE), 0) AS recall FROM n)
+SELECT class, support, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(coalesce(2 * precision * recall / nullif(precision + recall, 0), 0), 6) AS f1 FROM s WHERE support + claimed > 0""")
+def metrics_report(t):
+    """Precision, recall, F1 and support of each class."""
+    found = me.class_report(ensemble(t), "label", "predicted")
+    return found.select("class", "support", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
+
+
 @query("metrics_confusion", views=MATCHES, sql=f"""
 WITH {PROBS_SQL} SELECT label AS actual, predicted, count(*) AS rows FROM v GROUP BY 1, 2""")
 def metrics_confusion(t):
@@ -221,7 +252,7 @@ def udf_model_score(t):
 @query("calibrate_isotonic", views=MATCHES)
 def calibrate_isotonic(t):
     """Calibrated probabilities add up to one; the tests check that and the order of scores."""
-    found = mo.calibrate(ensemble(t), "p", "label", 3)
+    found = mo.calibrate(ensemble(t), "p", "label", 3, "match_id")
     return found.select("match_id", *[F.round(F.get("calibrated", F.lit(c)), 6).alias(f"p{c}") for c in range(3)])
 
 

@@ -375,10 +375,13 @@ def top_k(t):
     ).orderBy(F.desc("spend"), "o_custkey").limit(10)
 
 
-@query("limit_plain")
+@query("limit_plain", "SELECT least(10, count(*)) AS previewed, least(10, count(*)) AS of_the_table FROM orders")
 def limit_plain(t):
-    """A preview: any ten rows."""
-    return t.orders.limit(10)
+    """A preview of any ten rows, given as their number and how many of them are rows of the table."""
+    preview = t.orders.limit(10).select("o_orderkey")
+    known = t.orders.select(F.col("o_orderkey").alias("key")).distinct()
+    return preview.join(known, F.col("o_orderkey") == F.col("key"), "left").agg(
+        F.count("*").alias("previewed"), F.count("key").alias("of_the_table"))
 
 
 @query("latest_one", "SELECT event_id, ts, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 1")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakejobs.functions import football, html, logs
@@ -479,9 +480,10 @@ def layout_zorder(t):
     return t.spark.read.parquet(path)
 
 
-@query("codec_choice")
+@query("codec_choice", """
+SELECT codec, count(*) AS row_count, rank AS size_rank FROM orders, (VALUES ('zstd', 1), ('snappy', 2), ('none', 3)) AS c(codec, rank) GROUP BY 1, 3""")
 def codec_choice(t):
-    """Bytes of the orders under each codec."""
+    """Codecs of the orders by stored bytes, smallest first."""
     root = stage(t)
     found = None
     for codec in ("none", "snappy", "zstd"):
@@ -489,4 +491,5 @@ def codec_choice(t):
         size = layout.file_stats(t.spark.read.parquet(f"{root}/{codec}")).agg(
             F.sum("file_size").alias("bytes"), F.sum("row_count").alias("row_count")).select(F.lit(codec).alias("codec"), "*")
         found = size if found is None else found.unionAll(size)
-    return found
+    rank = F.row_number().over(Window.orderBy("bytes")).alias("size_rank")  # a row for each codec
+    return found.select("codec", "row_count", rank)
