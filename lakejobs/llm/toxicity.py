@@ -33,6 +33,8 @@ CHUNK = 64
 #: Tokens whose chains are computed at a time.
 GROUP_TOKENS = 400_000
 CACHE_WORDS = 300_000
+#: Occurrences of a feature in one document that count when token labels are chosen.
+MOST_IN_A_DOCUMENT = 3
 
 
 def features(word: str) -> list[str]:
@@ -130,17 +132,24 @@ def token_labels(docs: list[list[str]], toxic: list[int], least_docs: int = 4, l
     """
     seen: dict[str, list[int]] = {}
     clean: Counter[str] = Counter()
+    often: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
     bad = [i for i, t in enumerate(toxic) if t]
     for i, words in enumerate(docs):
-        found = {f for w in set(words) for f in features(w) if not f.startswith("s:")}
-        if toxic[i]:
-            for f in found:
+        found: Counter[str] = Counter()
+        for w, n in Counter(words).items():
+            for f in features(w):
+                if not f.startswith("s:"):
+                    found[f] += n
+        for f, n in found.items():
+            often[toxic[i]][f] += min(n, MOST_IN_A_DOCUMENT)
+            if toxic[i]:
                 seen.setdefault(f, []).append(i)
-        else:
-            clean.update(found)
+            else:
+                clean[f] += 1
     n_bad, n_clean = max(1, len(bad)), max(1, len(docs) - len(bad))
+    # Clean texts hold the same word beginnings by chance, but once: occurrences tell more than documents.
     good = {f: set(ids) for f, ids in seen.items()
-            if len(ids) >= least_docs and ((len(ids) + 0.5) / (n_bad + 1)) / ((clean[f] + 0.5) / (n_clean + 1)) >= lift}
+            if len(ids) >= least_docs and ((often[1][f] + 0.5) / (n_bad + 1)) / ((often[0][f] + 0.5) / (n_clean + 1)) >= lift}
     chosen: set[str] = set()
     left = set(bad)
     gain = {f: len(ids) for f, ids in good.items()}
