@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakejobs.llm.common import stored
+
 #: Lengths of a range; ranges are summed first, so no task orders more lengths than this.
 RANGE = 128
 #: Vocabulary file of a public byte-level BPE; pass another path where it lies elsewhere.
@@ -85,4 +87,5 @@ def limits(counts: DataFrame, width: int = RANGE) -> DataFrame:
 
 def token_counts(docs: DataFrame, text: str = "text", ranks: str = RANKS, pattern: str | None = None) -> DataFrame:
     """The answers of ``limits`` over all whole texts; an empty table gives no rows, other columns play no part."""
-    return limits(histogram(encoded_lengths(docs, text, ranks, pattern)))
+    # The histogram is read three times; it is written once, so that texts are encoded once.
+    return limits(stored(histogram(encoded_lengths(docs, text, ranks, pattern)), "lengths"))
