@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -134,22 +134,30 @@ def token_labels(docs: list[list[str]], toxic: list[int], least_docs: int = 4, l
     clean: Counter[str] = Counter()
     often: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
     bad = [i for i, t in enumerate(toxic) if t]
-    for i, words in enumerate(docs):
+
+    def counted(words: list[str], known: dict | None) -> Counter[str]:
         found: Counter[str] = Counter()
         for w, n in Counter(words).items():
             for f in features(w):
-                if not f.startswith("s:"):
+                if not f.startswith("s:") and (known is None or f in known):
                     found[f] += n
-        for f, n in found.items():
-            often[toxic[i]][f] += min(n, MOST_IN_A_DOCUMENT)
-            if toxic[i]:
-                seen.setdefault(f, []).append(i)
-            else:
+        return found
+
+    for i in bad:
+        for f, n in counted(docs[i], None).items():
+            often[1][f] += min(n, MOST_IN_A_DOCUMENT)
+            seen.setdefault(f, []).append(i)
+    # Only features of enough toxic documents can be chosen, so only they are counted in clean ones.
+    seen = {f: ids for f, ids in seen.items() if len(ids) >= least_docs}
+    for i, words in enumerate(docs):
+        if not toxic[i]:
+            for f, n in counted(words, seen).items():
+                often[0][f] += min(n, MOST_IN_A_DOCUMENT)
                 clean[f] += 1
     n_bad, n_clean = max(1, len(bad)), max(1, len(docs) - len(bad))
     # Clean texts hold the same word beginnings by chance, but once: occurrences tell more than documents.
     good = {f: set(ids) for f, ids in seen.items()
-            if len(ids) >= least_docs and ((often[1][f] + 0.5) / (n_bad + 1)) / ((often[0][f] + 0.5) / (n_clean + 1)) >= lift}
+            if ((often[1][f] + 0.5) / (n_bad + 1)) / ((often[0][f] + 0.5) / (n_clean + 1)) >= lift}
     chosen: set[str] = set()
     left = set(bad)
     gain = {f: len(ids) for f, ids in good.items()}
@@ -210,7 +218,7 @@ def _fit_chains(model: Field, docs: list[list[str]], labels: list[int], marks: s
             t += rate * (m / (1 - 0.9**turn)) / (np.sqrt(s / (1 - 0.99**turn)) + 1e-6) / (1 if t is model.weights else 10)
 
 
-def _groups(docs: list[list[str]]) -> Iterator[list[list[str]]]:
+def _groups(docs: Iterable[list[str]]) -> Iterator[list[list[str]]]:
     group: list[list[str]] = []
     size = 0
     for words in docs:
@@ -227,7 +235,8 @@ def train(texts: list[str | None], toxic: list[int], rounds: int = 40, rate: flo
     """Fit the field on token labels by Adam on the exact gradient, then the score of documents by Newton steps."""
     model = Field()
     kept: dict[tuple[int, int], int] = {}
-    words = [words_of(t) for t in texts]
+    pool: dict[str, str] = {}
+    words = [[pool.setdefault(w, w) for w in words_of(t)] for t in texts]
     for i, w in enumerate(words):
         if w:
             kept.setdefault((_signature(w), toxic[i]), i)
@@ -303,7 +312,7 @@ class Scorer:
         """(score, offending offsets in code points) of each text."""
         out: list[tuple[float, list[dict]]] = []
         at = 0
-        for group in _groups([words_of(t) for t in texts]):
+        for group in _groups(words_of(t) for t in texts):
             p, x, sizes = self.document_features(group)
             scores = 1 / (1 + np.exp(-np.clip(x @ self.model.document, -30, 30)))
             ends = np.cumsum(sizes)
