@@ -283,3 +283,22 @@ def forecast_horizon(t):
     daily = t.events.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
     found = me.forecast(daily, ["event_type"], "day", "n", 30)
     return found.select("event_type", "day", *[F.round(c, 3).alias(c) for c in ("forecast", "lower", "upper")])
+
+
+@query("forecast_error", """
+WITH a AS (SELECT event_type, CAST(ts AS DATE) AS day, CAST(count(*) AS DOUBLE) AS y, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS DOUBLE) AS x FROM events GROUP BY ALL),
+e AS (SELECT max(day) AS last FROM a),
+d AS (SELECT a.* FROM a, e WHERE day <= last - 7),
+l AS (SELECT event_type, regr_slope(y, x) AS slope, regr_intercept(y, x) AS icpt, max(day) AS last FROM d GROUP BY 1),
+r AS (SELECT d.*, y - icpt - slope * x AS res, dayofweek(day) AS dow FROM d JOIN l USING (event_type)),
+s AS (SELECT event_type, dow, avg(res) AS shift FROM r GROUP BY 1, 2),
+f AS (SELECT a.event_type, a.y, icpt + slope * a.x + coalesce(shift, 0) AS guess FROM a JOIN l ON a.event_type = l.event_type
+        AND a.day > l.last AND a.day <= l.last + 7 LEFT JOIN s ON a.event_type = s.event_type AND dayofweek(a.day) = s.dow)
+SELECT round(100.0::DOUBLE * percentile_disc(0.5) WITHIN GROUP (ORDER BY abs(y - guess) / abs(y)), 6) AS mdape_pct FROM f""")
+def forecast_error(t):
+    """Median absolute percentage error of a forecast of the last seven days from the days before them."""
+    daily = t.events.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
+    newest = daily.agg(F.max("day")).scalar()
+    before = daily.where(F.col("day") <= F.date_sub(newest, 7))
+    found = me.forecast(before, ["event_type"], "day", "n", 7).join(daily, ["event_type", "day"])
+    return me.median_ape(found.withColumn("n", F.col("n").cast("double")), "n", "forecast").select(F.round("mdape_pct", 6).alias("mdape_pct"))
