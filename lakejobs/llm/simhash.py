@@ -1,4 +1,4 @@
-"""SimHash near duplicates: fingerprints, pigeonhole blocks, Hamming verification, classes.
+"""SimHash near duplicates: fingerprints, pigeonhole blocks, verification, classes.
 
 Fingerprints are split into blocks. Two of them with few differing bits agree in
 some blocks, so they meet under the key made of those blocks, and every pair that
@@ -8,7 +8,7 @@ leave it, so a group of copies gives as many edges as it has members, not all pa
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -41,6 +41,10 @@ class Blocks:
     blocks: int = 7
     agree: int = 3
     max_distance: int = 4
+    #: First words that the distance counts; 0 for all.
+    compared: int = 0
+    #: Least shingle similarity of a link; None if the distance alone decides.
+    similarity: float | None = None
 
     def masks(self) -> list[np.uint64]:
         edges = [round(i * 64 / self.blocks) for i in range(self.blocks + 1)]
@@ -55,14 +59,18 @@ EXACT_64 = Blocks()
 def similar(similarity: float, words: int = 6) -> Blocks:
     """Scheme for shingle sets of at least this Jaccard similarity, by ``words`` independent 64-bit SimHashes.
 
-    Sets of similarity s have cosine 2s / (1 + s) when equally large, and each bit
-    differs with probability angle / pi; the distance allowed is that share of all
-    bits and one standard deviation more, since a distance is an estimate. A pair is found if in one of the words two of six blocks agree: of pairs
-    at similarity 0.8 about 86 % are, at 0.85 96 %, at 0.9 over 99 %.
+    Sets of similarity s have cosine 2s / (1 + s) when equally large (more when
+    not), and each bit differs with probability angle / pi; sets of few shingles
+    differ in up to 3 of 16 bits. A pair is a candidate if in one of the words
+    two of eight blocks agree and the first three words differ by at most that
+    share and four standard deviations. A candidate becomes a link only if
+    its shingle sets have the similarity.
     """
-    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    bits = 64 * words
-    return Blocks(words=words, blocks=6, agree=2, max_distance=int(share * bits + (bits * share * (1 - share)) ** 0.5))
+    share = max(3 / 16, float(np.arccos(2 * similarity / (1 + similarity)) / np.pi))
+    compared = min(3, words)
+    bits = 64 * compared
+    return Blocks(words=words, blocks=8, agree=2, max_distance=int(share * bits + 4 * (bits * share * (1 - share)) ** 0.5),
+                  compared=compared, similarity=similarity)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -76,22 +84,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def fingerprint(text: str | None, shingle: int, words: int, seed: int = 42) -> bytes:
-    """``words`` 64-bit SimHashes of the word shingles, big-endian; the first one is of the plain XXH64."""
+def _shingles(text: str | None, shingle: int, seed: int) -> Iterator[np.ndarray]:
+    """XXH64 of the word shingles, ``CHUNK`` at a time; nothing for a text without a word."""
     tokens = WORDS.findall((text or "").translate(UPPER))
     if not tokens:
-        return bytes(8 * words)
+        return
     joined = " ".join(tokens).encode("utf-8", "surrogatepass")
     ends = np.cumsum([len(t.encode("utf-8", "surrogatepass")) + 1 for t in tokens]) if not joined.isascii() else np.cumsum([len(t) + 1 for t in tokens])
     starts = np.concatenate(([0], ends[:-1])).tolist()
     ends = (ends - 1).tolist()
     count = max(1, len(tokens) - shingle + 1)
     width = min(shingle, len(tokens)) - 1
-    ones = np.zeros(64 * words, dtype=np.int64)
     digest = xxhash.xxh64_intdigest
     for at in range(0, count, CHUNK):
         until = min(count, at + CHUNK)
-        first = np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts[at:until], ends[at + width:until + width])), np.uint64, until - at)
+        yield np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts[at:until], ends[at + width:until + width])), np.uint64, until - at)
+
+
+def _print(chunks: Iterable[np.ndarray], words: int) -> bytes:
+    ones, count = np.zeros(64 * words, dtype=np.int64), 0
+    for first in chunks:
+        count += len(first)
         for w in range(words):
             hashes = first if w == 0 else _mix(first + np.uint64((w * 0x9E3779B97F4A7C15) & (2**64 - 1)))
             bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
@@ -99,6 +112,21 @@ def fingerprint(text: str | None, shingle: int, words: int, seed: int = 42) -> b
     return np.packbits(ones * 2 > count).tobytes()
 
 
+def fingerprint(text: str | None, shingle: int, words: int, seed: int = 42) -> bytes:
+    """``words`` 64-bit SimHashes of the word shingles, big-endian; the first one is of the plain XXH64."""
+    return _print(_shingles(text, shingle, seed), words)
+
+
+def shingle_set(text: str | None, shingle: int, seed: int = 42) -> np.ndarray:
+    """Distinct hashes of the word shingles, in order."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *_shingles(text, shingle, seed)]))
+
+
+def set_fingerprint(hashes: np.ndarray, words: int) -> bytes:
+    """``words`` SimHashes in which every distinct shingle counts once."""
+    return _print((hashes[at:at + CHUNK] for at in range(0, len(hashes), CHUNK)), words)
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, words: int = 1) -> DataFrame:
     """(key, fingerprint binary) of every row. Null and empty texts have fingerprint zero."""
 
@@ -123,7 +151,10 @@ def _key_batches(scheme: Blocks, parts: dict[int, int], hot_at: int | None):
                 continue
             ids = np.asarray(batch.column(0), dtype=np.int64)
             raw = b"".join(v.as_py() for v in batch.column(1))
-            table = np.frombuffer(raw, dtype=">u8").reshape(batch.num_rows, scheme.words).astype(np.uint64)
+            table = np.frombuffer(raw, dtype=">u8").reshape(batch.num_rows, -1).astype(np.uint64)
+            if hot_at is None and scheme.compared:
+                # What is compared and what a second pass appends to the words.
+                raw = np.delete(table, np.s_[scheme.compared:scheme.words], axis=1).astype(">u8").tobytes()
             for w in range(scheme.words):
                 for m, mask in enumerate(masks):
                     tag = np.uint64((w * len(masks) + m + 1) * 0xD6E8FEB86659FD93 & (2**64 - 1))
@@ -132,12 +163,12 @@ def _key_batches(scheme: Blocks, parts: dict[int, int], hot_at: int | None):
                         kept.append(keys)
                         continue
                     rest = ~np.isin(keys, hot) if len(hot) else np.ones(len(keys), bool)
-                    yield _key_batch(keys[rest], np.full(int(rest.sum()), -1, np.int32), ids[rest], raw, scheme, np.flatnonzero(rest))
+                    yield _key_batch(keys[rest], np.full(int(rest.sum()), -1, np.int32), ids[rest], raw, len(raw) // len(ids), np.flatnonzero(rest))
                     for at in np.flatnonzero(~rest):
                         n = parts[int(keys[at])]
                         own = int(_mix(np.array([ids[at]], dtype=np.int64).view(np.uint64))[0] % np.uint64(n))
                         pairs = np.array([min(own, j) * n + max(own, j) for j in range(n)], dtype=np.int32)
-                        yield _key_batch(np.full(n, keys[at]), pairs, np.full(n, ids[at]), raw, scheme, np.full(n, at))
+                        yield _key_batch(np.full(n, keys[at]), pairs, np.full(n, ids[at]), raw, len(raw) // len(ids), np.full(n, at))
         if hot_at is not None and kept:
             values, counts = np.unique(np.concatenate(kept), return_counts=True)
             many = counts >= hot_at
@@ -146,8 +177,7 @@ def _key_batches(scheme: Blocks, parts: dict[int, int], hot_at: int | None):
     return run
 
 
-def _key_batch(keys, part, ids, raw, scheme, at) -> pa.RecordBatch:
-    size = 8 * scheme.words
+def _key_batch(keys, part, ids, raw, size, at) -> pa.RecordBatch:
     prints = pa.array([raw[i * size:(i + 1) * size] for i in at.tolist()], pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part), pa.array(ids), prints], names=["key", "part", "id", "fingerprint"])
 
@@ -172,37 +202,73 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def _linked(keys: np.ndarray, part: np.ndarray, ids: np.ndarray, table: np.ndarray, limit: int):
-    """Verified links among rows of equal (key, part), which come one after the other, as stars."""
+def _close(keys: np.ndarray, part: np.ndarray, table: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of places with equal (key, part), which come one after the other, within the distance: (place, place, distance)."""
     n = len(keys)
     new = np.ones(n, bool)
     new[1:] = (keys[1:] != keys[:-1]) | (part[1:] != part[:-1])
     run = np.cumsum(new) - 1
     end = np.append(np.flatnonzero(new)[1:], n)[run]
-    found_a, found_b, held = [], [], 0
     at = np.arange(n)
     step = 1
     while True:
         at = at[at + step < end[at]]
         if not len(at):
-            break
+            return
         apart = np.bitwise_count(table[at] ^ table[at + step]).sum(axis=1, dtype=np.int32)
-        close = at[apart <= limit]
-        if len(close):
-            found_a.append(ids[close])
-            found_b.append(ids[close + step])
-            held += len(close)
+        close = apart <= limit
+        if close.any():
+            yield at[close], at[close] + step, apart[close]
+        step += 1
+
+
+def _linked(keys: np.ndarray, part: np.ndarray, ids: np.ndarray, table: np.ndarray, scheme: Blocks, mode: str):
+    """Batches of links (a, b, near) among rows of equal (key, part).
+
+    ``stars``: spanning stars of all pairs within the distance. ``nearest``: these
+    and, as near ones, every row with the row closest to it. ``apart``: all pairs of
+    rows with different labels, whose numbers of shingles allow the similarity;
+    label and number follow the compared words.
+    """
+    words = scheme.compared or scheme.words
+    n = len(keys)
+    best, other = np.full(n, np.iinfo(np.int32).max, np.int32), np.zeros(n, np.int64)
+    found_a, found_b, held = [np.empty(0, np.int64)], [np.empty(0, np.int64)], 0
+    for left, right, distance in _close(keys, part, table[:, :words], scheme.max_distance):
+        if mode == "apart":
+            size = table[:, words + 1]
+            small, large = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
+            wanted = (table[left, words] != table[right, words]) & (small / large >= scheme.similarity)
+            left, right = left[wanted], right[wanted]
+        elif mode == "nearest":
+            for here, there in ((left, right), (right, left)):
+                less = distance < best[here]
+                best[here[less]], other[here[less]] = distance[less], there[less]
+        found_a.append(ids[left])
+        found_b.append(ids[right])
+        held += len(left)
         if held > 2_000_000:
-            a, b = _stars(np.concatenate(found_a), np.concatenate(found_b))
+            a, b = np.concatenate(found_a), np.concatenate(found_b)
+            if mode == "apart":
+                yield _link_batch(a, b, True)
+                a, b = a[:0], b[:0]
+            else:
+                a, b = _stars(a, b)
             found_a, found_b, held = [a], [b], 0
-        step += 1
-    if not found_a:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return _stars(np.concatenate(found_a), np.concatenate(found_b))
+    a, b = np.concatenate(found_a), np.concatenate(found_b)
+    yield _link_batch(a, b, True) if mode == "apart" else _link_batch(*_stars(a, b), False)
+    if mode == "nearest":
+        some = np.flatnonzero(best < np.iinfo(np.int32).max)
+        yield _link_batch(ids[some], ids[other[some]], True)
+
+
+def _link_batch(a: np.ndarray, b: np.ndarray, near: bool) -> pa.RecordBatch:
+    pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1) if near else np.stack((a, b))
+    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(np.full(pairs.shape[1], near))], names=["a", "b", "near"])
 
 
-def links(prints: DataFrame, scheme: Blocks = EXACT_64, partitions: int | None = None) -> DataFrame:
-    """Edges (a, b) that join all of ``prints`` (id long, fingerprint binary; ids unique) within the distance.
+def links(prints: DataFrame, scheme: Blocks = EXACT_64, partitions: int | None = None, mode: str = "stars") -> DataFrame:
+    """Edges (a, b, near) that join all of ``prints`` (id long, fingerprint binary; ids unique) within the distance; ``mode`` as in ``_linked``.
 
     Keys with many rows are found by counts (a key of that many rows has its share
     in some task) and dealt as pairs of parts, so any group is compared whole and
@@ -226,51 +292,124 @@ def links(prints: DataFrame, scheme: Blocks = EXACT_64, partitions: int | None =
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
-        def flush(last: bool):
+        def flush(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal held, size
             keys, part, ids, table = (np.concatenate(x) for x in zip(*held))
             cut = len(keys)
             if not last:
                 same = (keys == keys[-1]) & (part == part[-1])
                 cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            a, b = _linked(keys[:cut], part[:cut], ids[:cut], table[:cut], scheme.max_distance)
             held = [(keys[cut:], part[cut:], ids[cut:], table[cut:])]
             size = len(keys) - cut
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            if cut:
+                yield from _linked(keys[:cut], part[:cut], ids[:cut], table[:cut], scheme, mode)
 
         for batch in batches:
             if batch.num_rows:
-                table = np.frombuffer(b"".join(v.as_py() for v in batch.column(3)), dtype=">u8").reshape(-1, scheme.words).astype(np.uint64)
+                table = np.frombuffer(b"".join(v.as_py() for v in batch.column(3)), dtype=">u8").reshape(batch.num_rows, -1).astype(np.uint64)
                 held.append((np.asarray(batch.column(0)), np.asarray(batch.column(1)), np.asarray(batch.column(2)), table))
                 size += batch.num_rows
             if size >= 100_000:
-                yield flush(False)
+                yield from flush(False)
         if held:
-            yield flush(True)
+            yield from flush(True)
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long, near boolean")
+
+
+def set_fingerprints(docs: DataFrame, key: str, text: str, shingle: int, words: int) -> DataFrame:
+    """(key, text_hash, fingerprint binary, id, shingles) of every row; equal shingle sets have equal ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints, ids, sizes = [], [], []
+            for t in batch.column(2):
+                hashes = shingle_set(t.as_py(), shingle)
+                prints.append(set_fingerprint(hashes, words))
+                ids.append(xxhash.xxh64_intdigest(hashes.tobytes()))
+                sizes.append(len(hashes))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints, pa.binary()), pa.array(
+                np.array(ids, np.uint64).view(np.int64)), pa.array(sizes, pa.int64())], names=["key", "text_hash", "fingerprint", "id", "shingles"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(key, F.xxhash64(text).alias("text_hash"), text).mapInArrow(
+        run, f"key {kind}, text_hash long, fingerprint binary, id long, shingles long")
+
+
+def _sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(id, hashes): the distinct shingle hashes of (id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                hashes = [pa.array(shingle_set(t.as_py(), shingle).view(np.int64)) for t in some.column(1)]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(hashes, pa.list_(pa.int64()))], names=["id", "hashes"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, hashes array<long>")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets have at least this Jaccard similarity."""
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("of_a")), "a").join(
+        sets.select(F.col("id").alias("b"), F.col("hashes").alias("of_b")), "b")
+    shared = F.size(F.array_intersect("of_a", "of_b"))
+    return both.where(shared / (F.size("of_a") + F.size("of_b") - shared) >= similarity).select("a", "b")
+
+
+def _similar_links(docs: DataFrame, classes: DataFrame, text: str, shingle: int, scheme: Blocks) -> DataFrame:
+    """Links (a, b) that join all candidates among ``classes`` whose shingle sets have the similarity.
+
+    Every class is first verified with the candidate closest to it. Groups of
+    candidates that this leaves in several pieces are compared once more, and then
+    every candidate pair of two pieces is verified; so large groups of copies need
+    no verification of all their pairs, and no pair is decided by its distance.
+    """
+    first = stored(links(classes.select("id", "fingerprint"), scheme, mode="nearest"), "candidates")
+    near = stored(first.where("near").select("a", "b").distinct(), "nearest")
+    needed = near.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", "text_hash"), "id")
+    texts = docs.select(F.col(text).alias("text"), F.xxhash64(text).alias("text_hash")).join(needed, "text_hash")
+    sets = stored(_sets(texts.groupBy("id").agg(F.first("text").alias("text")), shingle), "sets")
+    sure = stored(verified(near, sets, scheme.similarity), "links")
+    pieces = connected_components(sure).select(F.col("node").alias("id"), F.col("component").alias("piece"))
+    groups = connected_components(first.select("a", "b")).select(F.col("node").alias("id"), F.col("component").alias("group"))
+    member = stored(groups.join(pieces, "id", "left").select("id", "group", F.coalesce("piece", "id").alias("piece")), "pieces")
+    left = member.groupBy("group").agg(F.min("piece").alias("low"), F.max("piece").alias("high")).where("low <> high").select("group")
+    word = lambda c: F.unhex(F.lpad(F.hex(c), 16, "0"))
+    again = stored(classes.join(member.join(left, "group"), "id").select(
+        "id", F.concat("fingerprint", word("piece"), word("shingles")).alias("fingerprint")), "pieces")
+    pairs = links(again, scheme, mode="apart").select("a", "b").distinct().join(near, ["a", "b"], "left_anti")
+    return sure.unionByName(verified(pairs, sets, scheme.similarity))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, scheme: Blocks = EXACT_64) -> DataFrame:
     """(key, fingerprint hex, component_id): one row for each row of ``docs``.
 
     ``component_id`` is the smallest key reachable over links of at most
-    ``scheme.max_distance`` differing bits; equal fingerprints are one class from
+    ``scheme.max_distance`` differing bits, or with ``scheme.similarity`` over
+    candidates verified by their shingle sets; equal fingerprints (or sets) are one class from
     the start, so copies meet once. Null and empty texts have fingerprint zero and
     link like any other; rows with a null key keep a null key and count as
     larger than any other, so a group of them alone has a null component;
     repeated rows are rows of their own; an empty table gives no rows.
     """
+    if scheme.similarity is not None:
+        prints = stored(set_fingerprints(docs, key, text, shingle, scheme.words), "fingerprints")
+        classes = stored(prints.groupBy("id", "fingerprint", "shingles").agg(F.min("key").alias("low"), F.min("text_hash").alias("text_hash")), "classes")
+        return _named(prints, classes, connected_components(_similar_links(docs, classes, text, shingle, scheme)), ["id"], key)
     prints = stored(fingerprints(docs, key, text, shingle, scheme.words), "fingerprints")
     classes = stored(prints.groupBy("fingerprint").agg(F.min("key").alias("low")).withColumn(
         "id", F.xxhash64("fingerprint") if scheme.words > 1 else F.conv(F.hex("fingerprint"), 16, -10).cast("long")), "classes")
-    found = connected_components(links(classes.select("id", "fingerprint"), scheme))
+    return _named(prints, classes, connected_components(links(classes.select("id", "fingerprint"), scheme)), ["fingerprint"], key)
+
+
+def _named(prints: DataFrame, classes: DataFrame, found: DataFrame, by: list[str], key: str) -> DataFrame:
+    """Rows of ``prints`` with the smallest key of their component; ``by`` names the class of a row."""
     member = classes.join(found, classes["id"] == found["node"], "left").select(
-        "fingerprint", "low", F.coalesce("component", "id").alias("component"))
+        *[classes[c] for c in by], "low", F.coalesce("component", "id").alias("component"))
     lowest = member.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = member.join(lowest, "component").select(F.col("fingerprint").alias("class_print"), "component_id")
-    return prints.join(named, F.col("fingerprint") == F.col("class_print")).select(
-        F.col("key").alias(key), F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
+    named = member.join(lowest, "component").select(*by, "component_id")
+    return prints.join(named, by).select(F.col("key").alias(key), F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, scheme: Blocks = EXACT_64) -> DataFrame:

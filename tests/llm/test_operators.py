@@ -344,3 +344,33 @@ def test_toxic_documents_are_scored(spark, docs, nothing):
     assert toxicity.score(nothing, model).count() == 0 and toxicity.accepted(docs, model).where("text IS NULL").count() == 1
     untaught = toxicity.fit(frame, marks.limit(0))
     assert 0 < toxicity.score(frame, untaught).first().score < 1
+
+
+def _pair(seed: int, shared: int, own: int) -> tuple[str, str]:
+    """Two texts that begin alike: ``shared`` common five-word shingles and ``own`` further ones each."""
+    start = prose(seed, shared + 4)
+    return f"{start} {prose(seed + 100_000, own)}", f"{start} {prose(seed + 200_000, own)}"
+
+
+def test_pairs_are_kept_or_dropped_by_exact_similarity(spark):
+    # 96 / (96 + 2 * 12) = 0.8 is a copy; 90 / (90 + 2 * 14) = 0.76 is none.
+    rows = []
+    for i in range(60):
+        for no, (shared, own) in enumerate(((96, 12), (90, 14))):
+            rows += [(1000 * no + 2 * i + j, t) for j, t in enumerate(_pair(10 * i + no, shared, own))]
+    # One shingle outweighs all others, yet the sets of shingles differ.
+    rows += [(5000 + i, " ".join(["same"] * 3000) + " " + prose(900_000 + i, 300)) for i in range(2)]
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), scheme=simhash.similar(0.8)).collect()}
+    assert {k for k in kept if k >= 1000} == {k for k, _ in rows if k >= 1000}
+    assert {k for k in kept if k < 1000} == {2 * i for i in range(60)}
+
+
+def test_pieces_of_a_group_are_joined(spark):
+    # A chain: each text is at least 0.8 like the next only, and copies close to each keep the nearest candidate inside a piece.
+    words = prose(77, 400).split()
+    rows = []
+    for i in range(12):
+        chosen = words[10 * i:10 * i + 104]
+        rows += [(10 * i + j, " ".join(chosen[:-1] + [f"end{i}n{j}"])) for j in range(5)]
+    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=5, scheme=simhash.similar(0.8)).collect()
+    assert {r.component_id for r in found} == {0}
