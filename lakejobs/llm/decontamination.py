@@ -2,7 +2,7 @@
 
 Scores are shares: the BM25 mass of the item's words that a passage holds, over
 the mass of all of them, so one threshold fits long and short items. Every passage
-that reaches it is verified by the overlap of question and answer shingles.
+that reaches it is verified by the words of question and answer that it holds in runs.
 """
 
 from __future__ import annotations
@@ -126,14 +126,26 @@ def _skip(cursors: list[list], items: np.ndarray, to: int) -> None:
         c[0] += int(np.searchsorted(items[c[0]:c[1]], to))
 
 
-def _overlap(part: tuple[str, ...], passage: list[str], shingle: int) -> float:
-    """Share of the shingles of a question or answer that the passage holds; 1.0 for an empty part."""
-    if not part:
-        return 1.0
-    n = min(shingle, len(part))
-    there = {tuple(passage[i:i + n]) for i in range(len(passage) - n + 1)}
-    grams = [part[i:i + n] for i in range(len(part) - n + 1)]
-    return sum(g in there for g in grams) / len(grams)
+def _overlaps(item: Item, passage: list[str], shingle: int) -> tuple[float, float]:
+    """Shares of the words of question and answer that lie in a run of the item's words which the passage holds; 1.0 for an empty part.
+
+    Runs are a quarter of the part long, two words at least and ``shingle`` at
+    most, and may reach into the other part; words of parts of less than four
+    words count alone. So one changed, added or dropped word costs at most a
+    quarter of the part, or two words, not all shingles around it.
+    """
+    words, cut = item.question + item.answer, len(item.question)
+    shares = []
+    for lo, hi in ((0, cut), (cut, len(words))):
+        size = hi - lo
+        n = 1 if size < 4 else max(1, min(shingle, max(2, size // 4)))
+        there = {tuple(passage[i:i + n]) for i in range(len(passage) - n + 1)}
+        held: set[int] = set()
+        for i in range(max(0, lo - n + 1), min(len(words) - n + 1, hi)):
+            if words[i:i + n] in there:
+                held.update(range(max(i, lo), min(i + n, hi)))
+        shares.append(len(held) / size if size else 1.0)
+    return shares[0], shares[1]
 
 
 def find_leaks(texts: list[str | None], index: Index, threshold: float, overlap: float) -> list[tuple[int, int, float, float, float]]:
@@ -178,7 +190,7 @@ def find_leaks(texts: list[str | None], index: Index, threshold: float, overlap:
         it = index.items[item]
         room = len(it.question) + len(it.answer)
         passage = tokens[no][max(0, half * HALF - room):(half + 2) * HALF + room]
-        q, a = _overlap(it.question, passage, index.shingle), _overlap(it.answer, passage, index.shingle)
+        q, a = _overlaps(it, passage, index.shingle)
         if q >= overlap and a >= overlap:
             out.append((no, it.item_id, score, q, a))
     return out

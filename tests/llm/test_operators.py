@@ -374,3 +374,28 @@ def test_pieces_of_a_group_are_joined(spark):
         rows += [(10 * i + j, " ".join(chosen[:-1] + [f"end{i}n{j}"])) for j in range(5)]
     found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=5, scheme=simhash.similar(0.8)).collect()
     assert {r.component_id for r in found} == {0}
+
+
+def _index(items: list[str]) -> decontamination.Index:
+    """Index of one-text items, the last third of each the answer."""
+    words = [tuple(decontamination.words_of(t)) for t in items]
+    cuts = [math.ceil(len(w) * 2 / 3) for w in words]
+    listed = [decontamination.Item(i, w[:c], w[c:]) for i, (w, c) in enumerate(zip(words, cuts))]
+    frequency = {x: sum(x in w for w in words) for w in words for x in w}
+    return decontamination.build_index(listed, frequency, len(listed), sum(map(len, words)) / len(words), 5)
+
+
+@pytest.mark.parametrize("length", [15, 16, 21, 39, 59])
+def test_one_edit_hides_no_leak(length):
+    items = [prose(600 + length + i, length) for i in range(5)]
+    index, texts = _index(items), []
+    for at in range(length):
+        words = items[2].split()
+        for edited in (words[:at] + ["changed"] + words[at + 1:], words[:at] + ["added"] + words[at:], words[:at] + words[at + 1:]):
+            texts.append(" ".join([prose(31 + at, 90), *edited, prose(41 + at, 90)]))
+    assert [r[:2] for r in decontamination.find_leaks(texts, index, 0.6, 0.5)] == [(no, 2) for no in range(len(texts))]
+    # The question without the answer, and all words in another order, are no leaks.
+    words = items[2].split()
+    alone = " ".join([prose(51, 90), *words[:math.ceil(length * 2 / 3)], prose(52, 90)])
+    mixed = " ".join([prose(51, 90), *words[::-1], prose(52, 90)])
+    assert decontamination.find_leaks([alone, mixed], index, 0.6, 0.5) == []
