@@ -149,7 +149,11 @@ def _overlaps(item: Item, passage: list[str], shingle: int) -> tuple[float, floa
 
 
 def find_leaks(texts: list[str | None], index: Index, threshold: float, overlap: float) -> list[tuple[int, int, float, float, float]]:
-    """(text no., item no., score, question overlap, answer overlap) of every verified pair, best passage each."""
+    """(text no., item no., score, question overlap, answer overlap) of every verified pair, best verified passage each.
+
+    Every passage above the threshold is verified in the order of the scores until
+    one holds; of passages with that score the one with the largest overlaps counts.
+    """
     terms = index.words
     tokens = [words_of(t) for t in texts]
     text_of, chunk_of, term_of = [], [], []
@@ -179,20 +183,24 @@ def find_leaks(texts: list[str | None], index: Index, threshold: float, overlap:
         lo, hi = first[some[0]], first[some[-1] + 1]
         bound[some] = np.add.reduceat(index.block_max[term[lo:hi]], first[some] - lo, axis=0).max(axis=1)
     begin = np.searchsorted(owner, np.arange(len(tokens)))
-    best: dict[tuple[int, int], tuple[float, int]] = {}
+    passages: dict[tuple[int, int], list[tuple[float, int]]] = {}
     for c in np.flatnonzero(bound >= threshold - 1e-3):
         for item, score in wand(index, term[first[c]:first[c + 1]].tolist(), threshold):
-            pair = (int(owner[c]), item)
-            if pair not in best or score > best[pair][0]:
-                best[pair] = (score, int(c - begin[owner[c]]))
+            passages.setdefault((int(owner[c]), item), []).append((-score, int(c - begin[owner[c]])))
     out = []
-    for (no, item), (score, half) in sorted(best.items()):
+    for (no, item), listed in sorted(passages.items()):
         it = index.items[item]
         room = len(it.question) + len(it.answer)
-        passage = tokens[no][max(0, half * HALF - room):(half + 2) * HALF + room]
-        q, a = _overlaps(it, passage, index.shingle)
-        if q >= overlap and a >= overlap:
-            out.append((no, it.item_id, score, q, a))
+        best: tuple[float, float, float] | None = None
+        for rank, half in sorted(listed):
+            if best and (-rank < best[0] or best[1] + best[2] == 2.0):
+                break
+            passage = tokens[no][max(0, half * HALF - room):(half + 2) * HALF + room]
+            q, a = _overlaps(it, passage, index.shingle)
+            if q >= overlap and a >= overlap and (best is None or q + a > best[1] + best[2]):
+                best = (-rank, q, a)
+        if best:
+            out.append((no, it.item_id, *best))
     return out
 
 
@@ -234,8 +242,8 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
           **options) -> DataFrame:
     """(key, item_id, score, question_overlap, answer_overlap): every item that a passage of a text holds.
 
-    All passages of all whole texts are queried and all items above ``threshold``
-    verified. Null and empty texts hold nothing; null keys stay null; repeated rows
+    All passages of all whole texts are queried and every passage and item above
+    ``threshold`` verified. Null and empty texts hold nothing; null keys stay null; repeated rows
     give their pairs once each; without items or texts there are no rows.
     """
     spark = docs.sparkSession

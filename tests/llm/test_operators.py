@@ -399,3 +399,14 @@ def test_one_edit_hides_no_leak(length):
     alone = " ".join([prose(51, 90), *words[:math.ceil(length * 2 / 3)], prose(52, 90)])
     mixed = " ".join([prose(51, 90), *words[::-1], prose(52, 90)])
     assert decontamination.find_leaks([alone, mixed], index, 0.6, 0.5) == []
+
+
+def test_every_passage_is_verified():
+    items = [prose(700 + i, 30) for i in range(5)]
+    index = _index(items)
+    mixed = " ".join(items[3].split()[::-1])
+    edited = " ".join(["changed"] + items[3].split()[1:])
+    texts = [" ".join([mixed, prose(61, 300), items[3], prose(62, 300)]), " ".join([mixed, prose(61, 300), edited]),
+             " ".join([prose(63, 64), mixed, prose(64, 40), mixed]), " ".join([edited, prose(61, 300), items[3]])]
+    found = {r[0]: r for r in decontamination.find_leaks(texts, index, 0.6, 0.5)}
+    assert sorted(found) == [0, 1, 3] and found[0][3:] == (1.0, 1.0) and found[3][3:] == (1.0, 1.0)
