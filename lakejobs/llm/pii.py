@@ -22,6 +22,8 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Identifier-like words: those that hold a digit or an at sign.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+#: Numbers written in groups with single blanks between them.
+GROUPS = r"(?<![^\x20\x09-\x0D])[+(]?[0-9][0-9().-]*+(?:\x20[(]?[0-9][0-9().-]*+)++(?![^\x20\x09-\x0D,;:!?])"
 
 
 def _ip(match: Column) -> Column:
@@ -53,6 +55,16 @@ def _identity(word: Column) -> Column:
     return F.regexp_replace(F.lower(word), r"^[^\p{L}0-9+]+|[^\p{L}0-9]+$", "")
 
 
+def _instance(match: Column, kind: Column) -> Column:
+    """What two places of one identifier share: case does not count, nor do signs and blanks in numbers of several groups."""
+    number = F.concat(F.when(F.startswith(match, F.lit("+")), "+").otherwise(""), digits(match))
+    return F.when(kind.isin("card", "phone") | (kind.isNull() & F.contains(match, F.lit(" "))), number).otherwise(_identity(match))
+
+
+def _between(start: Column, end: Column) -> Column:
+    return F.substring(F.col("body"), start + 1, end - start)
+
+
 def _seed_kind(word: Column) -> Column:
     """Kind of a word that is itself a base entity, else null."""
     octet = r"(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]))"
@@ -62,28 +74,59 @@ def _seed_kind(word: Column) -> Column:
             .when(F.regexp_like(word, F.lit(r"^[0-9][0-9-]*[0-9]$")) & _card(word), "card"))
 
 
+def _apart(found: Column, taken: Column) -> Column:
+    """Spans that share no character with a taken one."""
+    return F.filter(found, lambda x: ~F.exists(taken, lambda y: (y["start"] < x["end"]) & (y["end"] > x["start"])))
+
+
+def _first(found: Column) -> Column:
+    """Sorted spans without those that begin inside an earlier kept one."""
+    nothing = F.array().cast("array<struct<start:int,end:int,kind:string,match:string>>")
+    return F.aggregate(
+        found, F.struct(F.lit(0).alias("at"), nothing.alias("kept")),
+        lambda acc, x: F.when(x["start"] < acc["at"], acc).otherwise(F.struct(
+            x["end"].alias("at"), F.concat(acc["kept"], F.array(x)).alias("kept"))),
+        lambda acc: acc["kept"])
+
+
+def _as(found: Column, kind: str | None) -> Column:
+    return F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).cast("string").alias("kind"), s["match"].alias("match")))
+
+
 def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Identifier-like words with their contexts: (key, text_hash, start, end, instance, seed, pattern).
+    """Base entities and identifier-like words with their contexts: (key, text_hash, start, end, instance, seed, pattern).
 
-    A word has two patterns: the two words before it, and the words on both sides.
+    The base spans are the seeds, blanks and glued labels or not; of overlapping
+    ones the first counts. Beside them stand numbers in groups of 7 to 19 digits and
+    words without a blank that touch none of these. Each has two patterns:
+    the two words before it, and the words on both sides, as far as its neighbours.
     """
-    body = whole_text(text)
-    found = spans(body, TOKEN)
-    gaps = F.split(body, TOKEN, -1)
-    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), found.alias("found"), gaps.alias("gaps"))
-    words = rows.where(F.size("found") > 0).select(
-        "key", "text_hash", "gaps", F.posexplode("found").alias("at", "span"))
-    left, right = F.get("gaps", F.col("at")), F.get("gaps", F.col("at") + 1)
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), whole_text(text).alias("body"))
+    found = rows.select(
+        "key", "text_hash", "body", F.array_sort(F.concat(*[_as(s, kind) for kind, s in base_spans(F.col("body")).items()])).alias("base"),
+        _as(kept(spans(F.col("body"), GROUPS), lambda m: F.length(digits(m)).between(7, 19)), None).alias("groups"),
+        _as(spans(F.col("body"), TOKEN), None).alias("tokens"))
+    seeds = found.select("key", "text_hash", "body", _first(F.col("base")).alias("seeds"), "groups", "tokens")
+    taken = seeds.select("key", "text_hash", "body", "tokens", F.concat("seeds", _apart(F.col("groups"), F.col("seeds"))).alias("taken"))
+    every = taken.select("key", "text_hash", "body", F.array_sort(F.concat("taken", _apart(F.col("tokens"), F.col("taken")))).alias("every"))
+    # The text to both sides is cut out before the rows are unfolded, so that no row carries the whole text.
+    sides = every.select("key", "text_hash", F.transform("every", lambda x, i: F.struct(
+        x.alias("span"),
+        _between(F.coalesce(F.get("every", i - 1)["end"], F.lit(0)), x["start"]).alias("left"),
+        _between(x["end"], F.coalesce(F.get("every", i + 1)["start"], F.length("body"))).alias("right"))).alias("every"))
+    # explode would have its array tested for rows first, and thus all of it computed twice over.
+    words = sides.select("key", "text_hash", F.explode_outer("every").alias("one")).where(F.col("one").isNotNull()).select("key", "text_hash", "one.*")
+    left, right = F.col("left"), F.col("right")
     before = F.split(F.regexp_replace(F.lower(F.right(left, F.lit(64))), r"[^\p{L}]+", " "), " ")
     after = F.split(F.regexp_replace(F.lower(F.left(right, F.lit(64))), r"[^\p{L}]+", " "), " ")
     near = F.filter(before, lambda w: w != "")
     word = words.select(
         "key", "text_hash", F.col("span.start").alias("start"), F.col("span.end").alias("end"),
-        _identity(F.col("span.match")).alias("instance"),
+        _instance(F.col("span.match"), F.col("span.kind")).alias("instance"), F.col("span.kind").alias("base"),
         F.coalesce(F.get(F.reverse(near), F.lit(0)), F.lit("")).alias("one"),
         F.coalesce(F.get(F.reverse(near), F.lit(1)), F.lit("")).alias("two"),
         F.coalesce(F.get(F.filter(after, lambda w: w != ""), F.lit(0)), F.lit("")).alias("next"))
-    named = word.where(F.length("instance") >= 5).withColumn("seed", _seed_kind(F.col("instance")))
+    named = word.where(F.length("instance") >= 5).withColumn("seed", F.coalesce(F.col("base"), _seed_kind(F.col("instance"))))
     return named.select("key", "text_hash", "start", "end", "instance", "seed", F.explode(F.array(
         F.concat_ws(" ", F.lit("before"), "two", "one"), F.concat_ws(" ", F.lit("around"), "one", F.lit("_"), "next"))).alias("pattern"))
 

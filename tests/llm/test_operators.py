@@ -410,3 +410,17 @@ def test_every_passage_is_verified():
              " ".join([prose(63, 64), mixed, prose(64, 40), mixed]), " ".join([edited, prose(61, 300), items[3]])]
     found = {r[0]: r for r in decontamination.find_leaks(texts, index, 0.6, 0.5)}
     assert sorted(found) == [0, 1, 3] and found[0][3:] == (1.0, 1.0) and found[3][3:] == (1.0, 1.0)
+
+
+def test_entities_with_blanks_and_labels_are_seeds(spark):
+    rows = [(i, f"filler{'abcdefghij'[i]} please ring office +1 (743) 555-38{i}4 tonight") for i in range(10)]
+    rows += [(20 + i, f"paid using visa 4111 1111 1111 {n} yesterday") for i, n in enumerate(("1111", "1129", "1137", "1145", "1152"))]
+    rows += [(40 + i, f"their own address mail:a{i}@b{i}.com thanks") for i in range(5)]
+    rows += [(60, "please ring office (743) 555-9924 tonight"), (61, "please ring office 743-555-9925 tonight"),
+             (62, "paid using visa 4111-1111 yesterday"), (63, "their own address mail:joe7@intranet thanks"), (64, "their own address mail joe8@intranet thanks")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seeds = {(r.key, r.seed) for r in pii.occurrences(docs, "doc_id", "text").where("seed IS NOT NULL").collect()}
+    assert seeds == {(i, "phone") for i in range(10)} | {(20 + i, "card") for i in range(5)} | {(40 + i, "email") for i in range(5)}
+    found = pii.extract(docs).where("size(context_spans) > 0").collect()
+    assert {(r.doc_id, r.text[s.start:s.end], s.kind) for r in found for s in r.context_spans} >= {
+        (60, "(743) 555-9924", "phone"), (61, "743-555-9925", "phone"), (62, "4111-1111", "card"), (64, "joe8@intranet", "email")}
