@@ -25,6 +25,8 @@ BLOCK = 4
 #: Items broadcast at a time; with more of them the documents are read once for each slice.
 SLICE_ITEMS = 1024
 K1, B = 1.2, 0.75
+#: Texts split into words at a time.
+TEXTS = 512
 
 
 @dataclass(frozen=True)
@@ -255,7 +257,8 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = find_leaks(batch.column(1).to_pylist(), shared.value, threshold, overlap)
+                rows = [(at + no, *rest) for at in range(0, batch.num_rows, TEXTS) for no, *rest in find_leaks(
+                    batch.column(1).slice(at, TEXTS).to_pylist(), shared.value, threshold, overlap)]
                 at = pa.array([r[0] for r in rows], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), *[
                     pa.array([r[i] for r in rows], pa.int64() if i == 1 else pa.float64()) for i in range(1, 5)]],
@@ -276,7 +279,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", thresho
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 at = batch.schema.get_field_index(text)
-                held = {r[0] for r in find_leaks(batch.column(at).to_pylist(), shared.value, threshold, overlap)}
+                held = {start + r[0] for start in range(0, batch.num_rows, TEXTS) for r in find_leaks(
+                    batch.column(at).slice(start, TEXTS).to_pylist(), shared.value, threshold, overlap)}
                 yield batch.filter(pa.array([i not in held for i in range(batch.num_rows)], pa.bool_()))
 
         kept = kept.mapInArrow(run, docs.schema)

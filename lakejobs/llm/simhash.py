@@ -145,7 +145,7 @@ def _key_batches(scheme: Blocks, parts: dict[int, int], hot_at: int | None):
     hot = np.array(sorted(parts), dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] = []
+        kept: dict[tuple[int, int], list[np.ndarray]] = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -160,7 +160,7 @@ def _key_batches(scheme: Blocks, parts: dict[int, int], hot_at: int | None):
                     tag = np.uint64((w * len(masks) + m + 1) * 0xD6E8FEB86659FD93 & (2**64 - 1))
                     keys = _mix((table[:, w] & mask) ^ tag).view(np.int64)
                     if hot_at is not None:
-                        kept.append(keys)
+                        kept.setdefault((w, m), []).append(keys)
                         continue
                     rest = ~np.isin(keys, hot) if len(hot) else np.ones(len(keys), bool)
                     yield _key_batch(keys[rest], np.full(int(rest.sum()), -1, np.int32), ids[rest], raw, len(raw) // len(ids), np.flatnonzero(rest))
@@ -169,8 +169,8 @@ def _key_batches(scheme: Blocks, parts: dict[int, int], hot_at: int | None):
                         own = int(_mix(np.array([ids[at]], dtype=np.int64).view(np.uint64))[0] % np.uint64(n))
                         pairs = np.array([min(own, j) * n + max(own, j) for j in range(n)], dtype=np.int32)
                         yield _key_batch(np.full(n, keys[at]), pairs, np.full(n, ids[at]), raw, len(raw) // len(ids), np.full(n, at))
-        if hot_at is not None and kept:
-            values, counts = np.unique(np.concatenate(kept), return_counts=True)
+        for own in kept.values():
+            values, counts = np.unique(np.concatenate(own), return_counts=True)
             many = counts >= hot_at
             yield pa.RecordBatch.from_arrays([pa.array(values[many]), pa.array(counts[many])], names=["key", "rows"])
 
