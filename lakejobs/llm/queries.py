@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakejobs.llm import decontamination, mixing, pii, secrets, sharding, simhash, token_counts, topk, toxicity, warc
+from lakejobs.llm import collocations, decontamination, mixing, pii, secrets, sharding, simhash, token_counts, topk, toxicity, warc
 from lakejobs.llm.common import table
 from lakejobs.llm.spans import labelled
 from lakejobs.session import ship_package
@@ -163,3 +163,39 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_simhash")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM words, (SELECT unnest([1, 2, 3, 4]) AS size) s WHERE len(w) >= size),
+counted AS (SELECT lang, size, phrase, count(*) AS c FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(c)::BIGINT AS n FROM counted WHERE size = 1 GROUP BY lang),
+cand AS (SELECT lang, size, phrase, c AS a, string_split(phrase, ' ') AS w FROM counted WHERE size > 1 AND c >= 30),
+cuts AS (
+  SELECT lang, size, phrase, a, k, array_to_string(w[1:k], ' ') AS first_part, array_to_string(w[k + 1:], ' ') AS rest
+  FROM cand, (SELECT unnest([1, 2, 3]) AS k) s WHERE k < size),
+scored AS (
+  SELECT t.lang, t.size, t.phrase, t.a, t.k, x.c AS l, y.c AS r, (2000000::HUGEINT * t.a) // (x.c::HUGEINT + y.c) AS score
+  FROM cuts t JOIN counted x ON x.lang = t.lang AND x.phrase = t.first_part JOIN counted y ON y.lang = t.lang AND y.phrase = t.rest),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+parts AS (
+  SELECT lang, a, unnest(list_transform(range(1, size - part + 2), lambda i: array_to_string(w[i:i + part - 1], ' '))) AS phrase
+  FROM cand, (SELECT unnest([2, 3]) AS part) s WHERE part < size),
+longer AS (SELECT lang, phrase, max(a) AS a FROM parts GROUP BY ALL),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank
+  FROM weakest s LEFT JOIN longer o ON o.lang = s.lang AND o.phrase = s.phrase
+  WHERE o.a IS NULL OR 100::HUGEINT * o.a < 80::HUGEINT * s.a)
+SELECT r.lang, r.rank::INT AS rank, r.phrase, r.a, r.l, r.r, t.n, r.score::BIGINT AS score
+FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000
+"""
+
+
+@register("op11_collocations", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
