@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakejobs.llm import collocations, decontamination, mixing, pii, secrets, sharding, simhash, token_counts, topk, toxicity, warc
+from lakejobs.llm import collocations, decontamination, mixing, pii, secrets, sharding, simhash, spelling, token_counts, topk, toxicity, warc
 from lakejobs.llm.common import table
 from lakejobs.llm.spans import labelled
 from lakejobs.session import ship_package
@@ -199,3 +199,8 @@ FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000
 @register("op11_collocations", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op13_spelling")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
