@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakejobs.llm import collocations, decontamination, mixing, pii, secrets, sharding, simhash, spelling, token_counts, topk, toxicity, warc
+from lakejobs.llm import collocations, decontamination, mixing, pii, quality, secrets, sharding, simhash, spelling, token_counts, topk, toxicity, warc
 from lakejobs.llm.common import table
 from lakejobs.llm.spans import labelled
 from lakejobs.session import ship_package
@@ -201,6 +201,14 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+@register("op12_quality")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (~toxicity.learns(F.col("doc_id"))).alias("held_out"), "score", "predicted")
+
+
 @register("op13_spelling")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
