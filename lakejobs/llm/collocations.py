@@ -10,7 +10,9 @@ one weight and are compacted, so long repeated passages are a row each.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +29,11 @@ WORD = re.compile(r"[^\x20\x09]+")
 SIZE = 4
 #: Places and characters that a task counts at a time, and characters of a piece above which its words are read one by one.
 PLACES, CHARACTERS, LONG_PIECE = 2_000_000, 64_000_000, 4_000_000
+#: Edges of a batch that a task hands on, and the first number of the shares of a frequent pair.
+ROWS, PARTS = 65_536, 1 << 20
 #: Bytes of text whose edges one task sums, and bytes of the sample that finds very frequent word pairs.
 TASK_BYTES, SAMPLE_BYTES = 8 << 20, 32 << 20
-#: A pair of words with this share of the sampled records is spread over tasks by its further words.
+#: A word or a pair of words with this share of the sampled edges is spread over tasks.
 HOT_SHARE = 1 / 1024
 
 
@@ -46,7 +50,8 @@ def _words(piece: str) -> Iterator[str]:
 class _Places:
     """Word numbers of the pieces read so far; a zero ends a piece."""
 
-    def __init__(self) -> None:
+    def __init__(self, hot: Hot) -> None:
+        self.hot = hot
         self.known: dict[str, int] = {}
         self.langs: dict[str, int] = {}
         self.held: list[np.ndarray] = []
@@ -73,106 +78,141 @@ class _Places:
 
     def _keep(self, lang: str, ids: list[int]) -> None:
         if ids:
-            self.held.append(np.array(ids, dtype=np.int64))
+            self.held.append(np.array(ids, dtype=np.int32))
             self.lang.append((self.langs.setdefault(lang, len(self.langs)), len(ids)))
             self.size += len(ids)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        """Records (level, head, third, fourth, c): edges (4), words (1) and the number of words of a language (0)."""
+        """Rows (head, salt, tails) of the places read so far, which are forgotten then."""
         if not self.held:
             return
-        flat = np.concatenate([*self.held, np.zeros(SIZE - 1, np.int64)])
-        lang = np.repeat([x for x, _ in self.lang], [n for _, n in self.lang])
-        words, langs = pa.array(["", *self.known], pa.string()), pa.array(list(self.langs), pa.string())
-        wide = len(words)
-        self.__init__()
-        one, two, three, four = (flat[i:len(flat) - SIZE + 1 + i] for i in range(SIZE))
-        two = two.copy()
-        three = np.where(two == 0, 0, three)
-        four = np.where(three == 0, 0, four)
-        some = one > 0
-        one, two, three, four, lang = one[some], two[some], three[some], four[some], lang[some]
-        single = lang * wide + one
+        flat = np.concatenate([*self.held, np.zeros(SIZE - 1, np.int32)])
+        lang = np.repeat(np.array([x for x, _ in self.lang], np.int32), [n for _, n in self.lang])
+        names, langs, hot = ["", *self.known], list(self.langs), self.hot
+        words, wide = pa.array(names, pa.string()), np.int64(len(self.known) + 1)
+        self.__init__(hot)
+        here = np.flatnonzero(flat[:len(lang)])
+        of_lang = np.bincount(lang[here], minlength=len(langs))
+        yield _rows(pa.array([f"{x}\t" for x in langs], pa.string()), np.zeros(len(langs)), _texts(of_lang))
+        heads, head, counts = np.unique(lang[here] * wide + flat[here], return_inverse=True, return_counts=True)
+        begin = pc.binary_join_element_wise(pa.array(langs, pa.string()).take(pa.array(heads // wide)), words.take(pa.array(heads % wide)), "\t")
+        yield _rows(begin, np.zeros(len(heads)), _texts(counts))
         # A last word alone begins no pair: only the words count it.
-        pair = two > 0
-        heads, head = np.unique((single * wide + two)[pair], return_inverse=True)
-        tails, tail = np.unique((three * wide + four)[pair], return_inverse=True)
-        grams, counts = np.unique(head * len(tails) + tail, return_counts=True)
-        starts = pc.binary_join_element_wise(langs.take(pa.array(heads // wide // wide)), words.take(pa.array(heads // wide % wide)), "\t")
-        starts = pc.binary_join_element_wise(starts, words.take(pa.array(heads % wide)), " ")
-        at = pa.array(grams // len(tails))
-        tail = tails[grams % len(tails)]
-        yield from _records(4, starts.take(at), words.take(pa.array(tail // wide)), words.take(pa.array(tail % wide)), counts)
-        names, counts = np.unique(single, return_counts=True)
-        singles = pc.binary_join_element_wise(langs.take(pa.array(names // wide)), words.take(pa.array(names % wide)), "\t")
-        none = pa.array([""] * len(names), pa.string())
-        yield from _records(1, singles, none, none, counts)
-        names, counts = np.unique(lang, return_counts=True)
-        none = pa.array([""] * len(names), pa.string())
-        yield from _records(0, pc.binary_join_element_wise(langs.take(pa.array(names)), none, "\t"), none, none, counts)
-
-
-def _records(level: int, head: pa.Array, third: pa.Array, fourth: pa.Array, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    levels = pa.array(np.full(len(counts), level, np.int32))
-    whole = pa.RecordBatch.from_arrays([levels, head, third, fourth, pa.array(counts.astype(np.int64))], names=["level", "head", "third", "fourth", "c"])
-    for at in range(0, whole.num_rows, 65_536):
-        yield whole.slice(at, 65_536)
-
-
-def places(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
-    """Records of all places, summed within each task.
-
-    ``head`` is the language, a tab, and the first two words; an empty third or
-    fourth word says that the piece ended there.
+        pair = flat[here + 1] > 0
+        here, head = here[pair], head[pair]
+        three = flat[here + 2]
+        ends, end = np.unique(three * wide + np.where(three == 0, 0, flat[here + 3]), return_inverse=True)
+        pairs, pair = np.unique(head * wide + flat[here + 1], return_inverse=True)
+        del here, head, three, flat, lang
+        grams, counts = np.unique(pair * np.int64(len(ends)) + end, return_counts=True)
+        del pair, end
+        pair, end = grams // len(ends), ends[grams % len(ends)]
+        del grams
+        head, second = pairs[pair] // wide, pairs[pair] % wide
+        salt = hot.salts(begin, names, pairs // wide, pairs % wide, pair, end // wide, end % wide)
+        if salt.any():
+            order = np.lexsort((salt, head))
+            head, salt, second, end, counts = head[order], salt[order], second[order], end[order], counts[order]
+        starts = np.flatnonzero(np.concatenate(([True], (head[1:] != head[:-1]) | (salt[1:] != salt[:-1]))))
+        starts = np.append(starts, len(head))
+        at = 0
+        while at < len(starts) - 1:
+            # Whole heads with at least ROWS edges together, so that few strings are held at a time.
+            until = min(max(at + 1, int(np.searchsorted(starts, starts[at] + ROWS))), len(starts) - 1)
+            lo, hi = starts[at], starts[until]
+            texts = pc.binary_join_element_wise(*(words.take(pa.array(x[lo:hi])) for x in (second, end // wide, end % wide)), _texts(counts[lo:hi]), " ")
+            lists = pa.ListArray.from_arrays(pa.array((starts[at:until + 1] - lo).astype(np.int32)), texts)
+            yield _rows(begin.take(pa.array(head[starts[at:until]])), salt[starts[at:until]], pc.binary_join(lists, "\t"))
+            at = until
+
+
+@dataclass(frozen=True)
+class Hot:
+    """Words and pairs (``lang\\tword``, ``lang\\tword word``) whose edges are dealt to several tasks, and to how many."""
+
+    words: dict[str, int] = field(default_factory=dict)
+    pairs: dict[str, int] = field(default_factory=dict)
+
+    def salts(self, begin: pa.Array, names: list[str], head: np.ndarray, second: np.ndarray, pair: np.ndarray, third: np.ndarray, fourth: np.ndarray) -> np.ndarray:
+        """Share of each edge: 0, or one of its first word by the second, or from ``PARTS`` on one of its pair by the further words."""
+        salt = np.zeros(len(pair), np.int64)
+        if not self.words and not self.pairs:
+            return salt
+        spread = np.array([self.words.get(h, 0) for h in begin.to_pylist()], np.int64)
+        mark = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in names], np.int64)
+        wide = spread[head]
+        salt = np.where(wide > 0, 1 + mark[second] % np.maximum(wide, 1), 0)[pair]
+        first = begin.take(pa.array(head)).to_pylist() if self.pairs else []
+        parts = np.array([self.pairs.get(f"{a} {names[b]}", 0) for a, b in zip(first, second.tolist())] or [0] * len(head), np.int64)[pair]
+        return np.where(parts > 0, PARTS + (mark[third] * 31 + mark[fourth]) % np.maximum(parts, 1), salt)
+
+
+def _texts(counts: np.ndarray) -> pa.Array:
+    return pc.cast(pa.array(counts.astype(np.int64)), pa.string())
+
+
+def _rows(head: pa.Array, salt: np.ndarray, tails: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([head, pa.array(salt.astype(np.int32)), tails], names=["head", "salt", "tails"])
+
+
+def places(docs: DataFrame, lang: str = "lang", text: str = "text", hot: Hot = Hot()) -> DataFrame:
+    """(head, salt, tails) of all places, summed within each task.
+
+    ``head`` is the language, a tab, and the first word of an edge; ``tails`` are its
+    further words with their counts, ``second third fourth count`` between tabs, so that
+    a first word is written once. An empty third or fourth word says that the piece
+    ended there. A tail that is a number is the count of the word, or without a word of the language.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = _Places()
+        kept = _Places(hot)
         for batch in batches:
             for name, whole in zip(batch.column(0), batch.column(1)):
                 yield from kept.add(name.as_py(), whole.as_py())
         yield from kept.flush()
 
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "level int, head string, third string, fourth string, c long")
+    return rows.mapInArrow(run, "head string, salt int, tails string")
 
 
-def _hot_heads(docs: DataFrame, lang: str, text: str, total: int) -> DataFrame:
-    """(head, spread): word pairs so frequent in a bounded sample that one task should not sum them; at most ``1 / HOT_SHARE`` rows.
+def hot_places(docs: DataFrame, lang: str, text: str, total: int) -> Hot:
+    """Words and word pairs so frequent in a bounded sample that one task should not sum them; at most ``1 / HOT_SHARE`` of each.
 
     Only the dealing of records depends on them, not a count.
     """
     share = min(1.0, SAMPLE_BYTES / max(1, total))
-    records = places(docs.sample(share, seed=11), lang, text).where("level = 4").groupBy("head").agg(F.count(F.lit(1)).alias("rows"))
-    most = records.agg(F.sum("rows")).scalar()
-    top = records.where(F.col("rows") > F.greatest(most * HOT_SHARE, F.lit(1000))).select(
-        "head", F.ceil(F.col("rows") / most * 4 / HOT_SHARE).cast("int").alias("spread"))
-    return stored(top, "hot")
+    tails = places(docs.sample(share, seed=11), lang, text).select("head", F.explode(F.split("tails", "\t")).alias("tail")).where(F.contains("tail", F.lit(" ")))
+    pairs = stored(tails.groupBy("head", F.substring_index("tail", " ", 1).alias("second")).agg(F.count(F.lit(1)).alias("edges")), "pairs")
+    least = max(1000.0, (pairs.agg(F.sum("edges")).first()[0] or 0) * HOT_SHARE)
+    spread = F.ceil(F.col("edges") * 4 / least).cast("int")
+    words = pairs.groupBy("head").agg(F.sum("edges").alias("edges")).where(F.col("edges") > least).select("head", spread).collect()
+    often = pairs.where(F.col("edges") > least).select(F.concat_ws(" ", "head", "second"), spread).collect()
+    return Hot(dict(map(tuple, words)), dict(map(tuple, often)))
 
 
 def counts(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = 30) -> DataFrame:
     """(lang, level, phrase, c): all phrases of 1 to 4 words with at least ``least`` occurrences, and the words of each language (level 0).
 
-    Records of one word pair meet in one task, which sums edges, nodes and pairs
-    together; pairs that a sample finds very frequent are dealt by their further words
-    too and their sums added up after.
+    Edges of one first word meet in one task, which sums edges, nodes and pairs
+    together. Words that a sample finds very frequent are dealt by their second word,
+    and so frequent pairs by their further words; only the sums of those are added up after.
     """
     total = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text))), F.lit(0))).first()[0]
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
-    hot = _hot_heads(docs, lang, text, total)
-    salted = places(docs, lang, text).join(F.broadcast(hot), "head", "left").withColumn("salt", F.when(
-        F.col("spread").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64("third", "fourth"), F.col("spread"))).cast("int"))
-    dealt = salted.select("level", "head", "third", "fourth", "c", "salt").repartition(tasks, "head", "salt")
-    own = F.struct(F.col("level").alias("words"), F.lit("").alias("rest"))
+    dealt = places(docs, lang, text, hot_places(docs, lang, text, total)).repartition(tasks, "head", "salt")
+    each = dealt.select("head", "salt", F.explode(F.split("tails", "\t")).alias("tail")).select(
+        "head", "salt", F.substring_index("tail", " ", 3).alias("rest"), F.substring_index("tail", " ", -1).cast("long").alias("c"))
     # The flow of an edge goes to its node and to the pair the node begins with; a piece that ended sooner gives to the shorter ones only.
+    node, pair = F.substring_index("rest", " ", 2), F.substring_index("rest", " ", 1)
     flow = F.array(
-        F.when(F.col("fourth") != "", F.struct(F.lit(4).alias("words"), F.concat_ws(" ", "third", "fourth").alias("rest"))),
-        F.when(F.col("third") != "", F.struct(F.lit(3).alias("words"), F.col("third").alias("rest"))),
-        F.struct(F.lit(2).alias("words"), F.lit("").alias("rest")))
-    each = dealt.select("head", "salt", "c", F.explode(F.when(F.col("level") == 4, flow).otherwise(F.array(own))).alias("of")).where("of IS NOT NULL")
-    summed = each.groupBy("head", "salt", F.col("of.words").alias("level"), F.col("of.rest").alias("rest")).agg(F.sum("c").alias("c"))
-    summed = stored(summed.where((F.col("salt") > 0) | (F.col("c") >= least) | (F.col("level") == 0)), "sums")
-    whole = summed.where("salt = 0").select("head", "level", "rest", "c").unionByName(
-        summed.where("salt > 0").groupBy("head", "level", "rest").agg(F.sum("c").alias("c")).where(F.col("c") >= least))
+        F.when(~F.endswith(F.col("rest"), F.lit(" ")), F.struct(F.lit(4).alias("level"), F.col("rest"))),
+        F.when(~F.endswith(node, F.lit(" ")), F.struct(F.lit(3).alias("level"), node.alias("rest"))),
+        F.struct(F.lit(2).alias("level"), pair.alias("rest")))
+    own = F.array(F.struct(F.when(F.endswith(F.col("head"), F.lit("\t")), 0).otherwise(1).alias("level"), F.lit("").alias("rest")))
+    given = each.select("head", "salt", "c", F.explode(F.when(F.contains("rest", F.lit(" ")), flow).otherwise(own)).alias("of")).where("of IS NOT NULL")
+    summed = given.groupBy("head", "salt", "of.level", "of.rest").agg(F.sum("c").alias("c"))
+    summed = stored(summed.where((F.col("salt") >= PARTS) | (F.col("c") >= least) | (F.col("level") == 0)), "sums")
+    whole = summed.where(F.col("salt") < PARTS).select("head", "level", "rest", "c").unionByName(
+        summed.where(F.col("salt") >= PARTS).groupBy("head", "level", "rest").agg(F.sum("c").alias("c")).where(F.col("c") >= least))
     first = F.substring_index("head", "\t", -1)
     phrase = F.when(F.col("rest") == "", first).otherwise(F.concat_ws(" ", first, "rest"))
     return stored(whole.select(
