@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,8 +28,8 @@ BREAK = re.compile(r"[.,;:!?\x0A-\x0D]+")
 WORD = re.compile(r"[^\x20\x09]+")
 #: Words of an edge.
 SIZE = 4
-#: Places and characters that a task counts at a time, and characters of a piece above which its words are read one by one.
-PLACES, CHARACTERS, LONG_PIECE = 2_000_000, 64_000_000, 4_000_000
+#: Places and characters that a task counts at a time, and characters above which a text is read in runs of pieces.
+PLACES, CHARACTERS, LONG_TEXT = 2_000_000, 64_000_000, 4_000_000
 #: Edges of a batch that a task hands on, and the first number of the shares of a frequent pair.
 ROWS, PARTS = 65_536, 1 << 20
 #: Bytes of text whose edges one task sums, and bytes of the sample that finds very frequent word pairs.
@@ -41,10 +42,10 @@ def _lowered(text: str) -> str:
     return text.lower() if text.isascii() else UPPER.sub(lambda m: m.group().lower(), text)
 
 
-def _words(piece: str) -> Iterator[str]:
-    if len(piece) > LONG_PIECE:
-        return (m.group() for m in WORD.finditer(piece))
-    return filter(None, piece.replace("\t", " ").split(" "))
+def _words(text: str) -> Iterator[str]:
+    if len(text) > LONG_TEXT:
+        return (m.group() for m in WORD.finditer(text))
+    return filter(None, text.replace("\t", " ").split(" "))
 
 
 class _Places:
@@ -52,35 +53,40 @@ class _Places:
 
     def __init__(self, hot: Hot) -> None:
         self.hot = hot
-        self.known: dict[str, int] = {}
+        # A new word gets the next number; a line end stands for the end of a piece.
+        self.known: defaultdict[str, int] = defaultdict()
+        self.known.default_factory = self.known.__len__
+        self.known["\n"]
         self.langs: dict[str, int] = {}
         self.held: list[np.ndarray] = []
         self.lang: list[tuple[int, int]] = []
         self.size = self.characters = 0
 
     def add(self, lang: str, text: str) -> Iterator[pa.RecordBatch]:
-        ids: list[int] = []
-        known = self.known
-        for piece in BREAK.split(_lowered(text)):
-            before = len(ids)
-            for w in _words(piece):
-                ids.append(known.setdefault(w, len(known) + 1))
-            if len(ids) > before:
-                ids.append(0)
-            if len(ids) >= PLACES:
-                self._keep(lang, ids)
-                yield from self.flush()
-                ids, known = [], self.known
-        self._keep(lang, ids)
+        lowered = _lowered(text)
+        if len(lowered) <= LONG_TEXT:
+            self._keep(lang, self._numbers(_words(BREAK.sub(" \n ", lowered))))
+        else:
+            at = 0
+            for end in BREAK.finditer(lowered):
+                # Runs of whole pieces, so that few words of a very long text are held at a time.
+                if end.start() - at > LONG_TEXT // 8:
+                    self._keep(lang, self._numbers(_words(BREAK.sub(" \n ", lowered[at:end.start()]))))
+                    at = end.end()
+                    if self.size >= PLACES:
+                        yield from self.flush()
+            self._keep(lang, self._numbers(_words(BREAK.sub(" \n ", lowered[at:]))))
         self.characters += len(text)
         if self.size >= PLACES or self.characters >= CHARACTERS:
             yield from self.flush()
 
-    def _keep(self, lang: str, ids: list[int]) -> None:
-        if ids:
-            self.held.append(np.array(ids, dtype=np.int32))
-            self.lang.append((self.langs.setdefault(lang, len(self.langs)), len(ids)))
-            self.size += len(ids)
+    def _numbers(self, words: Iterator[str]) -> np.ndarray:
+        return np.append(np.fromiter(map(self.known.__getitem__, words), np.int32), np.int32(0))
+
+    def _keep(self, lang: str, ids: np.ndarray) -> None:
+        self.held.append(ids)
+        self.lang.append((self.langs.setdefault(lang, len(self.langs)), len(ids)))
+        self.size += len(ids)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         """Rows (head, salt, tails) of the places read so far, which are forgotten then."""
@@ -88,8 +94,8 @@ class _Places:
             return
         flat = np.concatenate([*self.held, np.zeros(SIZE - 1, np.int32)])
         lang = np.repeat(np.array([x for x, _ in self.lang], np.int32), [n for _, n in self.lang])
-        names, langs, hot = ["", *self.known], list(self.langs), self.hot
-        words, wide = pa.array(names, pa.string()), np.int64(len(self.known) + 1)
+        names, langs, hot = ["", *list(self.known)[1:]], list(self.langs), self.hot
+        words, wide = pa.array(names, pa.string()), np.int64(len(names))
         self.__init__(hot)
         here = np.flatnonzero(flat[:len(lang)])
         of_lang = np.bincount(lang[here], minlength=len(langs))

@@ -95,14 +95,14 @@ def test_frequent_places_are_found(spark):
 
 def test_small_flushes_and_long_pieces():
     rows = invented(7)
-    for places, long_piece in ((10**7, 10**7), (50, 30)):
+    for places, long_text in ((10**7, 10**7), (50, 80)):
         kept, summed = collocations._Places(collocations.Hot()), Counter()
-        old = collocations.PLACES, collocations.LONG_PIECE
-        collocations.PLACES, collocations.LONG_PIECE = places, long_piece
+        old = collocations.PLACES, collocations.LONG_TEXT
+        collocations.PLACES, collocations.LONG_TEXT = places, long_text
         try:
             batches = [b for lang, text in rows for b in kept.add(lang or "und", text or "")] + list(kept.flush())
         finally:
-            collocations.PLACES, collocations.LONG_PIECE = old
+            collocations.PLACES, collocations.LONG_TEXT = old
         for batch in batches:
             for row in batch.to_pylist():
                 lang, word = row["head"].rsplit("\t", 1)
