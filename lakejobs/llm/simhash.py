@@ -29,8 +29,12 @@ UPPER = {c: c + 32 for c in range(65, 91)}
 CHUNK = 32_768
 #: Rows under one key that one task compares; keys with more are dealt in pairs of parts.
 PART_ROWS = 4096
-#: Hot keys the driver keeps; with more of them the parts are made larger.
-HOT_KEYS = 100_000
+#: Hot keys the driver keeps; with more of them the parts are made larger. They are looked for in about this many rows.
+HOT_KEYS, SAMPLE_ROWS = 100_000, 65_536
+#: Texts, and shingles in all, of a part of a group of candidates; groups with more are compared in pairs of parts.
+GROUP_ROWS, GROUP_HASHES = 1024, 2_000_000
+#: Sets of at least this many shingles differ in the share of bits that their similarity says; smaller ones in more.
+LARGE_SET = 64
 
 
 @dataclass(frozen=True)
@@ -43,8 +47,10 @@ class Blocks:
     max_distance: int = 4
     #: First words that the distance counts; 0 for all.
     compared: int = 0
-    #: Least shingle similarity of a link; None if the distance alone decides.
+    #: Least shingle similarity of a link; None if the distance alone decides. Then the number of shingles follows the words.
     similarity: float | None = None
+    #: Limit of the distance of two sets of at least ``LARGE_SET`` shingles.
+    max_distance_large: int = 0
 
     def masks(self) -> list[np.uint64]:
         edges = [round(i * 64 / self.blocks) for i in range(self.blocks + 1)]
@@ -62,15 +68,15 @@ def similar(similarity: float, words: int = 6) -> Blocks:
     Sets of similarity s have cosine 2s / (1 + s) when equally large (more when
     not), and each bit differs with probability angle / pi; sets of few shingles
     differ in up to 3 of 16 bits. A pair is a candidate if in one of the words
-    two of eight blocks agree and the first three words differ by at most that
-    share and four standard deviations. A candidate becomes a link only if
-    its shingle sets have the similarity.
+    two of eight blocks agree, the first three words differ by at most that
+    share and four standard deviations, and the numbers of shingles allow the
+    similarity. A candidate becomes a link only if its shingle sets have it.
     """
-    share = max(3 / 16, float(np.arccos(2 * similarity / (1 + similarity)) / np.pi))
+    large = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     compared = min(3, words)
     bits = 64 * compared
-    return Blocks(words=words, blocks=8, agree=2, max_distance=int(share * bits + 4 * (bits * share * (1 - share)) ** 0.5),
-                  compared=compared, similarity=similarity)
+    small, large = (int(share * bits + 4 * (bits * share * (1 - share)) ** 0.5) for share in (max(3 / 16, large), large))
+    return Blocks(words=words, blocks=8, agree=2, max_distance=small, compared=compared, similarity=similarity, max_distance_large=large)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -128,55 +134,79 @@ def set_fingerprint(hashes: np.ndarray, words: int) -> bytes:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, words: int = 1) -> DataFrame:
-    """(key, fingerprint binary) of every row. Null and empty texts have fingerprint zero."""
+    """(key, text_hash, fingerprint binary) of every row. Null and empty texts have fingerprint zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(t.as_py(), shingle, words) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary())], names=["key", "fingerprint"])
+            prints = [fingerprint(t.as_py(), shingle, words) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints, pa.binary())], names=["key", "text_hash", "fingerprint"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"key {kind}, fingerprint binary")
+    return docs.select(key, F.xxhash64(text).alias("text_hash"), text).mapInArrow(run, f"key {kind}, text_hash long, fingerprint binary")
 
 
-def _key_batches(scheme: Blocks, parts: dict[int, int], hot_at: int | None):
-    """Task function: (id, fingerprint) -> keys, or with ``hot_at`` the keys seen that often in this task."""
+def _keys(table: np.ndarray, scheme: Blocks) -> Iterator[np.ndarray]:
+    """Keys of all rows, one array for each word and mask."""
     masks = scheme.masks()
+    for w in range(scheme.words):
+        for m, mask in enumerate(masks):
+            tag = np.uint64((w * len(masks) + m + 1) * 0xD6E8FEB86659FD93 & (2**64 - 1))
+            yield _mix((table[:, w] & mask) ^ tag).view(np.int64)
+
+
+def _table(prints: pa.Array) -> np.ndarray:
+    """64-bit words of the fingerprints, a row each."""
+    return np.frombuffer(b"".join(v.as_py() for v in prints), dtype=">u8").reshape(len(prints), -1).astype(np.uint64)
+
+
+def _key_batches(scheme: Blocks, parts: dict[int, int]):
+    """Task function: (id, fingerprint) -> (key, part, id, what is compared)."""
     hot = np.array(sorted(parts), dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[tuple[int, int], list[np.ndarray]] = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids = np.asarray(batch.column(0), dtype=np.int64)
-            raw = b"".join(v.as_py() for v in batch.column(1))
-            table = np.frombuffer(raw, dtype=">u8").reshape(batch.num_rows, -1).astype(np.uint64)
-            if hot_at is None and scheme.compared:
-                # What is compared and what a second pass appends to the words.
-                raw = np.delete(table, np.s_[scheme.compared:scheme.words], axis=1).astype(">u8").tobytes()
-            for w in range(scheme.words):
-                for m, mask in enumerate(masks):
-                    tag = np.uint64((w * len(masks) + m + 1) * 0xD6E8FEB86659FD93 & (2**64 - 1))
-                    keys = _mix((table[:, w] & mask) ^ tag).view(np.int64)
-                    if hot_at is not None:
-                        kept.setdefault((w, m), []).append(keys)
-                        continue
-                    rest = ~np.isin(keys, hot) if len(hot) else np.ones(len(keys), bool)
-                    yield _key_batch(keys[rest], np.full(int(rest.sum()), -1, np.int32), ids[rest], raw, len(raw) // len(ids), np.flatnonzero(rest))
-                    for at in np.flatnonzero(~rest):
-                        n = parts[int(keys[at])]
-                        own = int(_mix(np.array([ids[at]], dtype=np.int64).view(np.uint64))[0] % np.uint64(n))
-                        pairs = np.array([min(own, j) * n + max(own, j) for j in range(n)], dtype=np.int32)
-                        yield _key_batch(np.full(n, keys[at]), pairs, np.full(n, ids[at]), raw, len(raw) // len(ids), np.full(n, at))
-        for own in kept.values():
-            values, counts = np.unique(np.concatenate(own), return_counts=True)
-            many = counts >= hot_at
-            yield pa.RecordBatch.from_arrays([pa.array(values[many]), pa.array(counts[many])], names=["key", "rows"])
+            table = _table(batch.column(1))
+            # What is compared and the number of shingles, if it follows the words.
+            raw = (np.delete(table, np.s_[scheme.compared:scheme.words], axis=1) if scheme.compared else table).astype(">u8").tobytes()
+            for keys in _keys(table, scheme):
+                rest = ~np.isin(keys, hot) if len(hot) else np.ones(len(keys), bool)
+                yield _key_batch(keys[rest], np.full(int(rest.sum()), -1, np.int32), ids[rest], raw, len(raw) // len(ids), np.flatnonzero(rest))
+                for at in np.flatnonzero(~rest):
+                    n = parts[int(keys[at])]
+                    own = int(_mix(np.array([ids[at]], dtype=np.int64).view(np.uint64))[0] % np.uint64(n))
+                    pairs = np.array([min(own, j) * n + max(own, j) for j in range(n)], dtype=np.int32)
+                    yield _key_batch(np.full(n, keys[at]), pairs, np.full(n, ids[at]), raw, len(raw) // len(ids), np.full(n, at))
 
     return run
 
 
+def hot_keys(prints: DataFrame, scheme: Blocks) -> dict[int, int]:
+    """Keys of more than about ``PART_ROWS`` rows and the parts each is dealt in.
+
+    Counted in a seeded sample of about ``SAMPLE_ROWS`` rows (all, if there are no more), in the
+    JVM, so neither the number of tasks nor their size matters. Only the dealing depends on it.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                for keys in _keys(_table(batch.column(1)), scheme):
+                    yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["key"])
+
+    share = min(1.0, SAMPLE_ROWS / max(1, prints.count()))
+    sampled = prints.where(F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(1_000_003)) < share * 1_000_003)
+    rows, least = PART_ROWS, 1 if share == 1 else 8
+    counted = sampled.select("id", "fingerprint").mapInArrow(run, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+    counted = stored(counted.where((F.col("rows") >= least) & (F.col("rows") / share >= rows // 2)), "hot")
+    while True:
+        seen = counted.where(F.col("rows") / share >= rows // 2).limit(HOT_KEYS + 1).collect()
+        if len(seen) <= HOT_KEYS:
+            return {r["key"]: int(-(-(r["rows"] / share + rows) // rows)) for r in seen}
+        rows *= 2
+
+
 def _key_batch(keys, part, ids, raw, size, at) -> pa.RecordBatch:
     prints = pa.array([raw[i * size:(i + 1) * size] for i in at.tolist()], pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part), pa.array(ids), prints], names=["key", "part", "id", "fingerprint"])
@@ -202,8 +232,9 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def _close(keys: np.ndarray, part: np.ndarray, table: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Pairs of places with equal (key, part), which come one after the other, within the distance: (place, place, distance)."""
+def _close(keys: np.ndarray, part: np.ndarray, table: np.ndarray, scheme: Blocks) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places with equal (key, part), which come one after the other, that are candidates of the scheme."""
+    words = scheme.compared or scheme.words
     n = len(keys)
     new = np.ones(n, bool)
     new[1:] = (keys[1:] != keys[:-1]) | (part[1:] != part[:-1])
@@ -215,77 +246,45 @@ def _close(keys: np.ndarray, part: np.ndarray, table: np.ndarray, limit: int) ->
         at = at[at + step < end[at]]
         if not len(at):
             return
-        apart = np.bitwise_count(table[at] ^ table[at + step]).sum(axis=1, dtype=np.int32)
+        limit = scheme.max_distance
+        apart = np.bitwise_count(table[at, :words] ^ table[at + step, :words]).sum(axis=1, dtype=np.int32)
+        if scheme.similarity is not None:
+            small, large = (f(table[at, words], table[at + step, words]) for f in (np.minimum, np.maximum))
+            limit = np.where(small >= LARGE_SET, scheme.max_distance_large, limit)
+            # Empty sets are one class, so no two of them meet.
+            apart = np.where(small / np.maximum(large, 1) >= scheme.similarity, apart, np.iinfo(np.int32).max)
         close = apart <= limit
         if close.any():
-            yield at[close], at[close] + step, apart[close]
+            yield at[close], at[close] + step
         step += 1
 
 
-def _linked(keys: np.ndarray, part: np.ndarray, ids: np.ndarray, table: np.ndarray, scheme: Blocks, mode: str):
-    """Batches of links (a, b, near) among rows of equal (key, part).
-
-    ``stars``: spanning stars of all pairs within the distance. ``nearest``: these
-    and, as near ones, every row with the row closest to it. ``apart``: all pairs of
-    rows with different labels, whose numbers of shingles allow the similarity;
-    label and number follow the compared words.
-    """
-    words = scheme.compared or scheme.words
-    n = len(keys)
-    best, other = np.full(n, np.iinfo(np.int32).max, np.int32), np.zeros(n, np.int64)
+def _linked(keys: np.ndarray, part: np.ndarray, ids: np.ndarray, table: np.ndarray, scheme: Blocks) -> pa.RecordBatch:
+    """Spanning stars (a, b) of all candidate pairs among rows of equal (key, part)."""
     found_a, found_b, held = [np.empty(0, np.int64)], [np.empty(0, np.int64)], 0
-    for left, right, distance in _close(keys, part, table[:, :words], scheme.max_distance):
-        if mode == "apart":
-            size = table[:, words + 1]
-            small, large = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
-            wanted = (table[left, words] != table[right, words]) & (small / large >= scheme.similarity)
-            left, right = left[wanted], right[wanted]
-        elif mode == "nearest":
-            for here, there in ((left, right), (right, left)):
-                less = distance < best[here]
-                best[here[less]], other[here[less]] = distance[less], there[less]
+    for left, right in _close(keys, part, table, scheme):
         found_a.append(ids[left])
         found_b.append(ids[right])
         held += len(left)
         if held > 2_000_000:
-            a, b = np.concatenate(found_a), np.concatenate(found_b)
-            if mode == "apart":
-                yield _link_batch(a, b, True)
-                a, b = a[:0], b[:0]
-            else:
-                a, b = _stars(a, b)
-            found_a, found_b, held = [a], [b], 0
-    a, b = np.concatenate(found_a), np.concatenate(found_b)
-    yield _link_batch(a, b, True) if mode == "apart" else _link_batch(*_stars(a, b), False)
-    if mode == "nearest":
-        some = np.flatnonzero(best < np.iinfo(np.int32).max)
-        yield _link_batch(ids[some], ids[other[some]], True)
-
-
-def _link_batch(a: np.ndarray, b: np.ndarray, near: bool) -> pa.RecordBatch:
-    pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1) if near else np.stack((a, b))
-    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(np.full(pairs.shape[1], near))], names=["a", "b", "near"])
-
-
-def links(prints: DataFrame, scheme: Blocks = EXACT_64, partitions: int | None = None, mode: str = "stars") -> DataFrame:
-    """Edges (a, b, near) that join all of ``prints`` (id long, fingerprint binary; ids unique) within the distance; ``mode`` as in ``_linked``.
-
-    Keys with many rows are found by counts (a key of that many rows has its share
-    in some task) and dealt as pairs of parts, so any group is compared whole and
-    in pieces of about twice ``PART_ROWS`` rows at most.
+            a, b = _stars(np.concatenate(found_a), np.concatenate(found_b))
+            found_a, found_b, held = [a], [b], len(a)
+    return _edges(*_stars(np.concatenate(found_a), np.concatenate(found_b)))
+
+
+def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def links(prints: DataFrame, scheme: Blocks = EXACT_64, partitions: int | None = None) -> DataFrame:
+    """Edges (a, b) that join all candidate pairs of ``prints`` (id long, fingerprint binary; ids unique).
+
+    Keys with many rows are dealt as pairs of parts, so any group is compared whole and
+    in pieces of about twice ``PART_ROWS`` rows.
     """
     spark = prints.sparkSession
-    tasks = max(1, prints.select(F.spark_partition_id().alias("task")).distinct().count())
-    rows = PART_ROWS
-    while True:
-        seen = prints.mapInArrow(_key_batches(scheme, {}, max(2, rows // tasks)), "key long, rows long").groupBy("key").agg(
-            F.sum("rows").alias("rows")).where(F.col("rows") >= rows // 2).limit(HOT_KEYS + 1).collect()
-        if len(seen) <= HOT_KEYS:
-            break
-        rows *= 2
-    parts = {r["key"]: int(-(-(r["rows"] + rows) // rows)) for r in seen}
     wanted = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = prints.mapInArrow(_key_batches(scheme, parts, None), "key long, part int, id long, fingerprint binary")
+    keyed = prints.mapInArrow(_key_batches(scheme, hot_keys(prints, scheme)), "key long, part int, id long, fingerprint binary")
     dealt = keyed.repartition(wanted, "key", "part").sortWithinPartitions("key", "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,19 +301,18 @@ def links(prints: DataFrame, scheme: Blocks = EXACT_64, partitions: int | None =
             held = [(keys[cut:], part[cut:], ids[cut:], table[cut:])]
             size = len(keys) - cut
             if cut:
-                yield from _linked(keys[:cut], part[:cut], ids[:cut], table[:cut], scheme, mode)
+                yield _linked(keys[:cut], part[:cut], ids[:cut], table[:cut], scheme)
 
         for batch in batches:
             if batch.num_rows:
-                table = np.frombuffer(b"".join(v.as_py() for v in batch.column(3)), dtype=">u8").reshape(batch.num_rows, -1).astype(np.uint64)
-                held.append((np.asarray(batch.column(0)), np.asarray(batch.column(1)), np.asarray(batch.column(2)), table))
+                held.append((np.asarray(batch.column(0)), np.asarray(batch.column(1)), np.asarray(batch.column(2)), _table(batch.column(3))))
                 size += batch.num_rows
             if size >= 100_000:
                 yield from flush(False)
         if held:
             yield from flush(True)
 
-    return dealt.mapInArrow(run, "a long, b long, near boolean")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def set_fingerprints(docs: DataFrame, key: str, text: str, shingle: int, words: int) -> DataFrame:
@@ -336,50 +334,105 @@ def set_fingerprints(docs: DataFrame, key: str, text: str, shingle: int, words:
         run, f"key {kind}, text_hash long, fingerprint binary, id long, shingles long")
 
 
-def _sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """(id, hashes): the distinct shingle hashes of (id, text)."""
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """Number of common values of two sorted arrays without repeats."""
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    return int((b[at] == a).sum())
+
+
+def set_links(sets: list[np.ndarray], side: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links (place, place) that join all pairs of sets with at least this Jaccard similarity.
+
+    Sets are sorted arrays; where ``side`` has two values only pairs across are compared.
+    Two such sets share one of their rarest hashes (as many as may be missing, and one), so only
+    these are looked up; a pair already joined by other links is not tested again.
+    """
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    _, token, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    order = np.lexsort((token, counts[token], owner))
+    token = token[order]
+    # Hashes that one set alone has can be left out of the lookup: nobody shares them.
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    rare = (place < np.repeat(sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1, sizes)) & (counts[token] > 1)
+    token, owner = token[rare], owner[rare]
+    by_token = np.argsort(token, kind="stable")
+    sorted_token, member = token[by_token], owner[by_token]
+    first, last = np.searchsorted(sorted_token, token, "left"), np.searchsorted(sorted_token, token, "right")
+    starts = np.searchsorted(owner, np.arange(len(sets) + 1))
+    two_sided = len(np.unique(side)) > 1
+    label = np.arange(len(sets))
+    found: list[tuple[int, int]] = []
+    for x in range(len(sets)):
+        lists = [member[a:b] for a, b in zip(first[starts[x]:starts[x + 1]].tolist(), last[starts[x]:starts[x + 1]].tolist()) if b - a > 1]
+        if not lists:
+            continue
+        near = np.unique(np.concatenate(lists))
+        near = near[near > x]
+        if two_sided:
+            near = near[side[near] != side[x]]
+        near = near[np.minimum(sizes[near], sizes[x]) / np.maximum(sizes[near], sizes[x]) >= similarity]
+        while True:
+            near = near[label[near] != label[x]]
+            if not len(near):
+                break
+            y, near = int(near[0]), near[1:]
+            both = _shared(sets[x], sets[y])
+            if both / (sizes[x] + sizes[y] - both) >= similarity:
+                found.append((x, y))
+                label[label == label[y]] = label[x]
+    pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _group_links(shingle: int, similarity: float):
+    """Task function: (group, part, side, id, text), sorted by (group, part) -> links (a, b) that join all similar texts of a group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                hashes = [pa.array(shingle_set(t.as_py(), shingle).view(np.int64)) for t in some.column(1)]
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(hashes, pa.list_(pa.int64()))], names=["id", "hashes"])
+        now, ids, sides, sets = None, [], [], []
 
-    return texts.select("id", "text").mapInArrow(run, "id long, hashes array<long>")
+        def compared() -> pa.RecordBatch:
+            a, b = set_links(sets, np.array(sides), similarity) if len(sets) > 1 else (np.empty(0, np.int64),) * 2
+            own = np.array(ids, dtype=np.int64)
+            return _edges(own[a], own[b])
 
+        for batch in batches:
+            groups, parts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for row in range(batch.num_rows):
+                if (groups[row], parts[row]) != now:
+                    if len(sets) > 1:
+                        yield compared()
+                    now, ids, sides, sets = (groups[row], parts[row]), [], [], []
+                sides.append(batch.column(2)[row].as_py())
+                ids.append(batch.column(3)[row].as_py())
+                sets.append(shingle_set(batch.column(4)[row].as_py(), shingle))
+        yield compared()
 
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets have at least this Jaccard similarity."""
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("of_a")), "a").join(
-        sets.select(F.col("id").alias("b"), F.col("hashes").alias("of_b")), "b")
-    shared = F.size(F.array_intersect("of_a", "of_b"))
-    return both.where(shared / (F.size("of_a") + F.size("of_b") - shared) >= similarity).select("a", "b")
+    return run
 
 
 def _similar_links(docs: DataFrame, classes: DataFrame, text: str, shingle: int, scheme: Blocks) -> DataFrame:
     """Links (a, b) that join all candidates among ``classes`` whose shingle sets have the similarity.
 
-    Every class is first verified with the candidate closest to it. Groups of
-    candidates that this leaves in several pieces are compared once more, and then
-    every candidate pair of two pieces is verified; so large groups of copies need
-    no verification of all their pairs, and no pair is decided by its distance.
+    Candidates that hang together are a group. The texts of a group meet in a task, or
+    if they are many in a task for each two parts of the group, which compares their shingle
+    sets exactly; only the links that join similar texts leave it, never the candidates.
     """
-    first = stored(links(classes.select("id", "fingerprint"), scheme, mode="nearest"), "candidates")
-    near = stored(first.where("near").select("a", "b").distinct(), "nearest")
-    needed = near.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", "text_hash"), "id")
-    texts = docs.select(F.col(text).alias("text"), F.xxhash64(text).alias("text_hash")).join(needed, "text_hash")
-    sets = stored(_sets(texts.groupBy("id").agg(F.first("text").alias("text")), shingle), "sets")
-    sure = stored(verified(near, sets, scheme.similarity), "links")
-    pieces = connected_components(sure).select(F.col("node").alias("id"), F.col("component").alias("piece"))
-    groups = connected_components(first.select("a", "b")).select(F.col("node").alias("id"), F.col("component").alias("group"))
-    member = stored(groups.join(pieces, "id", "left").select("id", "group", F.coalesce("piece", "id").alias("piece")), "pieces")
-    left = member.groupBy("group").agg(F.min("piece").alias("low"), F.max("piece").alias("high")).where("low <> high").select("group")
-    word = lambda c: F.unhex(F.lpad(F.hex(c), 16, "0"))
-    again = stored(classes.join(member.join(left, "group"), "id").select(
-        "id", F.concat("fingerprint", word("piece"), word("shingles")).alias("fingerprint")), "pieces")
-    pairs = links(again, scheme, mode="apart").select("a", "b").distinct().join(near, ["a", "b"], "left_anti")
-    return sure.unionByName(verified(pairs, sets, scheme.similarity))
+    size = F.unhex(F.lpad(F.hex("shingles"), 16, "0"))
+    candidates = stored(links(classes.select("id", F.concat("fingerprint", size).alias("fingerprint")), scheme), "candidates")
+    groups = connected_components(candidates).select(F.col("node").alias("id"), F.col("component").alias("group"))
+    member = stored(groups.join(classes.select("id", "text_hash", "shingles"), "id"), "members")
+    parts = member.groupBy("group").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / GROUP_ROWS), F.ceil(F.sum("shingles") / GROUP_HASHES), F.lit(1)).cast("int").alias("parts"))
+    wanted = member.join(parts, "group").select("id", "group", "parts", "text_hash")
+    texts = docs.select(F.col(text).alias("text"), F.xxhash64(text).alias("text_hash")).join(wanted, "text_hash")
+    one = texts.groupBy("id", "group", "parts").agg(F.first("text").alias("text"))
+    own = F.pmod(F.xxhash64(F.lit(3), "id"), F.col("parts")).cast("int")
+    each = one.withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    part = F.least("side", "other") * F.col("parts") + F.greatest("side", "other")
+    # Inside a part all pairs are compared by the task of (part, part), so elsewhere only pairs across.
+    dealt = each.select("group", part.alias("part"), "side", "id", "text").repartition("group", "part").sortWithinPartitions("group", "part")
+    return stored(dealt.mapInArrow(_group_links(shingle, scheme.similarity), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, scheme: Blocks = EXACT_64) -> DataFrame:
@@ -393,36 +446,41 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     larger than any other, so a group of them alone has a null component;
     repeated rows are rows of their own; an empty table gives no rows.
     """
+    return _components(docs, key, text, shingle, scheme).select(
+        F.col("key").alias(key), F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
+
+
+def _components(docs: DataFrame, key: str, text: str, shingle: int, scheme: Blocks) -> DataFrame:
+    """(key, text_hash, fingerprint, component, component_id) of every row: its class's component and the smallest key in it."""
     if scheme.similarity is not None:
+        by = "id"
         prints = stored(set_fingerprints(docs, key, text, shingle, scheme.words), "fingerprints")
         classes = stored(prints.groupBy("id", "fingerprint", "shingles").agg(F.min("key").alias("low"), F.min("text_hash").alias("text_hash")), "classes")
-        return _named(prints, classes, connected_components(_similar_links(docs, classes, text, shingle, scheme)), ["id"], key)
-    prints = stored(fingerprints(docs, key, text, shingle, scheme.words), "fingerprints")
-    classes = stored(prints.groupBy("fingerprint").agg(F.min("key").alias("low")).withColumn(
-        "id", F.xxhash64("fingerprint") if scheme.words > 1 else F.conv(F.hex("fingerprint"), 16, -10).cast("long")), "classes")
-    return _named(prints, classes, connected_components(links(classes.select("id", "fingerprint"), scheme)), ["fingerprint"], key)
-
-
-def _named(prints: DataFrame, classes: DataFrame, found: DataFrame, by: list[str], key: str) -> DataFrame:
-    """Rows of ``prints`` with the smallest key of their component; ``by`` names the class of a row."""
+        found = connected_components(_similar_links(docs, classes, text, shingle, scheme))
+    else:
+        by = "fingerprint"
+        prints = stored(fingerprints(docs, key, text, shingle, scheme.words), "fingerprints")
+        classes = stored(prints.groupBy("fingerprint").agg(F.min("key").alias("low")).withColumn(
+            "id", F.xxhash64("fingerprint") if scheme.words > 1 else F.conv(F.hex("fingerprint"), 16, -10).cast("long")), "classes")
+        found = connected_components(links(classes.select("id", "fingerprint"), scheme))
     member = classes.join(found, classes["id"] == found["node"], "left").select(
-        *[classes[c] for c in by], "low", F.coalesce("component", "id").alias("component"))
+        classes[by], "low", F.coalesce("component", "id").alias("component"))
     lowest = member.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = member.join(lowest, "component").select(*by, "component_id")
-    return prints.join(named, by).select(F.col("key").alias(key), F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
+    return prints.join(member.join(lowest, "component").select(by, "component", "component_id"), by)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, scheme: Blocks = EXACT_64) -> DataFrame:
     """One row of each class of near duplicates, with all columns of ``docs``: the smallest key, then the smallest fingerprint.
 
     Texts without a word are no copies of one another and all stay, as do rows with
-    a null key; of rows that repeat the kept key with the same fingerprint one stays.
+    a null key. A key that is repeated with other texts counts as a row of each: of every class one
+    (key, text) stays, and of rows that repeat both one.
     """
     columns = docs.columns
     wordless = ~F.coalesce(F.regexp_like(F.col(text), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False)) | F.col(key).isNull()
-    kind = docs.schema[key].dataType.simpleString()
-    classes = near_duplicates(docs.where(~wordless).select(key, text), key, text, shingle, scheme)
-    best = classes.groupBy("component_id").agg(F.min(F.struct(F.col(key).alias("k"), F.col("fingerprint").alias("f"))).alias("best"))
-    kept = stored(best.select(F.col("best.k").cast(kind).alias("__kept")).distinct(), "kept")
-    ranked = docs.where(~wordless).join(kept, F.col(key) == F.col("__kept"), "left_semi")
-    return ranked.dropDuplicates([key]).unionByName(docs.where(wordless)).select(*[F.col(f"`{c}`") for c in columns])
+    classes = _components(docs.where(~wordless).select(key, text), key, text, shingle, scheme)
+    best = classes.groupBy("component").agg(F.min(F.struct("key", "fingerprint", "text_hash")).alias("best"))
+    kept = stored(best.select(F.col("best.key").alias("__kept"), F.col("best.text_hash").alias("__text")), "kept")
+    hashed = docs.where(~wordless).withColumn("__hash", F.xxhash64(text))
+    ranked = hashed.join(kept, (F.col(key) == F.col("__kept")) & (F.col("__hash") == F.col("__text")), "left_semi")
+    return ranked.dropDuplicates([key, "__hash"]).drop("__hash").unionByName(docs.where(wordless)).select(*[F.col(f"`{c}`") for c in columns])
