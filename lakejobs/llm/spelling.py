@@ -36,7 +36,6 @@ HELD_WORDS, TASK_WORDS, PROBES = 500_000, 20_000, 1_000_000
 _STEP = 0x9E3779B97F4A7C15
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 2**64))
-_LANES = np.array([(0x9E3779B1 * (2 * j + 1)) & 0xFFFFFFFF | 1 for j in range(8)], dtype=np.uint64)
 _PLACE = np.full(0x100, -1, dtype=np.int64)
 _PLACE[[ord(c) for c in LETTERS]] = np.arange(len(LETTERS))
 
@@ -52,6 +51,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
 _VALUE = _mix(np.arange(1, len(LETTERS) + 1, dtype=np.uint64) * np.uint64(_STEP))
 
 
+#: Odd factors that pick the bit of each lane; they have nothing to do with one another, or the lanes would hit together.
+_LANES = _mix(np.arange(101, 109, dtype=np.uint64) * np.uint64(_STEP)) & np.uint64(0xFFFFFFFF) | np.uint64(1)
+
+
 def _powers(n: int) -> np.ndarray:
     return np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(max(0, n - 1), _BASE, dtype=np.uint64)))) [:n]
 

@@ -104,3 +104,15 @@ def test_hashes_of_edits_are_those_of_the_words_they_give():
         assert np.array_equal(spelling.hashes(out), keys)
     for w in words:
         assert {v for u, v in seen if u == w and len(v) == 4} == {w[:i] + w[i + 1:] for i in range(5)}
+
+
+def test_filters_hold_all_words_and_let_few_others_pass():
+    rng = np.random.default_rng(1)
+    keys = rng.integers(0, 2**63, 50_000).astype(np.uint64)
+    mixed = spelling._mix(keys)
+    blocks = np.zeros((-(-len(keys) * spelling.WORD_BITS // 512), 8), np.uint64)
+    at, bits = spelling._block(mixed, len(blocks)), spelling._bits(mixed)
+    for lane in range(8):
+        np.bitwise_or.at(blocks[:, lane], at, bits[:, lane])
+    assert len(spelling.passing(keys, blocks, 1, 0)) == len(keys)
+    assert len(spelling.passing(rng.integers(0, 2**63, 300_000).astype(np.uint64), blocks, 1, 0)) < 0.005 * 300_000
