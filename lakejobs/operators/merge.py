@@ -200,25 +200,38 @@ def net_changes(changes: DataFrame, on: Sequence[str], deltas: Sequence[str]) ->
     return changes.groupBy(*on).agg(*[F.sum(d).alias(d) for d in deltas])
 
 
+def key_part(on: Sequence[str], parts: int) -> Column:
+    """Partition of a row in a table dealt by its keys."""
+    return F.pmod(F.xxhash64(*on), F.lit(parts)).cast("int")
+
+
 def merge_partitions(
-    spark, path: str, source: DataFrame, on: Sequence[str], partition: str, plan: MergePlan = UPSERT, small_source: bool = True
+    spark, path: str, source: DataFrame, on: Sequence[str], partition: str, plan: MergePlan = UPSERT, small_source: bool = True,
+    by_key: bool = False
 ) -> int:
     """Merge into a partitioned parquet folder and rewrite only the partitions that change.
 
     The keys and the partition column of the target are read once to find the
-    partitions that hold matched keys; the partitions of the source rows are added.
+    partitions that hold matched keys; the partitions of the source rows are added. With
+    ``by_key`` the partition column follows from the keys (``key_part``), so the partitions of the
+    source rows are all and nothing of the target is read for it.
     Only those are merged and replaced (dynamic overwrite), the others are neither
     read in full nor written: they meet the target in a semi join, which prunes
     partitions. A row may move to another partition, since its old one is among
     the rewritten; a partition left without rows is removed, and only the folders
     of such partitions come to the driver, one at a time. Returns the number of
-    rewritten partitions. One writer at a time.
+    rewritten partitions. One writer at a time. The overwrite replaces one partition after
+    the other and empty ones are removed last, so after a job that died in between the
+    merge has to be run again before the folder is read.
     """
     ensure_checkpoint_dir(spark)
     target = spark.read.parquet(path)
     file = F.col("_metadata.file_path").alias("_file")
     held = target.select(*on, partition, file).join(source.select(*on), list(on), "left_semi").select(partition, "_file")
     incoming = source.select(partition, F.lit(None).cast("string").alias("_file"))
+    if by_key:
+        there = target.select(partition, file).join(incoming.select(partition), partition, "left_semi")
+        held = there.groupBy(partition).agg(F.max("_file").alias("_file")).select(partition, "_file")
     found = held.unionAll(incoming).groupBy(F.col(partition).alias("_value")).agg(F.max("_file").alias("_file"))
     touched = found.checkpoint()
     number = touched.count()

@@ -88,6 +88,37 @@ def rescued_data(t):
     return files.read_json_rescued(t.spark, f"{root}/in", "c_custkey long, c_name string")
 
 
+MISFITS = {"c_custkey": (5, "'no ' || c_custkey"), "c_nationkey": (7, "'n/a'"), "c_acctbal": (11, "'unknown'")}
+MISFIT_JSON = " || ',' || ".join(f"""CASE WHEN c_custkey % {every} = 0 THEN '"{c}":"' || {text} || '"' ELSE '' END""" for c, (every, text) in MISFITS.items())
+RESCUED_SQL = f"""
+WITH r AS (SELECT *, regexp_replace(trim({MISFIT_JSON}, ','), ',+', ',', 'g') AS misfits FROM customer)
+SELECT """ + ", ".join(f"CASE WHEN c_custkey % {every} <> 0 THEN {c} END AS {c}" for c, (every, _) in MISFITS.items()) + """,
+       c_name, CASE WHEN misfits <> '' THEN '{' || misfits || '}' END AS _rescued_data FROM r"""
+RESCUED_DDL = "c_custkey long, c_name string, c_nationkey int, c_acctbal double"
+
+
+def with_misfits(t):
+    """Customers as text, with texts that are no numbers in three columns."""
+    changed = {c: F.when(F.col("c_custkey") % every == 0, F.expr(text)).otherwise(F.col(c).cast("string")) for c, (every, text) in MISFITS.items()}
+    return t.customer.select(*[changed.get(c, F.col(c)).alias(c) for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal")])
+
+
+@query("rescued_csv_stream", RESCUED_SQL)
+def rescued_csv_stream(t):
+    """A CSV stream whose misfits of three columns are kept as JSON beside the fields that fit."""
+    root = stage(t)
+    with_misfits(t).write.option("header", True).csv(f"{root}/in")
+    return landed(t, files.stream_csv_rescued(t.spark, f"{root}/in", RESCUED_DDL), root)
+
+
+@query("rescued_json_stream", RESCUED_SQL)
+def rescued_json_stream(t):
+    """The same from JSON lines."""
+    root = stage(t)
+    with_misfits(t).write.json(f"{root}/in")
+    return landed(t, files.stream_json_rescued(t.spark, f"{root}/in", RESCUED_DDL), root)
+
+
 @query("read_files_failfast", CUSTOMER_SQL)
 def read_files_failfast(t):
     root = stage(t)
@@ -113,6 +144,21 @@ def copy_into(t):
     return t.spark.read.parquet(f"{root}/out")
 
 
+@query("copy_into_merged", """
+SELECT p_partkey, p_name, CASE WHEN p_partkey % 3 = 1 THEN p_size END AS p_size, CASE WHEN p_partkey % 3 = 2 THEN p_retailprice END AS p_retailprice
+FROM part""")
+def copy_into_merged(t):
+    """Files of three headers in two calls; a third finds nothing new."""
+    root = stage(t)
+    columns = [("p_partkey", "p_name"), ("p_name", "p_size", "p_partkey"), ("p_partkey", "p_name", "p_retailprice")]
+    types = {"p_partkey": "bigint", "p_size": "int", "p_retailprice": "double"}
+    for call in ((0, 1), (2,), ()):
+        for k in call:
+            t.part.where(F.col("p_partkey") % 3 == k).select(*columns[k]).write.mode("append").option("header", True).csv(f"{root}/in")
+        files.copy_merged(t.spark, f"{root}/in", f"{root}/out", f"{root}/ledger", types)
+    return files.read_merged(t.spark, f"{root}/out").select("p_partkey", "p_name", "p_size", "p_retailprice")
+
+
 @query("scan_json_path", CUSTOMER_SQL)
 def scan_json_path(t):
     root = stage(t)
@@ -176,13 +222,42 @@ def insert_overwrite(t):
 
 @query("stream_merge", UPSERT_SQL)
 def stream_merge(t):
+    """Micro-batches merged into the partitions their keys belong to; the same files again change nothing."""
     root = stage(t)
     order_changes(t).repartition(3).write.parquet(f"{root}/in")
-    table = VersionedTable(t.spark, f"{root}/table")
-    table.create(t.orders)
+    sinks.create_keyed(t.orders, f"{root}/table", ["o_orderkey"], 8)
     rows = files.stream_parquet(t.spark, f"{root}/in", maxFilesPerTrigger="2")
-    sinks.upsert_batches(rows, table, ["o_orderkey"], ["o_orderdate"], f"{root}/checkpoint").awaitTermination()
-    return table.read()
+    for checkpoint in ("checkpoint", "lost"):
+        sinks.upsert_partitions(rows, f"{root}/table", ["o_orderkey"], ["o_orderdate"], 8, f"{root}/{checkpoint}").awaitTermination()
+    return sinks.read_keyed(t.spark, f"{root}/table")
+
+
+@query("stream_ingest_ddl", "SELECT event_id, event_type, value * 2 AS doubled FROM events WHERE value > 50")
+def stream_ingest_ddl(t):
+    """A catalog table filled by one stream and read as a stream by a second that fills another."""
+    root, name = stage(t), f"ingest_{uuid.uuid4().hex}"
+    t.spark.sql(f"CREATE TABLE {name} (event_id BIGINT, user_id BIGINT, value DOUBLE, event_type STRING) USING parquet "
+                f"PARTITIONED BY (event_type) LOCATION '{root}/first'")
+    rows = table_stream(t, "events").select("event_id", "user_id", "value", "event_type")
+    sinks.append_table(rows, name, f"{root}/c1", ("event_type",)).awaitTermination()
+    refined = t.spark.readStream.table(name).where("value > 50").select("event_id", "event_type", (F.col("value") * 2).alias("doubled"))
+    t.spark.sql(f"CREATE TABLE {name}_refined (event_id BIGINT, event_type STRING, doubled DOUBLE) USING parquet LOCATION '{root}/second'")
+    sinks.append_table(refined, f"{name}_refined", f"{root}/c2").awaitTermination()
+    return t.spark.table(f"{name}_refined")
+
+
+@query("schema_widen_stream", """
+SELECT c_custkey AS sensor_id, CAST(c_nationkey AS BIGINT) AS temperature FROM customer
+UNION ALL SELECT c_custkey, c_nationkey + 5000000000 FROM customer WHERE c_custkey % 2 = 0""")
+def schema_widen_stream(t):
+    """A stream of INT readings goes on from its checkpoint as BIGINT; files of the first run are read in the new type."""
+    root = stage(t)
+    readings = t.customer.select(F.col("c_custkey").cast("int").alias("sensor_id"), F.col("c_nationkey").cast("int").alias("temperature"))
+    for kind, rows in (("int", readings), ("bigint", readings.where("sensor_id % 2 = 0").withColumn("temperature", F.col("temperature") + F.lit(5_000_000_000)))):
+        rows.write.mode("append").parquet(f"{root}/in")
+        ddl = f"sensor_id int, temperature {kind}"
+        sinks.append_files(t.spark.readStream.schema(ddl).parquet(f"{root}/in"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return t.spark.read.schema(ddl).parquet(f"{root}/out")
 
 
 @query("stream_dedup", "SELECT event_id, ts, user_id FROM events")
@@ -198,24 +273,31 @@ def stream_dedup(t):
 @query("stream_windows", """
 WITH hops AS (SELECT unnest([0, 15, 30, 45]) AS back),
 w AS (SELECT event_type, time_bucket(INTERVAL 15 MINUTE, ts, TIMESTAMP '1970-01-01') - to_minutes(CAST(back AS BIGINT)) + INTERVAL 60 MINUTE AS until, value FROM events, hops)
-SELECT event_type, until, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM w
-WHERE until <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY 1, 2""")
+SELECT event_type, until, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM w GROUP BY 1, 2""")
 def stream_windows(t):
-    """Sliding windows as a stream: each window is written once the watermark has passed its end."""
-    rows = table_stream(t, "events")
+    """Sliding windows as a stream: each is written once the watermark has passed its end, those open at the end by a closing row."""
+    root = stage(t)
+    rows = sinks.with_closing(table_stream(t, "events"), f"{root}/closing", "ts")
     counted = sinks.windowed_counts(rows, ["event_type"], "ts", "10 minutes", "1 hour", "15 minutes")
     out = counted.withColumns({"until": F.col("until").cast("timestamp_ntz"), "total": F.col("total").cast("double")})
-    return landed(t, out, stage(t))
+    landed(t, out, root)
+    kind = t.events.schema["ts"].dataType.simpleString()
+    sinks.close_windows(t.spark, f"{root}/closing", "ts", kind, t.events.agg(F.max("ts")), "1 DAY")
+    return landed(t, out, root)
 
 
-@query("flow_progress")
+@query("flow_progress", """
+SELECT 'events' AS flow, event_id % 4 AS batch, count(*) AS rows_in, count(*) FILTER (WHERE value > 50) AS rows_out FROM events GROUP BY 2""")
 def flow_progress(t):
-    """Rows in and out per micro-batch of a stream over the events."""
+    """Rows in and out of every micro-batch of a stream over the events, a file each, as the listener stored them."""
     root = stage(t)
-    rows = table_stream(t, "events")
-    ran = sinks.append_files(rows, f"{root}/out", f"{root}/checkpoint")
-    ran.awaitTermination()
-    return sinks.progress_report(ran)
+    for k in range(4):
+        t.events.where(F.col("event_id") % 4 == k).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    rows = sinks.observed(files.stream_parquet(t.spark, f"{root}/in", maxFilesPerTrigger="1").where("value > 50"))
+    with sinks.ProgressLog(t.spark, f"{root}/progress") as log:
+        ran = sinks.append_files(rows, f"{root}/out", f"{root}/checkpoint", name="events")
+        log.ended(ran)
+    return log.read().where("flow = 'events' AND rows_in > 0").select("flow", "batch", "rows_in", "rows_out")
 
 
 GAMES_SQL = """g AS (SELECT match_id, CAST(home_team AS VARCHAR) AS t1, CAST(away_team AS VARCHAR) AS t2, home_score AS s1, away_score AS s2,

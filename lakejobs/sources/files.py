@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,27 +82,49 @@ def inferred_until(spark: SparkSession, location: str) -> str | None:
         raise
 
 
+#: Unseen files, and lines of each, from which types are inferred.
+INFER_FILES, INFER_LINES = 16, 1000
+
+
+def infer_csv(spark: SparkSession, path: str, since: str | None, options: dict[str, str]) -> tuple[T.StructType | None, str | None]:
+    """Merged types of the first lines of the newest files at or after ``since``, and the time of the newest; None without files."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where("length > 0")
+    unseen = listing.where(F.col("modificationTime") >= F.lit(since).cast("timestamp")) if since else listing
+    # The newest second is read again next time: other files may have come in it.
+    newest = listing.agg(F.date_format(F.max("modificationTime") - F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss").alias("at")).first()["at"]
+    heads: dict[str, list[str]] = {}
+    for row in unseen.orderBy(F.desc("modificationTime"), "path").select("path").limit(INFER_FILES).collect():
+        first, *lines = [r["value"] for r in spark.read.text(row["path"]).limit(INFER_LINES).collect()] or [""]
+        # Files with the same first line are one sample: a column that is empty in some of them has the type of the others.
+        heads.setdefault(first, []).extend(lines)
+    merged = None
+    for first, lines in sorted(heads.items()):
+        found = spark.read.options(inferSchema="true", **options).csv(spark.sparkContext.parallelize([first, *lines], 1)).schema
+        merged = found if merged is None else merge_schemas(merged, found)
+    return merged, newest
+
+
 def stream_csv_inferred(
-    spark: SparkSession, path: str, schema_location: str, rescued: str = "_rescued_data", **options: str
+    spark: SparkSession, path: str, schema_location: str, rescued: str = "_rescued_data", by_field: bool = False, **options: str
 ) -> DataFrame:
     """Incremental CSV scan with inferred types, a remembered schema and a rescued column.
 
-    Types are inferred at each start from all files that no earlier start has
-    seen (by modification time, the newest second again), and merged into the
-    remembered schema, so neither types nor columns of older files are lost. A line
-    that does not fit the schema, as one of a file that comes later may, is kept
-    whole in ``rescued`` beside the fields that could be read.
+    At each start types are inferred from the first ``INFER_LINES`` lines of at most ``INFER_FILES``
+    files that no earlier start has seen, and merged into the remembered schema, so
+    neither types nor columns of older files are lost and no file is read twice. A line
+    that does not fit is kept whole in ``rescued`` beside the fields that could be read, or with ``by_field``
+    its misfits are kept as in ``rescue_csv``, so the bounded sample loses nothing.
     """
     options = {"header": "true", **options}
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    newest = listing.where("length > 0").agg(
-        F.date_format(F.max("modificationTime") - F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss").alias("at")).first()["at"]
     known, since = load_schema(spark, schema_location), inferred_until(spark, schema_location)
-    unseen = {"modifiedAfter": since, "timeZone": spark.conf.get("spark.sql.session.timeZone")} if known and since else {}
-    found = spark.read.options(inferSchema="true", **options, **unseen).csv(path).schema
-    merged = found if known is None else merge_schemas(known, found)
+    found, newest = infer_csv(spark, path, since if known else None, options)
+    merged = known if found is None else found if known is None else merge_schemas(known, found)
+    if merged is None:
+        raise ValueError(f"no file to infer a schema from in {path}")
     if merged != known or newest != since:
         save_schema(spark, schema_location, merged, newest)
+    if by_field:
+        return stream_csv_rescued(spark, path, merged, rescued, **options)
     whole = T.StructType([*merged.fields, T.StructField(rescued, T.StringType())])
     return spark.readStream.schema(whole).options(columnNameOfCorruptRecord=rescued, **options).csv(path)
 
@@ -118,6 +140,69 @@ def read_json_rescued(spark: SparkSession, path: str, schema: str, rescued: str
     return lines.select(parsed.alias("row"), keep_unknown_fields(F.col("value"), names).alias(rescued)).select("row.*", rescued)
 
 
+#: Text of a line whose fields are not those of the schema, in a reader's schema and as a key of the rescued fields.
+LINE = "_line"
+
+
+def typed(schema: str | T.StructType) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+
+def rescue_fields(texts: DataFrame, schema: T.StructType, rescued: str, others: Column | None = None) -> DataFrame:
+    """Columns of ``schema`` cast from text, and as JSON the texts that don't fit their type.
+
+    ``texts`` has a text column for each field; ``others`` is a map of further texts to
+    keep. A field that does not fit is null, the other fields of its row are kept, and
+    ``rescued`` is null where all fit. Works on streams as on tables.
+    """
+    columns, misfits = [], []
+    for f in schema.fields:
+        text = F.col(f"`{f.name}`")
+        value = text if isinstance(f.dataType, T.StringType) else text.try_cast(f.dataType)
+        columns.append(value.alias(f.name))
+        misfits.append(F.when(text.isNotNull() & value.isNull(), text))
+    kept = F.map_filter(
+        F.map_from_arrays(F.array(*[F.lit(f.name) for f in schema.fields]), F.array(*misfits)), lambda _, v: v.isNotNull())
+    if others is not None:
+        kept = F.map_concat(kept, F.coalesce(others, F.create_map().cast("map<string,string>")))
+    return texts.select(*columns, F.when(F.size(kept) > 0, F.to_json(kept)).alias(rescued))
+
+
+def _csv_texts(schema: T.StructType) -> T.StructType:
+    return T.StructType([*(T.StructField(f.name, T.StringType()) for f in schema.fields), T.StructField(LINE, T.StringType())])
+
+
+def rescue_csv(texts: DataFrame, schema: T.StructType, rescued: str = "_rescued_data") -> DataFrame:
+    """``rescue_fields`` of rows read by ``_csv_texts``; a line with too few or too many fields is kept whole beside them."""
+    return rescue_fields(texts, schema, rescued, F.when(F.col(LINE).isNotNull(), F.create_map(F.lit(LINE), F.col(LINE))))
+
+
+def read_csv_rescued(spark: SparkSession, path: str, schema: str | T.StructType, rescued: str = "_rescued_data", **options: str) -> DataFrame:
+    """CSV with declared types in which no text is lost, see ``rescue_csv``."""
+    fields = typed(schema)
+    options = {"header": "true", "columnNameOfCorruptRecord": LINE, **options}
+    return rescue_csv(spark.read.schema(_csv_texts(fields)).options(**options).csv(path), fields, rescued)
+
+
+def stream_csv_rescued(spark: SparkSession, path: str, schema: str | T.StructType, rescued: str = "_rescued_data", **options: str) -> DataFrame:
+    """Incremental form of ``read_csv_rescued``."""
+    fields = typed(schema)
+    options = {"header": "true", "columnNameOfCorruptRecord": LINE, **options}
+    return rescue_csv(spark.readStream.schema(_csv_texts(fields)).options(**options).csv(path), fields, rescued)
+
+
+def stream_json_rescued(spark: SparkSession, path: str, schema: str | T.StructType, rescued: str = "_rescued_data") -> DataFrame:
+    """Incremental JSON lines: misfits and unknown fields of each line as JSON, a line that is no JSON object whole."""
+    fields = typed(schema)
+    names = [f.name for f in fields.fields]
+    found = F.from_json("value", "map<string,string>")
+    lines = spark.readStream.text(path).select("value", found.alias("found"))
+    texts = lines.select("value", "found", *[F.col("found")[n].alias(n) for n in names])
+    others = F.when(F.col("found").isNull(), F.create_map(F.lit(LINE), F.col("value"))).otherwise(
+        F.map_filter("found", lambda k, _: ~k.isin(*names)))
+    return rescue_fields(texts, fields, rescued, others)
+
+
 def read_csv(spark: SparkSession, path: str, separator: str = ",", schema: str | None = None, fail_fast: bool = False, **options: str) -> DataFrame:
     """CSV with a header; types inferred unless a schema is given; ``fail_fast`` stops at the first bad row."""
     reader = spark.read.options(header="true", sep=separator, mode="FAILFAST" if fail_fast else "PERMISSIVE", **options)
@@ -154,6 +239,53 @@ def copy_into(
         target).awaitTermination()
 
 
+#: Files of a micro-batch of ``copy_merged``; the driver reads a header for each.
+COPY_FILES = 64
+
+
+def copy_merged(
+    spark: SparkSession, source: str, target: str, ledger: str, types: dict[str, str] | None = None, separator: str = ",", **options: str
+) -> None:
+    """Append the rows of CSV files with headers that no earlier call loaded; files may have different columns.
+
+    The header of every new file says its columns; files with equal headers are read
+    together. A column that a file lacks is null in its rows, a new one is added to the
+    table. Columns are text unless ``types`` names their type; a text that does not
+    fit its type fails the load, as a cast does. The checkpoint folder ``ledger`` is the record of
+    loaded files; a micro-batch owns a folder of the target and replaces it when it
+    is repeated, so each file is loaded once whatever call dies. Read by ``read_merged``.
+    """
+    known = types or {}
+    reading = {"header": "true", "sep": separator, **options}
+
+    def load(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        groups: dict[tuple[str, ...], list[str]] = {}
+        for row in batch.where("length > 0").select("path").collect():
+            header = tuple(session.read.options(**reading).csv(row["path"]).columns)
+            groups.setdefault(header, []).append(row["path"])
+        rows = None
+        for header, paths in sorted(groups.items()):
+            texts = session.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).options(**reading).csv(paths)
+            part = texts.select(*[F.col(f"`{c}`").cast(known.get(c, "string")).alias(c) for c in header])
+            rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+        if rows is not None:
+            rows.write.mode("overwrite").parquet(f"{target}/{LOAD}={number}")
+
+    listing = "path string, modificationTime timestamp, length long, content binary"
+    listed = spark.readStream.format("binaryFile").schema(listing).option("maxFilesPerTrigger", COPY_FILES).load(source).select("path", "length")
+    listed.writeStream.foreachBatch(load).option("checkpointLocation", ledger).trigger(availableNow=True).start().awaitTermination()
+
+
+#: Folder column of the loads of ``copy_merged``.
+LOAD = "_load"
+
+
+def read_merged(spark: SparkSession, target: str) -> DataFrame:
+    """All rows of ``copy_merged`` with the columns of all loads."""
+    return spark.read.option("mergeSchema", "true").parquet(target).drop(LOAD)
+
+
 # --- JDBC -------------------------------------------------------------------------------
 
 

@@ -144,3 +144,64 @@ def test_stream_to_table(spark, sales, tmp_path):
         assert spark.table("bronze_sales").agg(F.count("*")).first()[0] == 3
     finally:
         spark.sql("DROP TABLE bronze_sales")
+
+
+def lines(spark, path, texts):
+    spark.createDataFrame([(x,) for x in texts], "value string").coalesce(1).write.mode("append").text(path)
+
+
+def test_fields_that_do_not_fit_are_rescued(spark, tmp_path):
+    path = str(tmp_path / "in")
+    lines(spark, path, ["id,on,n", "1,2024-01-02,5", "x,2024-13-02,5", ",,", "4,2024-01-05", '5,2024-01-06,6,7', '"7","no ""date""",8'])
+    found = {(r.id, str(r.on) if r.on else None, r.n, r._rescued_data) for r in files.read_csv_rescued(spark, path, "id int, on date, n long", escape='"').collect()}
+    assert found == {
+        (1, "2024-01-02", 5, None), (None, None, 5, '{"id":"x","on":"2024-13-02"}'), (None, None, None, None),
+        (4, "2024-01-05", None, '{"_line":"4,2024-01-05"}'), (5, "2024-01-06", 6, '{"_line":"5,2024-01-06,6,7"}'),
+        (7, None, 8, '{"on":"no \\"date\\""}')}
+
+
+def test_json_stream_rescues_misfits_unknown_fields_and_broken_lines(spark, tmp_path):
+    from lakejobs.streaming import sinks
+
+    root = str(tmp_path)
+    lines(spark, f"{root}/in", ['{"id": 1, "n": 2.5}', '{"id": "x", "n": null, "more": [1, 2]}', "no json", "{}"])
+    sinks.append_files(files.stream_json_rescued(spark, f"{root}/in", "id long, n double"), f"{root}/out", f"{root}/c").awaitTermination()
+    found = {(r.id, r.n, r._rescued_data) for r in spark.read.parquet(f"{root}/out").collect()}
+    assert found == {(1, 2.5, None), (None, None, '{"id":"x","more":"[1,2]"}'), (None, None, '{"_line":"no json"}'), (None, None, None)}
+
+
+def test_inferred_types_come_from_a_sample_and_lose_nothing(spark, tmp_path, monkeypatch):
+    from lakejobs.streaming import sinks
+
+    monkeypatch.setattr(files, "INFER_LINES", 3)
+    root = str(tmp_path)
+    lines(spark, f"{root}/in", ["a,b", "1,x", "2,y", "three,z", "4,w"])
+    rows = files.stream_csv_inferred(spark, f"{root}/in", f"{root}/schema", by_field=True)
+    assert rows.schema["a"].dataType.simpleString() == "int"
+    sinks.append_files(rows, f"{root}/out", f"{root}/c").awaitTermination()
+    found = {(r.a, r.b, r._rescued_data) for r in spark.read.parquet(f"{root}/out").collect()}
+    assert found == {(1, "x", None), (2, "y", None), (None, "z", '{"a":"three"}'), (4, "w", None)}
+    assert [f.name for f in files.load_schema(spark, f"{root}/schema").fields] == ["a", "b"]
+
+
+def test_merged_load_takes_each_file_once(spark, tmp_path):
+    root = str(tmp_path)
+
+    def load():
+        files.copy_merged(spark, f"{root}/in", f"{root}/out", f"{root}/ledger", {"id": "bigint"}, separator="|")
+        return {(r["id"], r["name"], r["big size"] if "big size" in r else None) for r in files.read_merged(spark, f"{root}/out").collect()}
+
+    lines(spark, f"{root}/in", ["id|name", "1|a", "2|b"])
+    lines(spark, f"{root}/in", ["name|id"])
+    assert load() == {(1, "a", None), (2, "b", None)}
+    lines(spark, f"{root}/in", ["big size|name|id", "9|c|3"])
+    assert load() == load() == {(1, "a", None), (2, "b", None), (3, "c", "9")}
+    # A batch that is repeated replaces its own folder.
+    assert files.read_merged(spark, f"{root}/out").count() == 3
+    import shutil
+
+    shutil.copytree(f"{root}/out", f"{root}/copy")
+    lines(spark, f"{root}/in", ["id|name", "no|d"])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        load()
+    assert files.read_merged(spark, f"{root}/out").count() == 3

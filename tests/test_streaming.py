@@ -80,3 +80,66 @@ def test_dedup_keeps_one_per_key(spark, tmp_path):
     out = sinks.dedup(files.stream_parquet(spark, f"{root}/in"), ["id"], "ts", "1 hour")
     sinks.append_files(out, f"{root}/out", f"{root}/c").awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(f"{root}/out").collect()) == [1, 2]
+
+
+def keyed(spark, root):
+    sinks.create_keyed(spark.createDataFrame([(i, "old", 5) for i in range(40)], "id long, v string, seq int"), f"{root}/t", ["id"], 8)
+    return files.stream_parquet(spark, f"{root}/in", maxFilesPerTrigger="1")
+
+
+def part_files(spark, path):
+    return {r[0] for r in spark.read.parquet(path).select("_metadata.file_path").distinct().collect()}
+
+
+def test_upsert_rewrites_only_the_partitions_of_a_batch(spark, tmp_path):
+    root = str(tmp_path)
+    spark.createDataFrame([(1, "a", 6), (1, "b", 7), (2, "late", 4), (99, "new", 1), (None, "no key", 1)], "id long, v string, seq int").coalesce(1).write.parquet(f"{root}/in")
+    rows_in = keyed(spark, root)
+    before = part_files(spark, f"{root}/t")
+    sinks.upsert_partitions(rows_in, f"{root}/t", ["id"], ["seq"], 8, f"{root}/c").awaitTermination()
+    found = {r.id: (r.v, r.seq) for r in sinks.read_keyed(spark, f"{root}/t").collect()}
+    assert found == {**{i: ("old", 5) for i in range(40)}, 1: ("b", 7), 99: ("new", 1), None: ("no key", 1)}
+    after = part_files(spark, f"{root}/t")
+    assert 0 < len(before - after) <= 4 and before & after
+    # The same batch with a lost checkpoint, and a batch that died before it was recorded, change nothing.
+    sinks.upsert_partitions(rows_in, f"{root}/t", ["id"], ["seq"], 8, f"{root}/c2").awaitTermination()
+    assert part_files(spark, f"{root}/t") == after
+    spark.createDataFrame([], "batch long, partitions int").write.mode("overwrite").parquet(f"{root}/t/{sinks.LEDGER}")
+    sinks.upsert_partitions(rows_in, f"{root}/t", ["id"], ["seq"], 8, f"{root}/c3").awaitTermination()
+    again = [(r.id, r.v, r.seq) for r in sinks.read_keyed(spark, f"{root}/t").collect()]
+    assert len([x for x in again if x[0] is not None]) == 41 and {x[0]: x[1:] for x in again} == found
+
+
+def test_progress_of_all_batches_is_stored(spark, tmp_path):
+    """More micro-batches than Spark keeps in memory."""
+    root = str(tmp_path)
+    spark.range(110).repartition(110).write.option("maxRecordsPerFile", 1).parquet(f"{root}/in")
+    stream = files.stream_parquet(spark, f"{root}/in", maxFilesPerTrigger="1")
+    with sinks.ProgressLog(spark, f"{root}/log", every=40) as log:
+        ran = sinks.append_files(sinks.observed(stream), f"{root}/out", f"{root}/c", name="many")
+        log.ended(ran, 300)
+    stored = log.read().where("flow = 'many' AND rows_in > 0")
+    assert len(ran.recentProgress) <= 100
+    assert stored.count() == stored.select("batch").distinct().count() > 100
+    assert tuple(stored.agg(F.sum("rows_in"), F.sum("rows_out")).first()) == (110, 110)
+
+
+def test_windows_open_at_the_end_are_closed(spark, tmp_path):
+    root = str(tmp_path)
+    spark.sql("SELECT 'a' AS k, TIMESTAMP_NTZ '2024-01-01 00:05:00' AS ts, 1.0D AS value").write.parquet(f"{root}/in")
+
+    def run():
+        rows = sinks.with_closing(files.stream_parquet(spark, f"{root}/in"), f"{root}/closing", "ts")
+        sinks.append_files(sinks.windowed_counts(rows, ["k"], "ts", "10 minutes", "1 hour"), f"{root}/out", f"{root}/c").awaitTermination()
+        return spark.read.parquet(f"{root}/out")
+
+    assert run().count() == 0
+    sinks.close_windows(spark, f"{root}/closing", "ts", "timestamp_ntz", spark.sql("SELECT CAST(NULL AS TIMESTAMP_NTZ) AS ts"), "1 DAY")
+    assert run().count() == 0
+    sinks.close_windows(spark, f"{root}/closing", "ts", "timestamp_ntz", spark.read.parquet(f"{root}/in").agg(F.max("ts")), "1 DAY")
+    assert [(r.k, r.n) for r in run().collect()] == [("a", 1)]
+    # Later rows open new windows; those before the closing time come too late.
+    spark.sql("SELECT 'a' AS k, TIMESTAMP_NTZ '2024-01-09 00:05:00' AS ts, 1.0D AS value UNION ALL SELECT 'late', TIMESTAMP_NTZ '2024-01-01 00:05:00', 1.0D").write.mode("append").parquet(f"{root}/in")
+    assert run().count() == 1
+    sinks.close_windows(spark, f"{root}/closing", "ts", "timestamp_ntz", spark.read.parquet(f"{root}/in").agg(F.max("ts")), "1 DAY")
+    assert run().where("k = 'a'").count() == 2
