@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+import random
 from collections.abc import Sequence
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier,
 )
@@ -75,6 +79,69 @@ def search(df: DataFrame, features: Sequence[str], estimator, grid: dict, folds:
     return found.bestModel, df.sparkSession.createDataFrame(trials, "trial int, params string, metric double")
 
 
+@dataclass(frozen=True)
+class Range:
+    """A range that a parameter is drawn from: by its logarithm or evenly, whole numbers or not."""
+
+    low: float
+    high: float
+    log: bool = False
+    whole: bool = False
+
+    def draw(self, rng: random.Random) -> float | int:
+        value = math.exp(rng.uniform(math.log(self.low), math.log(self.high))) if self.log else rng.uniform(self.low, self.high)
+        return min(int(self.high), max(int(self.low), round(value))) if self.whole else value
+
+
+#: Rounds of ``random_search``: share of the rows, folds that are scored, and share of the trials that go on.
+ROUNDS = ((0.25, 1, 0.25), (1.0, 2, 0.25), (1.0, 5, 0.0))
+TRIALS = "round int, trial int, params map<string,double>, folds int, metric double"
+
+
+def random_search(
+    df: DataFrame, features: Sequence[str], estimator, space: dict[str, Range], trials: int = 96, folds: int = 5, metric: str = "logLoss",
+    parallelism: int = 8, rounds: Sequence[tuple[float, int, float]] = ROUNDS, key: str | None = None, seed: int = 42
+):
+    """Seeded random search with successive halving; returns (best model, a row for each trial and round).
+
+    Parameters are drawn from continuous ranges. The first round fits every trial on a part of the rows and
+    scores it on one fold; the best go on to more rows and folds, the last ones to all ``folds``.
+    Folds and parts come from a hash (of ``key``, else of the features), so they are the same
+    on every run. Trials of a round run side by side as Spark jobs.
+    """
+    rng = random.Random(seed)
+    larger = MulticlassClassificationEvaluator(metricName=metric).isLargerBetter()
+    evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName=metric)
+    drawn = [{name: r.draw(rng) for name, r in sorted(space.items())} for _ in range(trials)]
+    at = F.xxhash64(F.lit(seed), *([key] if key else features))
+    ready = fill(df, features).select("label", *features, F.pmod(at, F.lit(folds)).alias("_fold"), F.pmod(F.xxhash64(at), F.lit(10_000)).alias("_part"))
+    # The features are assembled and scaled once for all fits.
+    scale = Pipeline(stages=assemble(features)).fit(ready)
+    rows = scale.transform(ready).select("label", "features", "_fold", "_part").persist()
+    try:
+        left, report = list(range(trials)), []
+        for no, (share, scored, go_on) in enumerate(rounds, 1):
+            data = rows.where(F.col("_part") < int(share * 10_000)) if share < 1 else rows
+
+            def score(trial: int, data=data, scored=scored) -> float:
+                model = estimator.copy({estimator.getParam(n): v for n, v in drawn[trial].items()})
+                found = [
+                    evaluator.evaluate(model.fit(data.where(F.col("_fold") != fold)).transform(data.where(F.col("_fold") == fold)))
+                    for fold in range(min(scored, folds))]
+                return sum(found) / len(found)
+
+            with ThreadPool(parallelism) as pool:
+                marks = pool.map(score, left)
+            report += [(no, i, {n: float(v) for n, v in drawn[i].items()}, min(scored, folds), float(m)) for i, m in zip(left, marks)]
+            ranked = [i for _, i in sorted(zip(marks, left), key=lambda x: (-x[0] if larger else x[0], x[1]))]
+            left = ranked[:max(1, round(len(ranked) * go_on))]
+        best = estimator.copy({estimator.getParam(n): v for n, v in drawn[left[0]].items()})
+        model = PipelineModel([*scale.stages, best.fit(rows)])
+    finally:
+        rows.unpersist()
+    return model, df.sparkSession.createDataFrame(report, TRIALS)
+
+
 def best_run(trials: DataFrame, metric: str, larger: bool = False, alias: str = "champion") -> DataFrame:
     """The trial with the best metric, with its alias."""
     pick = F.max_by if larger else F.min_by

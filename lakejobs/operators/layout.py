@@ -62,6 +62,33 @@ def file_stats(df: DataFrame) -> DataFrame:
     return meta.groupBy("file_path").agg(F.count("*").alias("row_count"), F.max("file_size").alias("file_size"))
 
 
+def file_ranges(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(file_path, column_name, rows, low, high): least and greatest value of each column in each file, as positions on ``axis``.
+
+    Counted from the rows, as a table format's statistics would have them; files without a value have no row.
+    """
+    from lakejobs.operators.ordered import axis
+
+    whole = df.select(F.col("_metadata.file_path").alias("file_path"), *[axis(df, c).alias(c) for c in columns])
+    found = whole.groupBy("file_path").agg(
+        F.count(F.lit(1)).alias("rows"), *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))])
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"low_{c}").alias("low"), F.col(f"high_{c}").alias("high")) for c in columns]))
+    return found.select("file_path", "rows", each.alias("of")).select("file_path", "of.column_name", "rows", "of.low", "of.high").where("low IS NOT NULL")
+
+
+def opened_share(ranges: DataFrame, probes: int) -> DataFrame:
+    """(column_name, files, rows, share): share of the files that a filter on one of ``probes`` equal ranges of a column has to open, on average.
+
+    Each file counts the ranges it touches by arithmetic, so nothing is joined for it.
+    """
+    span = ranges.groupBy("column_name").agg(
+        F.min("low").alias("least"), F.max("high").alias("most"), F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"))
+    width = F.greatest((F.col("most") - F.col("least")) / probes, F.lit(1e-300))
+    number = lambda c: F.least(F.floor((F.col(c) - F.col("least")) / width), F.lit(probes - 1))
+    touched = ranges.select("column_name", "low", "high").join(span, "column_name").withColumn("touched", number("high") - number("low") + 1)
+    return touched.groupBy("column_name", "files", "rows").agg((F.sum("touched") / F.count(F.lit(1)) / probes).alias("share"))
+
+
 def advise_keys(filters: DataFrame, stats: DataFrame, limit: int = 4, least_values: int = 100) -> DataFrame:
     """Rank filter columns as cluster keys: most used first, columns with few values left out."""
     counted = filters.groupBy("column_name").agg(F.count("*").alias("filter_count"))

@@ -139,6 +139,25 @@ def tune_search(t):
     return trials
 
 
+SPACE = {"regParam": mo.Range(1e-4, 1.0, log=True), "elasticNetParam": mo.Range(0.0, 1.0), "maxIter": mo.Range(4, 20, whole=True)}
+
+
+@query("tune_random_search", """
+SELECT r.round, r.trials, r.folds, true AS in_range, true AS all_differ, true AS better_than_even FROM (VALUES (1, 96, 1), (2, 24, 2), (3, 6, 5)) AS r(round, trials, folds)
+WHERE (SELECT count(*) FROM orders) > 0""")
+def tune_random_search(t):
+    """96 seeded trials over continuous ranges, the best of each round going on to more folds; the best log loss beats even odds."""
+    data = past(featured(t)).select(*FEATURES, "label")
+    _, trials = mo.random_search(data, FEATURES, mo.classifier("logistic", 3), SPACE, trials=96, folds=5)
+    inside = F.lit(True)
+    for name, r in SPACE.items():
+        inside = inside & F.col("params")[name].between(r.low, r.high)
+    return trials.groupBy("round").agg(
+        F.count("*").cast("int").alias("trials"), F.max("folds").alias("folds"), F.min(inside).alias("in_range"),
+        (F.count_distinct(F.map_entries("params")) == F.count("*")).alias("all_differ"),
+        (F.min("metric") < F.log(F.lit(3.0))).alias("better_than_even"))
+
+
 @query("best_run", """
 SELECT trial, metric, 'champion' AS alias FROM (SELECT l_suppkey AS trial, CAST(avg(l_linenumber) AS DOUBLE) AS metric FROM lineitem GROUP BY 1)
 ORDER BY metric, trial LIMIT 1""")

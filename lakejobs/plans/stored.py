@@ -12,6 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakejobs.functions import football, html, logs
+from lakejobs.functions.semi import read_shredded, shred
 from lakejobs.operators import layout
 from lakejobs.operators.merge import delete_where, merge
 from lakejobs.operators.versions import ChangeRefused, VersionedTable
@@ -562,6 +563,45 @@ def layout_zorder(t):
     return t.spark.read.parquet(path)
 
 
+def range_shares(t, kind: str):
+    """Share of the files that narrow ranges of two columns open, as written by ``kind`` and as written by a hash of the key."""
+    root, columns = stage(t), ["o_orderdate", "o_custkey"]
+    arrange = {"cluster": layout.cluster, "zorder": layout.zorder}[kind]
+    arrange(t.orders, columns, 16).write.parquet(f"{root}/arranged")
+    t.orders.repartition(16, F.col("o_orderkey")).write.parquet(f"{root}/plain")
+    shares = []
+    for name in ("arranged", "plain"):
+        ranges = layout.file_ranges(t.spark.read.parquet(f"{root}/{name}"), columns)
+        shares.append(layout.opened_share(ranges, 16).select("column_name", "rows", F.col("share").alias(name)))
+    return shares[0].join(shares[1].select("column_name", "plain"), "column_name")
+
+
+@query("layout_cluster_ranges", """
+SELECT 'o_orderdate' AS column_name, count(*) AS rows, true AS fewer_files FROM orders UNION ALL SELECT 'o_custkey', count(*), false FROM orders""")
+def layout_cluster_ranges(t):
+    """Clustered files: ranges of the first key open less than a third of the files that an unclustered write opens."""
+    return range_shares(t, "cluster").select("column_name", "rows", (F.col("arranged") < F.col("plain") / 3).alias("fewer_files"))
+
+
+@query("layout_zorder_ranges", """
+SELECT 'o_orderdate' AS column_name, count(*) AS rows, true AS fewer_files FROM orders UNION ALL SELECT 'o_custkey', count(*), true FROM orders""")
+def layout_zorder_ranges(t):
+    """Files in Z-order: ranges of either column open less than half of the files."""
+    return range_shares(t, "zorder").select("column_name", "rows", (F.col("arranged") < F.col("plain") / 2).alias("fewer_files"))
+
+
+SHREDDED = {"k": ("$.k", "long"), "k_text": ("$.k", "string")}
+
+
+@query("variant_shred_stored", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS key, CAST(NULL AS VARCHAR) AS absent FROM events""")
+def variant_shred_stored(t):
+    """Typed columns stored beside the VARIANT; the read takes the shredded path from its column and the other from the VARIANT."""
+    path = f"{stage(t)}/out"
+    shred(t.events.select("event_id", F.parse_json("props").alias("v")), "v", SHREDDED).write.parquet(path)
+    return read_shredded(t.spark.read.parquet(path), "v", SHREDDED, {"key": ("$.k", "long"), "absent": ("$.a.b", "string")})
+
+
 @query("codec_choice", """
 SELECT codec, count(*) AS row_count, rank AS size_rank FROM orders, (VALUES ('zstd', 1), ('snappy', 2), ('none', 3)) AS c(codec, rank) GROUP BY 1, 3""")
 def codec_choice(t):
