@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +12,7 @@ from lakejobs.functions.strings import mask_email
 from lakejobs.operators.access import apply_masks, apply_row_filter
 from lakejobs.operators.chunks import date_table, folded_sum, run_chunks
 from lakejobs.operators.hierarchy import closure
-from lakejobs.operators.relational import tag_map
+from lakejobs.operators.relational import has_columns, tag_map
 from lakejobs.registry import query
 from lakejobs.session import ensure_checkpoint_dir
 from lakejobs.streaming.rules import expect_warn, rule_report
@@ -35,6 +36,33 @@ def warn(t):
     return expect_warn(t.events, "events_rules", event_rules())
 
 
+@query("expect_warn_counts", """
+SELECT (SELECT count(*) FROM events) AS rows, count(*) FILTER (value > 1) AS has_value_passed, count(*) FILTER (NOT value > 1) AS has_value_failed,
+       count(*) FILTER (event_type <> 'error') AS known_type_passed, count(*) FILTER (event_type = 'error') AS known_type_failed,
+       count(*) FILTER (hour(ts) < 20) AS early_passed, count(*) FILTER (hour(ts) >= 20) AS early_failed FROM events""")
+def expect_warn_counts(t):
+    """The counts that a job observes while it writes all rows."""
+    seen = Observation("events_rules")
+    expect_warn(t.events, "events_rules", event_rules(), seen).write.format("noop").mode("overwrite").save()
+    counts = seen.get
+    return t.spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} long" for name in counts))
+
+
+@query("validate_columns", """
+SELECT 'events' AS table_name, 'event_id, ts' AS required, true AS valid, count(*) AS rows FROM events UNION ALL
+SELECT 'events', 'event_id, absent', false, NULL FROM events WHERE event_id = (SELECT min(event_id) FROM events) UNION ALL
+SELECT 'orders', '', true, count(*) FROM orders""")
+def validate_columns(t):
+    """Rows of the tables that have the columns a job asks for; a table without one is reported and not read."""
+    found = None
+    for name, frame, required in (("events", t.events, ["event_id", "ts"]), ("events", t.events, ["event_id", "absent"]), ("orders", t.orders, [])):
+        valid = has_columns(frame, required)
+        rows = frame.agg(F.count("*").alias("rows")) if valid else t.spark.createDataFrame([(None,)], "rows long")
+        row = rows.select(F.lit(name).alias("table_name"), F.lit(", ".join(required)).alias("required"), F.lit(valid).alias("valid"), "rows")
+        found = row if found is None else found.unionAll(row)
+    return found
+
+
 @query("expect_report", RULES_SQL)
 def expect_report(t):
     return rule_report(t.events, "events", event_rules())

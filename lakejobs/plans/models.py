@@ -280,6 +280,49 @@ def feature_importance(t):
     return mo.importance(fit(featured(t), "forest"), FEATURES)
 
 
+@query("prediction_bounds", views=MATCHES, sql="""
+SELECT match_id, true AS sums_to_one, true AS predicts_the_largest, true AS calibrated_sums_to_one, true AS known_class FROM matches""")
+def prediction_bounds(t):
+    """For each match: probabilities add up to one, before and after calibration, and the class predicted is a class, the likeliest one."""
+    p = F.array("p0", "p1", "p2")
+    total = F.abs(F.col("p0") + F.col("p1") + F.col("p2") - 1) < 3e-4
+    rows = prediction_table(t).select(
+        "match_id", total.alias("sums_to_one"), (F.get(p, F.col("prediction").cast("int")) >= F.array_max(p) - 1e-9).alias("predicts_the_largest"))
+    calibrated = calibrate_isotonic(t).select("match_id", total.alias("calibrated_sums_to_one"))
+    scored = udf_model_score(t).select("match_id", F.col("prediction").isin(0.0, 1.0, 2.0).alias("known_class"))
+    return rows.join(calibrated, "match_id").join(scored, "match_id", "left").withColumn("known_class", F.coalesce("known_class", F.lit(True)))
+
+
+@query("fit_bounds", views=MATCHES, sql="""
+SELECT c.name, true AS holds FROM (VALUES ('every feature has mean 0'), ('every feature has deviation 1 or is constant'), ('a vector for each match'),
+  ('forest beats even odds'), ('logistic beats even odds'), ('all later matches are scored'), ('price error below deviation'), ('importances add up to one'),
+  ('importances fall')) AS c(name) WHERE (SELECT count(*) FROM matches) > 0""")
+def fit_bounds(t):
+    """Bounds, sums and order of the fits: scaled features, log losses, regression error and importances."""
+    vector = assemble_scale(t).select(F.posexplode("features").alias("i", "x"))
+    by_feature = vector.groupBy("i").agg(F.avg("x").alias("mean"), F.stddev("x").alias("deviation"), F.count("*").alias("n"))
+    scaled = by_feature.agg(
+        F.bool_and(F.abs("mean") < 1e-6).alias("every feature has mean 0"),
+        F.bool_and((F.abs(F.col("deviation") - 1) < 1e-6) | (F.col("deviation") < 1e-6)).alias("every feature has deviation 1 or is constant"),
+        F.bool_and(F.col("n") == t.matches.select(F.count("*")).scalar()).alias("a vector for each match"))
+    even = F.col("log_loss") < F.log(F.lit(3.0)) * 1.05
+    later_rows = t.matches.where("match_date >= DATE '2000-01-01'").select(F.count("*")).scalar()
+    fits = train_classifier(t).agg(
+        F.bool_and(F.when(F.col("model") == "forest", even)).alias("forest beats even odds"),
+        F.bool_and(F.when(F.col("model") == "logistic", even)).alias("logistic beats even odds"),
+        F.bool_and(F.col("rows") == later_rows).alias("all later matches are scored"))
+    error = train_regressor(t).select(
+        (F.col("rmse") < t.part.select(F.stddev("p_retailprice")).scalar()).alias("price error below deviation"))
+    ranked = feature_importance(t).agg(
+        (F.abs(F.sum("importance") - 1) < 1e-6).alias("importances add up to one"),
+        F.bool_and(F.coalesce(F.col("ratio_to_next") >= 1, F.lit(True))).alias("importances fall"))
+    found = None
+    for frame in (scaled, fits, error, ranked):
+        rows = frame.unpivot([], frame.columns, "name", "holds")
+        found = rows if found is None else found.unionAll(rows)
+    return found
+
+
 @query("fixtures_matchups", """
 SELECT a.n_regionkey AS grp, a.n_name AS home_team, b.n_name AS away_team FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey""")
 def fixtures_matchups(t):

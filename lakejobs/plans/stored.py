@@ -398,6 +398,44 @@ def html_sections(t):
     return html.outlines(t.pages, "page_id")
 
 
+def _plain(text: str) -> str:
+    """SQL for a text with its character references written out."""
+    for reference, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        text = f"replace({text}, '{reference}', '{character}')"
+    return text
+
+
+_TITLE = _plain("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")
+
+
+@query("html_page_facts", rf"""
+SELECT page_id, trim(regexp_replace({_TITLE}, '\s+', ' ', 'g')) AS title,
+       len(regexp_extract_all(html, '<li>')) AS n_items, len(regexp_extract_all(html, '<a href="[^"#]*"')) AS n_links FROM pages""")
+def html_page_facts(t):
+    """Title, number of list items and number of links of each page, from its outline."""
+    return html.outlines(t.pages, "page_id").select(
+        "page_id", "title", F.size("items").cast("long").alias("n_items"), F.size("links").cast("long").alias("n_links"))
+
+
+@query("html_page_sections", """
+SELECT page_id, list_extract(['First', 'Second'], k::INT) AS title, list_extract(['first', 'second'], k::INT) || ' of ' || page_id || ' a b' AS info,
+       ['http://host.example/dir/' || list_extract(['first', 'second'], k::INT) || '/' || page_id] AS links
+FROM pages, (SELECT unnest([1, 2]) AS k) WHERE page_id % 3 <> 0 OR k = 1""")
+def html_page_sections(t):
+    """Heading, text and links of the sections of pages made from the table: in every third the last section has no heading."""
+    def section(name, head):
+        return F.concat(
+            F.lit('<div class="section">'), head, F.lit(f"<p>skipped</p><p>{name} of "), F.col("page_id").cast("string"),
+            F.lit(f' See <a href="{name}/'), F.col("page_id").cast("string"), F.lit('">more</a> <a href="#top">top</a></p><ul><li>a<li>b</ul></div>'))
+
+    second = F.when(F.col("page_id") % 3 == 0, F.lit("<h3>Second</h3>")).otherwise(F.lit("<h2>Second</h2>"))
+    page = F.concat(
+        F.lit('<html><body><div class="section"><h2>Intro</h2><p>x</p><p>y</p></div>'), section("first", F.lit("<h2>First</h2>")),
+        section("second", second), F.lit("</body></html>"))
+    made = t.pages.select("page_id", F.lit("http://host.example/dir/page.html").alias("url"), page.alias("html"))
+    return html.sections(made, "page_id")
+
+
 @query("html_table_rowspan", views=("matches",), sql="""
 SELECT CAST(match_date AS VARCHAR) || '/' || (match_id // 1000) AS page, CAST(month(match_date) AS INTEGER) AS wk, CAST(match_date AS VARCHAR) AS date, '20:30' AS time, CAST(home_team AS VARCHAR) AS home,
        home_score || '-' || away_score AS score, CAST(home_score AS INTEGER) AS home_goals, CAST(away_score AS INTEGER) AS away_goals,
