@@ -52,10 +52,10 @@ class Blocks:
     #: Limit of the distance of two sets of at least ``LARGE_SET`` shingles.
     max_distance_large: int = 0
 
-    def masks(self) -> list[np.uint64]:
+    def choices(self) -> list[list[tuple[int, int]]]:
+        """(first bit, width) of the blocks of each key."""
         edges = [round(i * 64 / self.blocks) for i in range(self.blocks + 1)]
-        parts = [sum(1 << bit for bit in range(lo, hi)) for lo, hi in zip(edges, edges[1:])]
-        return [np.uint64(sum(parts[i] for i in chosen)) for chosen in combinations(range(self.blocks), self.agree)]
+        return [[(edges[i], edges[i + 1] - edges[i]) for i in chosen] for chosen in combinations(range(self.blocks), self.agree)]
 
 
 #: Complete for 4 differing bits of 64: at least 3 of 7 blocks are equal.
@@ -68,12 +68,12 @@ def similar(similarity: float, words: int = 6) -> Blocks:
     Sets of similarity s have cosine 2s / (1 + s) when equally large (more when
     not), and each bit differs with probability angle / pi; sets of few shingles
     differ in up to 3 of 16 bits. A pair is a candidate if in one of the words
-    two of eight blocks agree, the first three words differ by at most that
+    two of eight blocks agree, the first two words differ by at most that
     share and four standard deviations, and the numbers of shingles allow the
     similarity. A candidate becomes a link only if its shingle sets have it.
     """
     large = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    compared = min(3, words)
+    compared = min(2, words)
     bits = 64 * compared
     small, large = (int(share * bits + 4 * (bits * share * (1 - share)) ** 0.5) for share in (max(3 / 16, large), large))
     return Blocks(words=words, blocks=8, agree=2, max_distance=small, compared=compared, similarity=similarity, max_distance_large=large)
@@ -146,12 +146,14 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
 
 
 def _keys(table: np.ndarray, scheme: Blocks) -> Iterator[np.ndarray]:
-    """Keys of all rows, one array for each word and mask."""
-    masks = scheme.masks()
+    """Keys of all rows, one array for each word and choice of blocks: the blocks' bits behind the number of the choice."""
+    choices = scheme.choices()
     for w in range(scheme.words):
-        for m, mask in enumerate(masks):
-            tag = np.uint64((w * len(masks) + m + 1) * 0xD6E8FEB86659FD93 & (2**64 - 1))
-            yield _mix((table[:, w] & mask) ^ tag).view(np.int64)
+        for m, blocks in enumerate(choices):
+            key = np.full(len(table), w * len(choices) + m, dtype=np.uint64)
+            for first, width in blocks:
+                key = key << np.uint64(width) | table[:, w] >> np.uint64(first) & np.uint64((1 << width) - 1)
+            yield key.view(np.int64)
 
 
 def _table(prints: pa.Array) -> np.ndarray:
