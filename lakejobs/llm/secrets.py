@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakejobs.llm.common import whole_text, without
+from lakejobs.llm.common import stored, whole_text, without
 from lakejobs.llm.spans import empty_spans, spans
 from lakejobs.llm.trigrams import trigram_query
 
@@ -115,16 +115,24 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, key: str = "doc_id", te
     """
     names = [f"{rule.kind}_spans" for rule in rules]
     docs = without(docs, *names)
-    trigrams = index_trigrams(rules)
-    found = candidates(postings(docs, trigrams, key, text), rules, trigrams).select(
-        F.col("key").alias("__key"), F.col("text_hash").alias("__hash"), F.col("rules").alias("__rules"))
-    joined = docs.withColumn("__text_hash", F.xxhash64(text)).join(
-        found, F.col("__text_hash").eqNullSafe(F.col("__hash")) & F.col(key).eqNullSafe(F.col("__key")), "left")
-    body = whole_text(text)
-    columns = []
-    for rule, name in zip(rules, names):
-        verified = rule_spans(rule, body)
-        if trigram_query(rule.pattern):
-            verified = F.when(F.array_contains("__rules", rule.kind), verified).otherwise(empty_spans())
-        columns.append(verified.alias(name))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], *columns)
+    indexed = [rule for rule in rules if trigram_query(rule.pattern)]
+    body, hashed = whole_text(text), docs.withColumn("__text_hash", F.xxhash64(text))
+    # Rules that read every text are done in the scan, before any join.
+    whole = hashed.select("*", *[rule_spans(rule, body).alias(name) for rule, name in zip(rules, names) if rule not in indexed])
+    listed = [F.col(f"`{c}`") for c in docs.columns]
+    if not indexed:
+        return whole.select(*listed, *[F.col(n) for n in names])
+    trigrams = index_trigrams(indexed)
+    index = stored(postings(docs, trigrams, key, text), "trigram-postings")
+    # Written, so that their measured size decides whether they are sent to the texts or meet them in a shuffle.
+    found = stored(candidates(index, indexed, trigrams).select(
+        F.col("key").alias("__key"), F.col("text_hash").alias("__hash"), F.col("rules").alias("__rules")), "trigram-candidates")
+    texts = hashed.select(F.col(key).alias("__doc"), "__text_hash", body.alias("__body")).join(
+        found, F.col("__text_hash").eqNullSafe(F.col("__hash")) & F.col("__doc").eqNullSafe(F.col("__key")))
+    verified = [F.when(F.array_contains("__rules", rule.kind), rule_spans(rule, F.col("__body"))).otherwise(empty_spans()).alias(f"{rule.kind}_spans")
+                for rule in indexed]
+    # Rows that repeat key and text have equal spans: one of each is joined back, without the text.
+    some = stored(texts.select("__key", "__hash", *verified).dropDuplicates(["__key", "__hash"]), "secret-spans")
+    joined = whole.join(some, F.col("__text_hash").eqNullSafe(F.col("__hash")) & F.col(key).eqNullSafe(F.col("__key")), "left")
+    return joined.select(*listed, *[
+        (F.coalesce(F.col(n), empty_spans()) if rule in indexed else F.col(n)).alias(n) for rule, n in zip(rules, names)])
