@@ -93,13 +93,18 @@ def _as(found: Column, kind: str | None) -> Column:
     return F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).cast("string").alias("kind"), s["match"].alias("match")))
 
 
-def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
+#: Characters that an identifier has at least: numbers of one or two digits stand in all contexts and say nothing.
+SHORTEST = 3
+
+
+def occurrences(docs: DataFrame, key: str, text: str, shortest: int = SHORTEST) -> DataFrame:
     """Base entities and identifier-like words with their contexts: (key, text_hash, start, end, instance, seed, pattern).
 
     The base spans are the seeds, blanks and glued labels or not; of overlapping
     ones the first counts. Beside them stand numbers in groups of 7 to 19 digits and
     words without a blank that touch none of these. Each has two patterns:
     the two words before it, and the words on both sides, as far as its neighbours.
+    Identifiers of fewer than ``shortest`` characters are left out.
     """
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), whole_text(text).alias("body"))
     found = rows.select(
@@ -117,16 +122,16 @@ def occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
     # explode would have its array tested for rows first, and thus all of it computed twice over.
     words = sides.select("key", "text_hash", F.explode_outer("every").alias("one")).where(F.col("one").isNotNull()).select("key", "text_hash", "one.*")
     left, right = F.col("left"), F.col("right")
-    before = F.split(F.regexp_replace(F.lower(F.right(left, F.lit(64))), r"[^\p{L}]+", " "), " ")
-    after = F.split(F.regexp_replace(F.lower(F.left(right, F.lit(64))), r"[^\p{L}]+", " "), " ")
-    near = F.filter(before, lambda w: w != "")
+    # The words of the whole gap, however long it or a word of it is; a gap is the text between two neighbours.
+    near = F.filter(F.split(F.regexp_replace(F.lower(left), r"[^\p{L}]+", " "), " "), lambda w: w != "")
+    following = F.regexp_extract(F.lower(right), r"^[^\p{L}]*+(\p{L}*+)", 1)
     word = words.select(
         "key", "text_hash", F.col("span.start").alias("start"), F.col("span.end").alias("end"),
         _instance(F.col("span.match"), F.col("span.kind")).alias("instance"), F.col("span.kind").alias("base"),
         F.coalesce(F.get(F.reverse(near), F.lit(0)), F.lit("")).alias("one"),
         F.coalesce(F.get(F.reverse(near), F.lit(1)), F.lit("")).alias("two"),
-        F.coalesce(F.get(F.filter(after, lambda w: w != ""), F.lit(0)), F.lit("")).alias("next"))
-    named = word.where(F.length("instance") >= 5).withColumn("seed", F.coalesce(F.col("base"), _seed_kind(F.col("instance"))))
+        following.alias("next"))
+    named = word.where(F.length("instance") >= shortest).withColumn("seed", F.coalesce(F.col("base"), _seed_kind(F.col("instance"))))
     return named.select("key", "text_hash", "start", "end", "instance", "seed", F.explode(F.array(
         F.concat_ws(" ", F.lit("before"), "two", "one"), F.concat_ws(" ", F.lit("around"), "one", F.lit("_"), "next"))).alias("pattern"))
 
@@ -161,7 +166,7 @@ def of_kind(context: Column, kind: str) -> Column:
 
 
 def extract(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = 3, confidence: float = 0.8,
-            support: int = 3) -> DataFrame:
+            support: int = 3, shortest: int = SHORTEST) -> DataFrame:
     """``docs`` with ``<kind>_spans`` of the base kinds and ``context_spans`` (start, end, kind) of discovered ones.
 
     Offsets are code points, end exclusive. Null texts count as empty; spans of
@@ -171,7 +176,7 @@ def extract(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: in
     """
     names = [f"{k}_spans" for k in KINDS] + ["context_spans"]
     docs = without(docs, *names)
-    seen = stored(occurrences(docs, key, text), "pii-seen")
+    seen = stored(occurrences(docs, key, text, shortest), "pii-seen")
     new = discovered(seen, rounds, confidence, support)
     places = seen.where(F.col("seed").isNull()).select("key", "text_hash", "start", "end", "instance").distinct().join(new, "instance")
     by_text = places.groupBy("key", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", "end", "kind"))).alias("__context"))
