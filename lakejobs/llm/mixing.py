@@ -9,15 +9,27 @@ from pyspark.sql import functions as F
 
 from lakejobs.llm.common import stored, whole_text, without, word_count
 
-#: Key ranges of a source; only the range in which the budget ends is put in order.
-RANGES = 4096
+#: Key ranges to a doubling of the key; only the range in which the budget of a source ends is put in order.
+RANGES = 512
 
 
 def sample_key(identity: Column, weight: Column, seed: int = 0) -> Column:
-    """Exponential key ``-ln(u) / weight`` of Efraimidis and Spirakis; ``u`` in (0, 1) is a seeded hash."""
+    """Exponential key ``-ln(u) / weight`` of Efraimidis and Spirakis; ``u`` in (0, 1) is a seeded hash.
+
+    A weight of 0 or less gives an infinite key: such a row is never drawn. A null weight counts as 1.
+    """
     digits = F.substring(F.md5(F.concat(F.coalesce(identity.cast("string"), F.lit("")), F.lit(f":{seed}"))), 1, 13)
     uniform = (F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(2**52))
-    return -F.ln(uniform) / weight
+    positive = F.coalesce(weight.cast("double"), F.lit(1.0))
+    return F.when(positive > 0, F.try_divide(-F.ln(uniform), positive)).otherwise(F.lit(float("inf")))
+
+
+def key_range(drawn: Column, ranges: int = RANGES) -> Column:
+    """Range of a sample key: equal parts of its logarithm, so weights of any size spread the keys of a source alike.
+
+    About one row of a thousand falls into the fullest range. Infinite keys have the last one, keys of zero the first.
+    """
+    return F.when(drawn == float("inf"), 2**30).when(drawn <= 0, -(2**30)).otherwise(F.floor(F.log2(drawn) * ranges)).cast("int")
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -55,8 +67,7 @@ def cutoffs(keys: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
     first; only rows of the one range in which a budget ends are put in order,
     so a source with most of all rows never meets in one task.
     """
-    ranged = keys.withColumn("key_range", F.least(
-        F.floor((F.lit(1.0) - F.exp(-F.col("sample_key"))) * ranges), F.lit(ranges - 1)).cast("int"))
+    ranged = keys.withColumn("key_range", key_range(F.col("sample_key"), ranges))
     by_range = ranged.groupBy("source", "key_range").agg(F.sum("size").alias("words"))
     budgets = targets(by_range.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, most)
     budgets = budgets.withColumn("epochs", F.when(
@@ -71,7 +82,7 @@ def cutoffs(keys: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
     tied = edge.groupBy("source", "sample_key", "tie", "words_before", "rest").agg(F.sum("size").alias("words"))
     running = Window.partitionBy("source").orderBy("sample_key", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     over = F.col("words_before") + F.sum("words").over(running) - F.col("rest")
-    taken = tied.withColumn("over", over).where(
+    taken = tied.withColumn("over", over).where(F.col("sample_key") < float("inf")).where(
         (F.col("over") <= 0) | ((F.col("over") < F.col("words")) & (F.col("over") * 2 <= F.col("words"))))
     cut = taken.groupBy("source").agg(F.max(F.struct("sample_key", "tie")).alias("cut")).select(
         F.col("source").alias("cut_source"), "cut")
@@ -87,8 +98,9 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weight: Column | None
         ranges: int = RANGES) -> DataFrame:
     """Every row of ``docs`` with ``size``, ``source_size``, ``target``, ``copies`` and ``taken``.
 
-    ``weight``, a positive expression over ``docs``, and ``quality`` (``key``,
-    ``weight`` > 0, 1 where a row has none) scale the sampling keys. A source first takes whole epochs; the words still missing are
+    ``weight``, an expression over ``docs``, and ``quality`` (``key``, ``weight``, 1
+    where a row has none) scale the sampling keys; a null weight counts as 1, and a row of
+    weight 0 or less is there in whole epochs but never in the fractional part. A source first takes whole epochs; the words still missing are
     taken in the order of the keys. The row that crosses the budget is taken if
     that comes nearer to it.
 
@@ -99,7 +111,7 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weight: Column | None
     docs = without(docs, "size", "source_size", "target", "copies", "taken")
     # Everything that reads the text comes before the join, so that only what is asked for passes its shuffle.
     rows = docs.withColumn("size", word_count(whole_text(text))).withColumn("__tie", F.xxhash64(F.col(key), F.col(text)))
-    rows = rows.withColumn("__weight", (F.lit(1.0) if weight is None else weight).cast("double"))
+    rows = rows.withColumn("__weight", F.coalesce((F.lit(1.0) if weight is None else weight).cast("double"), F.lit(1.0)))
     if quality is not None:
         one = quality.groupBy(F.col(key).alias("__quality_key")).agg(F.max("weight").cast("double").alias("__quality"))
         rows = rows.join(one, F.col(key) == F.col("__quality_key"), "left").withColumn(
@@ -109,9 +121,9 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weight: Column | None
     # One row for each source, written: Spark broadcasts it only if its files are small.
     plan = stored(cutoffs(keys, weights, share, most, ranges), "mix-cutoffs")
     planned = drawn.join(plan, F.col(source).eqNullSafe(F.col("cut_source")))
-    in_range = F.least(F.floor((F.lit(1.0) - F.exp(-F.col("__key"))) * ranges), F.lit(ranges - 1)).cast("int")
+    in_range = key_range(F.col("__key"), ranges)
     at_edge = F.coalesce((F.col("__key") < F.col("cut_key")) | ((F.col("__key") == F.col("cut_key")) & (F.col("__tie") <= F.col("cut_tie"))), F.lit(False))
-    extra = (F.col("rest") > 0) & F.coalesce((in_range < F.col("last_range")) | ((in_range == F.col("last_range")) & at_edge), F.lit(False))
+    extra = (F.col("rest") > 0) & (F.col("__key") < float("inf")) & F.coalesce((in_range < F.col("last_range")) | ((in_range == F.col("last_range")) & at_edge), F.lit(False))
     mixed = planned.withColumn("copies", (F.col("epochs") + extra.cast("int")).cast("int"))
     mixed = mixed.withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
     return mixed.select(*[F.col(f"`{c}`") for c in docs.columns], "size", "source_size", "target", "copies", "taken")
