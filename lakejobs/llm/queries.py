@@ -33,7 +33,8 @@ def register(key: str, sql: str | None = None):
 @register("op1_sharding")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = 40
-    placed = sharding.shard(table(spark, sf_dir, "documents"), shards)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = spark.read.parquet(sharding.write_shards(docs, shards=shards))
     return placed.select(
         "doc_id", "size", F.crc32(F.coalesce(F.col("text"), F.lit(""))).cast("long").alias("text_crc32"),
         F.lit("key").alias("law"), "shard", "slot", sharding.shard_of(F.col("doc_id"), shards + 1).alias("grown_shard"))
