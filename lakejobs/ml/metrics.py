@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakejobs.operators.ordered import discrete_percentiles, running_totals
+from lakejobs.session import written
 
 EPS = 1e-15
 
@@ -66,8 +67,8 @@ def roc_auc(scored: DataFrame, label: str, score: Column) -> DataFrame:
     Equal scores are counted first, and the negatives below each score are a
     running sum in slices of the score axis.
     """
-    counted = scored.groupBy(score.alias("score")).agg(
-        F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) == 0).cast("long")).alias("neg"))
+    counted = written(scored.groupBy(score.alias("score")).agg(
+        F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) == 0).cast("long")).alias("neg")))
     ranked = running_totals(counted, [], ["score"], {"below": F.col("neg")}).withColumn(
         "won", F.col("pos") * (F.col("below") + F.col("neg") / 2.0))
     return ranked.agg((F.sum("won") / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"))

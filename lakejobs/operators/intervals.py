@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakejobs.operators.ordered import running_totals
+from lakejobs.session import written
 
 
 def epoch_micros(ts: str | Column) -> Column:
@@ -61,7 +62,8 @@ def open_at(points: DataFrame, intervals: DataFrame, point: str, lo: str, hi: st
     """
     changes = intervals.select(F.explode(F.array(
         F.struct(F.col(lo).alias("at"), F.lit(1).alias("step")), F.struct((F.col(hi) + 1).alias("at"), F.lit(-1).alias("step")))).alias("c"))
-    summed = changes.groupBy(F.col("c.at").alias("at")).agg(F.sum("c.step").alias("step"))
+    # Written: the running sum reads its input for the slices, the sums of each and the rows.
+    summed = written(changes.groupBy(F.col("c.at").alias("at")).agg(F.sum("c.step").alias("step")))
     asked = points.select(F.col(point).alias("at"), F.lit(1).alias("asks"))
     both = summed.withColumn("asks", F.lit(0)).unionByName(asked, allowMissingColumns=True)
     counted = running_totals(both, [], ["at", "asks"], {name: F.col("step")})

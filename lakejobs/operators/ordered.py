@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakejobs.session import written
+
 ROWS_PER_SLICE = 5_000_000
 #: Borders kept as literals; larger frames have larger slices.
 MAX_SLICES = 2048
@@ -239,7 +241,8 @@ def discrete_percentiles(df: DataFrame, keys: list[str], value: str, shares: dic
     a key with most of all rows and many values is no hot task. NULL values are
     left out; NULL keys are a key.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    # Written: the slices are planned on the counts, and the totals, sums and rows read them again.
+    counts = written(df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n")))
     upto = running_totals(counts, keys, [value], {"_before": F.col("_n")}, slices).withColumn("_upto", F.col("_before") + F.col("_n"))
     if keys:
         totals = counts.groupBy(*[F.col(k).alias(f"_t_{k}") for k in keys]).agg(F.sum("_n").alias("_total"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakejobs.operators.relational import anti, distinct_values, since, sorted_set
 from lakejobs.registry import query
+from lakejobs.session import written
 from lakejobs.tables import LINEAGE_AS_OF
 
 LINEAGE = ("table_lineage",)
@@ -188,6 +189,12 @@ def rep_most_written_tables(t):
     return _most_events(t, TARGET, "write_event_count")
 
 
+def _lists_of_first(pairs, key, item, count, items, n=50):
+    """The ``n`` keys with most items and their lists: counted first, so only the lists that are shown are collected."""
+    top = pairs.groupBy(key).agg(F.count("*").alias(count)).orderBy(F.desc(count), key).limit(n)
+    return pairs.join(top, key).groupBy(key, count).agg(F.array_sort(F.collect_list(item)).alias(items)).orderBy(F.desc(count), key)
+
+
 @query("rep_jobs_unused_tables", views=LINEAGE, sql=f"""
 WITH w AS (SELECT DISTINCT entity_id, target_table_full_name AS n FROM table_lineage
            WHERE entity_type = 'JOB' AND target_table_full_name IS NOT NULL AND {LAST.format(90)})
@@ -197,10 +204,9 @@ FROM w WHERE n NOT IN (SELECT source_table_full_name FROM table_lineage
 GROUP BY 1 ORDER BY unused_table_count DESC, 1 LIMIT 50""")
 def rep_jobs_unused_tables(t):
     recent = recent_edges(t, 90)
-    unused = written_unread(recent.where("entity_type = 'JOB'"), recent, ["entity_id"])
-    return unused.groupBy(F.col("entity_id").alias("job_id")).agg(
-        F.count("*").alias("unused_table_count"), F.array_sort(F.collect_list("table_full_name")).alias("unused_tables")
-    ).orderBy(F.desc("unused_table_count"), "job_id").limit(50)
+    unused = written(written_unread(recent.where("entity_type = 'JOB'"), recent, ["entity_id"]).select(
+        F.col("entity_id").alias("job_id"), "table_full_name"))
+    return _lists_of_first(unused, "job_id", "table_full_name", "unused_table_count", "unused_tables")
 
 
 @query("rep_unused_tables_last_write", views=LINEAGE, sql=f"""
@@ -273,12 +279,10 @@ SELECT entity_id AS job_entity_id, count(DISTINCT target_table_full_name) AS tab
 FROM table_lineage WHERE entity_type = 'JOB' AND target_table_full_name IS NOT NULL AND {LAST.format(30)}
 GROUP BY 1 ORDER BY tables_written DESC, 1 LIMIT 50""")
 def rep_job_table_churn(t):
-    """Distinct first, so the list is built from reduced rows and its size is the count."""
-    pairs = recent_edges(t, 30).where("entity_type = 'JOB'").where(F.col(TARGET).isNotNull()).select(
-        F.col("entity_id").alias("job_entity_id"), TARGET).distinct()
-    return pairs.groupBy("job_entity_id").agg(
-        F.count("*").alias("tables_written"), F.array_sort(F.collect_list(TARGET)).alias("table_list")
-    ).orderBy(F.desc("tables_written"), "job_entity_id").limit(50)
+    """Distinct first, so the lists are built from reduced rows and their sizes are the counts."""
+    pairs = written(recent_edges(t, 30).where("entity_type = 'JOB'").where(F.col(TARGET).isNotNull()).select(
+        F.col("entity_id").alias("job_entity_id"), TARGET).distinct())
+    return _lists_of_first(pairs, "job_entity_id", TARGET, "tables_written", "table_list")
 
 
 # --- catalogue lists ---------------------------------------------------------

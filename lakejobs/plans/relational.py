@@ -248,8 +248,8 @@ def join_range_spine(t):
     ends = t.run_timeline.select(
         F.unix_timestamp(F.col("period_start_time").cast("timestamp")).alias("lo"), "slice_sec"
     ).withColumn("hi", F.col("lo") + F.col("slice_sec"))
-    spine = ends.agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where("first IS NOT NULL").select(
-        F.explode(F.sequence((F.col("first") - F.col("first") % 60), F.col("last"), F.lit(60).cast("long"))).alias("tick"))
+    first, last = ends.agg(F.min("lo"), F.max("hi")).first()
+    spine = t.spark.range(0 if first is None else first - first % 60, 0 if last is None else last + 1, 60).withColumnRenamed("id", "tick")
     return open_at(spine, ends, "tick", "lo", "hi", "open_slices").where("open_slices > 0").select(
         epoch_to_ntz(F.col("tick")).alias("tick"), "open_slices")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(cores: str = "8", app: str = "lakejobs", **conf: str) -> SparkSession:
@@ -55,6 +55,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return made
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the checkpoint folder, for a frame that a job reads several times."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 _SHIPPED: set[str] = set()
 
 
