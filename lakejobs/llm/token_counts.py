@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
@@ -62,8 +62,7 @@ def limits(counts: DataFrame, width: int = RANGE) -> DataFrame:
     ``documents_over`` and ``tokens_over``: documents longer than L and their
     tokens; ``truncated_tokens``: the total when every text is cut at L;
     ``quantile``: share of documents with at most L tokens; ``total_documents``
-    and ``total_tokens`` of the corpus. For a limit between two lengths the row
-    of the next smaller one holds with ``documents_over`` more tokens a step.
+    and ``total_tokens`` of the corpus. ``at_limits`` answers limits between two lengths.
     Suffix sums run over ranges of lengths first and inside a range then.
     """
     ranged = counts.withColumn("range", F.floor(F.col("tokens") / width))
@@ -85,6 +84,25 @@ def limits(counts: DataFrame, width: int = RANGE) -> DataFrame:
         "total_documents", "total_tokens")
 
 
+def at_limits(counts: DataFrame, wanted: Sequence[int]) -> DataFrame:
+    """The answers of ``limits`` for any context limits, between two lengths too, from the histogram: one row for each of ``wanted``.
+
+    All limits are answered by one aggregate; an empty histogram gives zeros and a null quantile.
+    """
+    n, length = F.col("documents"), F.col("tokens")
+    sums = [F.sum(n).alias("total_documents"), F.sum(n * length).alias("total_tokens")]
+    for i, limit in enumerate(wanted):
+        over = length > limit
+        sums += [F.sum(F.when(over, n).otherwise(0)).alias(f"d{i}"), F.sum(F.when(over, n * length).otherwise(0)).alias(f"t{i}"),
+                 F.sum(n * F.least(length, F.lit(limit))).alias(f"c{i}")]
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    each = F.array(*[F.struct(F.lit(limit).cast("long").alias("context_limit"), zero(f"d{i}").alias("documents_over"), zero(f"t{i}").alias("tokens_over"),
+                              zero(f"c{i}").alias("truncated_tokens")) for i, limit in enumerate(wanted)])
+    rows = counts.agg(*sums).select(zero("total_documents").alias("total_documents"), zero("total_tokens").alias("total_tokens"), F.explode(each).alias("a"))
+    return rows.select("a.*", F.try_divide(F.col("total_documents") - F.col("a.documents_over"), F.col("total_documents")).alias("quantile"),
+                       "total_documents", "total_tokens")
+
+
 def token_counts(docs: DataFrame, text: str = "text", ranks: str = RANKS, pattern: str | None = None) -> DataFrame:
     """The answers of ``limits`` over all whole texts; an empty table gives no rows, other columns play no part."""
     # The histogram is read three times; it is written once, so that texts are encoded once.

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from lakejobs.llm import mixing, pii, secrets, sharding, topk
+from lakejobs.llm import mixing, pii, secrets, sharding, token_counts, topk
 from lakejobs.llm import queries as llm
 from tests.llm.test_operators import ROWS, SCHEMA, prose
 
@@ -142,3 +142,20 @@ def test_contexts_are_read_over_the_whole_gap(spark):
     rows += [(100, f"reach {long_word} mailbox{gap} a@b now please"), (101, f"reach {long_word} nothing{gap} c@d never here")]
     found = {r.doc_id: r.context_spans for r in pii.extract(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [rows[12][1][s.start:s.end] for s in found[100]] == ["a@b"] and not found[101]
+
+
+def test_limits_between_two_lengths(spark):
+    lengths = [0, 0, 3, 3, 3, 10, 250, 251]
+    counts = token_counts.histogram(spark.createDataFrame([(n,) for n in lengths], "tokens long"))
+    wanted = [0, 1, 3, 7, 250, 10**6]
+    found = {r.context_limit: r for r in token_counts.at_limits(counts, wanted).collect()}
+    assert sorted(found) == wanted
+    for limit, r in found.items():
+        over = [n for n in lengths if n > limit]
+        assert (r.documents_over, r.tokens_over, r.truncated_tokens) == (len(over), sum(over), sum(min(n, limit) for n in lengths))
+        assert r.quantile == 1 - len(over) / len(lengths) and (r.total_documents, r.total_tokens) == (len(lengths), sum(lengths))
+    for r in token_counts.limits(counts).collect():
+        (same,) = token_counts.at_limits(counts, [r.context_limit]).collect()
+        assert (same.documents_over, same.tokens_over, same.truncated_tokens, same.quantile) == (r.documents_over, r.tokens_over, r.truncated_tokens, r.quantile)
+    (none,) = token_counts.at_limits(counts.limit(0), [5]).collect()
+    assert (none.documents_over, none.truncated_tokens, none.quantile, none.total_documents) == (0, 0, None, 0)
