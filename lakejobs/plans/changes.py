@@ -180,9 +180,15 @@ def identity(t):
 
 @query("monotonic_id", "SELECT count(*) AS rows, count(*) AS ids, true AS from_zero FROM orders")
 def monotonic_id(t):
-    """Unique ids without a shuffle: the values depend on the partitioning, their number and start do not."""
+    """Unique ids without a shuffle: the values depend on the partitioning, their number and start do not.
+
+    The first partition may hold no row (a split without the start of a row group), so the start is that of
+    the row numbers inside a partition, the lower 33 bits.
+    """
     numbered = t.orders.select("o_orderkey", F.monotonically_increasing_id().alias("row_id"))
-    return numbered.agg(F.count("*").alias("rows"), F.countDistinct("row_id").alias("ids"), (F.min("row_id") == 0).alias("from_zero"))
+    inside = F.col("row_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return numbered.agg(
+        F.count("*").alias("rows"), F.countDistinct("row_id").alias("ids"), F.coalesce(F.min(inside) == 0, F.lit(True)).alias("from_zero"))
 
 
 @query("key_constraints", """

@@ -213,3 +213,18 @@ def test_null_keys_are_inserted_not_refused(spark):
     for small in (False, True):
         assert rows(merge(target, source, ["id"], small_source=small)) == sorted(
             [(1, "x"), (None, "b"), (None, "y"), (None, "y"), (2, "z")], key=repr)
+
+
+def test_monotonic_ids_with_an_empty_first_partition(spark, tmp_path):
+    import __spark_entry__ as entry_module
+
+    spark.read.parquet("/root/testdata/sf0.01/orders.parquet").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")  # several splits of a file with one row group
+    try:
+        ids = spark.read.parquet(f"{tmp_path}/orders.parquet").selectExpr("monotonically_increasing_id() AS i").agg({"i": "min"}).first()[0]
+        row = entry_module.queries()["monotonic_id"](spark, str(tmp_path)).first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert ids > 0
+    assert (row["rows"], row["ids"], row["from_zero"]) == (15000, 15000, True)
