@@ -55,6 +55,13 @@ def test_page_facts_keep_references_that_are_cut_off(spark, tmp_path):
     assert compare(found, con, entry_module.oracle_sql()["html_page_facts"]) == (4, None)
 
 
+def test_pages_reach_the_parser_a_hundred_at_a_time(spark):
+    pages = spark.range(3).selectExpr("id AS page_id", "'http://h.org/' AS url", "'<title>x</title>' AS html")
+    for found in (html.outlines(pages, "page_id"), html.sections(pages, "page_id"), html.schedules(pages, "page_id")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "MapInPandas" not in plan
+
+
 def test_log_parse(spark):
     key = uuid.UUID("12345678-1234-5678-1234-567812345678")
     token = base64.b64encode(key.bytes).decode().rstrip("=").replace("+", "@").replace("/", "-")
