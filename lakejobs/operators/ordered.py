@@ -14,8 +14,12 @@ many rows is cut by the next order column in proportion to its rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -142,23 +146,113 @@ def running_totals(
     return counted.where(F.col(FIRST) == 1).drop(SLICE, FIRST, *inputs.values())
 
 
+#: Rows back that ``trailing_sums`` adds up in Arrow batches; deeper sums go through window frames.
+BATCHED_ROWS = 64
+
+
+class Starts:
+    """For sorted batches: number of the first row of each row's run of equal ``columns``."""
+
+    def __init__(self, columns: list[str]):
+        self.columns, self.last, self.start = columns, None, 0
+
+    def of(self, batch: pa.RecordBatch, number: int) -> np.ndarray:
+        new = np.zeros(batch.num_rows, dtype=bool)
+        own = [batch.column(c) for c in self.columns]
+        for i, column in enumerate(own):
+            before = self.last[i] if self.last else column.slice(0, 1)
+            a, b = pa.concat_arrays([before, column.slice(0, len(column) - 1)]), column
+            differ = pc.or_(pc.xor(a.is_null(), b.is_null()), pc.fill_null(pc.not_equal(a, b), False))
+            if pa.types.is_floating(column.type):
+                differ = pc.and_not(differ, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+            new |= differ.to_numpy(zero_copy_only=False)
+        self.last = [c.slice(len(c) - 1) for c in own]
+        starts = np.maximum.accumulate(np.where(new, number + np.arange(len(new)), self.start))
+        self.start = starts[-1]
+        return starts
+
+
+def _batched_sums(
+    sums: dict[str, tuple[str, int, tuple[str, ...]]], totals: dict[str, str], keys: list[str], out: list[str]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sums over earlier rows of sorted Arrow batches; what the next batch needs is the last rows and the totals.
+
+    ``sums`` is {name: (column, rows back, columns that must be equal too)}, ``totals`` {name: whole-number column}.
+    """
+    depth = max(n for _, n, _ in sums.values())
+
+    def values(batch: pa.RecordBatch, column: str) -> np.ndarray:
+        whole = pa.types.is_integer(batch.schema.field(column).type)
+        return batch.column(column).cast(pa.int64() if whole else pa.float64()).fill_null(0).to_numpy(zero_copy_only=False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs = {equal: Starts([*keys, *equal]) for equal in {(), *[e for _, _, e in sums.values()]}}
+        tails: dict[str, np.ndarray] = {}
+        carried = {name: (0, 0) for name in totals}  # sum of all rows before the batch, and of those before its first key
+        number = 0
+        for batch in batches:
+            rows = batch.num_rows
+            if not rows:
+                continue
+            at = number + np.arange(rows)
+            starts = {equal: r.of(batch, number) for equal, r in runs.items()}
+            made = {}
+            for column in dict.fromkeys(c for c, _, _ in sums.values()):
+                own = values(batch, column)
+                before = tails.get(column, np.zeros(depth, own.dtype))
+                series = np.concatenate([before, own])
+                tails[column] = series[-depth:]
+                for name, (source, n, equal) in sums.items():
+                    if source == column:
+                        total = np.zeros(rows, own.dtype)
+                        for i in range(n, 0, -1):  # oldest first, as a frame adds them up
+                            total += np.where(at - i >= starts[equal], series[depth - i:depth - i + rows], 0)
+                        made[name] = total
+            for name, column in totals.items():
+                own = values(batch, column)
+                sum_before, key_before = carried[name]
+                before = sum_before + np.cumsum(own) - own
+                inside = starts[()] >= number
+                first = np.where(inside, before[np.maximum(starts[()] - number, 0)], key_before)
+                made[name] = before - first
+                carried[name] = (before[-1] + own[-1], first[-1])
+            number += rows
+            arrays = [pa.array(made[c]) if c in made else batch.column(c) for c in out]
+            yield pa.RecordBatch.from_arrays(arrays, names=out).filter(pc.equal(batch.column(FIRST), 1))
+
+    return run
+
+
 def trailing_sums(
-    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, tuple], slices: Slices | None = None
+    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, tuple], slices: Slices | None = None,
+    totals: dict[str, Column] | None = None, keep: list[str] | None = None,
 ) -> DataFrame:
     """Sums over the ``n`` rows before each row of its key: {name: (value, n)}; 0 where there is none.
 
-    A third entry names order columns that must also be equal: (value, n, ["day"])
-    sums only rows of the same day, within the same shuffle and sort.
+    A third entry names leading order columns that must also be equal: (value, n, ["day"])
+    sums only rows of the same day, within the same shuffle and sort. ``totals``
+    are sums over all earlier rows, as in ``running_totals``, in that shuffle too.
+    ``keep`` names the columns of ``df`` that are returned (all where it is not given).
 
     Across slices the rows themselves are carried: each (key, slice) gets the last
     rows of earlier slices as context, runs the plain window and drops them again.
+    Spark deals and sorts the rows; up to ``BATCHED_ROWS`` back they are then added
+    up in Arrow batches, a column at a time, in place of a sliding frame that is
+    evaluated again for every row and sum. ``totals`` are whole numbers.
     """
     cut = slices if slices is not None else plan_slices(df, order[:2])
+    totals = totals or {}
     deepest = max(spec[1] for spec in sums.values())
-    inputs = {name: f"_in_{name}" for name in sums}
-    placed = cut.assign(df, order).withColumns({inputs[k]: spec[0] for k, spec in sums.items()})
+    named: dict[int, str] = {}  # a value that several sums share is carried once
+    inputs = {name: named.setdefault(id(spec[0]), f"_in_{name}") for name, spec in sums.items()}
+    fields = list(named.values())
+    running = {name: f"_run_{name}" for name in totals}
+    placed = cut.assign(df, order).withColumns({
+        **{inputs[k]: spec[0] for k, spec in sums.items()}, **{running[k]: value for k, value in totals.items()}})
+    kept = [c for c in (df.columns if keep is None else keep) if c not in sums and c not in totals]
+    placed = placed.select(*dict.fromkeys([*keys, SLICE, *order, *kept, *fields, *running.values()]))
     newest = Window.partitionBy(*keys, SLICE).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    entry = F.struct((-F.col("_back")).alias("at"), F.struct(*order, *inputs.values()).alias("row"))
+    entry = F.struct((-F.col("_back")).alias("at"), F.struct(*order, *fields).alias("row"))
     tails = (
         placed.withColumn("_back", F.row_number().over(newest)).where(F.col("_back") <= deepest)
         .groupBy(*keys, SLICE).agg(F.array_sort(F.collect_list(entry)).alias("_tail"))
@@ -170,13 +264,34 @@ def trailing_sums(
         *keys, SLICE, F.explode("_carry").alias("_c")
     ).select(*keys, SLICE, "_c.row.*", F.lit(0).alias(FIRST))
     rows = placed.withColumn(FIRST, F.lit(1)).unionByName(context, allowMissingColumns=True)
+    if totals:
+        # The totals of earlier slices, a row before the context; it has no values of the trailing sums.
+        earlier_slices = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        carry = placed.groupBy(*keys, SLICE).agg(*[F.sum(c).alias(c) for c in running.values()]).select(
+            *keys, SLICE, *[F.sum(c).over(earlier_slices).alias(c) for c in running.values()], F.lit(-1).alias(FIRST))
+        rows = rows.unionByName(carry, allowMissingColumns=True)
+    def leading(spec: tuple) -> bool:
+        return len(spec) < 3 or list(spec[2]) == order[:len(spec[2])]
+
+    def numeric(column: str) -> bool:
+        return isinstance(placed.schema[column].dataType, (T.IntegralType, T.DoubleType, T.FloatType))
+
+    if deepest <= BATCHED_ROWS and all(map(leading, sums.values())) and all(map(numeric, fields)):
+        asked = {name: (inputs[name], spec[1], tuple(spec[2]) if len(spec) > 2 else ()) for name, spec in sums.items()}
+        made = {name: T.LongType() if isinstance(placed.schema[c].dataType, T.IntegralType) else T.DoubleType()
+                for name, c in inputs.items()} | {name: T.LongType() for name in totals}
+        schema = T.StructType([*[df.schema[c] for c in kept], *[T.StructField(name, kind) for name, kind in made.items()]])
+        dealt = rows.repartition(*keys, SLICE).sortWithinPartitions(*keys, SLICE, FIRST, *order)
+        return dealt.mapInArrow(_batched_sums(asked, running, [*keys, SLICE], schema.names), schema)
 
     def past(n: int, equal: list[str] | None = None):
         return Window.partitionBy(*keys, SLICE, *(equal or [])).orderBy(FIRST, *order).rowsBetween(-n, -1)
 
+    everything = Window.partitionBy(*keys, SLICE).orderBy(FIRST, *order).rowsBetween(Window.unboundedPreceding, -1)
     summed = rows.withColumns({
-        name: F.coalesce(F.sum(inputs[name]).over(past(*spec[1:])), F.lit(0)) for name, spec in sums.items()})
-    return summed.where(F.col(FIRST) == 1).drop(SLICE, FIRST, *inputs.values())
+        **{name: F.coalesce(F.sum(inputs[name]).over(past(*spec[1:])), F.lit(0)) for name, spec in sums.items()},
+        **{name: F.coalesce(F.sum(running[name]).over(everything), F.lit(0)) for name in totals}})
+    return summed.where(F.col(FIRST) == 1).select(*kept, *sums, *totals)
 
 
 def newest_list(df: DataFrame, keys: list[str], order: list[str], value: Column, n: int, name: str) -> DataFrame:

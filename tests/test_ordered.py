@@ -134,3 +134,32 @@ def test_nulls_and_strings_stay_in_every_slicing(tables, spark):
     sliced = asof_join(base, right, ["user_id"], "ts", "r_ts", ["r_id"], tie_break=["r_id"], slices=plan_slices(base, "ts", 50))
     assert rows(joined) == rows(sliced) and joined.count() == base.count()
     assert joined.where("(user_id IS NULL OR ts IS NULL) AND r_id IS NOT NULL").count() == 0
+
+
+def test_trailing_sums_with_totals_over_nulls_and_small_batches(spark):
+    """Arrow batches of three rows, NULL keys, values and days: equal to windows, in one slice and in many."""
+    from pyspark.sql import Window
+
+    made = [(None if i % 7 == 0 else i % 3, None if i % 5 == 0 else i // 4, i, None if i % 4 == 1 else i * 1.5, i % 6) for i in range(120)]
+    frame = spark.createDataFrame(made, "k int, day int, id int, x double, n int")
+    w = Window.partitionBy("k").orderBy("day", "id")
+    same = Window.partitionBy("k", "day").orderBy("day", "id")
+
+    def zero(c):
+        return F.coalesce(c, F.lit(0))
+
+    expected = rows(frame.select(
+        "id", zero(F.sum("x").over(w.rowsBetween(-4, -1))).alias("x4"), zero(F.sum("n").over(w.rowsBetween(-2, -1))).alias("n2"),
+        zero(F.sum("x").over(same.rowsBetween(-4, -1))).alias("same"),
+        zero(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1))).alias("all")))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        for cut in (None, plan_slices(frame, ["day", "id"], 15)):
+            x = F.col("x")
+            got = trailing_sums(frame, ["k"], ["day", "id"], {"x4": (x, 4), "n2": (F.col("n"), 2), "same": (x, 4, ["day"])},
+                                cut, {"all": F.col("n")}, ["id"])
+            assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+            assert rows(got.select("id", "x4", "n2", "same", "all")) == expected
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
