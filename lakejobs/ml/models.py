@@ -20,6 +20,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakejobs.session import written
+
 
 def hash_split(df: DataFrame, key: str, shares: dict[str, int], seed: int = 42, name: str = "part") -> DataFrame:
     """Named parts by a hash of the key: the same row lands in the same part on every run and cluster size."""
@@ -168,23 +170,32 @@ def calibrate(scored: DataFrame, probability: str, label: str, classes: int, key
 
     ``probability`` is an array column. Rows fall into ``folds`` by a hash of
     ``key``; each fold is calibrated by a fit on the other folds, so no row takes
-    part in its own fit. Rows of equal score are one weighted row of the fit.
+    part in its own fit. Rows of equal score are one weighted row of the fit: they
+    are counted once for all fits, by class and fold, and the fits read the counts.
+    One pass then applies the fits.
     """
     placed = scored.withColumn("_fold", F.pmod(F.xxhash64(F.lit(7), key), F.lit(folds)))
-    done = None
-    for fold in range(folds):
-        out, others = placed.where(F.col("_fold") == fold), placed.where(F.col("_fold") != fold)
-        for c in range(classes):
-            p = F.get(F.col(probability), F.lit(c))
-            equal = others.groupBy(p.alias("score")).agg(
-                F.avg((F.col(label) == c).cast("double")).alias("target"), F.count("*").cast("double").alias("weight"))
-            fit = IsotonicRegression(featuresCol="score", labelCol="target", weightCol="weight", predictionCol=f"_c{c}").fit(
-                equal.select(array_to_vector(F.array("score")).alias("score"), "target", "weight"))
-            out = fit.setFeaturesCol("_f").transform(out.withColumn("_f", array_to_vector(F.array(p)))).drop("_f")
-        done = out if done is None else done.unionAll(out)
+    entries = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("class"), F.get(F.col(probability), F.lit(c)).alias("score"), (F.col(label) == c).cast("long").alias("hit"))
+        for c in range(classes)])).alias("e")
+    counts = written(placed.select("_fold", entries).select("_fold", "e.*").groupBy("class", "score", "_fold").agg(
+        F.sum("hit").alias("hits"), F.count("hit").alias("known"), F.count("*").alias("rows")))
+    out = placed
+    for c in range(classes):
+        out = out.withColumn("_f", array_to_vector(F.array(F.get(F.col(probability), F.lit(c)))))
+        own = F.lit(None).cast("double")
+        for fold in range(folds):
+            equal = counts.where((F.col("class") == c) & (F.col("_fold") != fold)).groupBy("score").agg(
+                (F.sum("hits") / F.sum("known")).alias("target"), F.sum("rows").cast("double").alias("weight"))
+            fit = IsotonicRegression(
+                featuresCol="score", labelCol="target", weightCol="weight", predictionCol=f"_c{c}_{fold}",
+            ).fit(equal.select(array_to_vector(F.array("score")).alias("score"), "target", "weight"))
+            out = fit.setFeaturesCol("_f").transform(out)
+            own = F.when(F.col("_fold") == fold, F.col(f"_c{c}_{fold}")).otherwise(own)
+        out = out.withColumn(f"_c{c}", own).drop("_f", *[f"_c{c}_{fold}" for fold in range(folds)])
     parts = F.array(*[F.greatest(F.col(f"_c{c}"), F.lit(1e-9)) for c in range(classes)])
     total = F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
-    return done.withColumn("calibrated", F.transform(parts, lambda x: x / total)).drop("_fold", *[f"_c{c}" for c in range(classes)])
+    return out.withColumn("calibrated", F.transform(parts, lambda x: x / total)).drop("_fold", *[f"_c{c}" for c in range(classes)])
 
 
 def regressor(weight: str | None = None, **params) -> GBTRegressor:

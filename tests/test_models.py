@@ -131,3 +131,25 @@ def test_boosting_with_three_classes(spark, tables):
     right = model.transform(models.fill(table, FEATURES)).where("prediction = label").count()
     most = table.groupBy("label").count().agg(F.max("count")).first()[0]
     assert right >= most * 0.9
+
+
+def test_calibration_reads_the_scores_once_and_leaves_the_own_fold_out(spark):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import IsotonicRegression
+
+    made = [(i, (i * 7 % 20) / 20.0, int(i * 11 % 17 > 8)) for i in range(300)]
+    scored = spark.createDataFrame(made, "id int, x double, y int").select("id", F.array(1 - F.col("x"), F.col("x")).alias("p"), "y").checkpoint()
+    found = models.calibrate(scored, "p", "y", 2, "id")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    fold = scored.withColumn("fold", F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(5)))
+    got = {r["id"]: r["calibrated"] for r in found.collect()}
+    for number in range(5):
+        others, own = fold.where(F.col("fold") != number), fold.where(F.col("fold") == number)
+        raw = {}
+        for c in range(2):
+            def at(df, c=c):
+                return df.select("id", array_to_vector(F.array(F.get("p", F.lit(c)))).alias("features"), (F.col("y") == c).cast("double").alias("label"))
+            for r in IsotonicRegression().fit(at(others)).transform(at(own)).collect():
+                raw.setdefault(r["id"], []).append(max(r["prediction"], 1e-9))
+        for i, parts in raw.items():
+            assert all(abs(a - b / sum(parts)) < 1e-9 for a, b in zip(got[i], parts))
