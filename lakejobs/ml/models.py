@@ -16,7 +16,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,22 +63,44 @@ def train(df: DataFrame, features: Sequence[str], estimator, scale: bool = True)
     return Pipeline(stages=[*assemble(features, scale), estimator]).fit(fill(df, features))
 
 
-def search(df: DataFrame, features: Sequence[str], estimator, grid: dict, folds: int = 5, metric: str = "logLoss", parallelism: int = 2):
-    """Cross-validated search over a parameter grid; returns (best model, trials frame)."""
+def search(
+    df: DataFrame, features: Sequence[str], estimator, grid: dict, folds: int = 5, metric: str = "logLoss", parallelism: int = 2, seed: int = 42
+):
+    """Cross-validated search over a parameter grid; returns (best model, trials frame).
+
+    Rows fall into folds by ``rand(seed)``, as in Spark's ``CrossValidator``. The
+    features of a fold's training rows are assembled and scaled once for all trials.
+    """
     builder = ParamGridBuilder()
     for param, values in grid.items():
         builder = builder.addGrid(estimator.getParam(param), values)
     combos = builder.build()
     evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName=metric)
-    found = CrossValidator(
-        estimator=Pipeline(stages=[*assemble(features), estimator]), estimatorParamMaps=combos, evaluator=evaluator,
-        numFolds=folds, parallelism=parallelism, seed=42,
-    ).fit(fill(df, features))
+    ready = fill(df, features)
+    placed = ready.withColumn("_at", F.rand(seed)).persist()
+    marks = [0.0] * len(combos)
+    try:
+        for fold in range(folds):
+            own = (F.col("_at") >= fold / folds) & (F.col("_at") < (fold + 1) / folds)
+            scale = Pipeline(stages=assemble(features)).fit(placed.where(~own))
+            scaled = scale.transform(placed).select("label", "features", own.alias("_own")).persist()
+            train_rows, own_rows = scaled.where(~F.col("_own")), scaled.where("_own")
+            try:
+                with ThreadPool(min(parallelism, len(combos))) as pool:
+                    found = pool.map(
+                        lambda combo: evaluator.evaluate(estimator.copy(combo).fit(train_rows).transform(own_rows)), combos)
+            finally:
+                scaled.unpersist()
+            marks = [mark + score / folds for mark, score in zip(marks, found)]
+    finally:
+        placed.unpersist()
+    best = (max if evaluator.isLargerBetter() else min)(range(len(combos)), key=lambda i: marks[i])
     trials = [
         (i, ", ".join(sorted(f"{p.name}={v}" for p, v in combo.items())), float(score))
-        for i, (combo, score) in enumerate(zip(combos, found.avgMetrics))
+        for i, (combo, score) in enumerate(zip(combos, marks))
     ]
-    return found.bestModel, df.sparkSession.createDataFrame(trials, "trial int, params string, metric double")
+    return train(df, features, estimator.copy(combos[best])), df.sparkSession.createDataFrame(
+        trials, "trial int, params string, metric double")
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,9 @@ both accept, so a report and its oracle start from the same rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -180,6 +182,13 @@ class Tables:
         self.spark = spark
         self.path = path.rstrip("/")
         self._loaded: dict[str, DataFrame] = {}
+        self._made: dict[str, Any] = {}
+
+    def once(self, name: str, make: Callable[[], Any]) -> Any:
+        """What ``make`` returns, made once for these tables: for steps that several parts of a query share."""
+        if name not in self._made:
+            self._made[name] = make()
+        return self._made[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
