@@ -6,10 +6,12 @@ with a model passes a function to ``infer``.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,28 +84,37 @@ def mask_entities(text: Column | str, kinds: Sequence[str]) -> Column:
     return column
 
 
+SENTENCE_END = r"(?<=[.!?])[ \t\n\x0B\f\r]+|\n+"
+BLANK = r"[ \t\n\x0B\f\r]+"
+
+
+def best_sentences(text: str | None, max_words: int) -> list[int] | None:
+    """Positions of the best sentences of a lower-cased text, up to ``max_words`` words."""
+    if text is None:
+        return None
+    sentences = [[w for w in re.split(BLANK, s) if w] for s in re.split(SENTENCE_END, text)]
+    in_text = Counter(w for tokens in sentences for w in tokens)
+    ranked = sorted((-(sum(in_text[w] for w in tokens) / len(tokens)), at, len(tokens)) for at, tokens in enumerate(sentences) if tokens)
+    kept, used = [], 0
+    for _, at, n_words in ranked:
+        used += n_words
+        if used > max_words:
+            break
+        kept.append(at)
+    return sorted(kept)
+
+
 def summarize(df: DataFrame, key: str, text: str, max_words: int) -> DataFrame:
     """Best sentences of each text, in text order, up to ``max_words`` words.
 
-    A sentence scores the mean in-text frequency of its words. Words are spread by
-    (document, word), so a word that every document has is no hot key; one shuffle
-    serves the counts per sentence and the counts per document.
+    A sentence scores the mean in-text frequency of its words. All of it lies in
+    one text, so rows stay where they are and no word is shuffled; a task holds the
+    words of one text at a time.
     """
-    pieces = F.split(F.col(text), r"(?<=[.!?])\s+|\n+")
-    sentences = df.select(key, F.posexplode(pieces).alias("position", "sentence")).withColumn(
-        "tokens", words("sentence")).withColumn("n_words", F.size("tokens")).where("n_words > 0")
-    times = sentences.select(key, "position", "n_words", F.explode("tokens").alias("word")).repartition(key, "word").groupBy(
-        key, "word", "position", "n_words").agg(F.count("*").alias("times"))
-    in_text = F.sum("times").over(Window.partitionBy(key, "word"))
-    scored = times.withColumn("in_text", in_text).groupBy(key, "position", "n_words").agg(
-        (F.sum(F.col("times") * F.col("in_text")) / F.col("n_words")).alias("score"))
-    best = Window.partitionBy(key).orderBy(F.desc("score"), "position")
-    used = F.sum("n_words").over(best.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    kept = scored.withColumn("used", used).where(F.col("used") <= max_words).groupBy(key).agg(
-        F.array_sort(F.collect_list("position")).alias("kept"))
-    chosen = F.transform("kept", lambda at: F.get(F.col("_pieces"), at))
-    return df.select(key, pieces.alias("_pieces")).join(kept, key, "left").select(
-        key, F.coalesce(F.concat_ws(" ", chosen), F.lit("")).alias("summary"))
+    kept = F.udf(lambda lowered: best_sentences(lowered, max_words), "array<int>", useArrow=False)(F.lower(text))
+    placed = df.select(key, F.split(F.col(text), SENTENCE_END).alias("_pieces"), kept.alias("_kept"))
+    chosen = F.transform("_kept", lambda at: F.get(F.col("_pieces"), at))
+    return placed.select(key, F.coalesce(F.concat_ws(" ", chosen), F.lit("")).alias("summary"))
 
 
 def infer(
