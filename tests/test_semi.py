@@ -62,6 +62,21 @@ def test_pages_reach_the_parser_a_hundred_at_a_time(spark):
         assert "BatchEvalPython" in plan and "MapInPandas" not in plan
 
 
+def test_schedule_lines_are_made_in_the_page_without_a_shuffle(spark):
+    page = "<table><tr><th>Wk</th><th>Date</th><th>Home</th><th>Score</th><th>Att</th><th>Attendance</th></tr>"
+    page = page.replace("<tr>", "<thead><tr>") + "</thead><tbody><tr><td>1</td><td>d</td><td>A</td><td>2-1</td><td>5</td><td>4</td></tr></tbody></table>"
+    found = html.schedules(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"), "page_id")
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [(r["wk"], r["home"], r["home_goals"], r["attendance"]) for r in found.collect()] == [(1, "A", 2, 5)]
+
+
+def test_summaries_shuffle_nothing(spark):
+    made = [(1, "Aa bb. Bb cc aa!\n\nDd ee ff gg"), (2, None), (3, ""), (4, "\n One two. ")]
+    found = texts.summarize(spark.createDataFrame(made, "id int, text string"), "id", "text", 5)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == [(1, "Aa bb. Bb cc aa!"), (2, ""), (3, ""), (4, " One two.")]
+
+
 def test_log_parse(spark):
     key = uuid.UUID("12345678-1234-5678-1234-567812345678")
     token = base64.b64encode(key.bytes).decode().rstrip("=").replace("+", "@").replace("/", "-")
