@@ -77,6 +77,26 @@ def test_summaries_shuffle_nothing(spark):
     assert rows(found) == [(1, "Aa bb. Bb cc aa!"), (2, ""), (3, ""), (4, " One two.")]
 
 
+def test_plain_pages_are_read_as_the_parser_reads_them():
+    import random
+
+    rng = random.Random(7)
+    bits = ["<p>", "</p>", '<td rowspan="2" id="x y">', "</td>", "<tr>", "</tr>", "<br>", "a", "b > c", "\n", '"', "<li>", "<ul>", "</ul>",
+            '<div class="section">', "</div>", '<a href="/x">', "</a>", "\r\n", "<!-- c -->", "<P>", "&amp", "<title>", "<br/>", "</p >", "<"]
+    plain = 0
+    for _ in range(3000):
+        page = "".join(rng.choice(bits[:-7] if rng.random() < 0.97 else bits) for _ in range(rng.randint(0, 14)))
+        found = html._parse_plain(page)
+        reader = html.Elements()
+        reader.feed(page)
+        reader.close()
+        if found is not None:
+            plain += 1
+            assert [{**e, "text": "".join(e["text"])} for e in found] == [{**e, "text": "".join(e["text"])} for e in reader.found]
+    assert plain > 1500
+    assert all(html._parse_plain(p) is None for p in ("<script><p></script>", "a&amp;b", "<!-- x -->", "<p", "</p class=\"x\">"))
+
+
 def test_log_parse(spark):
     key = uuid.UUID("12345678-1234-5678-1234-567812345678")
     token = base64.b64encode(key.bytes).decode().rstrip("=").replace("+", "@").replace("/", "-")
