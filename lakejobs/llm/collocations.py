@@ -97,36 +97,47 @@ class _Places:
         names, langs, hot = ["", *list(self.known)[1:]], list(self.langs), self.hot
         words, wide = pa.array(names, pa.string()), np.int64(len(names))
         self.__init__(hot)
-        here = np.flatnonzero(flat[:len(lang)])
-        of_lang = np.bincount(lang[here], minlength=len(langs))
-        yield _rows(pa.array([f"{x}\t" for x in langs], pa.string()), np.zeros(len(langs)), _texts(of_lang))
-        heads, head, counts = np.unique(lang[here] * wide + flat[here], return_inverse=True, return_counts=True)
+        here = np.flatnonzero(flat[:len(lang)]).astype(np.int32)
+        lang = lang[here]
+        yield _rows(pa.array([f"{x}\t" for x in langs], pa.string()), np.zeros(len(langs)), _texts(np.bincount(lang, minlength=len(langs))))
+        # Numbers of 32 bits and few arrays at a time: two such tasks share an executor with its heap.
+        heads, head = _numbered(lang * wide + flat[here])
+        del lang
         begin = pc.binary_join_element_wise(pa.array(langs, pa.string()).take(pa.array(heads // wide)), words.take(pa.array(heads % wide)), "\t")
-        yield _rows(begin, np.zeros(len(heads)), _texts(counts))
+        yield _rows(begin, np.zeros(len(heads)), _texts(np.bincount(head)))
         # A last word alone begins no pair: only the words count it.
         pair = flat[here + 1] > 0
         here, head = here[pair], head[pair]
-        three = flat[here + 2]
-        ends, end = np.unique(three * wide + np.where(three == 0, 0, flat[here + 3]), return_inverse=True)
-        pairs, pair = np.unique(head * wide + flat[here + 1], return_inverse=True)
-        del here, head, three, flat, lang
-        grams, counts = np.unique(pair * np.int64(len(ends)) + end, return_counts=True)
+        pairs, pair = _numbered(head * wide + flat[here + 1])
+        del head
+        ends, end = _numbered(flat[here + 2] * wide + np.where(flat[here + 2] == 0, 0, flat[here + 3]))
+        del here, flat
+        grams = pair * np.int64(len(ends)) + end
         del pair, end
-        pair, end = grams // len(ends), ends[grams % len(ends)]
-        del grams
-        head, second = pairs[pair] // wide, pairs[pair] % wide
-        salt = hot.salts(begin, names, pairs // wide, pairs % wide, pair, end // wide, end % wide)
+        grams.sort()
+        at = np.flatnonzero(_changes(grams))
+        counts, grams = np.diff(at, append=len(grams)).astype(np.int32), grams[at]
+        pair, end = (grams // max(len(ends), 1)).astype(np.int32), (grams % max(len(ends), 1)).astype(np.int32)
+        del grams, at
+        third, fourth = (ends // wide).astype(np.int32)[end], (ends % wide).astype(np.int32)[end]
+        del end, ends
+        salt = hot.salts(begin, names, pairs, pair, third, fourth)
+        head, second = (pairs // wide).astype(np.int32)[pair], (pairs % wide).astype(np.int32)[pair]
+        del pair, pairs
         if salt.any():
             order = np.lexsort((salt, head))
-            head, salt, second, end, counts = head[order], salt[order], second[order], end[order], counts[order]
-        starts = np.flatnonzero(np.concatenate(([True], (head[1:] != head[:-1]) | (salt[1:] != salt[:-1]))))
+            head, salt = head[order], salt[order]
+            second, third = second[order], third[order]
+            fourth, counts = fourth[order], counts[order]
+            del order
+        starts = np.flatnonzero(_changes(head) | _changes(salt))
         starts = np.append(starts, len(head))
         at = 0
         while at < len(starts) - 1:
             # Whole heads with at least ROWS edges together, so that few strings are held at a time.
             until = min(max(at + 1, int(np.searchsorted(starts, starts[at] + ROWS))), len(starts) - 1)
             lo, hi = starts[at], starts[until]
-            texts = pc.binary_join_element_wise(*(words.take(pa.array(x[lo:hi])) for x in (second, end // wide, end % wide)), _texts(counts[lo:hi]), " ")
+            texts = pc.binary_join_element_wise(*(words.take(pa.array(x[lo:hi])) for x in (second, third, fourth)), _texts(counts[lo:hi]), " ")
             lists = pa.ListArray.from_arrays(pa.array((starts[at:until + 1] - lo).astype(np.int32)), texts)
             yield _rows(begin.take(pa.array(head[starts[at:until]])), salt[starts[at:until]], pc.binary_join(lists, "\t"))
             at = until
@@ -139,18 +150,43 @@ class Hot:
     words: dict[str, int] = field(default_factory=dict)
     pairs: dict[str, int] = field(default_factory=dict)
 
-    def salts(self, begin: pa.Array, names: list[str], head: np.ndarray, second: np.ndarray, pair: np.ndarray, third: np.ndarray, fourth: np.ndarray) -> np.ndarray:
-        """Share of each edge: 0, or one of its first word by the second, or from ``PARTS`` on one of its pair by the further words."""
-        salt = np.zeros(len(pair), np.int64)
+    def salts(self, begin: pa.Array, names: list[str], pairs: np.ndarray, pair: np.ndarray, third: np.ndarray, fourth: np.ndarray) -> np.ndarray:
+        """Share of each edge: 0, or one of its first word by the second, or from ``PARTS`` on one of its pair by the further words.
+
+        ``pairs`` holds, in order, the number of a pair's first word in ``begin`` times the number of ``names``, plus that of its second word.
+        """
         if not self.words and not self.pairs:
-            return salt
-        spread = np.array([self.words.get(h, 0) for h in begin.to_pylist()], np.int64)
+            return np.zeros(len(pair), np.int32)
+        heads, wide = begin.to_pylist(), len(names)
         mark = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in names], np.int64)
-        wide = spread[head]
-        salt = np.where(wide > 0, 1 + mark[second] % np.maximum(wide, 1), 0)[pair]
-        first = begin.take(pa.array(head)).to_pylist() if self.pairs else []
-        parts = np.array([self.pairs.get(f"{a} {names[b]}", 0) for a, b in zip(first, second.tolist())] or [0] * len(head), np.int64)[pair]
-        return np.where(parts > 0, PARTS + (mark[third] * 31 + mark[fourth]) % np.maximum(parts, 1), salt)
+        spread = np.array([self.words.get(h, 0) for h in heads], np.int64)[pairs // wide]
+        salt = np.where(spread > 0, 1 + mark[pairs % wide] % np.maximum(spread, 1), 0).astype(np.int32)[pair]
+        # Only the few frequent pairs are looked for, by their words; a second word has no blank.
+        often = {tuple(p.rsplit(" ", 1)): n for p, n in self.pairs.items()}
+        first, second = {h for h, _ in often}, {w for _, w in often}
+        head_at, word_at = {h: i for i, h in enumerate(heads) if h in first}, {w: i for i, w in enumerate(names) if w in second}
+        for (h, w), parts in often.items():
+            key = head_at[h] * wide + word_at[w] if h in head_at and w in word_at else -1
+            if (i := int(np.searchsorted(pairs, key))) < len(pairs) and pairs[i] == key:
+                # Edges are in the order of their pairs.
+                lo, hi = np.searchsorted(pair, [i, i + 1])
+                salt[lo:hi] = PARTS + (mark[third[lo:hi]] * 31 + mark[fourth[lo:hi]]) % parts
+        return salt
+
+
+def _changes(keys: np.ndarray) -> np.ndarray:
+    """Whether each of the keys differs from the one before it."""
+    return np.concatenate((np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]))
+
+
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the number of each key among them."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = _changes(keys)
+    number = np.empty(len(keys), np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return keys[new], number
 
 
 def _texts(counts: np.ndarray) -> pa.Array:

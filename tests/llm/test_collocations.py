@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import pytest
@@ -117,6 +118,22 @@ def test_small_flushes_and_long_pieces():
         assert summed == counts + Counter({(lang, None): n for lang, n in totals.items()})
 
 
+def test_a_flush_needs_few_bytes_for_each_place():
+    """Two tasks flush at once beside the heap of their executor."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(5_000)]
+    kept = collocations._Places(collocations.Hot({"en\tw1": 8}, {"en\tw1 w2": 8}))
+    for _ in range(4):
+        assert not list(kept.add("en", " ".join(rng.choices(words, k=50_000))))
+    places = kept.size
+    tracemalloc.start()
+    for _ in kept.flush():
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 180 * places
+
+
 def test_unary_paths_are_compacted(spark):
     rows = [("en", " ".join(f"p{i}" for i in range(25)))] * 31 + [("en", "p3 p4 p5 other")]
     found = collocations.counts(frame(spark, rows))
