@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +62,16 @@ def written(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def filed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the checkpoint folder: readers open the columns they ask for, and sizes are known.
+
+    Unlike a checkpoint it hands on none of the conditions that Spark knows to hold for ``df``.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -163,3 +163,20 @@ def test_trailing_sums_with_totals_over_nulls_and_small_batches(spark):
             assert rows(got.select("id", "x4", "n2", "same", "all")) == expected
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_hierarchy_levels_hand_on_no_inferred_filters(spark):
+    """A parent that is an expression of the node must not put a longer filter on the edges with every level."""
+    from lakejobs.operators.hierarchy import closure
+
+    nodes = spark.range(1100).select("id", F.when(F.col("id") > 0, F.expr("id div 4")).alias("up"), F.concat(F.lit("n"), "id").alias("name"))
+    found = closure(nodes, "id", "up", "name")
+    levels = found._jdf.queryExecution().optimizedPlan()
+    assert max(len(levels.children().apply(i).constraints().toString()) for i in range(levels.children().size())) < 1000
+    got = {r["node_id"]: (r["ancestor_id"], r["parent_id"], r["node_path"], r["depth"]) for r in found.collect()}
+    for n in range(1100):
+        path = [n]
+        while path[0]:
+            path.insert(0, path[0] // 4)
+        assert got[n] == (0, n // 4 if n else None, [f"n{i}" for i in path], len(path) - 1)
+    assert len(got) == 1100
