@@ -119,6 +119,8 @@ class Range:
 
 #: Rounds of ``random_search``: share of the rows, folds that are scored, and share of the trials that go on.
 ROUNDS = ((0.25, 1, 0.25), (1.0, 2, 0.25), (1.0, 5, 0.0))
+#: Bytes of rows that fits side by side hold at once: each keeps a copy of its rows.
+FIT_BYTES = 4 << 30
 TRIALS = "round int, trial int, params map<string,double>, folds int, metric double"
 
 
@@ -131,7 +133,8 @@ def random_search(
     Parameters are drawn from continuous ranges. The first round fits every trial on a part of the rows and
     scores it on one fold; the best go on to more rows and folds, the last ones to all ``folds``.
     Folds and parts come from a hash (of ``key``, else of the features), so they are the same
-    on every run. Trials of a round run side by side as Spark jobs.
+    on every run. Trials of a round run side by side as Spark jobs, at most ``parallelism`` and
+    fewer where the copies of their rows would pass ``FIT_BYTES``; the rows of a fold are persisted for all its trials.
     """
     rng = random.Random(seed)
     larger = MulticlassClassificationEvaluator(metricName=metric).isLargerBetter()
@@ -146,16 +149,20 @@ def random_search(
         left, report = list(range(trials)), []
         for no, (share, scored, go_on) in enumerate(rounds, 1):
             data = rows.where(F.col("_part") < int(share * 10_000)) if share < 1 else rows
-
-            def score(trial: int, data=data, scored=scored) -> float:
-                model = estimator.copy({estimator.getParam(n): v for n, v in drawn[trial].items()})
-                found = [
-                    evaluator.evaluate(model.fit(data.where(F.col("_fold") != fold)).transform(data.where(F.col("_fold") == fold)))
-                    for fold in range(min(scored, folds))]
-                return sum(found) / len(found)
-
-            with ThreadPool(parallelism) as pool:
-                marks = pool.map(score, left)
+            found: list[list[float]] = []
+            for fold in range(min(scored, folds)):
+                # Persisted, so that each of the trials reads the rows of its fit, not all rows to leave most of them out.
+                others = data.where(F.col("_fold") != fold).select("label", "features").persist()
+                own = data.where(F.col("_fold") == fold).select("label", "features").persist()
+                try:
+                    held = others.count() * 8 * (len(features) + 2)
+                    with ThreadPool(max(1, min(parallelism, FIT_BYTES // max(1, held)))) as pool:
+                        found.append(pool.map(lambda trial, others=others, own=own: evaluator.evaluate(
+                            estimator.copy({estimator.getParam(n): v for n, v in drawn[trial].items()}).fit(others).transform(own)), left))
+                finally:
+                    others.unpersist()
+                    own.unpersist()
+            marks = [sum(scores) / len(scores) for scores in zip(*found)]
             report += [(no, i, {n: float(v) for n, v in drawn[i].items()}, min(scored, folds), float(m)) for i, m in zip(left, marks)]
             ranked = [i for _, i in sorted(zip(marks, left), key=lambda x: (-x[0] if larger else x[0], x[1]))]
             left = ranked[:max(1, round(len(ranked) * go_on))]

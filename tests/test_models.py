@@ -188,3 +188,22 @@ def test_features_of_the_fits_are_files_with_only_their_sums(spark, tables):
     assert rows(made.select("match_id", *FEATURES)) == rows(whole)
     few = mf.FormSums(fields=("gf",))
     assert set(few.sums()) == {"s_w", "s_gf", "form_matches", "p_all", "p_new", "d_w", "d_gf"}
+
+
+def test_trials_read_persisted_folds_and_few_large_fits_run_at_once(spark, monkeypatch):
+    made = spark.range(400).select((F.col("id") % 3).cast("double").alias("label"), ((F.col("id") * 7) % 31 + F.col("id") % 3 * 9).cast("double").alias("x"))
+    space = {"regParam": models.Range(1e-3, 1.0, log=True)}
+    real, seen, sizes = models.LogisticRegression.fit, [], []
+    monkeypatch.setattr(models.LogisticRegression, "fit", lambda self, df, *a: seen.append(df.storageLevel.useMemory) or real(self, df, *a))
+    pool = models.ThreadPool
+    monkeypatch.setattr(models, "ThreadPool", lambda n: sizes.append(n) or pool(n))
+
+    def run():
+        _, trials = models.random_search(made, ["x"], models.classifier("logistic", 3, maxIter=3), space, trials=8, folds=3, rounds=((0.5, 1, 0.25), (1.0, 3, 0.0)))
+        return [(r["round"], r["trial"], r["folds"], round(r["metric"], 9)) for r in trials.collect()]
+
+    side_by_side = run()
+    assert all(seen) and len(seen) == 8 + 2 * 3 + 1 and max(sizes) == 8
+    del sizes[:]
+    monkeypatch.setattr(models, "FIT_BYTES", 1)
+    assert run() == side_by_side and set(sizes) == {1}
