@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -30,6 +30,8 @@ CHAIN_TOKENS = 500_000
 SLOTS = 1 << 18
 #: Steps of a chain that are multiplied together; chains are cut there and joined exactly.
 CHUNK = 64
+#: Chunks opened at a time: beside a few numbers a token, memory doesn't follow the number of tokens.
+SLAB = 1024
 #: Tokens whose chains are computed at a time.
 GROUP_TOKENS = 400_000
 CACHE_WORDS = 300_000
@@ -70,52 +72,67 @@ def marginals(emission: np.ndarray, begins: np.ndarray, model: Field) -> tuple[n
     """
     n = len(emission)
     count = max(1, -(-n // CHUNK))
-    pad = count * CHUNK
-    step = np.zeros((pad, 2, 2))
-    step[n:] = np.eye(2)
-    toxic = np.exp(np.clip(emission, -30, 30))
     move, begin = np.exp(model.transition), np.exp(model.start)
-    step[:n] = np.where(begins[:, None, None], begin[None, None, :], move[None])
-    step[:n, :, 1] *= toxic[:, None]
-    step = step.reshape(count, CHUNK, 2, 2)
+    slabs = [(at, min(at + SLAB, count)) for at in range(0, count, SLAB)]
+
+    def steps(first: int, last: int) -> np.ndarray:
+        here = slice(first * CHUNK, min(n, last * CHUNK))
+        step = np.zeros(((last - first) * CHUNK, 2, 2))
+        size = max(0, here.stop - here.start)
+        step[size:] = np.eye(2)
+        step[:size] = move
+        step[:size][begins[here]] = begin
+        step[:size, :, 1] *= np.exp(np.clip(emission[here], -30, 30))[:, None]
+        return step.reshape(last - first, CHUNK, 2, 2)
 
     whole = np.tile(np.eye(2), (count, 1, 1))
-    for j in range(CHUNK):
-        whole = np.einsum("cik,ckj->cij", whole, step[:, j])
-        whole /= whole.sum(axis=(1, 2), keepdims=True)
+    for first, last in slabs:
+        step, product = steps(first, last), whole[first:last]
+        for j in range(CHUNK):
+            product = np.einsum("cik,ckj->cij", product, step[:, j])
+            product /= product.sum(axis=(1, 2), keepdims=True)
+        whole[first:last] = product
     enter, leave = np.empty((count, 2)), np.empty((count, 2))
     a0 = a1 = b0 = b1 = 0.5
-    flat = whole.reshape(count, 4).tolist()
-    for c in range(count):
+    flat = whole.reshape(count, 4)
+    for c, w in enumerate(map(np.ndarray.tolist, flat)):
         enter[c] = a0, a1
-        w = flat[c]
         x, y = a0 * w[0] + a1 * w[2], a0 * w[1] + a1 * w[3]
         a0, a1 = x / (x + y), y / (x + y)
     for c in range(count - 1, -1, -1):
         leave[c] = b0, b1
-        w = flat[c]
+        w = flat[c].tolist()
         x, y = w[0] * b0 + w[1] * b1, w[2] * b0 + w[3] * b1
         b0, b1 = x / (x + y), y / (x + y)
 
-    forward, before, scale = np.empty((count, CHUNK, 2)), np.empty((count, CHUNK, 2)), np.empty((count, CHUNK))
-    state = enter
-    for j in range(CHUNK):
-        before[:, j] = state
-        state = np.einsum("ck,ckj->cj", state, step[:, j])
-        scale[:, j] = state.sum(axis=1)
-        state = state / scale[:, j, None]
-        forward[:, j] = state
-    backward = np.empty((count, CHUNK, 2))
-    state = leave
-    for j in range(CHUNK - 1, -1, -1):
-        backward[:, j] = state
-        state = np.einsum("cij,cj->ci", step[:, j], state)
-        state = state / state.sum(axis=1, keepdims=True)
-    both = (forward * backward).reshape(pad, 2)[:n]
-    both /= both.sum(axis=1, keepdims=True)
-    pair = before[:, :, :, None] * step * backward[:, :, None, :]
-    pair = (pair / pair.sum(axis=(2, 3), keepdims=True)).reshape(pad, 2, 2)[:n]
-    return both[:, 1], pair[~begins].sum(axis=0), both[begins].sum(axis=0), np.log(scale).reshape(pad)[:n].sum()
+    toxic, scale = np.empty(count * CHUNK), np.empty((count, CHUNK))
+    pairs, starts = np.zeros((2, 2)), np.zeros(2)
+    for first, last in slabs:
+        step = steps(first, last)
+        forward, before, backward = (np.empty((last - first, CHUNK, 2)) for _ in range(3))
+        state = enter[first:last]
+        for j in range(CHUNK):
+            before[:, j] = state
+            state = np.einsum("ck,ckj->cj", state, step[:, j])
+            scale[first:last, j] = state.sum(axis=1)
+            state = state / scale[first:last, j, None]
+            forward[:, j] = state
+        state = leave[first:last]
+        for j in range(CHUNK - 1, -1, -1):
+            backward[:, j] = state
+            state = np.einsum("cij,cj->ci", step[:, j], state)
+            state = state / state.sum(axis=1, keepdims=True)
+        here = slice(first * CHUNK, min(n, last * CHUNK))
+        fresh = begins[here]
+        size = len(fresh)
+        both = (forward * backward).reshape(-1, 2)[:size]
+        both /= both.sum(axis=1, keepdims=True)
+        pair = before[:, :, :, None] * step * backward[:, :, None, :]
+        pair = (pair / pair.sum(axis=(2, 3), keepdims=True)).reshape(-1, 2, 2)[:size]
+        toxic[first * CHUNK:first * CHUNK + size] = both[:, 1]
+        pairs = np.add.reduce(np.concatenate((pairs[None], pair[~fresh])), axis=0)
+        starts = np.add.reduce(np.concatenate((starts[None], both[fresh])), axis=0)
+    return toxic[:n], pairs, starts, np.log(scale).reshape(-1)[:n].sum()
 
 
 def _signature(words: list[str]) -> int:
@@ -124,40 +141,78 @@ def _signature(words: list[str]) -> int:
     return min(zlib.crc32(r.encode("utf-8", "surrogatepass")) for r in runs)
 
 
-def token_labels(docs: list[list[str]], toxic: list[int], least_docs: int = 4, lift: float = 12.0) -> set[str]:
+def _encoded(texts: Iterable[str | None], toxic: list[int]) -> tuple[list[np.ndarray], list[int], list[str]]:
+    """Texts as numbers of their words, their labels, and the words; of near copies with one label the first stays."""
+    numbers: dict[str, int] = {}
+    seen: set[tuple[int, int]] = set()
+    docs, labels = [], []
+    for text, label in zip(texts, toxic):
+        words = words_of(text)
+        if words and (mark := (_signature(words), label)) not in seen:
+            seen.add(mark)
+            docs.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words)))
+            labels.append(label)
+    return docs, labels, list(numbers)
+
+
+def token_labels(docs: list[np.ndarray], toxic: list[int], names: list[str], least_docs: int = 4, lift: float = 12.0) -> set[str]:
     """Features that mark toxic tokens: of the features far more frequent in toxic documents, those that explain most.
 
     Documents explained by a chosen feature no longer count, so words that merely
-    stand beside toxic ones are not chosen.
+    stand beside toxic ones are not chosen. ``docs`` hold places in ``names``.
     """
-    seen: dict[str, list[int]] = {}
-    clean: Counter[str] = Counter()
-    often: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
     bad = [i for i, t in enumerate(toxic) if t]
-
-    def counted(words: list[str], known: dict | None) -> Counter[str]:
-        found: Counter[str] = Counter()
-        for w, n in Counter(words).items():
-            for f in features(w):
-                if not f.startswith("s:") and (known is None or f in known):
-                    found[f] += n
-        return found
-
+    # Words are numbered by their places, beginnings behind them; only beginnings of toxic documents can be chosen.
+    in_bad = np.zeros(len(names), bool)
+    for i in bad:
+        in_bad[docs[i]] = True
+    begun: dict[str, int] = {}
+    table = np.full((len(names), 5), -1, np.int32)
+    for word in np.flatnonzero(in_bad).tolist():
+        for n in range(3, min(7, len(names[word])) + 1):
+            table[word, n - 3] = len(names) + begun.setdefault(names[word][:n], len(begun))
+    for word in np.flatnonzero(~in_bad).tolist():
+        for n in range(3, min(7, len(names[word])) + 1):
+            if (place := begun.get(names[word][:n])) is None:
+                break
+            table[word, n - 3] = len(names) + place
+    beginnings = list(begun)
+    del begun
+
+    def counted(words: np.ndarray, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Features of a document and how often each counts."""
+        own, times = np.unique(words, return_counts=True)
+        found = np.concatenate((own[:, None], table[own]), axis=1).reshape(-1)
+        ok = found >= 0
+        if known is not None:
+            ok[ok] = known[found[ok]]
+        found, place = np.unique(found[ok], return_inverse=True)
+        return found, np.minimum(np.bincount(place, np.repeat(times, 6)[ok], len(found)), MOST_IN_A_DOCUMENT).astype(np.int64)
+
+    size = len(names) + len(beginnings)
+    often, clean, in_docs = np.zeros((2, size), np.int64), np.zeros(size, np.int64), np.zeros(size, np.int64)
+    held: list[np.ndarray] = []
     for i in bad:
-        for f, n in counted(docs[i], None).items():
-            often[1][f] += min(n, MOST_IN_A_DOCUMENT)
-            seen.setdefault(f, []).append(i)
+        found, times = counted(docs[i], None)
+        often[1][found] += times
+        in_docs[found] += 1
+        held.append(found)
     # Only features of enough toxic documents can be chosen, so only they are counted in clean ones.
-    seen = {f: ids for f, ids in seen.items() if len(ids) >= least_docs}
+    known = in_docs >= least_docs
     for i, words in enumerate(docs):
         if not toxic[i]:
-            for f, n in counted(words, seen).items():
-                often[0][f] += min(n, MOST_IN_A_DOCUMENT)
-                clean[f] += 1
+            found, times = counted(words, known)
+            often[0][found] += times
+            clean[found] += 1
     n_bad, n_clean = max(1, len(bad)), max(1, len(docs) - len(bad))
     # Clean texts hold the same word beginnings by chance, but once: occurrences tell more than documents.
-    good = {f: set(ids) for f, ids in seen.items()
-            if ((often[1][f] + 0.5) / (n_bad + 1)) / ((often[0][f] + 0.5) / (n_clean + 1)) >= lift}
+    known &= ((often[1] + 0.5) / (n_bad + 1)) / ((often[0] + 0.5) / (n_clean + 1)) >= lift
+    called = {f: "w:" + names[f] if f < len(names) else "p:" + beginnings[f - len(names)] for f in np.flatnonzero(known).tolist()}
+    good: dict[str, set[int]] = {f: set() for f in called.values()}
+    for i, found in zip(bad, held):
+        for f in found[known[found]].tolist():
+            good[called[f]].add(i)
+    clean = {name: int(clean[f]) for f, name in called.items()}
     chosen: set[str] = set()
     left = set(bad)
     gain = {f: len(ids) for f, ids in good.items()}
@@ -181,23 +236,24 @@ def token_labels(docs: list[list[str]], toxic: list[int], least_docs: int = 4, l
     return chosen
 
 
-def _types(docs: list[list[str]]) -> tuple[np.ndarray, list[str]]:
-    names: dict[str, int] = {}
-    flat = [names.setdefault(w, len(names)) for words in docs for w in words]
-    return np.array(flat, dtype=np.int64), list(names)
-
-
-def _fit_chains(model: Field, docs: list[list[str]], labels: list[int], marks: set[str], rounds: int, rate: float, l2: float) -> None:
+def _fit_chains(model: Field, docs: list[np.ndarray], labels: list[int], names: list[str], marks: set[str], rounds: int, rate: float, l2: float) -> None:
     """Adam on the exact gradient of the likelihood of the token labels."""
-    flat, names = _types(docs)
+    # Only words of these documents, in the order in which they come.
+    _, at, flat = np.unique(words := np.concatenate(docs), return_index=True, return_inverse=True)
+    order = np.argsort(at)
+    names = [names[w] for w in words[at[order]].tolist()]
+    flat = np.argsort(order)[flat]
     sizes = np.array([len(w) for w in docs])
     begins = np.zeros(len(flat), dtype=bool)
     begins[np.concatenate(([0], np.cumsum(sizes)[:-1]))] = True
     marked = np.array([any(f in marks for f in features(w)) for w in names])
     truth = marked[flat] & np.repeat(np.array(labels, bool), sizes)
-    place = [slots(w) for w in names]
-    owner = np.repeat(np.arange(len(names)), [len(p) for p in place])
-    place = np.concatenate(place)
+    place, count = array("q"), array("q")
+    for w in names:
+        found = slots(w)
+        place.extend(found)
+        count.append(len(found))
+    place, owner = np.array(place), np.repeat(np.arange(len(names)), count)
     gold_types = np.bincount(flat, truth, len(names))
     previous = np.concatenate(([False], truth[:-1]))
     gold_pair = np.array([[np.sum(~begins & (previous == i) & (truth == j)) for j in (0, 1)] for i in (0, 1)], float)
@@ -218,8 +274,8 @@ def _fit_chains(model: Field, docs: list[list[str]], labels: list[int], marks: s
             t += rate * (m / (1 - 0.9**turn)) / (np.sqrt(s / (1 - 0.99**turn)) + 1e-6) / (1 if t is model.weights else 10)
 
 
-def _groups(docs: Iterable[list[str]]) -> Iterator[list[list[str]]]:
-    group: list[list[str]] = []
+def _groups(docs: Iterable[list[str]] | Iterable[np.ndarray]) -> Iterator[list]:
+    group: list = []
     size = 0
     for words in docs:
         group.append(words)
@@ -231,30 +287,24 @@ def _groups(docs: Iterable[list[str]]) -> Iterator[list[list[str]]]:
         yield group
 
 
-def train(texts: list[str | None], toxic: list[int], rounds: int = 40, rate: float = 0.3, l2: float = 0.1) -> Field:
+def train(texts: Iterable[str | None], toxic: list[int], rounds: int = 40, rate: float = 0.3, l2: float = 0.1) -> Field:
     """Fit the field on token labels by Adam on the exact gradient, then the score of documents by Newton steps."""
     model = Field()
-    kept: dict[tuple[int, int], int] = {}
-    pool: dict[str, str] = {}
-    words = [[pool.setdefault(w, w) for w in words_of(t)] for t in texts]
-    for i, w in enumerate(words):
-        if w:
-            kept.setdefault((_signature(w), toxic[i]), i)
-    docs, labels = [words[i] for i in kept.values()], [toxic[i] for i in kept.values()]
+    docs, labels, names = _encoded(texts, toxic)
     if not docs or not any(labels) or all(labels):
         share = (sum(labels) + 0.5) / (len(labels) + 1)
         model.document = np.array([np.log(share / (1 - share)), 0.0, 0.0, 0.0])
         model.start[:] = model.transition[:, :] = np.log([0.999, 0.001])
         return model
-    marks = token_labels(docs, labels)
+    marks = token_labels(docs, labels, names)
     chosen, size = [], 0
     for i in np.random.default_rng(0).permutation(len(docs)).tolist():
         if size < CHAIN_TOKENS:
             chosen.append(i)
             size += len(docs[i])
-    _fit_chains(model, [docs[i] for i in chosen], [labels[i] for i in chosen], marks, rounds, rate, l2)
-    scorer = Scorer(model)
-    x = np.concatenate([scorer.document_features(group)[1] for group in _groups(docs)])
+    _fit_chains(model, [docs[i] for i in chosen], [labels[i] for i in chosen], names, marks, rounds, rate, l2)
+    emission = np.fromiter((_word_emission(w, model.weights) for w in names), float, len(names))
+    x = np.concatenate([_marked(emission[np.concatenate(g)], np.array([len(d) for d in g]), model)[1] for g in _groups(docs)])
     y = np.array(labels, float)
     beta = np.zeros(4)
     for _ in range(25):
@@ -278,6 +328,21 @@ def _document_features(p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _word_emission(word: str, weights: np.ndarray) -> float:
+    return float(sum(weights[s] for s in slots(word)))
+
+
+def _marked(emission: np.ndarray, sizes: np.ndarray, model: Field) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of documents' tokens laid end to end, and features of the documents."""
+    ends = np.cumsum(sizes)
+    p = np.empty(0)
+    if len(emission):
+        begins = np.zeros(len(emission), dtype=bool)
+        begins[(ends - sizes)[sizes > 0]] = True
+        p, *_ = marginals(emission, begins, model)
+    return p, _document_features(p, sizes)
+
+
 class Scorer:
     """Applies a field to whole texts; word scores are kept from text to text up to a bound."""
 
@@ -292,7 +357,7 @@ class Scorer:
             if value is None:
                 if len(known) >= CACHE_WORDS:
                     known.clear()
-                value = known[w] = float(sum(weights[s] for s in slots(w)))
+                value = known[w] = _word_emission(w, weights)
             out.append(value)
         return out
 
@@ -300,13 +365,7 @@ class Scorer:
         """Marginals of all tokens end to end, features of the documents, and their numbers of tokens."""
         held = [self._emission(w) for w in words]
         sizes = np.array([len(h) for h in held], dtype=np.int64)
-        ends = np.cumsum(sizes)
-        p = np.empty(0)
-        if len(ends) and ends[-1]:
-            begins = np.zeros(ends[-1], dtype=bool)
-            begins[(ends - sizes)[sizes > 0]] = True
-            p, *_ = marginals(np.concatenate([np.array(h) for h in held]), begins, self.model)
-        return p, _document_features(p, sizes), sizes
+        return *_marked(np.concatenate([np.array(h, dtype=float) for h in held]), sizes, self.model), sizes
 
     def __call__(self, texts: list[str | None]) -> list[tuple[float, list[dict]]]:
         """(score, offending offsets in code points) of each text."""
@@ -376,8 +435,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         F.broadcast(sample), F.col(key) == F.col("label_key")).select("label_key", "text", "label")
     # Repeated rows of a sampled key could be many: one of each key is enough to learn from.
     one = rows.groupBy("label_key", "label").agg(F.min("text").alias("text"))
-    found = sorted(one.collect(), key=lambda r: r["label_key"])
-    return train([r["text"] for r in found], [r["label"] for r in found])
+    found = sorted(one.collect(), key=lambda r: r["label_key"], reverse=True)
+    marked = [r["label"] for r in reversed(found)]
+    return train((found.pop()["text"] for _ in marked), marked)  # a text is let go when its words are known
 
 
 def score(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -321,6 +322,29 @@ def test_marginals_equal_plain_forward_backward():
     assert np.allclose(p, want) and np.allclose(pair, pairs) and math.isclose(first.sum(), len(sizes))
 
 
+def test_marginals_do_not_depend_on_slabs(monkeypatch):
+    rng = np.random.default_rng(1)
+    model = toxicity.Field(transition=rng.normal(size=(2, 2)), start=rng.normal(size=2))
+    emission, begins = rng.normal(size=1000), rng.random(1000) < 0.01
+    begins[0] = True
+    whole = toxicity.marginals(emission, begins, model)
+    monkeypatch.setattr(toxicity, "SLAB", 3)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, toxicity.marginals(emission, begins, model)))
+
+
+def test_marginals_of_many_tokens_are_small():
+    # 115.6 MB when all chunks were opened at once, 25.0 MB by slabs.
+    emission, begins = np.random.default_rng(2).normal(size=600_000), np.zeros(600_000, bool)
+    begins[::300] = True
+    tracemalloc.start()
+    try:
+        toxicity.marginals(emission, begins, toxicity.Field())
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+    assert peak < 40
+
+
 def test_toxic_documents_are_scored(spark, docs, nothing):
     rng = random.Random(9)
     rows, labels = [], []
